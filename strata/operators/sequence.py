@@ -21,7 +21,11 @@ same materialized rows; this also cuts the lineage, so a lost executor
 re-reads the checkpoint instead of re-sampling.
 
 The result is exactly ``row_number`` when ``order`` is a total order
-within each group (add a unique column to break ties).  All steps are
+within each group (add a unique column to break ties).
+
+Inputs with a proven small size (``limit(small_rows + 1).count()`` at most
+``small_rows``) take the plain window instead: no group can then exceed
+``small_rows`` rows, and one sort of that many rows in a task is cheap.  All steps are
 DataFrame operations planned by Catalyst; nothing is collected.
 """
 
@@ -44,19 +48,23 @@ def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def default_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+SMALL_ROWS = 1_000_000
 
 
 def number_rows(df: DataFrame, order: Sequence, by: Sequence[str] = (), name: str = "rn",
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Add ``name`` = 1-based row number within ``by`` groups in ``order``."""
     by = list(by)
     order_cols = [_as_col(c) for c in order]
-    n = partitions or default_partitions(df)
+    if small_rows and df.limit(small_rows + 1).count() <= small_rows:
+        w = Window.partitionBy(*by).orderBy(*order_cols)
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     ensure_checkpoint_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *[F.col(b) for b in by], *order_cols)
-                .withColumn(_PID, F.spark_partition_id()))
+    range_cols = [*[F.col(b) for b in by], *order_cols]
+    # Without an explicit count AQE may merge adjacent range partitions
+    # (never reorders them), so small inputs do not pay for 200 tasks.
+    ranged = (df.repartitionByRange(partitions, *range_cols) if partitions
+              else df.repartitionByRange(*range_cols)).withColumn(_PID, F.spark_partition_id())
     seg_keys = [_PID, *by]
     local = ranged.withColumn(
         _LOCAL, F.row_number().over(Window.partitionBy(*seg_keys).orderBy(*order_cols))

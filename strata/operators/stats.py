@@ -174,7 +174,10 @@ def point_biserial(df: DataFrame, flag: str | Column, value: str | Column,
     f = _as_col(flag).cast("int").cast("double")
     x = _as_col(value).cast("double")
     pair = df.select(f.alias("_f"), x.alias("_x")).dropna()
-    r = F.corr("_f", "_x")
+    # Pearson r without ``corr``: under ANSI mode ``corr`` raises on a
+    # constant column; this form yields NULL there instead.
+    r = F.try_divide(F.covar_samp("_f", "_x"),
+                     F.stddev_samp("_f") * F.stddev_samp("_x"))
     if digits is not None:
         r = F.round(r, digits)
     return pair.agg(r.alias("r"), F.count(F.lit(1)).alias("n"))
@@ -189,9 +192,10 @@ def point_biserial_test(df: DataFrame, flag: str | Column, value: str | Column)
     """
     base = point_biserial(df, flag, value)
     dof = (F.col("n") - 2).cast("double")
-    t = F.when((F.col("n") >= 3) & F.col("r").isNotNull() & (F.abs(F.col("r")) < 1),
-               F.col("r") * F.sqrt(dof / (F.lit(1.0) - F.col("r") * F.col("r"))))
-    t = F.when(F.abs(F.col("r")) == 1, F.signum("r") * F.lit(float("inf"))).otherwise(t)
+    r = F.col("r")
+    t = (F.when((F.col("n") < 3) | r.isNull(), F.lit(None).cast("double"))
+         .when(F.abs(r) >= 1, F.signum(r) * F.lit(float("inf")))
+         .otherwise(r * F.sqrt(dof / (F.lit(1.0) - r * r))))
     out = base.withColumn("t", t).withColumn("dof", dof)
     return out.withColumn("p_value", _p_value_udf(F.col("t"), F.col("dof"))).drop("dof")
 
