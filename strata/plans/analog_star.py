@@ -253,6 +253,62 @@ def q_compaction(spark, d):
     return compact(spark, src, scratch_path(spark, "lineitem_compact"))
 
 
+# -- ingest paths: CSV landing, streaming increments, cast-loss probe ----------
+
+def q_csv_roundtrip(spark, d):
+    """customer -> CSV files -> all-string read -> landed twice (append:
+    re-landing duplicates, as the raw landing step does) -> typed profile."""
+    from strata.functions.casts import cast_columns
+    from strata.sources.ingest import land, read_raw_csv
+    c = table(spark, d, "customer")
+    csv_dir = scratch_path(spark, "customer_csv")
+    c.write.options(header="true", quote='"', escape="\\").csv(csv_dir)
+    raw = read_raw_csv(spark, csv_dir, c.columns)
+    lake = Layout(root=scratch_path(spark, "landing"))
+    land(raw, lake, "raw", "customer")
+    land(raw, lake, "raw", "customer")
+    typed = cast_columns(lake.read(spark, "raw", "customer"), {"c_custkey": "bigint"})
+    return typed.groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("c_custkey").alias("customers"),
+        F.sum(F.col("c_acctbal").try_cast("decimal(18,2)")).cast("double").alias("balance"))
+
+
+def q_stream_ingest(spark, d):
+    """lineitem arrives as two file batches; each ingest run appends only
+    the new files (exactly once), then the Bronze copy is profiled."""
+    from strata.streaming import ingest_increment
+    li = table(spark, d, "lineitem")
+    landing, target = scratch_path(spark, "landing_li"), scratch_path(spark, "bronze_li")
+    ckpt = scratch_path(spark, "stream_ckpt")
+    li.filter(F.col("l_linenumber") <= 3).write.parquet(f"{landing}/batch1")
+    ingest_increment(spark, f"{landing}/*", target, ckpt, li.schema)
+    li.filter(~(F.col("l_linenumber") <= 3)).write.parquet(f"{landing}/batch2")
+    ingest_increment(spark, f"{landing}/*", target, ckpt, li.schema)
+    ingest_increment(spark, f"{landing}/*", target, ckpt, li.schema)   # nothing new
+    return spark.read.parquet(target).groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("qty"),
+        F.count_if(F.col("_ingested_at").isNull()).alias("missing_audit"))
+
+
+def q_cast_loss(spark, d):
+    from strata.functions.casts import cast_loss
+    li = table(spark, d, "lineitem")
+    raw = li.select(
+        F.when(F.col("l_linenumber") == 3, F.lit("")).when(F.col("l_linenumber") == 5, F.lit("n/a"))
+        .otherwise(F.col("l_extendedprice").cast("string")).alias("price_raw"),
+        F.when(F.col("l_linenumber") == 2, F.lit("4%"))
+        .otherwise(F.col("l_discount").cast("string")).alias("discount_raw"))
+    return cast_loss(raw, {"price_raw": "int", "discount_raw": "double"})
+
+
+def _report(key):
+    def run(spark, d):
+        from strata.plans.reports import report
+        return report(star(spark, d), key)
+    return run
+
+
 QUERIES = {
     "m_total_students": _q(["total_students"], ["dim_student.region"]),
     "m_avg_score": _q(["avg_score"], ["dim_assessment.assessment_type"]),
@@ -290,6 +346,15 @@ QUERIES = {
     "incremental": q_incremental,
     "file_stats": q_file_stats,
     "compaction": q_compaction,
+    "csv_roundtrip": q_csv_roundtrip,
+    "stream_ingest": q_stream_ingest,
+    "cast_loss": q_cast_loss,
+    "v_avg_score_by_module": _report("avg_score_by_module"),
+    "v_pass_rate_by_module": _report("pass_rate_by_module"),
+    "v_students_by_education": _report("students_by_education"),
+    "v_withdrawal_rate_by_imd_band": _report("withdrawal_rate_by_imd_band"),
+    "v_score_count_by_score": _report("score_count_by_score"),
+    "v_registrations_by_module": _report("registrations_by_module"),
 }
 
 
@@ -443,4 +508,26 @@ SQL = {
           '{CHANGES_FROM}'""",
     "incremental": f"""SELECT * FROM orders WHERE o_orderdate > (SELECT MAX(o_orderdate)
         FROM orders WHERE o_orderdate < TIMESTAMP '{CUTOFF}')""",
+    "csv_roundtrip": """SELECT c_mktsegment, 2 * COUNT(*) AS n,
+        COUNT(DISTINCT c_custkey) AS customers,
+        CAST(2 * SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
+        FROM customer GROUP BY c_mktsegment""",
+    "stream_ingest": """SELECT l_returnflag, COUNT(*) AS n, SUM(l_quantity) AS qty,
+        0::BIGINT AS missing_audit FROM lineitem GROUP BY l_returnflag""",
+    "cast_loss": """SELECT COUNT(*) AS rows,
+        COUNT(*) FILTER (WHERE l_linenumber = 5) AS price_raw_lost,
+        COUNT(*) FILTER (WHERE l_linenumber = 2) AS discount_raw_lost FROM lineitem""",
+    "v_avg_score_by_module": f"""SELECT p.code_module, AVG(l.score) AS avg_score
+        FROM {_LINES_P} GROUP BY p.code_module HAVING AVG(l.score) IS NOT NULL""",
+    "v_pass_rate_by_module": f"""SELECT p.code_module, {_PASS} AS pass_rate FROM {_LINES_P}
+        GROUP BY p.code_module""",
+    "v_students_by_education": f"""SELECT highest_education,
+        COUNT(DISTINCT id_student) AS total_students FROM {_STUDENTS}
+        GROUP BY highest_education""",
+    "v_withdrawal_rate_by_imd_band": f"""SELECT s.imd_band, {_WRATE} AS withdrawal_rate
+        FROM {_REG_S} GROUP BY s.imd_band HAVING {_WCOUNT} IS NOT NULL""",
+    "v_score_count_by_score": f"""SELECT score, COUNT(*) AS total_assessments FROM {_LINES}
+        GROUP BY score""",
+    "v_registrations_by_module": f"""SELECT code_module, COUNT(*) AS total_registrations
+        FROM {_REG} GROUP BY code_module""",
 }
