@@ -1,8 +1,10 @@
 """The student star rebuilt from the driver's tables, and every report,
 measure, security, legacy, history and maintenance query over it.
 
-Gold mapping (same table and column names as the student pipeline, so the
-same measure and report definitions run unchanged):
+The driver's tables are turned into the seven untyped source tables of the
+student pipeline (``raw_tables``), landed as Bronze and run through
+``medallion.run_pipeline`` -- Silver and Gold with all their checks.  The
+resulting Gold layer maps back to the driver's tables as:
 
 * dim_student    <- customer + nation + region: region = region name,
   highest_education = market segment, imd_band = nation name,
@@ -29,16 +31,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.history import after_watermark, merge_upsert, scd2
-from strata.operators.joins import lookup_key, outputs_equal
-from strata.operators.keys import build_dimension
+from strata.operators.joins import outputs_equal
 from strata.operators.maintain import compact, file_stats
-from strata.operators.rollup import rollup_events
+from strata.plans import medallion
 from strata.plans.analogs import ORDER_ORIGIN, table
 from strata.plans.legacy import legacy_summary
-from strata.plans.medallion import SECURITY_MAP_SCHEMA
 from strata.plans.reports import engagement_outcome, student_star
-from strata.plans.schemas import CLICK_KEYS, MODULE_KEY
 from strata.session import ensure_checkpoint_dir, scratch_path
+from strata.sources.ingest import with_audit
 from strata.sources.layout import Layout
 
 # Invented principals and the regions they may see.  Covers a
@@ -73,59 +73,58 @@ def _students(spark, d) -> DataFrame:
                     F.col("n_name").alias("imd_band"), band.alias("age_band")))
 
 
-def _registrations(spark, d) -> DataFrame:
-    return table(spark, d, "orders").select(
-        "o_orderkey", F.col("o_custkey").alias("id_student"),
-        F.col("o_orderpriority").alias("code_module"),
-        F.year("o_orderdate").cast("string").alias("code_presentation"),
-        (F.col("o_orderstatus") == "F").alias("is_withdrawn"),
-        F.datediff(F.to_date("o_orderdate"), F.lit(ORDER_ORIGIN)).alias("date_registration"))
-
-
-def _lines(spark, d) -> DataFrame:
+def raw_tables(spark, d) -> dict[str, DataFrame]:
+    """The seven untyped source tables, as strings, from the driver's tables."""
+    o, c, n, r = (table(spark, d, t) for t in ("orders", "customer", "nation", "region"))
+    S = "string"
+    day = lambda col: F.datediff(F.to_date(col), F.lit(ORDER_ORIGIN)).cast(S)
+    keys = [F.col("o_orderpriority").alias("code_module"),
+            F.year("o_orderdate").cast(S).alias("code_presentation"),
+            F.col("o_custkey").cast(S).alias("id_student")]
+    band = (F.when(F.col("c_acctbal") < 0, F.lit("negative"))
+            .when(F.col("c_acctbal") < 5000, F.lit("low")).otherwise(F.lit("high")))
+    cust = (c.join(n, c.c_nationkey == n.n_nationkey, "left")
+            .join(r, F.col("n_regionkey") == r.r_regionkey, "left"))
+    info = o.join(cust, o.o_custkey == cust.c_custkey, "left").select(
+        *keys, F.lit("U").alias("gender"), F.col("r_name").alias("region"),
+        F.col("c_mktsegment").alias("highest_education"), F.col("n_name").alias("imd_band"),
+        band.alias("age_band"), F.lit("0").alias("num_of_prev_attempts"),
+        F.lit("60").alias("studied_credits"), F.lit("N").alias("disability"),
+        F.col("o_orderstatus").alias("final_result"))
+    reg = o.select(*keys, day("o_orderdate").alias("date_registration"),
+                   F.when(F.col("o_orderstatus") == "F",
+                          (F.datediff(F.to_date("o_orderdate"), F.lit(ORDER_ORIGIN)) + 30)
+                          .cast(S)).alias("date_unregistration"))
+    courses = o.select(*keys[:2]).distinct().withColumn("module_presentation_length",
+                                                        F.lit("365"))
+    parts = table(spark, d, "part").select(
+        F.col("p_brand").alias("code_module"), F.lit("-").alias("code_presentation"),
+        F.col("p_partkey").cast(S).alias("id_assessment"), F.col("p_type").alias("assessment_type"),
+        F.lit("0").alias("date"), F.col("p_size").cast(S).alias("weight"))
     li = table(spark, d, "lineitem")
-    reg = _registrations(spark, d)
-    j = li.join(reg, li.l_orderkey == reg.o_orderkey, "left")
-    return j.select("id_student", "code_module", "code_presentation",
-                    F.col("l_partkey").alias("id_assessment"),
-                    F.when(F.col("l_linenumber") == 7, F.lit(None).cast("int"))
-                    .otherwise((F.col("l_quantity") * 2).cast("int")).alias("score"),
-                    F.col("l_suppkey").alias("id_site"),
-                    F.datediff(F.to_date("l_shipdate"), F.lit(ORDER_ORIGIN)).alias("date"),
-                    F.col("l_quantity").cast("int").alias("sum_click"))
-
-
-def build_gold(spark: SparkSession, d: str, layout: Layout) -> None:
-    dims = {
-        "dim_student": build_dimension(_students(spark, d), ["id_student"],
-                                       ["region", "highest_education", "imd_band", "age_band"],
-                                       "student_sk"),
-        "dim_module": build_dimension(_registrations(spark, d), MODULE_KEY, [], "module_sk"),
-        "dim_assessment": build_dimension(
-            table(spark, d, "part").select(F.col("p_partkey").alias("id_assessment"),
-                                           F.col("p_brand").alias("code_module"),
-                                           F.col("p_type").alias("assessment_type"),
-                                           F.col("p_size").cast("double").alias("weight")),
-            ["id_assessment"], ["code_module", "assessment_type", "weight"], "assessment_sk"),
-    }
-    for t, df in dims.items():
-        layout.write(df, "gold", t)
-    ds, dm, da = (layout.read(spark, "gold", t) for t in dims)
-    reg = lookup_key(lookup_key(_registrations(spark, d), ds, "id_student", "student_sk"),
-                     dm, MODULE_KEY, "module_sk")
-    layout.write(reg.select("student_sk", "module_sk", "is_withdrawn", "date_registration"),
-                 "gold", "fact_registration")
-    lines = _lines(spark, d)
-    fa = lookup_key(lookup_key(lines, ds, "id_student", "student_sk"),
-                    da, "id_assessment", "assessment_sk")
-    layout.write(fa.select("student_sk", "assessment_sk", "score"), "gold", "fact_assessment")
-    clicks = rollup_events(lines, CLICK_KEYS, "sum_click", "total_clicks", "event_count")
-    fv = lookup_key(lookup_key(clicks, ds, "id_student", "student_sk"), dm, MODULE_KEY,
-                    "module_sk")
-    layout.write(fv.select("student_sk", "module_sk", "total_clicks", "event_count"),
-                 "gold", "fact_vle")
-    layout.write(spark.createDataFrame(SECURITY_ROWS, SECURITY_MAP_SCHEMA), "gold",
-                 "security_region_map")
+    lines = li.join(o, li.l_orderkey == o.o_orderkey, "left")
+    scores = lines.select(
+        F.col("l_partkey").cast(S).alias("id_assessment"), F.col("o_custkey").cast(S).alias("id_student"),
+        day("l_shipdate").alias("date_submitted"), F.lit("0").alias("is_banked"),
+        F.when(F.col("l_linenumber") == 7, F.lit(""))
+        .otherwise((F.col("l_quantity") * 2).cast("int").cast(S)).alias("score"))
+    clicks = lines.select(*keys, F.col("l_suppkey").cast(S).alias("id_site"),
+                          day("l_shipdate").alias("date"),
+                          F.col("l_quantity").cast("int").cast(S).alias("sum_click"))
+    vle = table(spark, d, "supplier").select(
+        F.col("s_suppkey").cast(S).alias("id_site"), F.lit("-").alias("code_module"),
+        F.lit("-").alias("code_presentation"), F.lit("resource").alias("activity_type"),
+        F.lit("0").alias("week_from"), F.lit("1").alias("week_to"))
+    return {"studentInfo": info, "studentRegistration": reg, "courses": courses,
+            "assessments": parts, "studentAssessment": scores, "studentVle": clicks, "vle": vle}
+
+
+def build_gold(spark: SparkSession, d: str, layout: Layout) -> dict:
+    """Land the raw tables as Bronze (with the audit column), then run the
+    medallion pipeline -- Silver and Gold with all checks -- on them."""
+    for t, df in raw_tables(spark, d).items():
+        layout.write(with_audit(df), "bronze", t)
+    return medallion.run_pipeline(spark, layout, SECURITY_ROWS)
 
 
 def gold(spark: SparkSession, d: str) -> dict[str, DataFrame]:
@@ -384,8 +383,8 @@ _PASS = ("CAST(COUNT(*) FILTER (WHERE l.score >= 40) AS DOUBLE) / CAST(COUNT(*)
 _WSCORE = ("CAST(SUM(l.score * p.weight) AS DOUBLE) / CAST(SUM(p.weight) AS DOUBLE)")
 _CLICKS = "CAST(SUM(l.sum_click) AS BIGINT)"
 _ALL_STUDENTS = "(SELECT COUNT(DISTINCT c_custkey) FROM customer)"
-_SK_STUDENT = ("(SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS student_sk "
-               "FROM customer)")
+_SK_STUDENT = ("(SELECT c_custkey, row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) - 1 "
+               "AS student_sk FROM customer)")
 _SK_MODULE = """(SELECT code_module, code_presentation,
     row_number() OVER (ORDER BY code_module, code_presentation) - 1 AS module_sk
     FROM (SELECT DISTINCT code_module, code_presentation FROM {reg}))""".format(reg=_REG)
@@ -443,7 +442,8 @@ SQL = {
         FROM {_STUDENTS} GROUP BY age_band""",
     "withdrawal_rate_by_education": f"""SELECT s.highest_education, {_WRATE} AS withdrawal_rate
         FROM {_REG_S} GROUP BY s.highest_education HAVING {_WCOUNT} IS NOT NULL""",
-    "rls_dim": f"""SELECT k.student_sk, s.id_student, s.region FROM {_STUDENTS} s
+    "rls_dim": f"""SELECT k.student_sk, CAST(s.id_student AS VARCHAR) AS id_student, s.region
+        FROM {_STUDENTS} s
         JOIN {_SK_STUDENT} k ON s.id_student = k.c_custkey WHERE s.region IN {_MULTI}""",
     "rls_fact": f"""WITH w AS (SELECT s.imd_band, {_WCOUNT} AS wc, COUNT(*) AS n FROM {_REG_S}
           WHERE s.region IN {_MULTI} GROUP BY s.imd_band),
