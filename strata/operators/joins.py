@@ -6,7 +6,8 @@ dropping fact rows.  The dimension side is pruned to (key columns, sk)
 before the join.
 
 Broadcast policy: a dimension is broadcast only behind a checked bound --
-``broadcast_if_small`` counts at most ``max_rows + 1`` rows of it.  Without
+``broadcast_if_small`` proves it has at most ``max_rows`` rows
+(``size.has_at_most``, which scans only as many partitions as needed).  Without
 the check, the join is left to AQE, which switches a sort-merge join to a
 broadcast join only from the *measured* size of the finished shuffle stage
 (``spark.sql.adaptive.autoBroadcastJoinThreshold``) and splits skewed
@@ -21,13 +22,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.size import has_at_most
+
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only when ``df`` provably has <= ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 
 def lookup_key(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, sk: str,

@@ -23,8 +23,8 @@ re-reads the checkpoint instead of re-sampling.
 The result is exactly ``row_number`` when ``order`` is a total order
 within each group (add a unique column to break ties).
 
-Inputs with a proven small size (``limit(small_rows + 1).count()`` at most
-``small_rows``) take the plain window instead: no group can then exceed
+Inputs with a proven small size (``size.has_at_most(df, small_rows)``)
+take the plain window instead: no group can then exceed
 ``small_rows`` rows, and one sort of that many rows in a task is cheap.  All steps are
 DataFrame operations planned by Catalyst; nothing is collected.
 """
@@ -36,6 +36,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.size import has_at_most
 from strata.session import ensure_checkpoint_dir
 
 _PID = "_seq_pid"
@@ -56,7 +57,7 @@ def number_rows(df: DataFrame, order: Sequence, by: Sequence[str] = (), name: st
     """Add ``name`` = 1-based row number within ``by`` groups in ``order``."""
     by = list(by)
     order_cols = [_as_col(c) for c in order]
-    if small_rows and df.limit(small_rows + 1).count() <= small_rows:
+    if small_rows and has_at_most(df, small_rows):
         w = Window.partitionBy(*by).orderBy(*order_cols)
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     ensure_checkpoint_dir(df.sparkSession)

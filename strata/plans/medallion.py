@@ -11,7 +11,7 @@ reload, so running the pipeline twice gives the same tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.errors import CheckFailed
@@ -158,30 +158,46 @@ def run_pipeline(spark: SparkSession, layout: Layout, security_rows=(),
         report["bronze"] = require_all_rows(rec, "match", "bronze reconciliation")
 
     bronze = {t: layout.read(spark, "bronze", t) for t in RAW_COLUMNS}
-    src_rows = {t: bronze[t].count() for t in ("studentVle", "studentAssessment",
-                                                "studentRegistration")}
-
     sv = silver(bronze)
     written = {}
-    for t, df in sv.items():
-        written[t] = layout.write(df, "silver", t)
-    # Roll-up conservation: every source click row is counted once.
-    sv_read = {t: layout.read(spark, "silver", t) for t in sv}
+    for t in ("studentInfo", "studentRegistration", "assessments", "courses", "vle"):
+        written[t] = layout.write(sv[t], "silver", t)
+
+    # Click roll-up: source rows and clicks are observed on the typed input
+    # inside the same job that writes the roll-up -- no second scan.
+    obs_in = Observation("clicks_in")
+    typed = cast_columns(bronze["studentVle"], SILVER_CASTS["studentVle"]).observe(
+        obs_in, F.count(F.lit(1)).alias("rows"),
+        F.sum(F.col("sum_click").cast("bigint")).alias("clicks"))
+    rolled = rollup_events(typed, CLICK_KEYS, "sum_click", "total_clicks", "event_count")
+    written["studentVle"] = layout.write(rolled, "silver", "studentVle")
+    src = obs_in.get
+    sv_read = {t: layout.read(spark, "silver", t) for t in written}
     totals = sv_read["studentVle"].agg(F.sum("event_count").alias("events"),
                                        F.sum("total_clicks").alias("clicks")).collect()[0]
-    raw_clicks = cast_columns(bronze["studentVle"], {"sum_click": "int"}) \
-        .agg(F.sum(F.col("sum_click").cast("bigint"))).collect()[0][0]
-    if totals["events"] != src_rows["studentVle"] or totals["clicks"] != raw_clicks:
+    if totals["events"] != src["rows"] or totals["clicks"] != src["clicks"]:
         raise CheckFailed("click roll-up lost rows", {
-            "source_rows": src_rows["studentVle"], "events": totals["events"],
-            "source_clicks": raw_clicks, "rolled_clicks": totals["clicks"]})
+            "source_rows": src["rows"], "events": totals["events"],
+            "source_clicks": src["clicks"], "rolled_clicks": totals["clicks"]})
+
+    # Quarantine split: the source count is observed by the valid-rows write.
+    obs_sa = Observation("scores_in")
+    typed_sa = cast_columns(bronze["studentAssessment"], SILVER_CASTS["studentAssessment"]) \
+        .observe(obs_sa, F.count(F.lit(1)).alias("rows"))
+    valid, invalid = split_by_rule(typed_sa, score_in_range("score", 0, 100))
+    written["studentAssessment"] = layout.write(valid, "silver", "studentAssessment")
+    sa_rows = obs_sa.get["rows"]
+    written["studentAssessment_quarantine"] = layout.write(
+        invalid.drop(), "silver", "studentAssessment_quarantine")
     split_total = written["studentAssessment"]["rows"] + \
         written["studentAssessment_quarantine"]["rows"]
-    if split_total != src_rows["studentAssessment"]:
+    if split_total != sa_rows:
         raise CheckFailed("quarantine split lost rows", {
-            "source_rows": src_rows["studentAssessment"], "valid+invalid": split_total})
+            "source_rows": sa_rows, "valid+invalid": split_total})
+    for t in ("studentAssessment", "studentAssessment_quarantine"):
+        sv_read[t] = layout.read(spark, "silver", t)
     report["silver"] = {t: w["rows"] for t, w in written.items()}
-    report["silver"]["click_rows_in"] = src_rows["studentVle"]
+    report["silver"]["click_rows_in"] = src["rows"]
 
     g = gold(sv_read, security_rows, spark)
     gw = {}
