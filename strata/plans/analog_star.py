@@ -301,6 +301,39 @@ def q_cast_loss(spark, d):
     return cast_loss(raw, {"price_raw": "int", "discount_raw": "double"})
 
 
+def q_rls_masked_dim(spark, d):
+    """Column-level restriction on top of row-level security: a principal
+    without the privilege sees the secured rows with ``imd_band`` masked."""
+    from strata.operators.security import mask_columns
+    s = star(spark, d).secured(MULTI_REGION_USER)
+    dim = s.dims["dim_student"].select("student_sk", "region", "imd_band")
+    return mask_columns(dim, ["imd_band"], allowed=False)
+
+
+def q_engagement_correlation(spark, d):
+    from strata.operators.stats import point_biserial
+    eo = engagement_outcome(gold(spark, d))
+    return point_biserial(eo, "is_withdrawn", "total_clicks", digits=6)
+
+
+def q_engagement_median_clicks(spark, d):
+    from strata.operators.stats import median_by
+    eo = engagement_outcome(gold(spark, d))
+    return median_by(eo, "total_clicks", ["is_withdrawn"], "median_clicks")
+
+
+def q_engagement_box(spark, d):
+    from strata.operators.stats import box_stats
+    return box_stats(engagement_outcome(gold(spark, d)), "total_clicks", ["is_withdrawn"])
+
+
+def q_diag_distinct_students(spark, d):
+    """Distinct students per source table (registrations vs student rows)."""
+    from strata.plans.diagnostics import diagnostics
+    raw = raw_tables(spark, d)
+    return diagnostics(raw)["distinct_students"]
+
+
 def _report(key):
     def run(spark, d):
         from strata.plans.reports import report
@@ -354,6 +387,11 @@ QUERIES = {
     "v_withdrawal_rate_by_imd_band": _report("withdrawal_rate_by_imd_band"),
     "v_score_count_by_score": _report("score_count_by_score"),
     "v_registrations_by_module": _report("registrations_by_module"),
+    "rls_masked_dim": q_rls_masked_dim,
+    "engagement_correlation": q_engagement_correlation,
+    "engagement_median_clicks": q_engagement_median_clicks,
+    "engagement_box": q_engagement_box,
+    "diag_distinct_students": q_diag_distinct_students,
 }
 
 
@@ -530,4 +568,27 @@ SQL = {
         GROUP BY score""",
     "v_registrations_by_module": f"""SELECT code_module, COUNT(*) AS total_registrations
         FROM {_REG} GROUP BY code_module""",
+    "rls_masked_dim": f"""SELECT k.student_sk, s.region, CAST(NULL AS VARCHAR) AS imd_band
+        FROM {_STUDENTS} s JOIN {_SK_STUDENT} k ON s.id_student = k.c_custkey
+        WHERE s.region IN {_MULTI}""",
+    "diag_distinct_students": """SELECT 'studentRegistration' AS table_name,
+        COUNT(DISTINCT o_custkey) AS unique_students FROM orders
+        UNION ALL SELECT 'studentInfo', COUNT(DISTINCT o_custkey) FROM orders""",
 }
+_EO = "(" + SQL["engagement_outcome"] + ") eo"
+SQL["engagement_correlation"] = f"""SELECT round(corr(CASE WHEN is_withdrawn THEN 1.0 ELSE 0.0 END,
+    CAST(total_clicks AS DOUBLE)), 6) AS r, COUNT(*) AS n FROM {_EO}"""
+SQL["engagement_median_clicks"] = f"""SELECT is_withdrawn,
+    quantile_cont(CAST(total_clicks AS DOUBLE), 0.5) AS median_clicks FROM {_EO}
+    GROUP BY is_withdrawn"""
+SQL["engagement_box"] = f"""WITH e AS (SELECT is_withdrawn, CAST(total_clicks AS DOUBLE) AS v
+      FROM {_EO}),
+    q AS (SELECT is_withdrawn, COUNT(*) AS n, quantile_cont(v, 0.25) AS q1,
+      quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM e GROUP BY 1),
+    f AS (SELECT *, q1 - 1.5::DOUBLE * (q3 - q1) AS lo, q3 + 1.5::DOUBLE * (q3 - q1) AS hi FROM q)
+    SELECT f.is_withdrawn, f.n, f.q1, f.median, f.q3,
+      MIN(CASE WHEN e.v BETWEEN f.lo AND f.hi THEN e.v END) AS lower_whisker,
+      MAX(CASE WHEN e.v BETWEEN f.lo AND f.hi THEN e.v END) AS upper_whisker,
+      COUNT(*) FILTER (WHERE NOT (e.v BETWEEN f.lo AND f.hi)) AS outliers
+    FROM e JOIN f ON e.is_withdrawn = f.is_withdrawn
+    GROUP BY f.is_withdrawn, f.n, f.q1, f.median, f.q3"""
