@@ -95,7 +95,7 @@ def dense_key(df: DataFrame, order: Sequence[str], name: str = "sk",
 
 def neighbour(df: DataFrame, order: Sequence, by: Sequence[str] = (),
               cols: Sequence[str] = (), offset: int = 1, prefix: str = "next_",
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
     """LEAD (offset > 0) or LAG (offset < 0) of ``cols`` within ``by``.
 
     Numbers rows skew-safely, then joins each row to the row ``offset``
@@ -104,7 +104,7 @@ def neighbour(df: DataFrame, order: Sequence, by: Sequence[str] = (),
     """
     by = list(by)
     rn = "_nb_rn"
-    numbered = number_rows(df, order, by, rn, partitions)
+    numbered = number_rows(df, order, by, rn, partitions, small_rows)
     other = numbered.select(*by, (F.col(rn) - F.lit(offset)).alias(rn),
                             *[F.col(c).alias(f"{prefix}{c}") for c in cols])
     return numbered.join(other, [*by, rn], "left").drop(rn)

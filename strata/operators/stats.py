@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.sequence import number_rows
+from strata.operators.sequence import SMALL_ROWS, number_rows
 
 _G = "_grp"
 
@@ -38,7 +38,8 @@ def _qname(q: float) -> str:
 
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str] = (),
                     names: Sequence[str] | None = None,
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None,
+                    small_rows: int = SMALL_ROWS) -> DataFrame:
     """One row per group: ``by`` columns, n, and one column per quantile."""
     names = list(names) if names else [_qname(q) for q in qs]
     by = list(by)
@@ -47,7 +48,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence
     if not by:
         v = v.withColumn(_G, F.lit(0))
     v = v.filter(F.col("_v").isNotNull())
-    numbered = number_rows(v, ["_v"], grp, "_rn", partitions)
+    numbered = number_rows(v, ["_v"], grp, "_rn", partitions, small_rows)
     cnt = numbered.groupBy(*grp).agg(F.max("_rn").alias("_n"))
     pos = {nm: F.lit(float(q)) * (F.col("_n") - 1).cast("double") for nm, q in zip(names, qs)}
     ranks = []

@@ -25,6 +25,8 @@ SESSION_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files of numbering steps are removed once unreferenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
