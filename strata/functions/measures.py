@@ -29,9 +29,13 @@ def ratio(num: Column, den: Column, digits: int | None = None) -> Column:
     return F.round(r, digits) if digits is not None else r
 
 
-def distinct_count(c) -> Column:
-    """M1 total students: exact distinct count of a dimension key."""
-    return F.count_distinct(_col(c))
+def distinct_count(c, approx: bool = False, rsd: float = 0.01) -> Column:
+    """M1 total students: exact distinct count of a dimension key.
+
+    ``approx=True`` uses a HyperLogLog++ sketch (``rsd`` relative error):
+    fixed memory per group and no (key, value) shuffle.
+    """
+    return F.approx_count_distinct(_col(c), rsd) if approx else F.count_distinct(_col(c))
 
 
 def average(c) -> Column:

@@ -68,6 +68,17 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence
     return out.select(*by, F.col("_n").alias("n"), *cols)
 
 
+def approx_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str] = (),
+                     names: Sequence[str] | None = None, accuracy: int = 10_000) -> DataFrame:
+    """Sketch-based quantiles (``percentile_approx``): one pass, mergeable,
+    fixed memory per group; rank error about 1/``accuracy``."""
+    names = list(names) if names else [_qname(q) for q in qs]
+    v = F.col(value).cast("double")
+    pa = F.percentile_approx(v, list(qs), accuracy)
+    out = df.groupBy(*by).agg(F.count(v).alias("n"), pa.alias("_q"))
+    return out.select(*by, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
+
+
 def median_by(df: DataFrame, value: str, by: Sequence[str], name: str = "median") -> DataFrame:
     return exact_quantiles(df, value, [0.5], by, [name]).drop("n")
 

@@ -251,3 +251,12 @@ def test_count_tables_and_reconcile(spark):
     with pytest.raises(CheckFailed):
         quality.require_all_rows(quality.reconcile({"u": (a, b)}), "match", "copy")
     assert quality.duplicate_keys(spark.createDataFrame([(1,), (1,), (2,)], "k int"), "k").count() == 1
+
+
+def test_approx_options(spark):
+    from strata.functions import measures as M
+    df = spark.range(2000).select((F.col("id") % 37).alias("k"), F.col("id").cast("double").alias("v"))
+    n = df.agg(M.distinct_count("k", approx=True).alias("n")).collect()[0]["n"]
+    assert abs(n - 37) <= 2
+    q = stats.approx_quantiles(df, "v", [0.5], names=["med"]).collect()[0]
+    assert abs(q["med"] - 999.5) <= 2000 / 100 and q["n"] == 2000
