@@ -11,6 +11,12 @@
   are found with the skew-safe ``sequence.neighbour`` (an equi-join on
   (key, rank)), so one key with a huge history does not funnel into one
   task.
+* ``asof_join`` -- for each row, the latest row of another table with the
+  same key at or before its time (e.g. the dimension version in effect on
+  a fact's date).  Not a key join plus range filter, which pairs every row
+  with every version of its key: both sides are unioned, ordered by
+  (key, time) and a skew-safe running max carries the latest version
+  forward (``sequence.running_max``).
 * ``compare_outputs`` -- parallel-run check of an old and a new output
   after normalising (EXCEPT ALL both ways).
 """
@@ -23,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.joins import outputs_equal
-from strata.operators.sequence import neighbour
+from strata.operators.sequence import SMALL_ROWS, neighbour, running_max
 
 OPEN_END = "9999-12-31"
 
@@ -72,6 +78,30 @@ def scd2(observations: DataFrame, key: Sequence[str], attrs: Sequence[str], at:
                            F.col("_next_effective_from").isNull().alias("is_current"))
 
 
+def asof_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_at: str,
+              right_at: str, right_cols: Sequence[str], tie: Sequence[str] = (),
+              prefix: str = "", partitions: int | None = None,
+              small_rows: int = SMALL_ROWS) -> DataFrame:
+    """Left rows with ``right_cols`` of the latest right row whose
+    ``right_at`` <= ``left_at`` (same key); NULLs when there is none.
+    Ties on ``right_at`` go to the greatest ``tie`` values."""
+    key = list(key)
+    payload = F.struct(F.col(right_at).alias("_at"), *[F.col(t).alias(f"_tie_{t}") for t in tie],
+                       *[F.col(c) for c in right_cols])
+    r = right.select(*key, F.col(right_at).alias("_t"), F.lit(0).alias("_side"),
+                     payload.alias("_r"))
+    l_struct = F.struct(*[F.col(c) for c in left.columns])
+    l_type = left.select(l_struct.alias("s")).schema["s"].dataType
+    r_type = r.schema["_r"].dataType
+    lft = left.select(*[F.col(k) for k in key], F.col(left_at).alias("_t"), F.lit(1).alias("_side"),
+                      l_struct.alias("_l"), F.lit(None).cast(r_type).alias("_r"))
+    both = lft.unionByName(r.withColumn("_l", F.lit(None).cast(l_type)))
+    # Right rows sort before left rows at equal time, so "<=" holds.
+    scanned = running_max(both, ["_t", "_side"], key, F.col("_r"), "_m", partitions, small_rows)
+    out = scanned.filter(F.col("_side") == 1)
+    return out.select("_l.*", *[F.col(f"_m.{c}").alias(f"{prefix}{c}") for c in right_cols])
+
+
 def compare_outputs(old: DataFrame, new: DataFrame,
                     normalise: dict[str, Column] | None = None) -> DataFrame:
     if normalise:

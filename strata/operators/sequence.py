@@ -74,11 +74,54 @@ def number_rows(df: DataFrame, order: Sequence, by: Sequence[str] = (), name: st
     running = Window.partitionBy(*by).orderBy(_PID).rowsBetween(
         Window.unboundedPreceding, -1)
     seg = seg.withColumn(_OFF, F.coalesce(F.sum(_N).over(running), F.lit(0)))
-    out = local.join(seg.select(*seg_keys, _OFF), seg_keys, "inner")
+    out = _join_segments(local, seg.select(*seg_keys, _OFF), seg_keys)
     return (out.withColumn(name, (F.col(_OFF) + F.col(_LOCAL)).cast("bigint"))
                .drop(_PID, _LOCAL, _OFF))
 
 
+def _join_segments(rows: DataFrame, seg: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on segment keys, NULL-safe (a NULL group is a group)."""
+    renamed = seg.select(*[F.col(k).alias(f"_sk_{k}") for k in keys],
+                         *[c for c in seg.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = rows[k].eqNullSafe(renamed[f"_sk_{k}"])
+        cond = c if cond is None else cond & c
+    return rows.join(renamed, cond, "inner").drop(*[f"_sk_{k}" for k in keys])
+
+
+def running_max(df: DataFrame, order: Sequence, by: Sequence[str], value: Column, name: str,
+                partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
+    """``name`` = max of ``value`` over all rows up to and including this one
+    (in ``order``) within ``by`` -- a running aggregate, skew-safe.
+
+    Same scheme as ``number_rows``: range-partition, running max inside each
+    (partition, group) segment, then carry in the max of all earlier
+    segments of the group (a window over the small segment table).
+    """
+    by = list(by)
+    order_cols = [_as_col(c) for c in order]
+    df = df.withColumn("_rm_v", value)
+    if small_rows and has_at_most(df, small_rows):
+        w = Window.partitionBy(*by).orderBy(*order_cols).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(name, F.max("_rm_v").over(w)).drop("_rm_v")
+    ensure_checkpoint_dir(df.sparkSession)
+    range_cols = [*[F.col(b) for b in by], *order_cols]
+    ranged = (df.repartitionByRange(partitions, *range_cols) if partitions
+              else df.repartitionByRange(*range_cols)).withColumn(_PID, F.spark_partition_id())
+    seg_keys = [_PID, *by]
+    w = Window.partitionBy(*seg_keys).orderBy(*order_cols).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumn("_rm_local", F.max("_rm_v").over(w)).checkpoint(eager=True)
+    seg = local.groupBy(*seg_keys).agg(F.max("_rm_v").alias("_rm_seg"))
+    carry = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    seg = seg.withColumn("_rm_in", F.max("_rm_seg").over(carry)).select(*seg_keys, "_rm_in")
+    out = _join_segments(local, seg, seg_keys)
+    return (out.withColumn(name, F.greatest("_rm_local", "_rm_in"))
+               .drop(_PID, "_rm_local", "_rm_in", "_rm_v"))
+
+
 def dense_key(df: DataFrame, order: Sequence[str], name: str = "sk",
               partitions: int | None = None) -> DataFrame:
     """Dense surrogate key 0..n-1 in natural-key order, placed first.

@@ -229,6 +229,18 @@ def q_merge_upsert(spark, d):
     return merge_upsert(target, changes, ["o_orderkey"])
 
 
+def q_asof_last_purchase(spark, d):
+    """For every event, the user's latest purchase at or before it."""
+    from strata.operators.history import asof_join
+    e = table(spark, d, "events")
+    purchases = e.filter(F.col("event_type") == "purchase").select(
+        "user_id", "ts", F.col("event_id").alias("purchase_id"),
+        F.col("value").alias("purchase_value"))
+    j = asof_join(e.select("event_id", "user_id", "ts"), purchases, ["user_id"], "ts", "ts",
+                  ["purchase_id", "purchase_value"], tie=["purchase_id"])
+    return j.select("event_id", "purchase_id", "purchase_value")
+
+
 def q_incremental(spark, d):
     o = table(spark, d, "orders")
     loaded = o.filter(F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp_ntz"))
@@ -376,6 +388,7 @@ QUERIES = {
     "scd2": q_scd2,
     "merge_upsert": q_merge_upsert,
     "incremental": q_incremental,
+    "asof_last_purchase": q_asof_last_purchase,
     "file_stats": q_file_stats,
     "compaction": q_compaction,
     "csv_roundtrip": q_csv_roundtrip,
@@ -546,6 +559,10 @@ SQL = {
           '{CHANGES_FROM}'""",
     "incremental": f"""SELECT * FROM orders WHERE o_orderdate > (SELECT MAX(o_orderdate)
         FROM orders WHERE o_orderdate < TIMESTAMP '{CUTOFF}')""",
+    "asof_last_purchase": """SELECT l.event_id, r.event_id AS purchase_id,
+        r.value AS purchase_value FROM events l ASOF LEFT JOIN
+        (SELECT user_id, ts, event_id, value FROM events WHERE event_type = 'purchase') r
+        ON l.user_id = r.user_id AND l.ts >= r.ts""",
     "csv_roundtrip": """SELECT c_mktsegment, 2 * COUNT(*) AS n,
         COUNT(DISTINCT c_custkey) AS customers,
         CAST(2 * SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance

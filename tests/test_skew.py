@@ -48,3 +48,41 @@ def test_hot_key_lead_distributed(spark):
     got = neighbour(df, ["v", "id"], ["k"], ["id"], 1, "next_", partitions=8, small_rows=0)
     want = df.withColumn("next_id", F.lead("id").over(Window.partitionBy("k").orderBy("v", "id")))
     assert got.select(*want.columns).exceptAll(want).count() == 0
+
+
+@pytest.mark.parametrize("small_rows", [1_000_000, 0])
+def test_asof_join_matches_brute_force(spark, small_rows):
+    from strata.operators.history import asof_join
+    left = spark.createDataFrame(
+        [(1, "a", 5), (2, "a", 10), (3, "a", 1), (4, "b", 7), (5, None, 3), (6, "c", 4)],
+        "id int, k string, t int")
+    right = spark.createDataFrame(
+        [("a", 2, "v1"), ("a", 5, "v2"), ("a", 9, "v3"), ("b", 8, "w1"), (None, 1, "n1")],
+        "k string, t int, v string")
+    got = {r.id: r.v for r in asof_join(left, right, ["k"], "t", "t", ["v"], partitions=4,
+                                        small_rows=small_rows).collect()}
+    assert got == {1: "v2", 2: "v3", 3: None, 4: None, 5: "n1", 6: None}
+
+
+def test_asof_hot_key_distributed(spark):
+    from strata.operators.history import asof_join
+    df = hot_frame(spark, 1200)
+    right = df.filter(F.col("id") % 5 == 0).select("k", F.col("v").alias("rv"),
+                                                   F.col("id").alias("rid"))
+    got = asof_join(df, right, ["k"], "v", "rv", ["rid"], tie=["rid"], partitions=8,
+                    small_rows=0).select("id", "rid")
+    # brute force on the driver for this small fixture
+    rows = [(r.k, r.v, r.id) for r in df.collect()]
+    rights = [(k, v, i) for k, v, i in rows if i % 5 == 0]
+    want = {}
+    for k, v, i in rows:
+        cands = [(rv, rid) for rk, rv, rid in rights if rk == k and rv <= v]
+        want[i] = max(cands)[1] if cands else None
+    assert {r.id: r.rid for r in got.collect()} == want
+
+
+def test_number_rows_null_group_distributed(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "g string, v int")
+    got = {r.v: (r.g, r.rn) for r in
+           number_rows(df, ["v"], ["g"], "rn", partitions=2, small_rows=0).collect()}
+    assert got == {1: (None, 1), 2: (None, 2), 3: ("a", 1)}
