@@ -19,11 +19,12 @@ import math
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.sequence import SMALL_ROWS, number_rows
+from strata.operators.size import has_at_most
 
 _G = "_grp"
 
@@ -48,7 +49,22 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence
     if not by:
         v = v.withColumn(_G, F.lit(0))
     v = v.filter(F.col("_v").isNotNull())
-    numbered = number_rows(v, ["_v"], grp, "_rn", partitions, small_rows)
+    if small_rows and has_at_most(v, small_rows):
+        # Proven small: number and count with windows sharing one
+        # partitioning, keep only the needed ranks, gather per group.
+        numbered = (v.withColumn("_rn", F.row_number().over(
+                        Window.partitionBy(*grp).orderBy("_v")).cast("bigint"))
+                     .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*grp))))
+        pos = {nm: F.lit(float(q)) * (F.col("_n") - 1).cast("double") for nm, q in zip(names, qs)}
+        keep = F.lit(False)
+        for nm in names:
+            keep = keep | (F.col("_rn") == (F.floor(pos[nm]) + 1)) | \
+                (F.col("_rn") == (F.ceil(pos[nm]) + 1))
+        out = (numbered.filter(keep).groupBy(*grp)
+               .agg(F.max("_n").alias("_n"),
+                    F.map_from_entries(F.collect_list(F.struct("_rn", "_v"))).alias("_m")))
+        return _interpolate(out, by, names, qs)
+    numbered = number_rows(v, ["_v"], grp, "_rn", partitions, small_rows=0)
     cnt = numbered.groupBy(*grp).agg(F.max("_rn").alias("_n"))
     pos = {nm: F.lit(float(q)) * (F.col("_n") - 1).cast("double") for nm, q in zip(names, qs)}
     ranks = []
@@ -59,11 +75,18 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence
               .groupBy(*grp)
               .agg(F.map_from_entries(F.collect_list(F.struct("_rn", "_v"))).alias("_m")))
     out = cnt.join(picked, grp, "inner")
+    return _interpolate(out, by, names, qs)
+
+
+def _interpolate(out: DataFrame, by: Sequence[str], names: Sequence[str],
+                 qs: Sequence[float]) -> DataFrame:
+    """lo + (hi - lo) * frac at position q*(n-1) from the picked-ranks map."""
     cols = []
-    for nm in names:
-        lo = F.element_at("_m", (F.floor(pos[nm]) + 1).cast("bigint"))
-        hi = F.element_at("_m", (F.ceil(pos[nm]) + 1).cast("bigint"))
-        frac = pos[nm] - F.floor(pos[nm])
+    for nm, q in zip(names, qs):
+        pos = F.lit(float(q)) * (F.col("_n") - 1).cast("double")
+        lo = F.element_at("_m", (F.floor(pos) + 1).cast("bigint"))
+        hi = F.element_at("_m", (F.ceil(pos) + 1).cast("bigint"))
+        frac = pos - F.floor(pos)
         cols.append(F.when(frac == 0, lo).otherwise(lo + (hi - lo) * frac).alias(nm))
     return out.select(*by, F.col("_n").alias("n"), *cols)
 
