@@ -24,7 +24,7 @@ from strata.operators.quality import score_in_range, split_by_rule, split_report
 from strata.operators.rollup import rollup_events
 from strata.plans.schemas import (CLICK_KEYS, IMD_BAND_CANONICAL, MODULE_KEY,
                                   RAW_COLUMNS, SILVER_CASTS, STUDENT_ATTRS)
-from strata.sources.ingest import read_raw_csv, with_audit
+from strata.sources.ingest import inline_table, read_raw_csv, with_audit
 from strata.sources.layout import Layout
 
 SECURITY_MAP_SCHEMA = "user_email string, region string"
@@ -125,8 +125,7 @@ def gold(silver_tables: dict[str, DataFrame], security_rows=(), spark=None) -> d
         "fact_registration": fact_registration(s["studentRegistration"], ds, dm),
     }
     spark = spark or ds.sparkSession
-    out["security_region_map"] = spark.createDataFrame(list(security_rows),
-                                                       SECURITY_MAP_SCHEMA)
+    out["security_region_map"] = inline_table(spark, security_rows, SECURITY_MAP_SCHEMA)
     return out
 
 

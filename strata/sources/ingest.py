@@ -65,7 +65,7 @@ def copy_tables(spark: SparkSession, src: Layout, dst: Layout, tables: Iterable[
         out = with_audit(df) if audit else df
         written = dst.write(out, dst_layer, t, mode="overwrite")["rows"]
         rows.append((t, written))
-    written_df = spark.createDataFrame(rows, "table_name string, target_rows bigint")
+    written_df = inline_table(spark, rows, "table_name string, target_rows bigint")
     from strata.operators.quality import count_tables
     counts = count_tables({t: src.read(spark, src_layer, t) for t, _ in rows},
                           count_col="source_rows")
@@ -74,6 +74,16 @@ def copy_tables(spark: SparkSession, src: Layout, dst: Layout, tables: Iterable[
                                             F.lit(False))))
 
 
-def inline_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
-    """Small literal table with an explicit schema (e.g. a security map)."""
-    return spark.createDataFrame(rows, schema)
+def inline_table(spark: SparkSession, rows, schema: str | T.StructType) -> DataFrame:
+    """Small literal table with an explicit schema (e.g. a security map).
+
+    Built from a pandas frame through Arrow, so it becomes a JVM-side local
+    relation; a Python list would go through ``parallelize`` and start
+    Python workers every time the plan runs.
+    """
+    import pandas as pd
+    st = schema if isinstance(schema, T.StructType) else spark.createDataFrame([], schema).schema
+    pdf = pd.DataFrame(list(rows), columns=st.fieldNames())
+    if pdf.empty:
+        return spark.createDataFrame([], st)
+    return spark.createDataFrame(pdf, st)
