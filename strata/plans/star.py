@@ -54,10 +54,14 @@ class Ratio:
 
 @dataclass(frozen=True)
 class Relationship:
+    """fact.fact_col -> dim.dim_col, many to one.  ``assume_ri`` declares
+    that every fact key exists in the dimension (checked at load time by
+    the orphan-key checks), which lets the lookup be an inner join."""
     fact: str
     fact_col: str
     dim: str
     dim_col: str
+    assume_ri: bool = False
 
 
 @dataclass(frozen=True)
@@ -127,7 +131,8 @@ class Star:
             rel = next(x for x in self.relationships if x.fact == table and x.dim == dim)
             d = self.dims[dim].select(F.col(rel.dim_col).alias("_dk"),
                                       *[F.col(c).alias(a) for c, a in dict.fromkeys(cols)])
-            df = df.join(d, df[rel.fact_col] == d["_dk"], "left").drop("_dk")
+            how = "inner" if rel.assume_ri else "left"
+            df = df.join(d, df[rel.fact_col] == d["_dk"], how).drop("_dk")
         return df.withColumnsRenamed({f"_s_{_alias(r)}": _alias(r) for r in refs
                                       if self._owner(r)[0] != table})
 
