@@ -184,3 +184,43 @@ def test_legacy_summary_and_diagnostics(spark, built):
     assert prof[None] >= 1 and prof[""] >= 1
     st = {r.registration_status: r.status_count for r in d["registration_status"].collect()}
     assert sum(st.values()) == raw["studentRegistration"].count()
+
+
+_SCORE = "TRY_CAST(trunc(TRY_CAST(score AS DECIMAL(38,6))) AS INTEGER)"
+
+
+def test_assessment_measures_match_plain_sql(built):
+    _, _, gold = built
+    star = reports.student_star(gold, digits=None, secure=False)
+    con = _duck()
+    base = f"""WITH sa AS (SELECT id_assessment, {_SCORE} AS score FROM studentAssessment),
+        valid AS (SELECT * FROM sa WHERE score IS NULL OR (score >= 0 AND score <= 100)),
+        a AS (SELECT id_assessment, code_module, TRY_CAST(weight AS DOUBLE) AS weight
+              FROM assessments)"""
+    want_ws = con.sql(base + """ SELECT SUM(v.score * a.weight) / SUM(a.weight)
+        FROM valid v LEFT JOIN a ON v.id_assessment = a.id_assessment""").fetchall()[0][0]
+    got_ws = star.query(["weighted_score"]).collect()[0][0]
+    assert abs(got_ws - want_ws) < 1e-12
+    want_pr = dict(con.sql(base + """ SELECT a.code_module,
+        CAST(COUNT(*) FILTER (WHERE v.score >= 40) AS DOUBLE) / COUNT(*)
+        FROM valid v LEFT JOIN a ON v.id_assessment = a.id_assessment GROUP BY 1""").fetchall())
+    got_pr = {r.code_module: r.pass_rate for r in
+              reports.report(star, "pass_rate_by_module").collect()}
+    assert got_pr.keys() == want_pr.keys()
+    assert all(abs(got_pr[k] - want_pr[k]) < 1e-12 for k in got_pr)
+
+
+def test_clicks_per_registration_drill_across(built):
+    _, _, gold = built
+    star = reports.student_star(gold, digits=None, secure=False)
+    con = _duck()
+    want = dict(con.sql("""
+        WITH c AS (SELECT code_module, SUM(TRY_CAST(trunc(TRY_CAST(sum_click AS DECIMAL(38,6)))
+                   AS INTEGER)) AS clicks FROM studentVle GROUP BY 1),
+             r AS (SELECT code_module, COUNT(*) AS regs FROM studentRegistration GROUP BY 1)
+        SELECT r.code_module, CAST(c.clicks AS DOUBLE) / r.regs FROM r JOIN c
+          ON r.code_module = c.code_module""").fetchall())
+    got = {r.code_module: r.avg_clicks_per_registration for r in
+           reports.report(star, "avg_clicks_per_registration_by_module").collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in got)
