@@ -146,8 +146,12 @@ def neighbour(df: DataFrame, order: Sequence, by: Sequence[str] = (),
     per row, so no group funnels into one task.
     """
     by = list(by)
+    if small_rows and has_at_most(df, small_rows):
+        w = Window.partitionBy(*by).orderBy(*[_as_col(c) for c in order])
+        fn = (lambda c: F.lead(c, offset)) if offset > 0 else (lambda c: F.lag(c, -offset))
+        return df.withColumns({f"{prefix}{c}": fn(c).over(w) for c in cols})
     rn = "_nb_rn"
-    numbered = number_rows(df, order, by, rn, partitions, small_rows)
+    numbered = number_rows(df, order, by, rn, partitions, small_rows=0)
     other = numbered.select(*by, (F.col(rn) - F.lit(offset)).alias(rn),
                             *[F.col(c).alias(f"{prefix}{c}") for c in cols])
     return numbered.join(other, [*by, rn], "left").drop(rn)
