@@ -121,10 +121,11 @@ def summary(df: DataFrame, value: str, sum_kind: str | None = None,
     moments = df.agg(F.count(c).alias("count"), mean.alias("mean"), std.alias("std"),
                      F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
     qs = exact_quantiles(df, value, [0.25, 0.5, 0.75], (), ["p25", "p50", "p75"]).drop("n")
-    # Both sides are single rows; an equi-join on a constant pairs them.
-    one = F.lit(1).alias("_one")
-    return (moments.select("*", one).join(qs.select("*", one), "_one")
-            .select("count", "mean", "std", "min", "p25", "p50", "p75", "max"))
+    # Both sides are single rows: the moments ride along as one scalar
+    # subquery returning a struct (no join).
+    m = moments.select(F.struct(*moments.columns).alias("_m")).scalar()
+    return (qs.select(m.alias("_m"), "p25", "p50", "p75")
+            .select("_m.count", "_m.mean", "_m.std", "_m.min", "p25", "p50", "p75", "_m.max"))
 
 
 def box_stats(df: DataFrame, value: str, by: Sequence[str], whisker: float = 1.5) -> DataFrame:

@@ -203,8 +203,9 @@ def _alias(ref: str) -> str:
 
 def _outer_on(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     if not keys:
-        one = F.lit(1).alias("_one")
-        return a.select("*", one).join(b.select("*", one), "_one").drop("_one")
+        # One-row totals: attach b as a scalar subquery returning a struct.
+        s = b.select(F.struct(*b.columns).alias("_b")).scalar()
+        return a.select("*", s.alias("_b")).select(*a.columns, "_b.*")
     b2 = b.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
                   *[c for c in b.columns if c not in keys])
     cond = reduce(lambda x, y: x & y, [a[k].eqNullSafe(b2[f"_r_{k}"]) for k in keys])

@@ -42,3 +42,12 @@ def test_entry_smoke(spark):
     from __spark_entry__ import entry
     df = entry(spark)
     assert df.columns == ["region", "withdrawal_rate"] and df.count() >= 0
+
+
+def test_no_query_plans_a_cartesian_join(spark):
+    from __spark_entry__ import queries
+    flagged = []
+    for k, fn in queries().items():
+        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        flagged += [(k, m) for m in ("CartesianProduct", "BroadcastNestedLoopJoin") if m in plan]
+    assert not flagged
