@@ -39,7 +39,7 @@ from strata.plans.legacy import legacy_summary
 from strata.plans.reports import engagement_outcome, student_star
 from strata.session import ensure_checkpoint_dir, scratch_path
 from strata.sources.ingest import with_audit
-from strata.sources.layout import Layout
+from strata.sources.layout import Layout, write_many
 
 # Invented principals and the regions they may see.  Covers a
 # user with several regions, a duplicate mapping in other letter case and a
@@ -122,8 +122,7 @@ def raw_tables(spark, d) -> dict[str, DataFrame]:
 def build_gold(spark: SparkSession, d: str, layout: Layout) -> dict:
     """Land the raw tables as Bronze (with the audit column), then run the
     medallion pipeline -- Silver and Gold with all checks -- on them."""
-    for t, df in raw_tables(spark, d).items():
-        layout.write(with_audit(df), "bronze", t)
+    write_many(layout, [(with_audit(df), "bronze", t) for t, df in raw_tables(spark, d).items()])
     return medallion.run_pipeline(spark, layout, SECURITY_ROWS)
 
 

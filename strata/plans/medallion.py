@@ -25,7 +25,7 @@ from strata.operators.rollup import rollup_events
 from strata.plans.schemas import (CLICK_KEYS, IMD_BAND_CANONICAL, MODULE_KEY,
                                   RAW_COLUMNS, SILVER_CASTS, STUDENT_ATTRS)
 from strata.sources.ingest import inline_table, read_raw_csv, with_audit
-from strata.sources.layout import Layout
+from strata.sources.layout import Layout, write_many
 
 SECURITY_MAP_SCHEMA = "user_email string, region string"
 
@@ -134,11 +134,9 @@ def gold(silver_tables: dict[str, DataFrame], security_rows=(), spark=None) -> d
 def ingest_csv(spark: SparkSession, raw_dir: str, layout: Layout) -> dict:
     """Land every raw CSV folder ``<raw_dir>/<table>`` into Bronze (overwrite),
     with the audit column; returns observed row counts per table."""
-    counts = {}
-    for t, cols in RAW_COLUMNS.items():
-        df = with_audit(read_raw_csv(spark, f"{raw_dir.rstrip('/')}/{t}", cols))
-        counts[t] = layout.write(df, "bronze", t)["rows"]
-    return counts
+    items = [(with_audit(read_raw_csv(spark, f"{raw_dir.rstrip('/')}/{t}", cols)), "bronze", t)
+             for t, cols in RAW_COLUMNS.items()]
+    return {t: w["rows"] for t, w in write_many(layout, items).items()}
 
 
 def run_pipeline(spark: SparkSession, layout: Layout, security_rows=(),
@@ -158,9 +156,9 @@ def run_pipeline(spark: SparkSession, layout: Layout, security_rows=(),
 
     bronze = {t: layout.read(spark, "bronze", t) for t in RAW_COLUMNS}
     sv = silver(bronze)
-    written = {}
-    for t in ("studentInfo", "studentRegistration", "assessments", "courses", "vle"):
-        written[t] = layout.write(sv[t], "silver", t)
+    written = write_many(layout, [(sv[t], "silver", t) for t in
+                                  ("studentInfo", "studentRegistration", "assessments",
+                                   "courses", "vle")])
 
     # Click roll-up: source rows and clicks are observed on the typed input
     # inside the same job that writes the roll-up -- no second scan.
@@ -199,9 +197,9 @@ def run_pipeline(spark: SparkSession, layout: Layout, security_rows=(),
     report["silver"]["click_rows_in"] = src["rows"]
 
     g = gold(sv_read, security_rows, spark)
-    gw = {}
-    for t in ("dim_student", "dim_module", "dim_assessment", "security_region_map"):
-        gw[t] = layout.write(g[t], "gold", t)
+    gw = write_many(layout, [(g[t], "gold", t) for t in
+                             ("dim_student", "dim_module", "dim_assessment",
+                              "security_region_map")])
     dim = layout.read(spark, "gold", "dim_student")
     ds_rows, ds_keys = dim.agg(F.count(F.lit(1)), F.count_distinct("id_student")).collect()[0]
     if ds_rows != ds_keys:
@@ -221,9 +219,11 @@ def run_pipeline(spark: SparkSession, layout: Layout, security_rows=(),
                               ("student_sk", "module_sk"),
                               written["studentRegistration"]["rows"]),
     }
-    for t, (df, sks, expected) in facts.items():
-        # Rows and NULL keys come from the write's own observation.
-        w = layout.write(df, "gold", t, null_cols=sks)
+    # Rows and NULL keys come from each write's own observation.
+    fw = write_many(layout, [(df, "gold", t, {"null_cols": sks})
+                             for t, (df, sks, _) in facts.items()])
+    for t, (_, _, expected) in facts.items():
+        w = fw[t]
         gw[t] = w
         bad = {k: v for k, v in w.items() if k.startswith("null_") and v}
         if bad or w["rows"] != expected:
