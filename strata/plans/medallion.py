@@ -140,12 +140,17 @@ def ingest_csv(spark: SparkSession, raw_dir: str, layout: Layout) -> dict:
 
 
 def run_pipeline(spark: SparkSession, layout: Layout, security_rows=(),
-                 source: Layout | None = None, source_layer: str = "raw") -> dict:
+                 source: Layout | None = None, source_layer: str = "raw",
+                 partition_clicks_by: tuple[str, ...] = ()) -> dict:
     """Bronze -> Silver -> Gold with checks; returns the check numbers.
 
     With ``source`` given, Bronze is a full copy of ``source``'s tables plus
     the audit column and is reconciled against it; otherwise Bronze must
-    already exist in ``layout``.
+    already exist in ``layout``.  ``partition_clicks_by`` (e.g.
+    ``("code_presentation",)``) lays the Silver click table out in folders
+    per value, so readers filtering on it prune folders; there is no
+    repartition before the write, so a value holding a third of the rows is
+    still written by all tasks.
     """
     report: dict = {}
     if source is not None:
@@ -167,7 +172,8 @@ def run_pipeline(spark: SparkSession, layout: Layout, security_rows=(),
         obs_in, F.count(F.lit(1)).alias("rows"),
         F.sum(F.col("sum_click").cast("bigint")).alias("clicks"))
     rolled = rollup_events(typed, CLICK_KEYS, "sum_click", "total_clicks", "event_count")
-    written["studentVle"] = layout.write(rolled, "silver", "studentVle")
+    written["studentVle"] = layout.write(rolled, "silver", "studentVle",
+                                         partition_by=partition_clicks_by)
     src = obs_in.get
     sv_read = {t: layout.read(spark, "silver", t) for t in written}
     totals = sv_read["studentVle"].agg(F.sum("event_count").alias("events"),

@@ -224,3 +224,18 @@ def test_clicks_per_registration_drill_across(built):
            reports.report(star, "avg_clicks_per_registration_by_module").collect()}
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) < 1e-12 for k in got)
+
+
+def test_partitioned_click_layout(spark, tmp_path):
+    src = Layout(root=str(tmp_path / "src"))
+    for t, df in raw_tables(spark, seed=7, n_students=20).items():
+        src.write(df, "raw", t)
+    lake = Layout(root=str(tmp_path / "lake"))
+    rep = medallion.run_pipeline(spark, lake, SECURITY_ROWS, source=src,
+                                 partition_clicks_by=("code_presentation",))
+    clicks = lake.read(spark, "silver", "studentVle")
+    assert clicks.count() == rep["silver"]["studentVle"]
+    assert any(p.name.startswith("code_presentation=")
+               for p in (tmp_path / "lake" / "silver" / "studentVle").iterdir())
+    plan = clicks.filter("code_presentation = '2014J'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(code_presentation" in plan
