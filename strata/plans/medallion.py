@@ -172,12 +172,12 @@ def run_pipeline(spark: SparkSession, layout: Layout, security_rows=(),
         obs_in, F.count(F.lit(1)).alias("rows"),
         F.sum(F.col("sum_click").cast("bigint")).alias("clicks"))
     rolled = rollup_events(typed, CLICK_KEYS, "sum_click", "total_clicks", "event_count")
-    written["studentVle"] = layout.write(rolled, "silver", "studentVle",
-                                         partition_by=partition_clicks_by)
+    written["studentVle"] = layout.write(
+        rolled, "silver", "studentVle", partition_by=partition_clicks_by,
+        metrics={"events": F.sum("event_count"), "clicks": F.sum("total_clicks")})
     src = obs_in.get
+    totals = written["studentVle"]
     sv_read = {t: layout.read(spark, "silver", t) for t in written}
-    totals = sv_read["studentVle"].agg(F.sum("event_count").alias("events"),
-                                       F.sum("total_clicks").alias("clicks")).collect()[0]
     if totals["events"] != src["rows"] or totals["clicks"] != src["clicks"]:
         raise CheckFailed("click roll-up lost rows", {
             "source_rows": src["rows"], "events": totals["events"],
@@ -200,6 +200,7 @@ def run_pipeline(spark: SparkSession, layout: Layout, security_rows=(),
     for t in ("studentAssessment", "studentAssessment_quarantine"):
         sv_read[t] = layout.read(spark, "silver", t)
     report["silver"] = {t: w["rows"] for t, w in written.items()}
+    report["silver"]["click_events_out"] = totals["events"]
     report["silver"]["click_rows_in"] = src["rows"]
 
     g = gold(sv_read, security_rows, spark)

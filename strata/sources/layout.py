@@ -20,11 +20,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_observed(df: DataFrame, writer, null_cols: tuple[str, ...] = ()) -> dict:
-    """Run ``writer(observed_df)`` and return {'rows': n, 'null_<c>': n, ...}."""
+def write_observed(df: DataFrame, writer, null_cols: tuple[str, ...] = (),
+                   metrics: dict | None = None) -> dict:
+    """Run ``writer(observed_df)`` and return {'rows': n, 'null_<c>': n, ...}
+    plus any extra named aggregate ``metrics`` -- all from the write job."""
     obs = Observation(f"w{uuid.uuid4().hex[:10]}")
-    metrics = [F.count(F.lit(1)).alias("rows")]
-    metrics += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in null_cols]
+    metrics_cols = [F.count(F.lit(1)).alias("rows")]
+    metrics_cols += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in null_cols]
+    metrics_cols += [m.alias(k) for k, m in (metrics or {}).items()]
+    metrics = metrics_cols
     writer(df.observe(obs, *metrics))
     return dict(obs.get)
 
@@ -48,7 +52,8 @@ class Layout:
         return spark.read.format(self.fmt).load(self.path(layer, table))
 
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite",
-              null_cols: tuple[str, ...] = (), partition_by: tuple[str, ...] = ()) -> dict:
+              null_cols: tuple[str, ...] = (), partition_by: tuple[str, ...] = (),
+              metrics: dict | None = None) -> dict:
         """Write ``df`` and return observed counts of what was written.
 
         Spark refuses to overwrite a table the same plan reads, so a stage
@@ -63,7 +68,7 @@ class Layout:
                 w.saveAsTable(self.name(layer, table))
             else:
                 w.save(self.path(layer, table))
-        return write_observed(df, _writer, null_cols)
+        return write_observed(df, _writer, null_cols, metrics)
 
 
 def write_many(layout: Layout, items: list[tuple], parallel: int = 4) -> dict[str, dict]:
