@@ -345,6 +345,23 @@ def q_diag_distinct_students(spark, d):
     return diagnostics(raw)["distinct_students"]
 
 
+def q_diag_registration_orphans(spark, d):
+    """Registrations without student rows and the reverse (three-part key)."""
+    from strata.plans.diagnostics import diagnostics
+    return diagnostics(raw_tables(spark, d))["registration_orphans"]
+
+
+def q_diag_imd_profile(spark, d):
+    """Count and share of each value of a slicing column in the raw rows."""
+    from strata.plans.diagnostics import diagnostics
+    return diagnostics(raw_tables(spark, d))["imd_band_profile"]
+
+
+def q_diag_registration_status(spark, d):
+    from strata.plans.diagnostics import diagnostics
+    return diagnostics(raw_tables(spark, d))["registration_status"]
+
+
 def _report(key):
     def run(spark, d):
         from strata.plans.reports import report
@@ -404,6 +421,9 @@ QUERIES = {
     "engagement_median_clicks": q_engagement_median_clicks,
     "engagement_box": q_engagement_box,
     "diag_distinct_students": q_diag_distinct_students,
+    "diag_registration_orphans": q_diag_registration_orphans,
+    "diag_imd_profile": q_diag_imd_profile,
+    "diag_registration_status": q_diag_registration_status,
 }
 
 
@@ -587,6 +607,22 @@ SQL = {
     "rls_masked_dim": f"""SELECT k.student_sk, s.region, CAST(NULL AS VARCHAR) AS imd_band
         FROM {_STUDENTS} s JOIN {_SK_STUDENT} k ON s.id_student = k.c_custkey
         WHERE s.region IN {_MULTI}""",
+    "diag_registration_orphans": """WITH r AS (SELECT o_custkey AS s, o_orderpriority AS m,
+          year(o_orderdate) AS p FROM orders),
+        i AS (SELECT o.o_custkey AS s, o.o_orderpriority AS m, year(o.o_orderdate) AS p
+          FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey)
+        SELECT (SELECT COUNT(*) FROM r WHERE NOT EXISTS (SELECT 1 FROM i
+                  WHERE i.s = r.s AND i.m = r.m AND i.p = r.p)) AS in_reg_not_in_info,
+               (SELECT COUNT(*) FROM i WHERE NOT EXISTS (SELECT 1 FROM r
+                  WHERE r.s = i.s AND r.m = i.m AND r.p = i.p)) AS in_info_not_in_reg""",
+    "diag_imd_profile": """SELECT n.n_name AS imd_band, COUNT(*) AS imd_count,
+        CAST(COUNT(*) AS DOUBLE) * 100.0::DOUBLE / CAST(SUM(COUNT(*)) OVER () AS DOUBLE) AS pct
+        FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+        LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name""",
+    "diag_registration_status": """SELECT CASE WHEN o_orderstatus = 'F' THEN 'unregistered'
+        ELSE 'registered' END AS registration_status, COUNT(*) AS status_count,
+        CAST(COUNT(*) AS DOUBLE) * 100.0::DOUBLE / CAST(SUM(COUNT(*)) OVER () AS DOUBLE)
+        AS status_percentage FROM orders GROUP BY 1""",
     "diag_distinct_students": """SELECT 'studentRegistration' AS table_name,
         COUNT(DISTINCT o_custkey) AS unique_students FROM orders
         UNION ALL SELECT 'studentInfo', COUNT(DISTINCT o_custkey) FROM orders""",
