@@ -157,6 +157,13 @@ SQL = {
           FROM {_INFO}) WHERE rn = 1)
         SELECT row_number() OVER (ORDER BY id_student, {_ATTRS}) - 1 AS student_sk,
         id_student, {_ATTRS} FROM first""",
-    "gold_fact_registration": """SELECT COUNT(*) AS rows, 0::BIGINT AS null_student_sk,
-        0::BIGINT AS null_module_sk, COUNT(*) AS source_rows, TRUE AS ok FROM orders""",
+    "gold_fact_registration": """WITH f AS (SELECT s.id AS sid, m.m AS mid FROM orders o
+          LEFT JOIN (SELECT DISTINCT o_custkey AS id FROM orders) s ON o.o_custkey = s.id
+          LEFT JOIN (SELECT DISTINCT o_orderpriority AS m, year(o_orderdate) AS p FROM orders) m
+            ON o.o_orderpriority = m.m AND year(o.o_orderdate) = m.p)
+        SELECT COUNT(*) AS rows, COUNT(*) FILTER (WHERE sid IS NULL) AS null_student_sk,
+          COUNT(*) FILTER (WHERE mid IS NULL) AS null_module_sk,
+          (SELECT COUNT(*) FROM orders) AS source_rows,
+          (COUNT(*) FILTER (WHERE sid IS NULL) = 0 AND COUNT(*) FILTER (WHERE mid IS NULL) = 0
+           AND COUNT(*) = (SELECT COUNT(*) FROM orders)) AS ok FROM f""",
 }
