@@ -75,7 +75,7 @@ SQL = {
         (SELECT COUNT(*) FROM orders) AS source_rows,
         (COUNT(*) FILTER (WHERE c.c_custkey IS NULL) = 0
          AND COUNT(*) = (SELECT COUNT(*) FROM orders)) AS ok
-        FROM orders o LEFT JOIN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 0) c
+        FROM orders o LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) c
         ON o.o_custkey = c.c_custkey""",
     "fanout_check": f"""WITH d AS {_PS_DIM},
         s AS (SELECT COUNT(*) AS n FROM lineitem),
@@ -86,9 +86,9 @@ SQL = {
         g.n = s.n AS composite_ok, b.n = s.n AS partial_key_ok FROM s, g, b""",
     "anti_both_ways": """SELECT
         (SELECT COUNT(*) FROM orders o WHERE NOT EXISTS (SELECT 1 FROM customer c
-          WHERE c.c_custkey % 10 <> 0 AND c.c_custkey = o.o_custkey))
+          WHERE c.c_acctbal >= 0 AND c.c_custkey = o.o_custkey))
           AS in_orders_not_in_customer,
-        (SELECT COUNT(*) FROM customer c WHERE c.c_custkey % 10 <> 0 AND NOT EXISTS
+        (SELECT COUNT(*) FROM customer c WHERE c.c_acctbal >= 0 AND NOT EXISTS
           (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey))
           AS in_customer_not_in_orders""",
     "preagg_left_join": """WITH q AS (SELECT l_orderkey, l_linestatus, SUM(l_quantity) AS total_qty

@@ -174,8 +174,8 @@ def q_legacy_summary(spark, d):
             .select(*key3, F.col("c_mktsegment").alias("gender"), F.col("n_name").alias("region"),
                     F.col("o_orderstatus").alias("highest_education"),
                     F.col("o_orderpriority").alias("age_band"), imd.alias("imd_band")))
-    # Registrations lack every 17th order: those rows keep NULL dates.
-    reg = o.filter(F.col("o_orderkey") % 17 != 0).select(
+    # Orders under 25,000 have no registration row: those students keep NULL dates.
+    reg = o.filter(F.col("o_totalprice") >= 25000).select(
         *key3,
         F.datediff(F.to_date("o_orderdate"), F.lit(ORDER_ORIGIN)).cast("string")
         .alias("date_registration"),
@@ -459,7 +459,7 @@ _SK_MODULE = """(SELECT code_module, code_presentation,
     row_number() OVER (ORDER BY code_module, code_presentation) - 1 AS module_sk
     FROM (SELECT DISTINCT code_module, code_presentation FROM {reg}))""".format(reg=_REG)
 _MULTI = "('ASIA', 'EUROPE')"
-_LEGACY_KEY = "o.o_orderkey % 17 <> 0"
+_LEGACY_KEY = "o.o_totalprice >= 25000"
 
 SQL = {
     "m_total_students": f"""SELECT region, COUNT(DISTINCT id_student) AS total_students
