@@ -70,8 +70,9 @@ def scd2(observations: DataFrame, key: Sequence[str], attrs: Sequence[str], at:
     # The very first observation of a key has no previous row at all.
     starts = (with_prev.filter(changed | first)
               .select(*key, *attrs, *tie, F.col(at).alias("effective_from")))
+    # ``starts`` is a subset of ``obs``: prove the size on the scan side.
     versions = neighbour(starts, ["effective_from", *tie], key, ["effective_from"],
-                         offset=1, prefix="_next_")
+                         offset=1, prefix="_next_", bound=obs)
     end = F.coalesce(F.col("_next_effective_from"), F.lit(open_end).cast(
         versions.schema["effective_from"].dataType))
     return versions.select(*key, *attrs, "effective_from", end.alias("effective_to"),

@@ -25,7 +25,11 @@ within each group (add a unique column to break ties).
 
 Inputs with a proven small size (``size.has_at_most(df, small_rows)``)
 take the plain window instead: no group can then exceed
-``small_rows`` rows, and one sort of that many rows in a task is cheap.  All steps are
+``small_rows`` rows, and one sort of that many rows in a task is cheap.
+When ``df`` comes out of a shuffle (a distinct, an aggregate), proving its
+size would run that shuffle once for the check and again for the result;
+callers pass ``bound``, a frame nearer the scan with at least as many rows
+(e.g. the input of the distinct), and the check reads that instead.  All steps are
 DataFrame operations planned by Catalyst; nothing is collected.
 """
 
@@ -53,11 +57,16 @@ SMALL_ROWS = 1_000_000
 
 
 def number_rows(df: DataFrame, order: Sequence, by: Sequence[str] = (), name: str = "rn",
-                partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """Add ``name`` = 1-based row number within ``by`` groups in ``order``."""
+                partitions: int | None = None, small_rows: int = SMALL_ROWS,
+                bound: DataFrame | None = None) -> DataFrame:
+    """Add ``name`` = 1-based row number within ``by`` groups in ``order``.
+
+    ``bound``: a frame with at least as many rows as ``df`` on which to
+    prove the size for the window fast path (default ``df`` itself).
+    """
     by = list(by)
     order_cols = [_as_col(c) for c in order]
-    if small_rows and has_at_most(df, small_rows):
+    if small_rows and has_at_most(df if bound is None else bound, small_rows):
         w = Window.partitionBy(*by).orderBy(*order_cols)
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     ensure_checkpoint_dir(df.sparkSession)
@@ -123,7 +132,7 @@ def running_max(df: DataFrame, order: Sequence, by: Sequence[str], value: Column
 
 
 def dense_key(df: DataFrame, order: Sequence[str], name: str = "sk",
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None, bound: DataFrame | None = None) -> DataFrame:
     """Dense surrogate key 0..n-1 in natural-key order, placed first.
 
     Deterministic: the same input gives the same keys on every run and
@@ -131,14 +140,15 @@ def dense_key(df: DataFrame, order: Sequence[str], name: str = "sk",
     the partitioning of the moment).  Input rows must be distinct on
     ``order``.
     """
-    numbered = number_rows(df, order, (), name, partitions)
+    numbered = number_rows(df, order, (), name, partitions, bound=bound)
     cols = [c for c in df.columns]
     return numbered.select((F.col(name) - 1).cast("bigint").alias(name), *cols)
 
 
 def neighbour(df: DataFrame, order: Sequence, by: Sequence[str] = (),
               cols: Sequence[str] = (), offset: int = 1, prefix: str = "next_",
-              partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
+              partitions: int | None = None, small_rows: int = SMALL_ROWS,
+              bound: DataFrame | None = None) -> DataFrame:
     """LEAD (offset > 0) or LAG (offset < 0) of ``cols`` within ``by``.
 
     Numbers rows skew-safely, then joins each row to the row ``offset``
@@ -146,7 +156,7 @@ def neighbour(df: DataFrame, order: Sequence, by: Sequence[str] = (),
     per row, so no group funnels into one task.
     """
     by = list(by)
-    if small_rows and has_at_most(df, small_rows):
+    if small_rows and has_at_most(df if bound is None else bound, small_rows):
         w = Window.partitionBy(*by).orderBy(*[_as_col(c) for c in order])
         fn = (lambda c: F.lead(c, offset)) if offset > 0 else (lambda c: F.lag(c, -offset))
         return df.withColumns({f"{prefix}{c}": fn(c).over(w) for c in cols})

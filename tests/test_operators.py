@@ -85,6 +85,19 @@ def test_build_dimension_distinct(spark):
     assert quality.uniqueness(dim, ["k"]).collect()[0]["unique"]
 
 
+def test_size_bound_picks_path_and_keeps_keys(spark):
+    # A bound with more rows than the threshold sends a small distinct down
+    # the range-partitioned path; the keys must equal the window path's.
+    df = spark.createDataFrame([(f"k{i % 23:03d}", i % 23) for i in range(200)], "k string, x int")
+    small = build_dimension(df, ["k"], ["x"], "sk")
+    big = build_dimension(df, ["k"], ["x"], "sk", bound=spark.range(1_000_001))
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+    assert sorted(r.sk for r in big.collect()) == list(range(23))
+    prev = {tuple(r) for r in neighbour(df.distinct(), ["x"], [], ["k"], -1, "p_",
+                                        bound=spark.range(1_000_001)).collect()}
+    assert len(prev) == 23 and {r[2] for r in prev if r[1] == 0} == {None}
+
+
 def test_neighbour_lead_and_lag(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 3, "c"), (2, 1, "x")],
                                "k int, t int, v string")
