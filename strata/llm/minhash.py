@@ -7,10 +7,10 @@
   similarity of 0.75 a pair shares no bucket with probability about 5e-6.
 * Buckets of up to ``SMALL`` classes pair all members.  In a larger one the
   member that most others meet (the largest sum of bucket sizes) is the
-  centre, and each member is paired with it only; those outside its component
-  get a second centre.  Then members of different components in a bucket are
-  paired wherever their distances to the first centre differ by no more than
-  a link allows (set distances are a metric), so no link is lost.
+  centre, and each member is paired with it only.  What is then outside the
+  centre's component is compared with all members that have this centre, chunk
+  by chunk on full sets, so no link between different texts is lost and only
+  links leave a task.
 * Candidates whose collision-corrected estimate is under ``LEAST`` (six standard
   deviations below the threshold) fall away; the rest are confirmed on full sets.
 
@@ -36,6 +36,8 @@ from strata.llm.components import components
 SHINGLE = 5
 HASHES, BANDS, BITS = 128, 32, 4
 SMALL = 16
+#: Sets compared with as many others in one step.
+CHUNK = 128
 LEAST = 0.5
 #: Links: LINK[0] * intersection >= LINK[1] * union.
 LINK = (100, 75)
@@ -149,11 +151,9 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def measured(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b, inter, total) of the pairs on full sets, read again from the texts of the classes' first documents."""
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    ids = classes.join(needed, "node").select(F.col("some_id").alias("__id"), "node")
-    kind = [("hashes", T.BinaryType())]
+def sets_of(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, hashes): full sets, read again from the texts of the classes' first documents."""
+    ids = classes.join(nodes.distinct(), "node").select(F.col("first").alias("__id"), "node")
 
     def make():
         words = WordHashes()
@@ -168,23 +168,63 @@ def measured(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
         return work
 
     rows = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("__id")))
-    sets = cut(append(rows.select("text", "node"), ["text", "node"], kind, make)
-               .where(F.col("hashes").isNotNull()).select("node", "hashes").dropDuplicates(["node"]))
+    return (append(rows.select("text", "node"), ["text", "node"], [("hashes", T.BinaryType())], make)
+            .where(F.col("hashes").isNotNull()).select("node", "hashes").dropDuplicates(["node"]))
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that are links on full sets."""
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b").select("a", "b", "ha", "hb"))
 
     def run(batches):
         for x in batches:
-            inter, total = [], []
-            for i in range(x.num_rows):
-                a, b = (np.frombuffer(x.column(j)[i].as_py(), np.uint64) for j in (2, 3))
-                k = len(np.intersect1d(a, b, assume_unique=True))
-                inter.append(k)
-                total.append(len(a) + len(b) - k)
-            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), pa.array(inter, pa.int64()), pa.array(total, pa.int64())],
-                                             ["a", "b", "inter", "total"])
+            keep = []
+            for a, b in zip(x.column(2), x.column(3)):
+                a, b = (np.frombuffer(c.as_buffer(), np.uint64) for c in (a, b))
+                inter = len(np.intersect1d(a, b, assume_unique=True))
+                keep.append(LINK[0] * inter >= LINK[1] * (len(a) + len(b) - inter))
+            yield x.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+    return both.mapInArrow(run, "a binary, b binary")
+
+
+def across(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members (centre, node, root, home) outside their centre's component and any with that centre."""
+    outside = F.col("root") != F.col("home")
+    mixed_ = members.where(outside).groupBy("centre").agg(F.count(F.lit(1)).alias("out"))
+    sizes = cut(members.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks")).join(mixed_.select("centre"), "centre"))
+    part = cut(members.join(sizes, "centre").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("chunks")))
+               .join(sets, "node"))
+
+    def chunks(rows: DataFrame, tag: str) -> DataFrame:
+        return cut(rows.groupBy("centre", "salt").agg(F.collect_list(F.struct("node", "root", "hashes")).alias("m"))
+                   .select("centre", F.col("m")["node"].alias(f"{tag}_node"), F.col("m")["root"].alias(f"{tag}_root"),
+                           F.col("m")["hashes"].alias(f"{tag}_set")))
+
+    both = chunks(part.where(outside), "x").join(chunks(part, "y"), "centre").drop("centre")
+
+    def run(batches):
+        for rows in batches:
+            for r in rows.to_pylist():
+                ys = [np.frombuffer(y, np.uint64) for y in r["y_set"]]
+                universe, place = np.unique(np.concatenate(ys), return_inverse=True)
+                size = np.array([len(y) for y in ys])
+                starts = np.concatenate([[0], np.cumsum(size)[:-1]])
+                a, b = [], []
+                for node, root, raw in zip(r["x_node"], r["x_root"], r["x_set"]):
+                    x = np.frombuffer(raw, np.uint64)
+                    at = np.minimum(np.searchsorted(universe, x), len(universe) - 1)
+                    mark = np.zeros(len(universe), np.int64)
+                    mark[at[universe[at] == x]] = 1
+                    inter = np.add.reduceat(mark[place], starts)
+                    for i in np.flatnonzero(LINK[0] * inter >= LINK[1] * (len(x) + size - inter)):
+                        if r["y_root"][i] != root:
+                            a.append(node)
+                            b.append(r["y_node"][i])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    return both.mapInArrow(run, "a binary, b binary, inter long, total long")
+    return both.mapInArrow(run, "a binary, b binary")
 
 
 def ordered(a: Column, b: Column) -> list[Column]:
@@ -195,8 +235,7 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, n, node) of all documents, and (node, root_first) of the classes that are linked."""
     rows = cut(sketches(docs))
     classes = cut(rows.where(F.col("node").isNotNull()).groupBy("node")
-                  .agg(F.min("doc_id").alias("first"), F.min("doc_id").alias("some_id"),
-                       F.first("sig").alias("sig"), F.first("bands").alias("bands")))
+                  .agg(F.min("doc_id").alias("first"), F.first("sig").alias("sig"), F.first("bands").alias("bands")))
     spread = classes.select("node", F.explode("bands").alias("h"))
     shared = cut(spread.groupBy("h").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1))
     members = cut(spread.join(shared, "h"))
@@ -206,61 +245,26 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
              .select("p.a", "p.b"))
     large = members.where(F.col("size") > SMALL)
     crowd = cut(large.select("h", "node").join(large.groupBy("node").agg(F.sum("size").alias("score")), "node"))
-
-    def centres_of(part: DataFrame) -> DataFrame:
-        return cut(part.groupBy("h").agg(F.max(F.struct("score", "node")).alias("c")).select("h", F.col("c")["node"].alias("centre")))
-
-    def star(centres: DataFrame) -> DataFrame:
-        return (crowd.join(centres, "h").where(F.col("node") != F.col("centre"))
-                .select(*ordered(F.col("node"), F.col("centre"))))
-
-    def test(pairs: DataFrame) -> DataFrame:
-        return cut(measured(cut(likely(pairs.distinct(), classes)), docs, classes))
-
-    def roots(tested: DataFrame) -> DataFrame:
-        linked = tested.where(LINK[0] * F.col("inter") >= LINK[1] * F.col("total"))
-        return cut(components(classes.select("node", "first"), linked.select("a", "b")))
-
-    centres = centres_of(crowd)
-    tested = test(small.union(star(centres)))
-    labels = roots(tested)
-    if not crowd.isEmpty():
+    centres = cut(crowd.groupBy("h").agg(F.max(F.struct("score", "node")).alias("c")).select("h", F.col("c")["node"].alias("centre")))
+    around = cut(crowd.select("h", "node").join(centres, "h").select("centre", "node").distinct())
+    star = around.where(F.col("node") != F.col("centre")).select(*ordered(F.col("node"), F.col("centre")))
+    pairs = cut(likely(cut(small.union(star).distinct()), classes))
+    sets = cut(sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(around.select("node")),
+                       docs, classes))
+    linked = cut(confirmed(pairs, sets))
+    own = classes.select("node", "first")
+    labels = cut(components(own, linked))
+    if not around.isEmpty():
         root = labels.select("node", "root")
-        named = crowd.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        home = cut(centres.join(root.withColumnRenamed("node", "centre"), "centre", "left")
-                   .select("h", "centre", F.coalesce("root", "centre").alias("home")))
-        outside = cut(named.join(home, "h").where(F.col("root") != F.col("home")).select("h", "node", "score"))
-        if not outside.isEmpty():
-            tested = cut(tested.union(test(star(centres_of(outside)).distinct().join(tested, ["a", "b"], "left_anti"))))
-            labels = roots(tested)
-            tested = cut(tested.union(test(across(crowd, centres, labels, tested).join(tested, ["a", "b"], "left_anti"))))
-            labels = roots(tested)
+        members = cut(around.join(root, "node", "left")
+                      .join(root.select(F.col("node").alias("centre"), F.col("root").alias("home")), "centre", "left")
+                      .select("centre", "node", F.coalesce("root", "node").alias("root"), F.coalesce("home", "centre").alias("home")))
+        more = cut(across(members, sets))
+        if not more.isEmpty():
+            labels = cut(components(own, linked.union(more)))
     return rows, labels.select("node", "root_first")
 
 
-def across(crowd: DataFrame, centres: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs of one bucket in different components that the distances to its centre allow to be linked.
-
-    A member whose pair with the centre fell away is farther than 1 - LEAST
-    from it, so only members beyond the linking distance can link with it.
-    """
-    far = 1 - LINK[1] / LINK[0]
-    root = labels.select("node", "root")
-    named = crowd.select("h", "node").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed_ = cut(named.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where(F.col("lo") != F.col("hi")).select("h"))
-    gap = tested.select("a", "b", (1 - F.col("inter") / F.col("total")).alias("gap"))
-    own = (named.join(mixed_, "h").join(centres, "h").where(F.col("node") != F.col("centre"))
-           .select("h", "node", "root", *ordered(F.col("node"), F.col("centre")))
-           .join(gap, ["a", "b"], "left").select("h", "node", "root", "gap"))
-    own = cut(own)
-    x, y = own.alias("x"), own.alias("y")
-    near = F.when(F.col("x.gap").isNull() & F.col("y.gap").isNull(), F.lit(True)) \
-        .when(F.col("x.gap").isNull() | F.col("y.gap").isNull(), F.coalesce("x.gap", "y.gap") > far) \
-        .otherwise(F.abs(F.col("x.gap") - F.col("y.gap")) <= far + 1e-9)
-    return (x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & near)
-            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-
-
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, labels = near_duplicates(table(spark, sf_dir, "documents"))
     return with_components(rows, labels).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "kept")
