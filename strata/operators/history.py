@@ -16,7 +16,7 @@
   a fact's date).  Not a key join plus range filter, which pairs every row
   with every version of its key: both sides are unioned, ordered by
   (key, time) and a skew-safe running max carries the latest version
-  forward (``sequence.running_max``).
+  forward (``sequence.running``).
 * ``compare_outputs`` -- parallel-run check of an old and a new output
   after normalising (EXCEPT ALL both ways).
 """
@@ -24,29 +24,43 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.errors import CheckFailed
 from strata.operators.joins import outputs_equal
-from strata.operators.sequence import SMALL_ROWS, neighbour, running_max
+from strata.operators.sequence import neighbour, running
 
 OPEN_END = "9999-12-31"
 
 
-def after_watermark(source: DataFrame, loaded: DataFrame, column: str) -> DataFrame:
+def after_watermark(source: DataFrame, loaded: DataFrame, column: str, keys: Sequence[str] = ()) -> DataFrame:
     """Rows of ``source`` with ``column`` beyond max(``loaded.column``).
 
+    With ``keys`` rows equal to the watermark qualify too, unless their key is
+    loaded already; late rows of the last instant are then not lost.
+
     With nothing loaded yet, every row qualifies.  The watermark is a
     scalar subquery, so Catalyst can still push the comparison into the
     scan as a runtime filter.
     """
     mark = loaded.agg(F.max(column)).scalar()
-    return source.filter(mark.isNull() | (F.col(column) > mark))
+    if not keys:
+        return source.filter(mark.isNull() | (F.col(column) > mark))
+    known = loaded.filter(F.col(column) == mark).select(*keys)
+    return source.filter(mark.isNull() | (F.col(column) >= mark)).join(known, list(keys), "left_anti")
 
 
 def merge_upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``changes`` replace target rows of equal key; raises ``CheckFailed`` unless
+    the changes' keys are unique and not NULL (either would duplicate rows)."""
     keys = list(keys)
+    bad = changes.groupBy(*keys).count().filter(
+        (F.col("count") > 1) | reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
+    if not bad.isEmpty():
+        raise CheckFailed(f"changes have repeated or NULL keys {keys}")
     kept = target.join(changes.select(*keys), keys, "left_anti")
     return kept.unionByName(changes.select(*target.columns))
 
@@ -60,19 +74,18 @@ def scd2(observations: DataFrame, key: Sequence[str], attrs: Sequence[str], at:
     key, attrs = list(key), list(attrs)
     order = [at, *tie]
     obs = observations.select(*key, *attrs, *tie, at)
-    with_prev = neighbour(obs, order, key, attrs, offset=-1, prefix="_prev_")
+    # The marker tells "no previous row" from a previous row of NULLs.
+    with_prev = neighbour(obs.withColumn("_here", F.lit(True)), order, key, [*attrs, "_here"],
+                          offset=-1, prefix="_prev_")
+    first = F.col("_prev__here").isNull()
     changed = F.lit(False)
     for a in attrs:
         changed = changed | ~F.col(a).eqNullSafe(F.col(f"_prev_{a}"))
-    first = F.lit(True)
-    for a in attrs:
-        first = first & F.col(f"_prev_{a}").isNull()
     # The very first observation of a key has no previous row at all.
     starts = (with_prev.filter(changed | first)
               .select(*key, *attrs, *tie, F.col(at).alias("effective_from")))
-    # ``starts`` is a subset of ``obs``: prove the size on the scan side.
     versions = neighbour(starts, ["effective_from", *tie], key, ["effective_from"],
-                         offset=1, prefix="_next_", bound=obs)
+                         offset=1, prefix="_next_")
     end = F.coalesce(F.col("_next_effective_from"), F.lit(open_end).cast(
         versions.schema["effective_from"].dataType))
     return versions.select(*key, *attrs, "effective_from", end.alias("effective_to"),
@@ -81,8 +94,7 @@ def scd2(observations: DataFrame, key: Sequence[str], attrs: Sequence[str], at:
 
 def asof_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_at: str,
               right_at: str, right_cols: Sequence[str], tie: Sequence[str] = (),
-              prefix: str = "", partitions: int | None = None,
-              small_rows: int = SMALL_ROWS) -> DataFrame:
+              prefix: str = "", partitions: int | None = None) -> DataFrame:
     """Left rows with ``right_cols`` of the latest right row whose
     ``right_at`` <= ``left_at`` (same key); NULLs when there is none.
     Ties on ``right_at`` go to the greatest ``tie`` values."""
@@ -98,7 +110,7 @@ def asof_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_at: st
                       l_struct.alias("_l"), F.lit(None).cast(r_type).alias("_r"))
     both = lft.unionByName(r.withColumn("_l", F.lit(None).cast(l_type)))
     # Right rows sort before left rows at equal time, so "<=" holds.
-    scanned = running_max(both, ["_t", "_side"], key, F.col("_r"), "_m", partitions, small_rows)
+    scanned = running(both, ["_t", "_side"], key, F.col("_r"), "_m", "max", partitions)
     out = scanned.filter(F.col("_side") == 1)
     return out.select("_l.*", *[F.col(f"_m.{c}").alias(f"{prefix}{c}") for c in right_cols])
 

@@ -5,14 +5,10 @@ surrogate key (checked by ``quality.orphan_report``) instead of silently
 dropping fact rows.  The dimension side is pruned to (key columns, sk)
 before the join.
 
-Broadcast policy: a dimension is broadcast only behind a checked bound --
-``broadcast_if_small`` proves it has at most ``max_rows`` rows
-(``size.has_at_most``, which scans only as many partitions as needed).  Without
-the check, the join is left to AQE, which switches a sort-merge join to a
+Broadcast policy: joins carry no hint.  AQE switches a sort-merge join to a
 broadcast join only from the *measured* size of the finished shuffle stage
 (``spark.sql.adaptive.autoBroadcastJoinThreshold``) and splits skewed
-partitions of the fact side (``skewJoin``).  Neither path grows with the
-fact table.
+partitions of a side that comes straight from a shuffle (``skewJoin``).
 """
 
 from __future__ import annotations
@@ -22,23 +18,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.size import has_at_most
-
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when ``df`` provably has <= ``max_rows`` rows."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
 
 def lookup_key(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, sk: str,
-               how: str = "left", checked_broadcast: int | None = None) -> DataFrame:
+               how: str = "left") -> DataFrame:
     """Attach ``dim.sk`` to each fact row by natural key(s) ``on``."""
     on = [on] if isinstance(on, str) else list(on)
     right = dim.select(*on, sk)
-    if checked_broadcast:
-        right = broadcast_if_small(right, checked_broadcast)
     return fact.join(right, on, how)
 
 

@@ -10,19 +10,13 @@ from strata.operators.sequence import dense_key
 
 
 def build_dimension(df: DataFrame, natural_key: Sequence[str], attributes: Sequence[str] = (),
-                    sk: str = "sk", partitions: int | None = None,
-                    bound: DataFrame | None = None) -> DataFrame:
+                    sk: str = "sk", partitions: int | None = None) -> DataFrame:
     """Distinct (natural key, attributes) rows keyed 0..n-1, key first.
 
     The key is dense and follows the order of all selected columns, so it
     is reproducible run to run.  Uniqueness of the natural key is checked
     separately (``quality.uniqueness``).
-
-    The size proof for the small-input path reads ``bound`` (default: ``df``
-    before the distinct, which has at least as many rows), so the distinct's
-    shuffle is not run once for the check and again for the keys.
     """
     cols = list(natural_key) + [a for a in attributes if a not in natural_key]
     base = df.select(*cols)
-    return dense_key(base.distinct(), cols, sk, partitions,
-                     bound=base if bound is None else bound)
+    return dense_key(base.distinct(), cols, sk, partitions)

@@ -7,12 +7,14 @@ that funnel:
 
 1. range-partition on (g, o): a large group is cut into value ranges
    spread over many partitions (the range bounds come from a sample);
-2. number rows locally inside each (partition, group) segment -- a segment
-   is at most one range partition;
-3. count each segment, turn the counts into per-segment offsets with a
-   running sum over the segments of a group (a group has at most one
-   segment per partition, so this window is small);
-4. add the offset to the local number.
+2. sort inside the partition and take ``monotonically_increasing_id``: its
+   high bits are the partition, its low bits the place in it, so the rows are
+   shuffled once and need no window;
+3. per (partition, group) segment take the first place and the count, and turn
+   counts into offsets with a running sum over the segments of a group (at
+   most one per partition, so this window is small);
+4. number = place - first place of the segment + offset.  Numbering without
+   groups has one segment per partition, and that bounded table is broadcast.
 
 Steps 3 and 4 both read the output of step 2.  Range bounds are sampled per
 execution, so the locally numbered rows are checkpointed (reliable
@@ -23,14 +25,8 @@ re-reads the checkpoint instead of re-sampling.
 The result is exactly ``row_number`` when ``order`` is a total order
 within each group (add a unique column to break ties).
 
-Inputs with a proven small size (``size.has_at_most(df, small_rows)``)
-take the plain window instead: no group can then exceed
-``small_rows`` rows, and one sort of that many rows in a task is cheap.
-When ``df`` comes out of a shuffle (a distinct, an aggregate), proving its
-size would run that shuffle once for the check and again for the result;
-callers pass ``bound``, a frame nearer the scan with at least as many rows
-(e.g. the input of the distinct), and the check reads that instead.  All steps are
-DataFrame operations planned by Catalyst; nothing is collected.
+There is one path for every input size.  All steps are DataFrame operations
+planned by Catalyst; nothing is collected.
 """
 
 from __future__ import annotations
@@ -40,12 +36,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.size import has_at_most
 from strata.session import ensure_checkpoint_dir
 
 _PID = "_seq_pid"
 _LOCAL = "_seq_local"
 _N = "_seq_n"
+_FIRST = "_seq_first"
 _OFF = "_seq_off"
 
 
@@ -53,86 +49,80 @@ def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-SMALL_ROWS = 1_000_000
+_ID_BITS = 33       # monotonically_increasing_id: partition above, place below
 
 
-def number_rows(df: DataFrame, order: Sequence, by: Sequence[str] = (), name: str = "rn",
-                partitions: int | None = None, small_rows: int = SMALL_ROWS,
-                bound: DataFrame | None = None) -> DataFrame:
-    """Add ``name`` = 1-based row number within ``by`` groups in ``order``.
+def _ranged(df: DataFrame, by: Sequence[str], order_cols: Sequence[Column], partitions: int | None) -> DataFrame:
+    cols = [*[F.col(b) for b in by], *order_cols]
+    # Without an explicit count AQE may merge adjacent range partitions
+    # (never reorders them), so small inputs do not pay for 200 tasks.
+    return df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
 
-    ``bound``: a frame with at least as many rows as ``df`` on which to
-    prove the size for the window fast path (default ``df`` itself).
-    """
+
+def number_rows(df: DataFrame, order: Sequence, by: Sequence[str] = (), name: str = "rn",
+                partitions: int | None = None) -> DataFrame:
+    """Add ``name`` = 1-based row number within ``by`` groups in ``order``."""
     by = list(by)
     order_cols = [_as_col(c) for c in order]
-    if small_rows and has_at_most(df if bound is None else bound, small_rows):
-        w = Window.partitionBy(*by).orderBy(*order_cols)
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     ensure_checkpoint_dir(df.sparkSession)
-    range_cols = [*[F.col(b) for b in by], *order_cols]
-    # Without an explicit count AQE may merge adjacent range partitions
-    # (never reorders them), so small inputs do not pay for 200 tasks.
-    ranged = (df.repartitionByRange(partitions, *range_cols) if partitions
-              else df.repartitionByRange(*range_cols)).withColumn(_PID, F.spark_partition_id())
+    local = (_ranged(df, by, order_cols, partitions)
+             .sortWithinPartitions(*[F.col(b) for b in by], *order_cols)
+             .withColumn(_LOCAL, F.monotonically_increasing_id())
+             .withColumn(_PID, F.shiftright(_LOCAL, _ID_BITS))
+             .checkpoint(eager=True))
     seg_keys = [_PID, *by]
-    local = ranged.withColumn(
-        _LOCAL, F.row_number().over(Window.partitionBy(*seg_keys).orderBy(*order_cols))
-    ).checkpoint(eager=True)
-    seg = local.groupBy(*seg_keys).agg(F.max(_LOCAL).alias(_N))
+    seg = local.groupBy(*seg_keys).agg(F.min(_LOCAL).alias(_FIRST), F.count(F.lit(1)).alias(_N))
     running = Window.partitionBy(*by).orderBy(_PID).rowsBetween(
         Window.unboundedPreceding, -1)
-    seg = seg.withColumn(_OFF, F.coalesce(F.sum(_N).over(running), F.lit(0)))
-    out = _join_segments(local, seg.select(*seg_keys, _OFF), seg_keys)
+    seg = seg.withColumn(_OFF, F.coalesce(F.sum(_N).over(running), F.lit(0)) - F.col(_FIRST) + 1)
+    seg = seg.select(*seg_keys, _OFF)
+    # Without groups: one row per partition, whatever the number of rows.
+    out = null_safe_join(local, seg if by else F.broadcast(seg), seg_keys)
     return (out.withColumn(name, (F.col(_OFF) + F.col(_LOCAL)).cast("bigint"))
                .drop(_PID, _LOCAL, _OFF))
 
 
-def _join_segments(rows: DataFrame, seg: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on segment keys, NULL-safe (a NULL group is a group)."""
+def null_safe_join(rows: DataFrame, seg: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on segment keys, NULL-safe (a NULL group is a group)."""
     renamed = seg.select(*[F.col(k).alias(f"_sk_{k}") for k in keys],
                          *[c for c in seg.columns if c not in keys])
     cond = None
     for k in keys:
         c = rows[k].eqNullSafe(renamed[f"_sk_{k}"])
         cond = c if cond is None else cond & c
-    return rows.join(renamed, cond, "inner").drop(*[f"_sk_{k}" for k in keys])
+    return rows.join(renamed, cond, how).drop(*[f"_sk_{k}" for k in keys])
 
 
-def running_max(df: DataFrame, order: Sequence, by: Sequence[str], value: Column, name: str,
-                partitions: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """``name`` = max of ``value`` over all rows up to and including this one
-    (in ``order``) within ``by`` -- a running aggregate, skew-safe.
+def running(df: DataFrame, order: Sequence, by: Sequence[str], value: Column, name: str,
+            how: str = "max", partitions: int | None = None) -> DataFrame:
+    """``name`` = running ``max`` or ``sum`` of ``value`` up to and including
+    this row (in ``order``) within ``by``, skew-safe.
 
-    Same scheme as ``number_rows``: range-partition, running max inside each
-    (partition, group) segment, then carry in the max of all earlier
-    segments of the group (a window over the small segment table).
+    Range-partition, aggregate inside each (partition, group) segment, then
+    carry in the aggregate of all earlier segments of the group (a window
+    over the small segment table).
     """
     by = list(by)
+    fold = {"max": F.max, "sum": F.sum}[how]
     order_cols = [_as_col(c) for c in order]
-    df = df.withColumn("_rm_v", value)
-    if small_rows and has_at_most(df, small_rows):
-        w = Window.partitionBy(*by).orderBy(*order_cols).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(name, F.max("_rm_v").over(w)).drop("_rm_v")
     ensure_checkpoint_dir(df.sparkSession)
-    range_cols = [*[F.col(b) for b in by], *order_cols]
-    ranged = (df.repartitionByRange(partitions, *range_cols) if partitions
-              else df.repartitionByRange(*range_cols)).withColumn(_PID, F.spark_partition_id())
+    ranged = (_ranged(df.withColumn("_rm_v", value), by, order_cols, partitions)
+              .withColumn(_PID, F.spark_partition_id()))
     seg_keys = [_PID, *by]
     w = Window.partitionBy(*seg_keys).orderBy(*order_cols).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("_rm_local", F.max("_rm_v").over(w)).checkpoint(eager=True)
-    seg = local.groupBy(*seg_keys).agg(F.max("_rm_v").alias("_rm_seg"))
+    local = ranged.withColumn("_rm_local", fold("_rm_v").over(w)).checkpoint(eager=True)
+    seg = local.groupBy(*seg_keys).agg(fold("_rm_v").alias("_rm_seg"))
     carry = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    seg = seg.withColumn("_rm_in", F.max("_rm_seg").over(carry)).select(*seg_keys, "_rm_in")
-    out = _join_segments(local, seg, seg_keys)
-    return (out.withColumn(name, F.greatest("_rm_local", "_rm_in"))
-               .drop(_PID, "_rm_local", "_rm_in", "_rm_v"))
+    seg = seg.withColumn("_rm_in", fold("_rm_seg").over(carry)).select(*seg_keys, "_rm_in")
+    out = null_safe_join(local, seg, seg_keys)
+    both = (F.greatest("_rm_local", "_rm_in") if how == "max" else
+            F.coalesce(F.col("_rm_local") + F.col("_rm_in"), "_rm_local", "_rm_in"))
+    return out.withColumn(name, both).drop(_PID, "_rm_local", "_rm_in", "_rm_v")
 
 
 def dense_key(df: DataFrame, order: Sequence[str], name: str = "sk",
-              partitions: int | None = None, bound: DataFrame | None = None) -> DataFrame:
+              partitions: int | None = None) -> DataFrame:
     """Dense surrogate key 0..n-1 in natural-key order, placed first.
 
     Deterministic: the same input gives the same keys on every run and
@@ -140,28 +130,23 @@ def dense_key(df: DataFrame, order: Sequence[str], name: str = "sk",
     the partitioning of the moment).  Input rows must be distinct on
     ``order``.
     """
-    numbered = number_rows(df, order, (), name, partitions, bound=bound)
+    numbered = number_rows(df, order, (), name, partitions)
     cols = [c for c in df.columns]
     return numbered.select((F.col(name) - 1).cast("bigint").alias(name), *cols)
 
 
 def neighbour(df: DataFrame, order: Sequence, by: Sequence[str] = (),
               cols: Sequence[str] = (), offset: int = 1, prefix: str = "next_",
-              partitions: int | None = None, small_rows: int = SMALL_ROWS,
-              bound: DataFrame | None = None) -> DataFrame:
+              partitions: int | None = None) -> DataFrame:
     """LEAD (offset > 0) or LAG (offset < 0) of ``cols`` within ``by``.
 
     Numbers rows skew-safely, then joins each row to the row ``offset``
-    places away on (group, number) -- an equi-join on a key that is unique
-    per row, so no group funnels into one task.
+    places away on (group, number) -- an equi-join, NULL-safe in the group, on
+    a key that is unique per row, so no group funnels into one task.
     """
     by = list(by)
-    if small_rows and has_at_most(df if bound is None else bound, small_rows):
-        w = Window.partitionBy(*by).orderBy(*[_as_col(c) for c in order])
-        fn = (lambda c: F.lead(c, offset)) if offset > 0 else (lambda c: F.lag(c, -offset))
-        return df.withColumns({f"{prefix}{c}": fn(c).over(w) for c in cols})
     rn = "_nb_rn"
-    numbered = number_rows(df, order, by, rn, partitions, small_rows=0)
+    numbered = number_rows(df, order, by, rn, partitions)
     other = numbered.select(*by, (F.col(rn) - F.lit(offset)).alias(rn),
                             *[F.col(c).alias(f"{prefix}{c}") for c in cols])
-    return numbered.join(other, [*by, rn], "left").drop(rn)
+    return null_safe_join(numbered, other, [*by, rn], "left").drop(rn)

@@ -1,11 +1,9 @@
 """Distribution and association statistics, computed as Spark jobs.
 
 * ``exact_quantiles`` -- linear-interpolation quantiles (the ``(n-1)*q``
-  rule of pandas / ``quantile_cont``), per group.  Values are numbered with
-  the skew-safe ``sequence.number_rows`` and only the two neighbouring
-  ranks of each requested quantile are picked out by an equi-join on
-  (group, rank).  No task ever holds a whole group, unlike ``percentile``
-  whose final merge keeps one value->count map per group in one task.
+  rule of pandas / ``quantile_cont``), per group, from value counts and a
+  skew-safe running sum over them.  No task ever holds a whole group, unlike
+  ``percentile`` whose final merge keeps one value->count map per group.
 * ``box_stats`` -- quartiles, whiskers (extreme values inside the 1.5 IQR
   fences) and outlier counts per group.
 * ``point_biserial`` -- Pearson r of a 0/1 flag against a numeric column
@@ -15,16 +13,14 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from strata.operators.sequence import SMALL_ROWS, number_rows
-from strata.operators.size import has_at_most
+from strata.operators.sequence import null_safe_join, running
 
 _G = "_grp"
 
@@ -39,55 +35,32 @@ def _qname(q: float) -> str:
 
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str] = (),
                     names: Sequence[str] | None = None,
-                    partitions: int | None = None,
-                    small_rows: int = SMALL_ROWS) -> DataFrame:
-    """One row per group: ``by`` columns, n, and one column per quantile."""
+                    partitions: int | None = None) -> DataFrame:
+    """One row per group: ``by`` columns, n, and one column per quantile.
+
+    Ties are counted first (partial aggregation removes them before the
+    shuffle); a skew-safe running sum over the distinct values then tells
+    which value holds each rank, by a minimum over the group.
+    """
     names = list(names) if names else [_qname(q) for q in qs]
     by = list(by)
     grp = by or [_G]
     v = df.select(*[F.col(b) for b in by], F.col(value).cast("double").alias("_v"))
     if not by:
         v = v.withColumn(_G, F.lit(0))
-    v = v.filter(F.col("_v").isNotNull())
-    if small_rows and has_at_most(v, small_rows):
-        # Proven small: number and count with windows sharing one
-        # partitioning, keep only the needed ranks, gather per group.
-        numbered = (v.withColumn("_rn", F.row_number().over(
-                        Window.partitionBy(*grp).orderBy("_v")).cast("bigint"))
-                     .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*grp))))
-        pos = {nm: F.lit(float(q)) * (F.col("_n") - 1).cast("double") for nm, q in zip(names, qs)}
-        keep = F.lit(False)
-        for nm in names:
-            keep = keep | (F.col("_rn") == (F.floor(pos[nm]) + 1)) | \
-                (F.col("_rn") == (F.ceil(pos[nm]) + 1))
-        out = (numbered.filter(keep).groupBy(*grp)
-               .agg(F.max("_n").alias("_n"),
-                    F.map_from_entries(F.collect_list(F.struct("_rn", "_v"))).alias("_m")))
-        return _interpolate(out, by, names, qs)
-    numbered = number_rows(v, ["_v"], grp, "_rn", partitions, small_rows=0)
-    cnt = numbered.groupBy(*grp).agg(F.max("_rn").alias("_n"))
-    pos = {nm: F.lit(float(q)) * (F.col("_n") - 1).cast("double") for nm, q in zip(names, qs)}
-    ranks = []
-    for nm in names:
-        ranks += [(F.floor(pos[nm]) + 1).cast("bigint"), (F.ceil(pos[nm]) + 1).cast("bigint")]
-    wanted = cnt.select(*grp, F.explode(F.array(*ranks)).alias("_rn")).distinct()
-    picked = (numbered.join(wanted, [*grp, "_rn"], "inner")
-              .groupBy(*grp)
-              .agg(F.map_from_entries(F.collect_list(F.struct("_rn", "_v"))).alias("_m")))
-    out = cnt.join(picked, grp, "inner")
-    return _interpolate(out, by, names, qs)
-
-
-def _interpolate(out: DataFrame, by: Sequence[str], names: Sequence[str],
-                 qs: Sequence[float]) -> DataFrame:
-    """lo + (hi - lo) * frac at position q*(n-1) from the picked-ranks map."""
-    cols = []
-    for nm, q in zip(names, qs):
+    counts = v.filter(F.col("_v").isNotNull()).groupBy(*grp, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = running(counts, ["_v"], grp, F.col("_c"), "_upto", "sum", partitions)
+    total = counts.groupBy(*grp).agg(F.sum("_c").alias("_n"))
+    held = null_safe_join(ranked, total, grp)
+    aggs, cols = [], []
+    for i, (nm, q) in enumerate(zip(names, qs)):
         pos = F.lit(float(q)) * (F.col("_n") - 1).cast("double")
-        lo = F.element_at("_m", (F.floor(pos) + 1).cast("bigint"))
-        hi = F.element_at("_m", (F.ceil(pos) + 1).cast("bigint"))
+        for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            aggs.append(F.min(F.when(F.col("_upto") >= rank + 1, F.col("_v"))).alias(f"_{side}{i}"))
         frac = pos - F.floor(pos)
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         cols.append(F.when(frac == 0, lo).otherwise(lo + (hi - lo) * frac).alias(nm))
+    out = held.groupBy(*grp).agg(F.max("_n").alias("_n"), *aggs)
     return out.select(*by, F.col("_n").alias("n"), *cols)
 
 
@@ -137,73 +110,18 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str], whisker: float = 1.5
                             "_hi": F.col("q3") + F.lit(whisker) * iqr})
     v = F.col(value).cast("double")
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
-    w = (df.select(*by, value).filter(F.col(value).isNotNull())
-         .join(fences.select(*by, "_lo", "_hi"), by, "inner")
+    rows = df.select(*by, value).filter(F.col(value).isNotNull())
+    w = (null_safe_join(rows, fences.select(*by, "_lo", "_hi"), by)
          .groupBy(*by)
          .agg(F.min(F.when(inside, v)).alias("lower_whisker"),
               F.max(F.when(inside, v)).alias("upper_whisker"),
               F.count_if(~inside).alias("outliers")))
-    return q.join(w, by, "inner").select(*by, "n", "q1", "median", "q3",
-                                         "lower_whisker", "upper_whisker", "outliers")
+    return null_safe_join(q, w, by).select(*by, "n", "q1", "median", "q3",
+                                           "lower_whisker", "upper_whisker", "outliers")
 
 
 # -- association -------------------------------------------------------------
 
-def _betacf(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function (modified Lentz)."""
-    tiny, eps = 1e-300, 3e-16
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 10_000):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < eps:
-            break
-    return h
-
-
-def betainc(a: float, b: float, x: float) -> float:
-    """Regularized incomplete beta I_x(a, b)."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    lbeta = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-    front = math.exp(lbeta + a * math.log(x) + b * math.log1p(-x))
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1.0 - x) / b
-
-
-def t_two_sided_p(t: float, dof: float) -> float | None:
-    if t is None or dof is None or dof <= 0 or math.isnan(t):
-        return None
-    if math.isinf(t):
-        return 0.0
-    return betainc(dof / 2.0, 0.5, dof / (dof + t * t))
-
-
-@F.pandas_udf(T.DoubleType())
-def _p_value_udf(t: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([t_two_sided_p(None if pd.isna(a) else float(a),
-                                    None if pd.isna(b) else float(b))
-                      for a, b in zip(t, dof)], dtype="float64")
-
-
 def point_biserial(df: DataFrame, flag: str | Column, value: str | Column,
                    digits: int | None = None) -> DataFrame:
     """r between a boolean/0-1 flag and a numeric column, with n."""
@@ -222,18 +140,29 @@ def point_biserial(df: DataFrame, flag: str | Column, value: str | Column,
 def point_biserial_test(df: DataFrame, flag: str | Column, value: str | Column) -> DataFrame:
     """r, n, t statistic and two-sided p-value (t distribution, n-2 dof).
 
-    Guards: n < 3, a constant column (r is NULL) and |r| = 1 give NULL t
-    or p = 0 rather than errors.  The p-value is evaluated on the one-row
-    aggregate, never on data rows.
+    The p-value is that of the slope of a least-squares line of the value on
+    the flag, which is the same test; ``pyspark.ml`` computes it from one
+    distributed pass.  Guards: n < 3 and a constant column (r is NULL) give
+    NULL t and p; |r| = 1 gives an infinite t and p = 0.
     """
-    base = point_biserial(df, flag, value)
+    pair = df.select(_as_col(flag).cast("int").cast("double").alias("_f"),
+                     _as_col(value).cast("double").alias("_x")).dropna()
+    base = point_biserial(pair, "_f", "_x")
     dof = (F.col("n") - 2).cast("double")
     r = F.col("r")
     t = (F.when((F.col("n") < 3) | r.isNull(), F.lit(None).cast("double"))
          .when(F.abs(r) >= 1, F.signum(r) * F.lit(float("inf")))
          .otherwise(r * F.sqrt(dof / (F.lit(1.0) - r * r))))
-    out = base.withColumn("t", t).withColumn("dof", dof)
-    return out.withColumn("p_value", _p_value_udf(F.col("t"), F.col("dof"))).drop("dof")
+    out = base.withColumn("t", t)
+    found = out.first()                 # one row
+    p = None
+    if found["t"] is not None:
+        p = 0.0
+        if abs(found["t"]) != float("inf"):
+            rows = VectorAssembler(inputCols=["_f"], outputCol="_v").transform(pair)
+            line = LinearRegression(featuresCol="_v", labelCol="_x", solver="normal").fit(rows)
+            p = float(line.summary.pValues[0])
+    return out.withColumn("p_value", F.lit(p).cast("double"))
 
 
 def segment_rates(df: DataFrame, segment: str | Sequence[str], flag: str | Column,

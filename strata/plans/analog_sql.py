@@ -116,6 +116,24 @@ SQL = {
         round(stddev_samp(o_totalprice), 4) AS std, MIN(o_totalprice) AS min,
         {_Q.format(q=0.25)} AS p25, {_Q.format(q=0.5)} AS p50, {_Q.format(q=0.75)} AS p75,
         MAX(o_totalprice) AS max FROM orders""",
+    "median_null_group": """SELECT grp, quantile_cont(o_totalprice, 0.5) AS median_price
+        FROM (SELECT *, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS grp FROM orders)
+        GROUP BY grp""",
+    "box_null_group": """WITH o AS (SELECT *, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS grp FROM orders),
+        q AS (SELECT grp, COUNT(*) AS n, quantile_cont(o_totalprice, 0.25) AS q1,
+          quantile_cont(o_totalprice, 0.5) AS median, quantile_cont(o_totalprice, 0.75) AS q3 FROM o GROUP BY grp),
+        f AS (SELECT *, q1 - 1.5::DOUBLE * (q3 - q1) AS lo, q3 + 1.5::DOUBLE * (q3 - q1) AS hi FROM q)
+        SELECT f.grp, f.n, f.q1, f.median, f.q3,
+          MIN(CASE WHEN o.o_totalprice BETWEEN f.lo AND f.hi THEN o.o_totalprice END) AS lower_whisker,
+          MAX(CASE WHEN o.o_totalprice BETWEEN f.lo AND f.hi THEN o.o_totalprice END) AS upper_whisker,
+          COUNT(*) FILTER (WHERE NOT (o.o_totalprice BETWEEN f.lo AND f.hi)) AS outliers
+        FROM o JOIN f ON o.grp IS NOT DISTINCT FROM f.grp
+        GROUP BY f.grp, f.n, f.q1, f.median, f.q3""",
+    "lead_null_group": """SELECT grp, o_orderkey, o_totalprice, LEAD(o_orderkey) OVER (
+          PARTITION BY grp ORDER BY o_totalprice, o_orderkey) AS next_o_orderkey
+        FROM (SELECT *, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS grp FROM orders)""",
+    "cast_int_long_fraction": """SELECT l_orderkey, l_linenumber, l_linenumber AS above, -l_linenumber AS below
+        FROM lineitem""",
     "median_by_group": """SELECT o_orderstatus, quantile_cont(o_totalprice, 0.5) AS median_price
         FROM orders GROUP BY o_orderstatus""",
     "box_stats": f"""WITH q AS (SELECT o_orderstatus, COUNT(*) AS n, {_Q.format(q=0.25)} AS q1,

@@ -142,9 +142,12 @@ def star(spark, d):
     return student_star(gold(spark, d), digits=None)
 
 
-def _q(measures, by, **kw):
+def _q(measures, by, principal=None, **kw):
+    """A slice of the whole star, or of what ``principal`` may see."""
     def run(spark, d):
-        return star(spark, d).query(measures, by, **kw)
+        s = star(spark, d)
+        s = s.unsecured() if principal is None else s
+        return s.query(measures, by, principal=principal, **kw)
     return run
 
 
@@ -195,7 +198,7 @@ def q_engagement_outcome(spark, d):
 
 
 def q_outputs_equal(spark, d):
-    via_star = star(spark, d).query(["withdrawal_count"], ["dim_student.region"])
+    via_star = star(spark, d).unsecured().query(["withdrawal_count"], ["dim_student.region"])
     st = _students(spark, d)
     direct = (table(spark, d, "orders").join(
         st, F.col("o_custkey") == st.id_student, "left")
@@ -216,6 +219,15 @@ def q_scd2(spark, d):
                           "effective_to": F.col("effective_to").cast("string")})
 
 
+def q_scd2_null_runs(spark, d):
+    """As ``scd2`` with an attribute that is NULL on many rows in a row."""
+    o = table(spark, d, "orders").select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("d"),
+                                         F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus")).alias("status"))
+    v = scd2(o, ["o_custkey"], ["status"], "d", tie=["o_orderkey"])
+    return v.withColumns({"effective_from": F.col("effective_from").cast("string"),
+                          "effective_to": F.col("effective_to").cast("string")})
+
+
 CUTOFF = "1999-01-01"          # already loaded: orders before this date
 CHANGES_FROM = "1998-07-01"    # change set: orders from this date on
 
@@ -312,6 +324,11 @@ def q_cast_loss(spark, d):
     return cast_loss(raw, {"price_raw": "int", "discount_raw": "double"})
 
 
+def q_rls_default_user(spark, d):
+    """No principal named: the session user, here one without a region."""
+    return star(spark, d).query(["total_students"])
+
+
 def q_rls_masked_dim(spark, d):
     """Column-level restriction on top of row-level security: a principal
     without the privilege sees the secured rows with ``imd_band`` masked."""
@@ -365,7 +382,7 @@ def q_diag_registration_status(spark, d):
 def _report(key):
     def run(spark, d):
         from strata.plans.reports import report
-        return report(star(spark, d), key)
+        return report(star(spark, d).unsecured(), key)
     return run
 
 
@@ -397,11 +414,13 @@ QUERIES = {
     "rls_dim": q_rls_dim,
     "rls_fact": _q(["withdrawal_rate", "total_students"], ["dim_student.imd_band"],
                    principal=MULTI_REGION_USER),
+    "rls_default_user": q_rls_default_user,
     "rls_unmapped": _q(["withdrawal_rate"], ["dim_student.region"], principal=UNMAPPED_USER),
     "engagement_outcome": q_engagement_outcome,
     "legacy_summary": q_legacy_summary,
     "outputs_equal": q_outputs_equal,
     "scd2": q_scd2,
+    "scd2_null_runs": q_scd2_null_runs,
     "merge_upsert": q_merge_upsert,
     "incremental": q_incremental,
     "asof_last_purchase": q_asof_last_purchase,
@@ -522,6 +541,7 @@ SQL = {
         SELECT COALESCE(w.imd_band, t.imd_band) AS imd_band,
         CAST(w.wc AS DOUBLE) / CAST(w.n AS DOUBLE) AS withdrawal_rate, t.total_students
         FROM w FULL OUTER JOIN t ON w.imd_band IS NOT DISTINCT FROM t.imd_band""",
+    "rls_default_user": "SELECT CAST(0 AS BIGINT) AS total_students",
     "rls_unmapped": f"""SELECT s.region, {_WRATE} AS withdrawal_rate FROM {_REG_S}
         WHERE FALSE GROUP BY s.region""",
     "engagement_outcome": f"""WITH m AS {_SK_MODULE}, k AS {_SK_STUDENT},
@@ -561,14 +581,23 @@ SQL = {
         (SELECT COUNT(*) FROM (SELECT * FROM b2 EXCEPT ALL SELECT * FROM a)) AS only_right)""",
     "scd2": """WITH o AS (SELECT o_custkey, o_orderpriority, o_orderkey,
           CAST(o_orderdate AS DATE) AS d FROM orders),
-        c AS (SELECT *, LAG(o_orderpriority) OVER (PARTITION BY o_custkey
-          ORDER BY d, o_orderkey) AS prev FROM o),
-        s AS (SELECT * FROM c WHERE prev IS NULL OR prev <> o_orderpriority),
+        c AS (SELECT *, LAG(o_orderpriority) OVER w AS prev, ROW_NUMBER() OVER w AS rn FROM o
+          WINDOW w AS (PARTITION BY o_custkey ORDER BY d, o_orderkey)),
+        s AS (SELECT * FROM c WHERE rn = 1 OR prev IS DISTINCT FROM o_orderpriority),
         v AS (SELECT *, LEAD(d) OVER (PARTITION BY o_custkey ORDER BY d, o_orderkey) AS nxt
           FROM s)
         SELECT o_custkey, o_orderpriority, CAST(d AS VARCHAR) AS effective_from,
         CAST(COALESCE(nxt, DATE '9999-12-31') AS VARCHAR) AS effective_to,
         nxt IS NULL AS is_current FROM v""",
+    "scd2_null_runs": """WITH o AS (SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS d,
+          CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus END AS status FROM orders),
+        c AS (SELECT *, LAG(status) OVER w AS prev, ROW_NUMBER() OVER w AS rn FROM o
+          WINDOW w AS (PARTITION BY o_custkey ORDER BY d, o_orderkey)),
+        s AS (SELECT * FROM c WHERE rn = 1 OR prev IS DISTINCT FROM status),
+        v AS (SELECT *, LEAD(d) OVER (PARTITION BY o_custkey ORDER BY d, o_orderkey) AS nxt FROM s)
+        SELECT o_custkey, status, CAST(d AS VARCHAR) AS effective_from,
+        CAST(COALESCE(nxt, DATE '9999-12-31') AS VARCHAR) AS effective_to,
+        nxt IS NULL AS is_current FROM v""",
     "merge_upsert": f"""SELECT * FROM orders t WHERE t.o_orderdate < TIMESTAMP '{CUTOFF}'
           AND NOT EXISTS (SELECT 1 FROM orders c WHERE c.o_orderdate >= TIMESTAMP
           '{CHANGES_FROM}' AND c.o_orderkey = t.o_orderkey)

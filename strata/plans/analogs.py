@@ -29,6 +29,7 @@ from strata.operators.quality import (anti_counts, count_tables, duplicate_keys,
                                       orphan_report, profile, reconcile, score_in_range,
                                       split_by_rule, split_report, uniqueness)
 from strata.operators.rollup import conservation_report, rollup_events
+from strata.operators.sequence import neighbour
 from strata.operators.stats import (box_stats, median_by, point_biserial,
                                     point_biserial_test, segment_rates, summary)
 from strata.session import scratch_path
@@ -231,11 +232,14 @@ def q_fanout_check(spark, d):
     dim = _part_supplier_dim(spark, d)
     good = lookup_key(li, dim, ["l_partkey", "l_suppkey"], "ps_sk")
     # Joining on part only (a partial composite key) fans out.
-    bad = li.join(dim.select("l_partkey", "ps_sk"), "l_partkey", "left")
+    # Its size follows from counts per key; the join itself is quadratic.
+    keys = dim.filter(F.col("l_partkey").isNotNull()).groupBy("l_partkey").agg(F.count(F.lit(1)).alias("matches"))
+    bad = (li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("rows")).join(keys, "l_partkey", "left")
+           .agg(F.sum(F.col("rows") * F.coalesce("matches", F.lit(1))).alias("n")))
     src = li.agg(F.count(F.lit(1)).alias("source_rows"))
     return src.select("source_rows",
                       good.agg(F.count(F.lit(1))).scalar().alias("composite_rows"),
-                      bad.agg(F.count(F.lit(1))).scalar().alias("partial_key_rows")) \
+                      F.coalesce(bad.scalar(), F.lit(0)).alias("partial_key_rows")) \
         .withColumns({"composite_ok": F.col("composite_rows") == F.col("source_rows"),
                       "partial_key_ok": F.col("partial_key_rows") == F.col("source_rows")})
 
@@ -301,6 +305,31 @@ def q_box_stats(spark, d):
     return box_stats(table(spark, d, "orders"), "o_totalprice", ["o_orderstatus"])
 
 
+def _null_group(spark, d):
+    """Orders whose group is NULL where the status is P."""
+    return table(spark, d, "orders").withColumn(
+        "grp", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")))
+
+
+def q_median_null_group(spark, d):
+    return median_by(_null_group(spark, d), "o_totalprice", ["grp"], "median_price")
+
+
+def q_box_null_group(spark, d):
+    return box_stats(_null_group(spark, d), "o_totalprice", ["grp"])
+
+
+def q_lead_null_group(spark, d):
+    return neighbour(_null_group(spark, d).select("grp", "o_orderkey", "o_totalprice"),
+                     ["o_totalprice", "o_orderkey"], ["grp"], ["o_orderkey"], 1, "next_")
+
+
+def q_cast_int_long_fraction(spark, d):
+    text = F.concat(F.col("l_linenumber").cast("string"), F.lit(".9999999"))
+    return table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", to_int(text).alias("above"), to_int(F.concat(F.lit("-"), text)).alias("below"))
+
+
 def q_point_biserial(spark, d):
     o = table(spark, d, "orders")
     return point_biserial(o, F.col("o_orderstatus") == "F", "o_totalprice", digits=6)
@@ -352,6 +381,10 @@ QUERIES = {
     "group_flag_count": q_group_flag_count,
     "summary_stats": q_summary_stats,
     "median_by_group": q_median_by_group,
+    "median_null_group": q_median_null_group,
+    "box_null_group": q_box_null_group,
+    "lead_null_group": q_lead_null_group,
+    "cast_int_long_fraction": q_cast_int_long_fraction,
     "box_stats": q_box_stats,
     "point_biserial": q_point_biserial,
     "point_biserial_pvalue": q_point_biserial_pvalue,

@@ -83,8 +83,11 @@ class Star:
 
     # -- security ------------------------------------------------------------
     def secured(self, principal) -> "Star":
-        if self.security is None or principal is None:
+        """The star as ``principal`` may see it; without one, as the session
+        user may.  Seeing everything takes an explicit ``unsecured()``."""
+        if self.security is None:
             return self
+        principal = F.session_user() if principal is None else principal
         s = self.security
         dim = secure_dimension(self.dims[s.dim], s.mapping, principal, s.attr,
                                s.user_col, s.value_col)
@@ -95,6 +98,10 @@ class Star:
                 facts[r.fact] = secure_fact(facts[r.fact], dim, r.dim_col, r.fact_col)
         return replace(self, dims=dims, facts=facts)
 
+    def unsecured(self) -> "Star":
+        """The whole star, for jobs that run on everyone's behalf."""
+        return replace(self, security=None)
+
     # -- helpers -------------------------------------------------------------
     def _owner(self, ref: str) -> tuple[str, str]:
         table, _, col = ref.partition(".")

@@ -56,7 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Local runs only: a cluster names a shared folder in its config.
+        # Local runs only: on a cluster each executor would write to its own disk.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

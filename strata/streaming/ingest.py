@@ -18,9 +18,20 @@ from pyspark.sql import types as T
 from strata.sources.ingest import CSV_OPTIONS, with_audit
 
 
+def _last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """Number of the last committed micro-batch, -1 before the first (progress
+    reports keep only the latest hundred; the commit log keeps the number)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return -1
+    names = (f.getPath().getName() for f in fs.listStatus(path))
+    return max((int(n) for n in names if n.isdigit()), default=-1)
+
+
 def ingest_increment(spark: SparkSession, landing: str, target: str, checkpoint: str,
                      schema: T.StructType, fmt: str = "parquet",
-                     max_files_per_trigger: int | None = None) -> int:
+                     max_files_per_trigger: int | None = None, sink: str = "parquet") -> int:
     """Append files new since the last run from ``landing`` to ``target``.
 
     Returns the number of micro-batches run.
@@ -31,7 +42,8 @@ def ingest_increment(spark: SparkSession, landing: str, target: str, checkpoint:
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = with_audit(reader.load(landing))
-    query = (stream.writeStream.format("parquet")
+    before = _last_batch(spark, checkpoint)
+    query = (stream.writeStream.format(sink)
              .option("path", target)
              .option("checkpointLocation", checkpoint)
              .outputMode("append")
@@ -40,4 +52,4 @@ def ingest_increment(spark: SparkSession, landing: str, target: str, checkpoint:
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return len(query.recentProgress)
+    return _last_batch(spark, checkpoint) - before

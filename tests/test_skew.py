@@ -19,7 +19,7 @@ def hot_frame(spark, n=3000):
 
 def test_hot_key_numbering_is_exact_and_spread(spark):
     df = hot_frame(spark)
-    got = number_rows(df, ["v", "id"], ["k"], "rn", partitions=8, small_rows=0)
+    got = number_rows(df, ["v", "id"], ["k"], "rn", partitions=8)
     want = df.withColumn("rn", F.row_number().over(
         Window.partitionBy("k").orderBy("v", "id")).cast("bigint"))
     assert got.select(*want.columns).exceptAll(want).count() == 0
@@ -30,11 +30,9 @@ def test_hot_key_numbering_is_exact_and_spread(spark):
     assert spread > 1
 
 
-@pytest.mark.parametrize("small_rows", [1_000_000, 0])
-def test_hot_key_quantiles_and_keep_first(spark, small_rows):
+def test_hot_key_quantiles_and_keep_first(spark):
     df = hot_frame(spark)
-    q = {r.k: r.q50 for r in exact_quantiles(df, "v", [0.5], ["k"], partitions=8,
-                                               small_rows=small_rows).collect()}
+    q = {r.k: r.q50 for r in exact_quantiles(df, "v", [0.5], ["k"], partitions=8).collect()}
     hot = sorted(r.v for r in df.filter("k = 0").collect())
     m = len(hot)
     assert q[0] == (hot[(m - 1) // 2] + hot[m // 2]) / 2
@@ -45,13 +43,12 @@ def test_hot_key_quantiles_and_keep_first(spark, small_rows):
 def test_hot_key_lead_distributed(spark):
     from strata.operators.sequence import neighbour
     df = hot_frame(spark, 900)
-    got = neighbour(df, ["v", "id"], ["k"], ["id"], 1, "next_", partitions=8, small_rows=0)
+    got = neighbour(df, ["v", "id"], ["k"], ["id"], 1, "next_", partitions=8)
     want = df.withColumn("next_id", F.lead("id").over(Window.partitionBy("k").orderBy("v", "id")))
     assert got.select(*want.columns).exceptAll(want).count() == 0
 
 
-@pytest.mark.parametrize("small_rows", [1_000_000, 0])
-def test_asof_join_matches_brute_force(spark, small_rows):
+def test_asof_join_matches_brute_force(spark):
     from strata.operators.history import asof_join
     left = spark.createDataFrame(
         [(1, "a", 5), (2, "a", 10), (3, "a", 1), (4, "b", 7), (5, None, 3), (6, "c", 4)],
@@ -59,8 +56,7 @@ def test_asof_join_matches_brute_force(spark, small_rows):
     right = spark.createDataFrame(
         [("a", 2, "v1"), ("a", 5, "v2"), ("a", 9, "v3"), ("b", 8, "w1"), (None, 1, "n1")],
         "k string, t int, v string")
-    got = {r.id: r.v for r in asof_join(left, right, ["k"], "t", "t", ["v"], partitions=4,
-                                        small_rows=small_rows).collect()}
+    got = {r.id: r.v for r in asof_join(left, right, ["k"], "t", "t", ["v"], partitions=4).collect()}
     assert got == {1: "v2", 2: "v3", 3: None, 4: None, 5: "n1", 6: None}
 
 
@@ -69,8 +65,7 @@ def test_asof_hot_key_distributed(spark):
     df = hot_frame(spark, 1200)
     right = df.filter(F.col("id") % 5 == 0).select("k", F.col("v").alias("rv"),
                                                    F.col("id").alias("rid"))
-    got = asof_join(df, right, ["k"], "v", "rv", ["rid"], tie=["rid"], partitions=8,
-                    small_rows=0).select("id", "rid")
+    got = asof_join(df, right, ["k"], "v", "rv", ["rid"], tie=["rid"], partitions=8).select("id", "rid")
     # brute force on the driver for this small fixture
     rows = [(r.k, r.v, r.id) for r in df.collect()]
     rights = [(k, v, i) for k, v, i in rows if i % 5 == 0]
@@ -84,5 +79,5 @@ def test_asof_hot_key_distributed(spark):
 def test_number_rows_null_group_distributed(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "g string, v int")
     got = {r.v: (r.g, r.rn) for r in
-           number_rows(df, ["v"], ["g"], "rn", partitions=2, small_rows=0).collect()}
+           number_rows(df, ["v"], ["g"], "rn", partitions=2).collect()}
     assert got == {1: (None, 1), 2: (None, 2), 3: ("a", 1)}
