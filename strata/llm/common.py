@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -27,6 +28,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files that nothing refers to since a checkpoint
+    (its cleaner otherwise waits for the driver to collect garbage)."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fresh(name: str) -> str:
     """A column name that no input column has."""
     return f"__{name}_{uuid.uuid4().hex[:8]}"

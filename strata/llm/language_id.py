@@ -105,12 +105,15 @@ class Parser:
         tables, starts, at = [], [], 0
         for t in texts:
             trans = suffix_automaton(np.searchsorted(alphabet, t).tolist(), self.width)
-            root = np.maximum(trans[0], 0)
-            # a missing transition ends the phrase: ~(state after the first character of the next one)
-            table_ = np.where(trans >= 0, trans + at, ~(root[None, :] + at)).astype(np.int32)
-            table_[:, pad] = at
+            # the last state is "no phrase open": every character from it, and every missing transition,
+            # begins a phrase, written as the complement of the state after it
+            closed = at + len(trans)
+            begin = ~np.where(trans[0] >= 0, trans[0] + at, closed)
+            table_ = np.where(trans >= 0, trans + at, begin[None, :])
+            table_ = np.concatenate([table_, begin[None, :]]).astype(np.int32)
+            table_[:, pad] = closed
             tables.append(table_)
-            starts.append(at)
+            starts.append(closed)
             at += len(table_)
         self.table = np.concatenate(tables).ravel()
         self.starts = np.array(starts, np.int32)
@@ -129,12 +132,12 @@ class Parser:
         grid.ravel()[np.arange(len(flat)) + start] = code
         grid = np.ascontiguousarray(grid.T)
         state = np.repeat(self.starts[:, None], first[-1], axis=1)
-        phrases = np.ones(state.shape, np.int32)
+        phrases = np.zeros(state.shape, np.int32)
         for column in grid:
             step = self.table.take(state * self.width + column[None, :])
-            ended = step >> 31
-            phrases -= ended
-            state = step ^ ended
+            begun = step >> 31
+            phrases -= begun
+            state = step ^ begun
         owner = np.repeat(np.arange(len(docs)), blocks)
         total = np.stack([np.bincount(owner, p, len(docs)) for p in phrases], axis=1)
         return total * self.bits[None, :] / np.maximum(sizes, 1)[:, None]

@@ -28,55 +28,95 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import append, cut, fresh, partitions, table
-from strata.llm.minhash import _STEP, SHINGLE, WordHashes, mixed
+from strata.llm.common import append, cut, fresh, partitions, release, table
+from strata.llm.minhash import _STEP, SHINGLE, mixed
 
 #: Similar: MATCH[0] * intersection >= MATCH[1] * union.
 MATCH = (100, 75)
 CELL_BITS = 20              # cells of the rarity sketch
-SMALL = 64                  # classes of a token that are paired at once
+SMALL = 1024                # classes of a token that are paired at once
 SPREAD = 4096               # counts of a token's cell per bucket it is dealt to
 CHUNK = 256
 BLOOM_BITS = 26
 LAST = np.iinfo(np.int64).max
 
 
-def tokens_of(lines: list[bytes], words: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LETTER = np.random.default_rng(20240302).integers(0, 2 ** 63, 256, dtype=np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> list[np.ndarray]:
+    """The first n powers of the base and of its inverse, mod 2^64."""
+    if len(_powers[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 2 ** 64))):
+            steps = np.full(n, base, np.uint64)
+            steps[0] = 1
+            _powers[i] = np.multiply.accumulate(steps)
+    return _powers
+
+
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and start of every word, from differences of one running sum over the bytes."""
+    space = _SPACE[data]
+    edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]])))
+    start, end = edge[::2], edge[1::2]
+    power, inverse = powers(len(data) + 1)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTER[data] * power[:len(data)], dtype=np.uint64)])
+    return mixed((total[end] - total[start]) * inverse[start]), start
+
+
+def tokens_of(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of lines that all have a word, and the line of each."""
-    split, counts = [], []
-    for x in lines:
-        w = x.lower().split()
-        split += w
-        counts.append(len(w))
-    own = np.fromiter(map(words.__getitem__, split), np.uint64, len(split))
-    n = np.array(counts, np.int64)
+    data = np.frombuffer(b"\n".join(lines).lower(), np.uint8)
+    own, start = word_hashes(data)
+    n = np.bincount(np.searchsorted(np.flatnonzero(data == 10), start), minlength=len(lines))
     size = np.minimum(n, SHINGLE)
     each = n - size + 1
     line = np.repeat(np.arange(len(lines)), each)
     at = np.arange(len(line)) + np.repeat(np.cumsum(n) - n - (np.cumsum(each) - each), each)
     width = size[line]
     total = width.astype(np.uint64)
+    short = (width < SHINGLE).any()
     for i in range(SHINGLE):
-        inside = i < width
-        total += np.where(inside, own[np.where(inside, at + i, 0)] * _STEP[i], np.uint64(0)) if len(own) else 0
+        if short:
+            inside = i < width
+            total += np.where(inside, own[np.where(inside, at + i, 0)] * _STEP[i], np.uint64(0))
+        else:
+            total += own[at + i] * _STEP[i]
     return mixed(total), line
 
 
+#: Bits of a sort key: line of the batch, rarity, hash.
+LINE_BITS, RARITY_BITS = 13, 6
+TOKEN_BITS = 64 - LINE_BITS
+HASH_BITS = TOKEN_BITS - RARITY_BITS
+
+
 def ordered_tokens(h: np.ndarray, line: np.ndarray, rarity: np.ndarray, n: int):
     """Tokens by (line, rarity, hash) without repeats: token, line, position, size per line."""
-    key = (rarity[h >> np.uint64(64 - CELL_BITS)].astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8))
-    order = np.lexsort((key, line))
-    key, line = key[order], line[order]
+    key = rarity[h >> np.uint64(64 - CELL_BITS)].astype(np.uint64) << np.uint64(HASH_BITS)
+    key |= h >> np.uint64(64 - HASH_BITS)
+    key |= line.astype(np.uint64) << np.uint64(TOKEN_BITS)
+    key.sort()
     new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
-    key, line = key[new], line[new]
+    new[1:] = key[1:] != key[:-1]
+    key = key[new]
+    line = (key >> np.uint64(TOKEN_BITS)).astype(np.int64)
     size = np.bincount(line, minlength=n)
     position = np.arange(len(key)) - (np.cumsum(size) - size)[line]
-    return key, line, position, size
+    return key & np.uint64((1 << TOKEN_BITS) - 1), line, position, size
+
+
+def cell_of(token: np.ndarray) -> np.ndarray:
+    return (token & np.uint64((1 << HASH_BITS) - 1)) >> np.uint64(HASH_BITS - CELL_BITS)
 
 
 def prefix_length(size: np.ndarray) -> np.ndarray:
@@ -93,28 +133,28 @@ def batches_of_docs(batches, rows: int = 512):
             yield b.slice(at, rows)
 
 
-def raw(text) -> bytes:
-    t = text.as_py()
-    return b"" if t is None else t.encode("utf-8", "surrogatepass")
+def raws(column) -> list[bytes]:
+    """UTF-8 bytes of a text column; null is empty."""
+    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
 def sketch(docs: DataFrame) -> np.ndarray:
-    """Rarity class (0 to 63: two per doubling) of every cell, from counts over all lines."""
+    """Counts over the shingles of all distinct lines of each task, added up by cell of the hash."""
     cells, ranges = 1 << CELL_BITS, 16
     step = cells // ranges
 
     def count(batches):
-        words, seen, total = WordHashes(), set(), np.zeros(cells, np.int64)
+        seen, total = set(), np.zeros(cells, np.int64)
         for b in batches_of_docs(batches):
             lines = []
-            for t in b.column(0):
-                for x in raw(t).split(b"\n"):
+            for t in raws(b.column(0)):
+                for x in t.split(b"\n"):
                     if (c := class_id(x)) not in seen:
                         seen.add(c)
                         if x.split():
                             lines.append(x)
             if lines:
-                h, _ = tokens_of(lines, words)
+                h, _ = tokens_of(lines)
                 total += np.bincount((h >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=cells)
         yield pa.RecordBatch.from_arrays([pa.array(range(ranges), pa.int32()),
                                           pa.array([total[i * step:(i + 1) * step].astype("<u4").tobytes() for i in range(ranges)], pa.binary())],
@@ -134,7 +174,25 @@ def sketch(docs: DataFrame) -> np.ndarray:
     return total
 
 
-POSTING = np.dtype([("token", "<u8"), ("cid", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("size", "<u4"), ("pos", "<u4")])
+POSTING = np.dtype([("token", "<u8"), ("cid", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("size", "<u4"), ("pos", "<u4"), ("sign", "<u4")])
+
+
+def packed(p: np.ndarray) -> bytes:
+    """Postings column by column, compressed: the places and sizes are mostly small numbers."""
+    p = p[np.argsort(p["doc"], kind="stable")]
+    planes = [np.ascontiguousarray(p[k]).view(np.uint8).reshape(len(p), -1).T.tobytes() for k in POSTING.names]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    n, at = len(flat) // POSTING.itemsize, 0
+    p = np.empty(n, POSTING)
+    for k in POSTING.names:
+        kind = POSTING[k]
+        p[k] = np.ascontiguousarray(flat[at:at + n * kind.itemsize].reshape(kind.itemsize, n).T).view(kind).ravel()
+        at += n * kind.itemsize
+    return p
 
 
 def postings(docs: DataFrame, shared, buckets: int) -> DataFrame:
@@ -142,20 +200,23 @@ def postings(docs: DataFrame, shared, buckets: int) -> DataFrame:
 
     def run(batches):
         rarity, spread = shared.value
-        words, first, lines, where = WordHashes(), {}, [], []
+        first, lines, where = {}, [], []
         out: dict[int, list[np.ndarray]] = {}
         held = 0
 
         def flush():
             nonlocal lines, where
-            h, line = tokens_of(lines, words)
+            h, line = tokens_of(lines)
             key, line, pos, size = ordered_tokens(h, line, rarity, len(lines))
+            # one bit per token, added mod 2: sets differ in at least as many tokens as their signs in bits
+            sign = np.bitwise_xor.reduceat(np.uint32(1) << (key & np.uint64(31)).astype(np.uint32), np.cumsum(size) - size)
             inside = pos < prefix_length(size)[line]
             key, line, pos = key[inside], line[inside], pos[inside]
             p = np.zeros(len(key), POSTING)
             cid, doc, number = (np.array(x, t) for x, t in zip(zip(*where), ("<u8", "<i8", "<u4")))
             p["token"], p["cid"], p["doc"], p["line"], p["size"], p["pos"] = key, cid[line], doc[line], number[line], size[line], pos
-            salt = cid[line] % spread[(key & np.uint64((1 << 56) - 1)) >> np.uint64(56 - CELL_BITS)]
+            p["sign"] = sign[line]
+            salt = cid[line] % spread[cell_of(key)]
             bucket = (mixed(key + salt * _STEP[1]) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -164,10 +225,9 @@ def postings(docs: DataFrame, shared, buckets: int) -> DataFrame:
             lines, where = [], []
 
         for b in batches_of_docs(batches):
-            for d, t in zip(b.column(0), b.column(1)):
-                doc = d.as_py()
+            for doc, t in zip(b.column(0).to_pylist(), raws(b.column(1))):
                 doc = LAST if doc is None else doc
-                for i, x in enumerate(raw(t).split(b"\n")):
+                for i, x in enumerate(t.split(b"\n")):
                     c = class_id(x)
                     if first.get(c, (LAST, LAST)) > (doc, i):
                         # a class met again earlier (rows are in no order) is posted again; the bucket keeps the earliest
@@ -175,9 +235,9 @@ def postings(docs: DataFrame, shared, buckets: int) -> DataFrame:
                         if x.split():
                             lines.append(x)
                             where.append((c, doc, i))
-            if len(lines) > 5000:
-                held += len(lines)
-                flush()
+                            if len(lines) == 1 << LINE_BITS or i & 4095 == 4095:
+                                held += len(lines)
+                                flush()
             if held > 200_000:          # bounded memory: send what has gathered
                 yield packed_rows(out)
                 out, held = {}, 0
@@ -187,18 +247,20 @@ def postings(docs: DataFrame, shared, buckets: int) -> DataFrame:
             yield packed_rows(out)
 
     def packed_rows(out):
-        return pa.RecordBatch.from_arrays([pa.array(list(out), pa.int32()), pa.array([np.concatenate(v).tobytes() for v in out.values()], pa.binary())],
+        return pa.RecordBatch.from_arrays([pa.array(list(out), pa.int32()), pa.array([packed(np.concatenate(v)) for v in out.values()], pa.binary())],
                                           ["bucket", "data"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "bucket int, data binary")
 
 
 def bound_holds(a, b) -> np.ndarray:
-    """Length and positional filter for postings of one token."""
+    """Length and positional filter and the bound from the signs, for postings of one token."""
     sa, sb = a["size"].astype(np.int64), b["size"].astype(np.int64)
     pa_, pb = a["pos"].astype(np.int64), b["pos"].astype(np.int64)
     most = 1 + np.minimum(sa - pa_ - 1, sb - pb - 1) + np.minimum(pa_, pb)
-    return (MATCH[0] * np.minimum(sa, sb) >= MATCH[1] * np.maximum(sa, sb)) & (MATCH[0] * most >= MATCH[1] * (sa + sb - most))
+    differ = np.bitwise_count(a["sign"] ^ b["sign"]).astype(np.int64)
+    return ((MATCH[0] * np.minimum(sa, sb) >= MATCH[1] * np.maximum(sa, sb)) & (MATCH[0] * most >= MATCH[1] * (sa + sb - most))
+            & ((MATCH[0] + MATCH[1]) * differ <= (MATCH[0] - MATCH[1]) * (sa + sb)))
 
 
 def candidates(posted: DataFrame, shared) -> DataFrame:
@@ -206,7 +268,7 @@ def candidates(posted: DataFrame, shared) -> DataFrame:
 
     def run(key, group):
         _, spread = shared.value
-        p = np.concatenate([np.frombuffer(c.as_buffer(), POSTING) for c in group.column("data")])
+        p = np.concatenate([unpacked(c.as_py()) for c in group.column("data")])
         p = p[np.lexsort((p["line"], p["doc"], p["cid"], p["token"]))]
         new = np.ones(len(p), bool)
         new[1:] = (p["token"][1:] != p["token"][:-1]) | (p["cid"][1:] != p["cid"][:-1])
@@ -214,20 +276,22 @@ def candidates(posted: DataFrame, shared) -> DataFrame:
         p = p[np.lexsort((p["cid"], p["line"], p["doc"], p["token"]))]
         start = np.flatnonzero(np.concatenate([[True], p["token"][1:] != p["token"][:-1]]))
         m = np.diff(np.concatenate([start, [len(p)]]))
-        dealt = spread[(p["token"][start] & np.uint64((1 << 56) - 1)) >> np.uint64(56 - CELL_BITS)] > 1
+        dealt = spread[cell_of(p["token"][start])] > 1
         large = np.repeat((m > SMALL) | dealt, m)
-        crowd, small = p[large], p[~large]
+        crowd = p[large]
         later, earlier = [], []
+        at, rest = np.flatnonzero(~large), np.repeat(m, m)[~large]      # rows, and how many of their token follow
+        rest = rest - 1 - (at - np.repeat(start, m)[~large])
         for d in range(1, SMALL):
-            same = small["token"][d:] == small["token"][:-d] if len(small) > d else np.zeros(0, bool)
-            if not same.any():
+            go = rest >= d
+            at, rest = at[go], rest[go]
+            if not len(at):
                 break
-            i = np.flatnonzero(same)
-            i = i[bound_holds(small[i], small[i + d])]
-            later.append(small[i + d])
-            earlier.append(small[i])
-        a = np.concatenate(later) if later else small[:0]
-        b = np.concatenate(earlier) if earlier else small[:0]
+            i = at[bound_holds(p[at], p[at + d])]
+            later.append(p[i + d])
+            earlier.append(p[i])
+        a = np.concatenate(later) if later else p[:0]
+        b = np.concatenate(earlier) if earlier else p[:0]
         if len(a):
             _, once = np.unique(mixed(a["cid"]) + b["cid"], return_index=True)
             a, b = a[once], b[once]
@@ -236,10 +300,10 @@ def candidates(posted: DataFrame, shared) -> DataFrame:
             [pa.concat_arrays([pa.nulls(len(a), pa.int64()), col(np.ascontiguousarray(crowd["token"]))]),
              col(np.concatenate([a["cid"], crowd["cid"]])),
              pa.concat_arrays([col(np.ascontiguousarray(b["cid"])), pa.nulls(len(crowd), pa.int64())]),
-             col(np.concatenate([a["doc"], crowd["doc"]])), col(np.concatenate([a["line"], crowd["line"]]))],
-            ["token", "later", "earlier", "doc", "line"])
+             *(col(np.concatenate([a[k], crowd[k]])) for k in ("doc", "line", "size", "sign"))],
+            ["token", "later", "earlier", "doc", "line", "size", "sign"])
 
-    return posted.groupBy("bucket").applyInArrow(run, "token long, later long, earlier long, doc long, line long")
+    return posted.groupBy("bucket").applyInArrow(run, "token long, later long, earlier long, doc long, line long, size long, sign long")
 
 
 def bloom_places(cid: np.ndarray) -> list[np.ndarray]:
@@ -278,10 +342,9 @@ def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     filter_ = spark.sparkContext.broadcast(bloom(ids))      # of fixed size
 
     def run(batches):
-        words, seen = WordHashes(), set()
-        bits = filter_.value
+        seen, bits = set(), filter_.value
         for b in batches_of_docs(batches):
-            lines = [x for t in b.column(0) for x in raw(t).split(b"\n")]
+            lines = [x for t in raws(b.column(0)) for x in t.split(b"\n")]
             cid = np.fromiter(map(class_id, lines), np.uint64, len(lines))
             ok = np.ones(len(cid), bool)
             for at in bloom_places(cid):
@@ -289,7 +352,7 @@ def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
             pick = [i for i in np.flatnonzero(ok) if cid[i] not in seen and not seen.add(cid[i]) and lines[i].split()]
             if not pick:
                 continue
-            h, line = tokens_of([lines[i] for i in pick], words)
+            h, line = tokens_of([lines[i] for i in pick])
             ends = np.searchsorted(line, np.arange(len(pick) + 1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cid[pick].view(np.int64)), pa.array([np.unique(h[ends[k]:ends[k + 1]]).tobytes() for k in range(len(pick))], pa.binary())],
@@ -355,18 +418,21 @@ def similar_to_earlier(docs: DataFrame) -> DataFrame:
     """(cid): the classes of lines that are similar to a class that occurs earlier."""
     spark = docs.sparkSession
     counts = sketch(docs)
-    rarity = np.minimum(np.floor(2 * np.log2(np.maximum(counts, 1))), 255).astype(np.uint8)
+    rarity = np.minimum(np.log2(np.maximum(counts, 1)), (1 << RARITY_BITS) - 1).astype(np.uint8)
     typical = max(int(np.median(counts)), 1)
     spread = np.maximum(1, (counts - 4 * typical) // SPREAD).astype(np.uint64)
     shared = spark.sparkContext.broadcast((rarity, spread))
     found = cut(candidates(postings(docs, shared, 8 * partitions(spark)), shared))
+    release(spark)
     crowd = cut(found.where(F.col("token").isNotNull()).groupBy("token", "later")
-                .agg(F.min(F.struct("doc", "line")).alias("o")).select("token", "later", "o.doc", "o.line"))
-    lead = cut(crowd.groupBy("token").agg(F.min(F.struct("doc", "line", "later")).alias("f"))
-               .select("token", F.col("f")["later"].alias("earlier")))
+                .agg(F.min(F.struct("doc", "line", "size", "sign")).alias("o")).select("token", "later", "o.*"))
+    lead = cut(crowd.groupBy("token").agg(F.min(F.struct("doc", "line", "later", "size", "sign")).alias("f"))
+               .select("token", F.col("f")["later"].alias("earlier"), F.col("f")["size"].alias("n"), F.col("f")["sign"].alias("s")))
     star = cut(crowd.join(lead, "token").where(F.col("later") != F.col("earlier")))
-    pairs = cut(found.where(F.col("token").isNull()).select("later", "earlier").union(star.select("later", "earlier")).distinct())
-    ids = pairs.select(F.col("later").alias("cid")).union(pairs.select("earlier")).distinct()
+    differ = F.bit_count(F.col("sign").bitwiseXOR(F.col("s")))
+    near = star.where((MATCH[0] + MATCH[1]) * differ <= (MATCH[0] - MATCH[1]) * (F.col("size") + F.col("n")))
+    pairs = cut(found.where(F.col("token").isNull()).select("later", "earlier").union(near.select("later", "earlier")).distinct())
+    ids = (pairs.select(F.col("later").alias("cid")).union(pairs.select("earlier")).union(crowd.select("later"))).distinct()
     sets = cut(sets_of(docs, cut(ids)))
     gone = cut(verified(pairs, sets).distinct())
     open_ = cut(star.join(gone, "later", "left_anti"))
@@ -386,10 +452,9 @@ def removals(keyed: DataFrame, gone: DataFrame) -> DataFrame:
         best: dict[int, tuple] = {}
         for b in batches_of_docs(batches):
             doc, text, line = [], [], []
-            for d, x, h in zip(b.column(0), b.column(1), b.column(2)):
-                h, d = h.as_py(), d.as_py()
+            for d, x, h in zip(b.column(0).to_pylist(), raws(b.column(1)), b.column(2).to_pylist()):
                 d = LAST if d is None else d
-                for i, s in enumerate(raw(x).split(b"\n")):
+                for i, s in enumerate(x.split(b"\n")):
                     if not s.split():
                         continue
                     c = class_id(s)
@@ -444,6 +509,7 @@ def dedup_lines(docs: DataFrame) -> tuple[DataFrame, str, str]:
     doc, text = fresh("doc"), fresh("t")
     source = docs.select("doc_id", "text")
     gone = cut(similar_to_earlier(source))
+    release(docs.sparkSession)
     lines = (removals(source.withColumn("t", F.xxhash64("text")), gone).groupBy(F.col("doc").alias(doc), F.col("text").alias(text))
              .agg(F.collect_set("line").alias(cut_lines)))
     held = (docs.withColumn(t, F.xxhash64("text"))

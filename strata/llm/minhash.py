@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import append, cut, table
+from strata.llm.common import append, cut, release, table
 from strata.llm.components import components
 
 SHINGLE = 5
@@ -243,6 +243,7 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
              .select(F.explode(F.flatten(F.transform("m", lambda x, i: F.transform(
                  F.slice(F.col("m"), i + 2, SMALL), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p"))
              .select("p.a", "p.b"))
+    release(docs.sparkSession)
     large = members.where(F.col("size") > SMALL)
     crowd = cut(large.select("h", "node").join(large.groupBy("node").agg(F.sum("size").alias("score")), "node"))
     centres = cut(crowd.groupBy("h").agg(F.max(F.struct("score", "node")).alias("c")).select("h", F.col("c")["node"].alias("centre")))
@@ -262,6 +263,7 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         more = cut(across(members, sets))
         if not more.isEmpty():
             labels = cut(components(own, linked.union(more)))
+    release(docs.sparkSession)
     return rows, labels.select("node", "root_first")
 
 

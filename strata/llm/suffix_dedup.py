@@ -34,9 +34,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import append, cut, fresh, partitions, table
+from strata.llm.common import append, cut, fresh, partitions, release, table
 from strata.llm.induced import suffix_order
-from strata.llm.line_dedup import LAST, batches_of_docs, bloom, bloom_places, raw
+from strata.llm.line_dedup import LAST, batches_of_docs, bloom, bloom_places, raws
 from strata.llm.minhash import mixed
 
 LENGTH, ANCHOR = 200, 64
@@ -93,8 +93,8 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
                                                pa.array([(count[x] > 1).tobytes() for x in pick], pa.binary())], ["bucket", "h", "again"])
 
         for b in batches_of_docs(batches):
-            for t in b.column(0):
-                h = segments(np.frombuffer(raw(t), np.uint8))[0]
+            for t in raws(b.column(0)):
+                h = segments(np.frombuffer(t, np.uint8))[0]
                 held.append(h)
                 n += len(h)
             if n > 4_000_000:
@@ -123,13 +123,11 @@ def occurrences(keyed: DataFrame, anchors: DataFrame) -> DataFrame:
         bits = filter_.value
         for batch in batches_of_docs(batches):
             cols = [[] for _ in range(8)]
-            for d, x, t in zip(*(batch.column(i) for i in range(3))):
-                text = raw(x)
+            for d, text, t in zip(batch.column(0).to_pylist(), raws(batch.column(1)), batch.column(2).to_pylist()):
                 h, p, a, b = segments(np.frombuffer(text, np.uint8))
                 ok = np.ones(len(h), bool)
                 for at in bloom_places(h.view(np.uint64)):
                     ok &= (bits[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1
-                d, t = d.as_py(), t.as_py()
                 for i in np.flatnonzero(ok):
                     s = xxhash.xxh3_128_digest(text[a[i]:b[i] + LENGTH], int(p[i] - a[i]))
                     s1, s2 = np.frombuffer(s, np.int64)
@@ -191,8 +189,7 @@ def with_bytes(chosen: DataFrame, keyed: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches_of_docs(batches, 128):
             out = []
-            for x, own in zip(batch.column(0), batch.column(1).to_pylist()):
-                text = raw(x)
+            for text, own in zip(raws(batch.column(0)), batch.column(1).to_pylist()):
                 out += [(o["h"], o["s1"], o["s2"], o["c"], o["v"], text[o["a"]:o["b"] + LENGTH]) for o in own]
             cols = list(zip(*out)) if out else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64()] * 5 + [pa.binary()])],
@@ -238,6 +235,7 @@ def removed_strings(source: DataFrame) -> tuple[DataFrame, DataFrame]:
     whole = classes.where(F.col("c") > 1).select("s1", "s2", F.array(F.struct(
         F.lit(0).cast("long").alias("lo"), (F.col("at")["b"] - F.col("at")["a"]).alias("hi"))).alias("ranges"))
     decided = cut(decided.union(whole))
+    release(spark)
     hits = (found.join(decided, ["s1", "s2"])
             .select("doc", "t", F.explode(F.transform("ranges", lambda r: F.struct(
                 (r["lo"] + F.col("a")).alias("lo"), (r["hi"] + F.col("a") + LENGTH).alias("hi")))).alias("r"))
@@ -259,12 +257,11 @@ def dedup(docs: DataFrame) -> tuple[DataFrame, str]:
     def make():
         def work(texts: pa.Array, found: pa.Array) -> list:
             out = []
-            for x, r in zip(texts, found):
-                r = r.as_py()
+            for x, r in zip(raws(texts), found.to_pylist()):
                 if r is None:
                     out.append(None)
                     continue
-                text = np.frombuffer(raw(x), np.uint8)
+                text = np.frombuffer(x, np.uint8)
                 cover = np.zeros(len(text) + 1, np.int64)
                 np.add.at(cover, [e["lo"] for e in r], 1)
                 np.add.at(cover, [e["hi"] for e in r], -1)
