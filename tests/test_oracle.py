@@ -1,6 +1,7 @@
 """Every registered query against its SQL twin on the smallest data set."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -10,6 +11,11 @@ from scripts.oracle_check import TABLES, rows_of
 SF = "/root/testdata/sf0.001"
 
 
+def library(entries):
+    """The library's own entries; the training-data operators have tests of their own."""
+    return {k: v for k, v in entries.items() if not re.match(r"op\d+_|pipeline$", k)}
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -22,7 +28,7 @@ def con():
 
 def test_every_query_matches_its_sql(spark, con):
     from __spark_entry__ import oracle_sql, queries
-    qs, sql = queries(), oracle_sql()
+    qs, sql = library(queries()), library(oracle_sql())
     assert set(sql) <= set(qs)
     failures = []
     for k, fn in qs.items():
@@ -47,7 +53,7 @@ def test_entry_smoke(spark):
 def test_no_query_plans_a_cartesian_join(spark):
     from __spark_entry__ import queries
     flagged = []
-    for k, fn in queries().items():
+    for k, fn in library(queries()).items():
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         flagged += [(k, m) for m in ("CartesianProduct", "BroadcastNestedLoopJoin") if m in plan]
     assert not flagged
