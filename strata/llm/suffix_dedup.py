@@ -15,7 +15,7 @@ document.  Equal strings meet in one shard without moving the corpus:
   suffixes by induction (``induced.py``, whose queues spill to disk), and
   neighbours whose common prefix reaches ``LENGTH`` bytes go.
 * An anchor with more than ``HOT`` different segments would be a hot shard; its
-  strings are counted by 128-bit hash instead, a row each.
+  strings meet by 128-bit hash instead, in packed arrays.
 
 Every byte covered by a string that goes is removed; strings are judged on the
 input.  Defined results: null is empty text; rows that repeat id and text are
@@ -198,22 +198,94 @@ def with_bytes(chosen: DataFrame, keyed: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "h long, s1 long, s2 long, c long, v long, data binary")
 
 
+STRING = np.dtype([("w1", "<i8"), ("w2", "<i8"), ("s1", "<i8"), ("s2", "<i8"), ("i", "<i4"), ("single", "?"), ("again", "?")])
+HIT = np.dtype([("s1", "<i8"), ("s2", "<i8"), ("i", "<i4")])
+#: Strings a task hashes before it compares and sends them.
+HELD_STRINGS = 200_000
+
+
+def met(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The strings in order, where each distinct one begins, and which of these more than one segment has."""
+    p = p[np.lexsort((p["s2"], p["s1"], p["w2"], p["w1"]))]
+    string, segment = np.ones(len(p), bool), np.ones(len(p), bool)
+    string[1:] = (p["w1"][1:] != p["w1"][:-1]) | (p["w2"][1:] != p["w2"][:-1])
+    segment[1:] = string[1:] | (p["s1"][1:] != p["s1"][:-1]) | (p["s2"][1:] != p["s2"][:-1])
+    first = np.flatnonzero(string)
+    return p, first, np.logical_or.reduceat(p["again"], first) | (np.add.reduceat(segment.astype(np.int64), first) > 1)
+
+
+def hits_of(p: np.ndarray, first: np.ndarray, twice: np.ndarray) -> np.ndarray:
+    """Places of strings met twice, in segments that occur once."""
+    p = p[np.repeat(twice, np.diff(np.append(first, len(p)))) & p["single"]]
+    out = np.zeros(len(p), HIT)
+    for k in HIT.names:
+        out[k] = p[k]
+    return out
+
+
+def dealt(rows: np.ndarray, by: str, buckets: int) -> list[tuple[int, bytes]]:
+    """The rows of each bucket, packed."""
+    bucket = (mixed(np.ascontiguousarray(rows[by]).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    return [(int(b), rows[order[ends[b]:ends[b + 1]]].tobytes()) for b in np.flatnonzero(np.diff(ends))]
+
+
 def hot_ranges(rows: DataFrame) -> DataFrame:
-    """As ``sorted_shard`` for the segments of hot anchors, string by string."""
+    """As ``sorted_shard`` for the segments of hot anchors, by the hashes of their strings.
+
+    Strings travel as packed arrays.  A task settles the strings it meets twice and sends one
+    of each, marked, so a string that many segments have costs its bucket a record per send.
+    """
+    buckets = 4 * partitions(rows.sparkSession)
+    kind = "hit boolean, bucket int, data binary"
+
+    def packed(hit: bool, parts: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([hit] * len(parts), pa.bool_()), pa.array([b for b, _ in parts], pa.int32()),
+                                           pa.array([d for _, d in parts], pa.binary())], ["hit", "bucket", "data"])
+
     def run(batches):
+        held, n = [], 0
+
+        def send():
+            p, first, twice = met(np.concatenate(held))
+            yield packed(True, dealt(hits_of(p, first, twice), "s1", buckets))
+            one = p[first]
+            one["again"] = twice
+            yield packed(False, dealt(one, "w1", buckets))
+
         for batch in batches_of_docs(batches, 512):
-            w1, w2, s1, s2, c, i = ([] for _ in range(6))
-            for a, b, n, data in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                for k in range(len(data) - LENGTH + 1):
-                    x, y = np.frombuffer(xxhash.xxh3_128_digest(data[k:k + LENGTH]), np.int64)
-                    w1.append(x), w2.append(y), s1.append(a), s2.append(b), c.append(n), i.append(k)
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.int64)) for x in (w1, w2, s1, s2, c, i)], ["w1", "w2", "s1", "s2", "c", "i"])
-
-    strings = cut(rows.select("s1", "s2", "c", "data").mapInArrow(run, "w1 long, w2 long, s1 long, s2 long, c long, i long")
-                  .dropDuplicates(["w1", "w2", "s1", "s2"]))
-    twice = cut(strings.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
-    hit = strings.where(F.col("c") == 1).join(twice, ["w1", "w2"], "left_semi")
-    return hit.groupBy("s1", "s2").agg(F.sort_array(F.collect_list(F.struct(F.col("i").alias("lo"), F.col("i").alias("hi")))).alias("ranges"))
+            for s1, s2, c, data in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                p = np.zeros(len(data) - LENGTH + 1, STRING)
+                w = np.frombuffer(b"".join([xxhash.xxh3_128_digest(data[k:k + LENGTH]) for k in range(len(p))]), np.int64)
+                p["w1"], p["w2"], p["s1"], p["s2"], p["i"], p["single"] = w[::2], w[1::2], s1, s2, np.arange(len(p)), c == 1
+                held.append(p)
+                n += len(p)
+            if n > HELD_STRINGS:
+                yield from send()
+                held, n = [], 0
+        if held:
+            yield from send()
+
+    def meet(key, group):
+        p = np.concatenate([np.frombuffer(c.as_buffer(), STRING) for c in group.column("data")])
+        parts = dealt(hits_of(*met(p)), "s1", buckets)
+        return pa.table({"bucket": pa.array([b for b, _ in parts], pa.int32()), "data": pa.array([d for _, d in parts], pa.binary())})
+
+    def join(key, group):
+        p = np.unique(np.concatenate([np.frombuffer(c.as_buffer(), HIT) for c in group.column("data")]))
+        first = np.flatnonzero(np.concatenate([[True], (p["s1"][1:] != p["s1"][:-1]) | (p["s2"][1:] != p["s2"][:-1])]))
+        ranges = []
+        for own in np.split(p["i"], first[1:]):
+            edge = np.flatnonzero(np.diff(own) > 1)
+            ranges.append([{"lo": int(a), "hi": int(b)} for a, b in zip(own[np.append(0, edge + 1)], own[np.append(edge, len(own) - 1)])])
+        return pa.table({"s1": pa.array(p["s1"][first].copy()), "s2": pa.array(p["s2"][first].copy()),
+                         "ranges": pa.array(ranges, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))})
+
+    sent = cut(rows.select("s1", "s2", "c", "data").mapInArrow(run, kind))
+    found = sent.where(~F.col("hit")).select("bucket", "data").groupBy("bucket").applyInArrow(meet, "bucket int, data binary")
+    return (sent.where("hit").select("bucket", "data").union(found).groupBy("bucket")
+            .applyInArrow(join, f"s1 long, s2 long, ranges {RANGES}"))
 
 
 def removed_strings(source: DataFrame) -> tuple[DataFrame, DataFrame]:
