@@ -160,6 +160,8 @@ def test_hot_anchor_path_agrees(spark, docs, monkeypatch):
     plain = removed()
     monkeypatch.setattr(s, "HOT", 0)
     assert removed() == plain
+    monkeypatch.setattr(s, "HELD_STRINGS", 0)       # every batch of segments is sent by itself
+    assert removed() == plain
 
 
 def test_induced_order():
