@@ -7,11 +7,17 @@ page, fused into one score, and paths from a threshold on are content.  What
 lies beside a content path in the same article (headings, lists, short
 paragraphs) belongs to it; menus, headers, footers, sidebars, notices,
 adverts, forms, comments and scripts never do, by element or by class name.
+A name counts as a whole class, id or role, or with words that only say where
+or what (``site-footer``); one on an element that holds most of the page's
+prose is overruled.
 
 Defined results: null or empty html gives an empty text; html without any tag
-is one block.  A line break element is white space.  Unclosed, stray and
-wrongly nested tags are read as a browser would.  Repeated rows are extracted
-one by one.  Pages of any length are read whole; extra columns are ignored.
+is one block.  A line break element is white space.  Formulas are text.
+Unclosed, stray and wrongly nested tags are read as a browser would, but an
+embedded element (``EMBEDDED``) that is never closed holds nothing.  Hidden
+elements (hidden, aria-hidden, display or visibility) are left out, whatever
+they hold.  Repeated rows are extracted one by one.  Pages of any length are
+read whole; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,10 +37,14 @@ from strata.llm.common import append, fresh, table
 THRESHOLD = 0.8
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|display\s*:\s*none", re.I)
-#: Elements whose text is never shown or never prose.
-RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "object", "canvas"}
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+#: Elements whose text is never shown or never prose; an unclosed one takes the rest of the page, as in a browser.
+RAW = {"script", "style", "noscript", "iframe", "textarea", "title"}
+#: The same for elements that are skipped up to their own end tag.
+EMBEDDED = {"template", "svg", "object", "canvas", "annotation", "annotation-xml"}
+PAIRS = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|iframe|textarea|title)\b.*?(?:</\1\s*>|\Z)"
+                   r"|<(/?)(" + "|".join(sorted(EMBEDDED, key=len, reverse=True)) + r")(?=[\s/>])((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>",
+                   re.S | re.I)
 VOID = {"br", "hr", "img", "input", "meta", "link", "source", "wbr", "area", "base", "col", "embed", "track", "param"}
 BLOCK = {"html", "body", "article", "main", "section", "div", "p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li",
          "dl", "dt", "dd", "table", "thead", "tbody", "tfoot", "tr", "td", "th", "caption", "blockquote", "pre", "figure",
@@ -46,19 +56,94 @@ WORDS = {"ad", "ads", "advert", "advertisement", "adverts", "adsense", "sponsor"
          "newsletter", "subscribe", "signup", "sidebar", "menu", "nav", "navbar", "navigation", "breadcrumb",
          "breadcrumbs", "footer", "masthead", "comment", "comments", "reply", "replies", "disqus", "share", "sharing",
          "social", "related", "widget", "toolbar", "pagination", "pager", "complementary", "contentinfo", "search"}
+#: Words that may stand beside one of WORDS in a name.
+BESIDE = {"site", "page", "main", "global", "top", "bottom", "left", "right", "primary", "secondary", "header", "container",
+          "wrapper", "wrap", "box", "block", "bar", "area", "section", "list", "item", "items", "inner", "outer", "links",
+          "link", "button", "buttons", "icons", "posts", "articles", "form", "post", "article", "slot", "unit", "text", "message",
+          "policy", "panel", "group", "title", "body", "thread", "media", "email", "mobile", "desktop"}
+#: Names of prose that is not the page's; on such an element the prose counts only below the page's main heading.
+STRICT = WORDS - {"sidebar", "menu", "nav", "navbar", "navigation", "banner", "masthead", "related", "widget", "toolbar",
+                  "search", "share", "sharing", "social", "pagination", "pager", "complementary", "breadcrumb", "breadcrumbs"}
+COMMENTS = {"comment", "comments", "reply", "replies", "disqus"}
+#: A named element is content from this share of its own and the shown prose on.
+OVERRULE = 2 / 3
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 LISTS = {"ul", "ol", "dl", "table", "menu", "div", "section", "article", "main", "body"}
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
 
 
+def attributes(raw: str) -> dict[str, str]:
+    """Attributes of a tag by lower-case name; the first of a name counts."""
+    out: dict[str, str] = {}
+    for a in ATTRIBUTE.finditer(raw):
+        out.setdefault(a[1].lower(), a[2] or a[3] or a[4] or "")
+    return out
+
+
+def is_hidden(own: dict[str, str]) -> bool:
+    if own.get("hidden", "until-found").strip().lower() != "until-found" or own.get("aria-hidden", "").strip().lower() == "true":
+        return True
+    style = (d.partition(":") for d in own.get("style", "").lower().split(";"))
+    return any((k.strip(), v.replace("!important", "").strip()) in (("display", "none"), ("visibility", "hidden")) for k, _, v in style)
+
+
+def noise_words(names: list[str]) -> set[str]:
+    """Words of WORDS that are a class, id or role, or stand in one beside words of BESIDE only."""
+    out: set[str] = set()
+    for name in names:
+        split = {w for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if w}
+        if split <= WORDS | BESIDE:
+            out |= split & WORDS
+    return out
+
+
+def ends(page: str) -> dict[int, int]:
+    """Where each closed embedded element's start tag ends, and where its end tag does."""
+    open_: dict[str, list[int]] = {}
+    out: dict[int, int] = {}
+    for m in PAIRS.finditer(page):
+        name = (m[3] or "").lower()
+        if not name:
+            continue
+        if m[2]:
+            if open_.get(name):
+                out[open_[name].pop()] = m.end()
+        elif not m[4].endswith("/"):
+            open_.setdefault(name, []).append(m.end())
+    return out
+
+
 def blocks_of(page: str) -> tuple[list[tuple[int, int, str, int, bool]], dict[int, tuple[int, str]]]:
     """Blocks (path, article, text, link characters, noise) in page order, and each path's parent and key."""
+    blocks, parents, marked = read_blocks(page)
+    overruled: set[int] = set()
+    prose = [max(len(b[2]) - b[3], 0) for b in blocks]
+    shown = sum(n for n, b in zip(prose, blocks) if not b[4] and not b[5])
+    below: dict[int, list[int]] = {}
+    for i, b in enumerate(blocks):
+        for k in () if b[4] else b[5]:
+            below.setdefault(k, []).append(i)
+    for k in sorted(below):                                 # outer elements come first
+        words, heading = marked[k]
+        # prose below it that no element of comments takes
+        own = sum(prose[i] for i in below[k] if not any(marked[j][0] & COMMENTS for j in blocks[i][5] if j > k))
+        if own and own >= OVERRULE * (own + shown) and (heading or not words & STRICT):
+            overruled.add(k)
+            shown += sum(prose[i] for i in below[k] if overruled.issuperset(blocks[i][5]))
+    return [(*b[:4], b[4] or not overruled.issuperset(b[5])) for b in blocks], parents
+
+
+def read_blocks(page: str) -> tuple[list[tuple], dict[int, tuple[int, str]], list[tuple[set[str], bool]]]:
+    """Blocks (path, article, text, link characters, noise by element, named elements around), the paths, and the
+    named elements (words, whether they hold a main heading)."""
     paths: dict[tuple[int, str], int] = {}
     parents: dict[int, tuple[int, str]] = {0: (-1, "")}
-    # open block elements: name, path, article (0: none), noise by element, noise by name
-    stack: list[tuple[str, int, int, bool, bool]] = [("", 0, 0, False, False)]
-    out: list[tuple[int, int, str, int, bool]] = []
+    # open block elements: name, path, article (0: none), noise by element or hidden, named elements, hidden
+    stack: list[tuple[str, int, int, bool, tuple[int, ...], bool]] = [("", 0, 0, False, (), False)]
+    out: list[tuple] = []
+    marked: list[tuple[set[str], bool]] = []
+    closed: dict[int, int] | None = None
     held: list[str] = []
     link = links = articles = 0
 
@@ -68,8 +153,8 @@ def blocks_of(page: str) -> tuple[list[tuple[int, int, str, int, bool]], dict[in
             text = " ".join(html.unescape("".join(held)).split())
             held.clear()
             if text:
-                _, path, article, n1, n2 = stack[-1]
-                out.append((path, article, text, links, n1 or n2))
+                _, path, article, by_element, by_name, unseen = stack[-1]
+                out.append((path, article, text, links, by_element or unseen, by_name))
         links = 0
 
     def text(part: str) -> None:
@@ -112,6 +197,11 @@ def blocks_of(page: str) -> tuple[list[tuple[int, int, str, int, bool]], dict[in
                 close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 at = close.end() if close else end
             continue
+        if name in EMBEDDED:
+            if closed is None:
+                closed = ends(page)
+            at = max(at, closed.get(at, at))
+            continue
         if name in ("br", "wbr"):
             if name == "br":
                 held.append(" ")
@@ -136,18 +226,26 @@ def blocks_of(page: str) -> tuple[list[tuple[int, int, str, int, bool]], dict[in
         if name == "body" or name in ("article", "main") and stack[-1][0] == "head":
             while len(stack) > 1 and stack[-1][0] == "head":
                 stack.pop()
-        _, up, article, by_element, by_name = stack[-1]
-        marks = {w for a in ATTRIBUTE.finditer(m[3]) for w in re.split(r"[^a-z]+", (a[2] or a[3] or a[4] or "").lower())} \
-            if m[3] else set()
-        named = bool(marks & WORDS) or bool(m[3] and HIDDEN.search(m[3]))
+        _, up, article, by_element, by_name, unseen = stack[-1]
+        own = attributes(m[3]) if m[3].strip() else {}
+        names = [w for a in ("class", "id", "role") for w in own.get(a, "").split()]
+        marks = {w for n in names for w in re.split(r"[^a-z]+", n.lower())}
+        noise = noise_words(names)
         if name in ("html", "body"):
-            named = False
-        elif name in ("article", "main"):
-            by_name = named and "comment" in " ".join(marks)
-            named = by_name
+            noise = set()
+        elif is_hidden(own):
+            unseen = True
+        if name in ("article", "main"):
+            by_name, noise = (), noise if noise & COMMENTS else set()
             if not article:
                 articles += 1
                 article = articles
+        if noise:
+            by_name = (*by_name, len(marked))
+            marked.append((noise, False))
+        if name == "h1":
+            for k in by_name:
+                marked[k] = (marked[k][0], True)
         if name in NOISE or name == "header" and not article:
             by_element = True
         key = name + "." + min(marks - {""}, default="")
@@ -155,9 +253,9 @@ def blocks_of(page: str) -> tuple[list[tuple[int, int, str, int, bool]], dict[in
         if path is None:
             path = paths[up, key] = len(parents)
             parents[path] = (up, key)
-        stack.append((name, path, article, by_element, by_name or named))
+        stack.append((name, path, article, by_element, by_name, unseen))
     flush()
-    return out, parents
+    return out, parents, marked
 
 
 def smooth(values: np.ndarray) -> np.ndarray:

@@ -293,3 +293,26 @@ def test_sentencepiece(spark, docs, none):
     back, col = s.decode(ids)
     assert back.where(F.coalesce("text", F.lit("")) != F.col(col)).count() == 0
     assert s.encode(none)[0].count() == 0
+
+
+def test_html_names_hidden_and_embedded():
+    from strata.llm.html_extract import main_text
+    a, b = "One long sentence, with some words in it. " * 3, "Another long sentence, with words in it too. " * 3
+    want = a.strip() + "\n" + b.strip()
+    body = f"<p>{a}<p>{b}"
+    side = '<div class="sidebar"><p>Side, text.</p></div>'
+    for attrs in ('class="overflow-hidden"', 'style="overflow:hidden"', 'aria-hidden="false"', 'class="content has-sidebar"',
+                  'class="with-banner"', 'hidden="until-found"', 'class="sidebar"', 'id="page" class="menu layout"'):
+        assert main_text(f"<body><div {attrs}>{body}</div>{side}") == want, attrs
+        assert main_text(f"<body><article><div {attrs}>{body}</div>{side}</article>") == want, attrs
+    for attrs in ("hidden", 'aria-hidden="true"', 'style="color:red; display : none !important"', 'class="Cookie-Banner"',
+                  'id="commentList"', 'class="site-footer x"', 'role="complementary"'):
+        assert main_text(f"<body><article>{body}<div {attrs}><p>Not, this.</p></div></article>") == want, attrs
+        assert main_text(f"<body><div>{body}</div><div {attrs}><p>Not, this.</p></div>") == want, attrs
+    # comments stay out however long they are
+    assert main_text(f'<body><div><p>{a}</div><div class="comments"><p>{b}<p>{b * 20}</div>') == a.strip()
+    assert main_text('<article><p>Let <math><mi>x</mi><annotation encoding="t">\\x</annotation></math> be it.</article>') == "Let x be it."
+    for name in ("svg", "object", "canvas", "template"):
+        assert main_text(f"<article><p>{a}<{name}><p>{b}</article>") == want
+        assert main_text(f"<article><p>{a}<{name}>x<{name}>y</{name}>z</{name}><p>{b}</article>") == want
+    assert main_text(f"<article><p>{a}<math><p>{b}</article>") == want
