@@ -9,14 +9,14 @@ from strata.llm.common import cut
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, first, root, root_first): the smallest (first, node) of each node's component.
+    """(node, first, root, root_first): the smallest (first, node) of each node's component, a null ``first`` last.
 
     ``nodes`` has (node, first), ``edges`` (a, b) over nodes.  A round takes the
     smallest label over the links, then jumps to the label's own label.  Rounds
     end when nothing changes; the driver sees one count each.
     """
     both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    own = F.struct(F.col("first"), F.col("node"))
+    own = F.struct(F.col("first").isNull().alias("none"), F.col("first"), F.col("node"))
     labels = cut(nodes.select("node", "first", own.alias("label")).join(both.select(F.col("a").alias("node")).distinct(), "node"))
     while True:
         near = (both.join(labels.select(F.col("node").alias("b"), "label"), "b")

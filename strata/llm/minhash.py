@@ -17,8 +17,10 @@
 Defined results: a null or wordless text has the empty set, stands alone and
 keeps its own id.  A text under five words is one shingle.  Repeated rows and
 ids are members of their sets' classes; a row without id takes part and is
-kept only if its whole group has no id.  An empty table gives no rows.
-Extra columns are ignored.  Texts are read whole.
+kept only if its whole group has no id.  ``kept`` speaks of the id; the pipeline
+stage decides by row and leaves one of each group, also of rows that share an
+id or have none.  An empty table gives no rows.  Extra columns are ignored.
+Texts are read whole.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import append, cut, release, table
+from strata.llm.common import append, cut, fresh, release, table
 from strata.llm.components import components
 
 SHINGLE = 5
@@ -106,8 +108,18 @@ def estimate(a: np.ndarray, b: np.ndarray, bits: int = BITS) -> np.ndarray:
     return (same - chance) / (1 - chance)
 
 
+def text_key() -> Column:
+    """Equal for equal texts only; null for a null text."""
+    return F.unhex(F.md5(F.col("text").cast("binary")))
+
+
+def smallest() -> Column:
+    """The first (doc_id, tk) of rows: ids before none, then by id and text."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("tk")))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, node, sig, bands): per row the set's size, digest, packed signature and band hashes."""
+    """(doc_id, tk, n, node, sig, bands): per row the text's digest, the set's size, digest, packed signature and band hashes."""
     fields = [("n", T.LongType()), ("node", T.BinaryType()), ("sig", T.BinaryType()), ("bands", T.ArrayType(T.LongType()))]
 
     def make():
@@ -133,7 +145,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             return [n, node, sig, bands]
         return work
 
-    return append(docs.select("doc_id", "text"), ["text"], fields, make).drop("text")
+    return append(docs.select("doc_id", text_key().alias("tk"), "text"), ["text"], fields, make).drop("text")
 
 
 def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -153,23 +165,20 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def sets_of(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, hashes): full sets, read again from the texts of the classes' first documents."""
-    ids = classes.join(nodes.distinct(), "node").select(F.col("first").alias("__id"), "node")
+    ids = classes.join(nodes.distinct(), "node").select(F.col("first").alias("__id"), F.col("tk").alias("__tk"), "node")
 
     def make():
         words = WordHashes()
 
-        def work(texts: pa.Array, nodes: pa.Array) -> list:
-            out = []
-            for t, d in zip(texts, nodes):
-                raw = shingles(t.as_py(), words).tobytes()
-                # an id may stand for several texts: only the class's own text counts
-                out.append(raw if xxhash.xxh3_128_digest(raw) == d.as_py() else None)
-            return [out]
+        def work(texts: pa.Array) -> list:
+            return [[shingles(t.as_py(), words).tobytes() for t in texts]]
         return work
 
-    rows = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("__id")))
-    return (append(rows.select("text", "node"), ["text", "node"], [("hashes", T.BinaryType())], make)
-            .where(F.col("hashes").isNotNull()).select("node", "hashes").dropDuplicates(["node"]))
+    # an id, or none, may stand for several texts: only the class's own text counts
+    rows = (docs.select("doc_id", "text", text_key().alias("tk"))
+            .join(ids, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("tk") == F.col("__tk"))))
+    return (append(rows.select("text", "node"), ["text"], [("hashes", T.BinaryType())], make)
+            .select("node", "hashes").dropDuplicates(["node"]))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -232,10 +241,11 @@ def ordered(a: Column, b: Column) -> list[Column]:
 
 
 def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, n, node) of all documents, and (node, root_first) of the classes that are linked."""
+    """Rows (doc_id, tk, n, node) of all documents, and (node, root, root_first) of the classes that are linked."""
     rows = cut(sketches(docs))
     classes = cut(rows.where(F.col("node").isNotNull()).groupBy("node")
-                  .agg(F.min("doc_id").alias("first"), F.first("sig").alias("sig"), F.first("bands").alias("bands")))
+                  .agg(smallest().alias("f"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+                  .select("node", F.col("f")["doc_id"].alias("first"), F.col("f")["tk"].alias("tk"), "sig", "bands"))
     spread = classes.select("node", F.explode("bands").alias("h"))
     shared = cut(spread.groupBy("h").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1))
     members = cut(spread.join(shared, "h"))
@@ -264,7 +274,7 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         if not more.isEmpty():
             labels = cut(components(own, linked.union(more)))
     release(docs.sparkSession)
-    return rows, labels.select("node", "root_first")
+    return rows, labels.select("node", "root", "root_first")
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,10 +292,24 @@ def with_components(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near-duplicates the document with the smallest id stays."""
+    """Pipeline stage: of each group of near-duplicates one row stays, of the smallest id (none comes last), by text."""
     rows, labels = near_duplicates(docs)
-    kept = with_components(rows, labels).where(F.col("kept")).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    row, word = fresh("row"), fresh("text")
+    classes = cut(rows.where(F.col("node").isNotNull()).groupBy("node").agg(smallest().alias("f"))
+                  .join(labels, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "f"))
+    stays = classes.groupBy("root").agg(F.min("f").alias("stay"))
+    stay = cut(classes.join(stays, "root").select("node", "stay"))
+    keep = F.col("doc_id").eqNullSafe(F.col("stay")["doc_id"]) & (F.col("tk") == F.col("stay")["tk"])
+    texts = (rows.join(stay, "node").groupBy(F.col("doc_id").alias(row), F.col("tk").alias(word), keep.alias("keep"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    odd = cut(texts.where(~F.col("keep") | (F.col("n") > 1)))
+    same = [F.col("doc_id").eqNullSafe(F.col(row)), text_key() == F.col(word)]
+    out = docs.join(odd.select(row, word), same, "left_anti")
+    again = odd.where("keep").select(row, word)
+    if again.isEmpty():
+        return out
+    one = docs.join(again, same).dropDuplicates([row, word]).drop(row, word)
+    return out.unionByName(one)
 
 
 QUERIES = {"op6_minhash": op6_minhash}

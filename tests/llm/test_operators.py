@@ -316,3 +316,29 @@ def test_html_names_hidden_and_embedded():
         assert main_text(f"<article><p>{a}<{name}><p>{b}</article>") == want
         assert main_text(f"<article><p>{a}<{name}>x<{name}>y</{name}>z</{name}><p>{b}</article>") == want
     assert main_text(f"<article><p>{a}<math><p>{b}</article>") == want
+
+
+def test_minhash_rows_without_or_with_shared_id(spark):
+    from strata.llm import minhash as m
+    near = lambda t, k: t.replace(t.split()[k], f"edit{k}", 1)
+    a, b, c = prose(20, 90), prose(21, 90), prose(22, 90)
+    alone = prose(23, 40)
+    rows = [(None, a), (5, near(a, 10)), (7, near(a, 70)), (None, a),        # a class without id links two with
+            (None, b), (None, near(b, 30)), (None, b),                        # no id at all
+            (9, c), (9, c), (9, near(c, 40)), (10, c.upper()),                # one id for several rows
+            (9, alone), (11, None), (11, None), (None, ""), (5, "")]
+    docs = spark.createDataFrame([(i, t, k, "x") for k, (i, t) in enumerate(rows)], "doc_id long, text string, n int, node string")
+    got = {}
+    for r in m.with_components(*m.near_duplicates(docs)).collect():
+        got.setdefault(r.doc_id, set()).add((r.component_id, r.kept))
+    assert got[5] == {(5, True)} and got[7] == {(5, False)} and got[10] == {(9, False)}
+    assert got[None] == {(5, False), (None, True)}
+    out = m.stage_near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    left = sorted(out.collect(), key=lambda r: r.n)
+    by_id = [(r.doc_id, r.text) for r in left]
+    assert [x for x in by_id if x[1] and x[1] in (rows[0][1], rows[1][1], rows[2][1])] == [rows[1]]
+    assert len([x for x in by_id if x[1] in (b, rows[5][1])]) == 1
+    assert len([x for x in by_id if x[1] in (c, rows[9][1], c.upper())]) == 1
+    assert [r.n for r in left if r.n >= 11] == [11, 12, 13, 14, 15] and len(left) == 8
+    assert m.stage_near_duplicates(spark, docs.limit(0), "").count() == 0
