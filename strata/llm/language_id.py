@@ -1,14 +1,15 @@
 """Language identification by cross-parsing entropy.
 
-One suffix automaton per language is built over a bounded sample of labelled
-text.  A document is parsed greedily into longest phrases that occur in a
+One suffix automaton per language, for every language there is, is built over
+a bounded sample of its labelled text.  A document is parsed greedily into longest phrases that occur in a
 language's sample; few phrases mean a short description, so the language with
 the smallest ``phrases * log2(sample length) / characters`` wins.
 
 Parsing is vectorised: a batch of texts is cut into blocks of ``BLOCK``
 characters (a phrase ends at a block's end), and all blocks step through the
-dense transition tables of all languages together.  Every character of every
-text is parsed.
+dense transition tables of a group of languages together; a group's tables are
+bounded, and with more than one group each batch of texts is parsed against one
+after the other.  Every character of every text is parsed.
 
 Defined results: ``und`` with score 0 for a null text or one without a
 letter, and for all rows when there is no labelled text to learn from.
@@ -30,11 +31,13 @@ from pyspark.sql.window import Window
 
 from strata.llm.common import append, fresh, table
 
-#: Bounds of what is learned from: languages (most frequent first), documents
-#: per language, characters of one document, characters of all samples.
-MAX_LANGS, MAX_DOCS, WINDOW, MAX_CHARS = 64, 96, 600, 240_000
+#: Bounds of what is learned from: documents per language, characters of one document.
+MAX_DOCS, WINDOW = 96, 600
+#: Cells of the tables of one group of languages; a language by itself may have more.
+CELLS = 80_000_000
 BLOCK = 256
-BATCH_CHARS = 2_000_000
+#: Characters parsed at once, with one group of languages and with several, whose tables are built for each batch.
+BATCH_CHARS, LONG_BATCH_CHARS = 2_000_000, 16_000_000
 
 
 @lru_cache(maxsize=1)
@@ -95,10 +98,10 @@ class Model:
         return _parser(self.samples) if self.samples else None
 
 
-class Parser:
-    def __init__(self, samples: tuple[tuple[str, str], ...]):
-        texts = [letters_of(t) for _, t in samples]
-        self.langs = [k for k, _ in samples]
+class Tables:
+    """The automata of some languages' samples as one dense table."""
+
+    def __init__(self, texts: list[np.ndarray]):
         alphabet = np.unique(np.concatenate(texts + [np.array([32], np.uint32)]))
         self.alphabet, pad = alphabet, len(alphabet) + 1      # len(alphabet): any other letter
         self.width, self.pad = len(alphabet) + 2, pad
@@ -117,11 +120,9 @@ class Parser:
             at += len(table_)
         self.table = np.concatenate(tables).ravel()
         self.starts = np.array(starts, np.int32)
-        self.bits = np.log2(np.array([max(len(t), 2) for t in texts]))
 
-    def costs(self, docs: list[np.ndarray]) -> np.ndarray:
-        """Bits per character, documents x languages."""
-        sizes = np.array([len(d) for d in docs])
+    def phrases(self, docs: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
+        """Phrases of the parses, documents x languages."""
         blocks = -(-sizes // BLOCK)
         first = np.concatenate([[0], np.cumsum(blocks)])
         flat = np.concatenate(docs) if docs else np.zeros(0, np.uint32)
@@ -139,7 +140,31 @@ class Parser:
             phrases -= begun
             state = step ^ begun
         owner = np.repeat(np.arange(len(docs)), blocks)
-        total = np.stack([np.bincount(owner, p, len(docs)) for p in phrases], axis=1)
+        return np.stack([np.bincount(owner, p, len(docs)) for p in phrases], axis=1)
+
+
+class Parser:
+    """Languages in groups whose tables fit ``CELLS``; the tables of a single group are kept."""
+
+    def __init__(self, samples: tuple[tuple[str, str], ...]):
+        texts = [letters_of(t) for _, t in samples]
+        self.langs = [k for k, _ in samples]
+        self.bits = np.log2(np.array([max(len(t), 2) for t in texts]))
+        self.groups: list[list[np.ndarray]] = [[]]
+        alphabet, states = {32}, 0
+        for t in texts:
+            alphabet, states = alphabet | set(np.unique(t).tolist()), states + 2 * len(t) + 2
+            if self.groups[-1] and states * (len(alphabet) + 2) > CELLS:
+                self.groups.append([])
+                alphabet, states = {32, *np.unique(t).tolist()}, 2 * len(t) + 2
+            self.groups[-1].append(t)
+        self.kept = Tables(self.groups[0]) if len(self.groups) == 1 else None
+        self.batch_chars = BATCH_CHARS if self.kept else LONG_BATCH_CHARS
+
+    def costs(self, docs: list[np.ndarray]) -> np.ndarray:
+        """Bits per character, documents x languages."""
+        sizes = np.array([len(d) for d in docs])
+        total = np.concatenate([(self.kept or Tables(g)).phrases(docs, sizes) for g in self.groups], axis=1)
         return total * self.bits[None, :] / np.maximum(sizes, 1)[:, None]
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
@@ -158,7 +183,7 @@ class Parser:
             batch.append(d)
             where.append(i)
             held += len(d)
-            if held > BATCH_CHARS:
+            if held > self.batch_chars:
                 flush()
                 batch, where, held = [], [], 0
         if batch:
@@ -178,22 +203,15 @@ def train(docs: DataFrame) -> Model:
     a window of ``WINDOW`` characters of each (at a place given by the hash).
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    langs = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
-    if not langs:
-        return Model({})
     order = Window.partitionBy("lang").orderBy("h", "doc_id", "n")
-    picked = (rows.where(F.col("lang").isin(langs))
-              .select("lang", "doc_id", F.xxhash64("doc_id").alias("h"), F.length("text").alias("n"), "text")
+    picked = (rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"), F.length("text").alias("n"), "text")
               .select("lang", "doc_id", "h", "n", F.substring(
                   F.col("text"), (F.pmod("h", F.greatest(F.col("n") - WINDOW, F.lit(1))) + 1).cast("int"),
                   F.lit(WINDOW)).alias("t"))
               .withColumn("r", F.row_number().over(order)).where(F.col("r") <= MAX_DOCS))
-    per_lang = MAX_CHARS // len(langs)
     samples: dict[str, list[str]] = {}
     for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["r"])):
-        own = samples.setdefault(r["lang"], [])
-        if sum(map(len, own)) < per_lang:
-            own.append(r["t"])
+        samples.setdefault(r["lang"], []).append(r["t"])
     return Model(samples)
 
 

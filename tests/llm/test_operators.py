@@ -342,3 +342,24 @@ def test_minhash_rows_without_or_with_shared_id(spark):
     assert len([x for x in by_id if x[1] in (c, rows[9][1], c.upper())]) == 1
     assert [r.n for r in left if r.n >= 11] == [11, 12, 13, 14, 15] and len(left) == 8
     assert m.stage_near_duplicates(spark, docs.limit(0), "").count() == 0
+
+
+def test_language_id_learns_every_language(spark, monkeypatch):
+    from strata.llm import language_id as l
+    rng = np.random.default_rng(11)
+    own = {f"l{k:02d}": ["".join(rng.choice(list("abcdefghijklmnopqrst"), 6)) for _ in range(30)] for k in range(80)}
+    say = lambda k, n: " ".join(rng.choice(own[k], n))
+    rows = [(i, say(k, 60), k) for i, k in enumerate(k for k in own for _ in range(1 if k == "l79" else 3))]
+    model = l.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert [k for k, _ in model.samples] == sorted(own)
+    # a sample does not depend on how many other languages there are
+    many = spark.createDataFrame([(i, say(f"l{i % 70:02d}", 100), f"l{i % 70:02d}") for i in range(70 * 12)], "doc_id long, text string, lang string")
+    assert min(len(t) for _, t in l.train(many).samples) > 12 * l.WINDOW
+    ask = [say(k, 12) for k in own] + [None, "12"]
+    one = model.parser().predict(ask)
+    assert [k for k, _ in one] == [*own, "und", "und"]
+    l._parser.cache_clear()
+    monkeypatch.setattr(l, "CELLS", 60_000)
+    split = model.parser()
+    assert len(split.groups) > 3 and split.predict(ask) == one
+    l._parser.cache_clear()
