@@ -12,8 +12,12 @@ format it is written in.
 
 Distinctness is checked over the whole corpus: entities of one type that draw
 the same surrogate, or one that is itself an entity of the corpus, draw again
-(all but the smallest) until no two share one.  Only such redrawn entities, a
-table that is empty or tiny, have to be joined back to the documents.
+(all but the smallest) until no two share one.  A name draws part by part, and
+a part has one surrogate wherever it occurs: no two last names share a family
+name and none gets one that is a last name of the corpus; of the first names
+that draw the same given name beside one last name, all but the smallest get
+one with syllables.  Only what was drawn again has to be joined back to the
+documents.
 
 Defined results: a null text stays null, an empty one empty, with no
 entities.  Repeated rows and ids are rewritten one by one; a null id is kept.
@@ -145,26 +149,42 @@ def hex_at(h: Column, i: int) -> Column:
     return F.conv(F.substr(h, F.lit(i + 1), F.lit(1)), 16, 10).cast("int") + 1
 
 
-def surrogate_name(key: str, canon: Column, attempt: Column) -> Column:
-    """Given name by gender and script, family name of syllables; each follows from its own part of the name."""
+def name_part(canon: Column, part: str) -> Column:
+    """The part of a canonical name that draws by itself: the last name, or gender and first name (null: none)."""
     words = F.split(F.substr(canon, F.lit(3), F.length(canon)), " ")
-    last, first = F.element_at(words, -1), F.element_at(words, 1)
-    hl, hf = keyed(key, F.lit("family"), last), keyed(key, F.lit("given"), first)
-    more = keyed(key, F.lit("again"), canon, attempt.cast("string"))
+    if part == "family":
+        return F.element_at(words, -1)
+    return F.when(F.size(words) > 1, F.concat(F.substr(canon, F.lit(1), F.lit(2)), F.element_at(words, 1)))
+
+
+def drawn_part(key: str, kind: str, canon: Column, attempt: Column) -> Column:
+    """The surrogate of a part of a name: syllables, or a listed given name (again: with syllables) of its gender."""
+    first = F.substr(canon, F.lit(3), F.length(canon)) if kind == "given" else canon
+    h = keyed(key, F.lit(kind), first)
+    more = keyed(key, F.lit("again"), F.lit(kind), canon, attempt.cast("string"))
+
     def of(script: str) -> Column:
         syllables = F.array(*map(F.lit, SYLLABLES[script].split()))
-        family = F.initcap(F.concat(*(F.element_at(syllables, hex_at(hl, i)) for i in range(4)),
-                                    F.when(attempt > 0, F.concat(*(F.element_at(syllables, hex_at(more, i)) for i in range(3))))
-                                    .otherwise(F.lit(""))))
+        build = lambda x, n: [F.element_at(syllables, hex_at(x, i)) for i in range(n)]
+        if kind == "family":
+            return F.initcap(F.concat(*build(h, 4), F.when(attempt > 0, F.concat(*build(more, 3))).otherwise(F.lit(""))))
         he, she = (F.array(*map(F.lit, GIVEN[script][g].split())) for g in (0, 1))
-        given = F.when(canon.startswith("f "), F.element_at(she, hex_at(hf, 0))).otherwise(F.element_at(he, hex_at(hf, 0)))
-        return F.when(F.size(words) > 1, F.concat_ws(" ", given, family)).otherwise(family)
-    script = script_of(canon)
+        base = F.when(canon.startswith("f "), F.element_at(she, hex_at(h, 0))).otherwise(F.element_at(he, hex_at(h, 0)))
+        return F.concat(base, F.when(attempt > 0, F.concat(*build(more, 5))).otherwise(F.lit("")))
+    script = script_of(first)
     return F.when(script == "cyrillic", of("cyrillic")).when(script == "greek", of("greek")).otherwise(of("latin"))
 
 
-def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
-    """The canonical surrogate of a canonical entity."""
+def surrogate_name(key: str, canon: Column, attempt_of: Callable[[Column, Column], Column]) -> Column:
+    """Given name by gender and script, family name of syllables; each follows from its own part of the name."""
+    def of(kind: str) -> Column:
+        part = name_part(canon, kind)
+        return F.when(part.isNotNull(), drawn_part(key, kind, part, attempt_of(F.lit(kind), part)))
+    return F.concat_ws(" ", of("given"), of("family"))
+
+
+def surrogate(key: str, kind: Column, canon: Column, attempt: Column, name: Column) -> Column:
+    """The canonical surrogate of a canonical entity; ``name`` is that of a name."""
     def of(h: Column) -> Column:
         part = lambda i: F.conv(F.substr(h, F.lit(1 + 6 * i), F.lit(6)), 16, 10).cast("long")
         size = F.length(canon)
@@ -181,7 +201,7 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
             .when(kind == "access", F.concat(F.substr(canon, F.lit(1), F.lit(4)), F.substr(drawn, F.lit(5), size)))
             .otherwise(drawn)))
         return (F.when(kind == "email", mail).when(kind == "ip", ip)
-                .when(kind == "name", surrogate_name(key, canon, attempt)).otherwise(plain))
+                .when(kind == "name", name).otherwise(plain))
     return let(keyed(key, kind, canon, attempt.cast("string")), of)
 
 
@@ -214,24 +234,57 @@ def searched(text: Column) -> Column:
     return F.when(hinted(text), F.filter(lines, lambda x: x.isNotNull() & (F.size(x["e"]) > 0))).otherwise(none)
 
 
+def parts_of(kind: Column, canon: Column) -> Column:
+    """What an entity draws: itself, or the parts of a name."""
+    parts = F.filter(F.array(*(F.struct(F.lit(k).alias("kind"), name_part(canon, k).alias("canon")) for k in ("family", "given"))),
+                     lambda x: x["canon"].isNotNull())
+    return F.when(kind == "name", parts).otherwise(F.array(F.struct(kind.alias("kind"), canon.alias("canon"))))
+
+
 def redrawn(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, canon, attempt) of the entities that may not keep their first surrogate.
+    """(kind, canon, attempt) of what may not keep its first surrogate: entities, last names ("family") and
+    first names with gender ("given").
 
     Each round redraws the losers of every clash and ends when there is none.
     """
+    drawing = entities.select(F.explode(parts_of(F.col("kind"), F.col("canon"))).alias("p")).select("p.kind", "p.canon").distinct()
+    whole = cut(drawing.where(F.col("kind") != "given"))
+
+    def clashes(own: DataFrame) -> DataFrame:
+        family = F.lower(drawn_part(key, "family", F.col("canon"), F.col("attempt")))
+        drawn = own.withColumn("drawn", surrogate(key, F.col("kind"), F.col("canon"), F.col("attempt"), F.lit(None).cast("string")))
+        drawn = drawn.withColumn("drawn", F.when(F.col("kind") == "family", family).otherwise(F.col("drawn")))
+        # a surrogate taken by two entities, or one that some entity of the corpus really is; with no real last name
+        # drawn, no whole name is real under either gender
+        real = whole.select("kind", F.col("canon").alias("drawn"), F.lit(1).alias("real"), F.lit(None).cast("string").alias("canon"))
+        taken = (drawn.select("kind", "drawn", F.lit(0).alias("real"), "canon").unionByName(real)
+                 .groupBy("kind", "drawn").agg(F.max("real").alias("real"), F.count("canon").alias("n"), F.min("canon").alias("first"))
+                 .where((F.col("n") > 1) | (F.col("real") == 1) & (F.col("n") > 0)))
+        return (drawn.join(taken, ["kind", "drawn"]).where((F.col("real") == 1) | (F.col("canon") != F.col("first")))
+                .select("kind", "canon", "attempt"))
+
+    # first names of one gender beside the same last name; families are distinct by themselves
+    beside = cut(entities.where((F.col("kind") == "name") & name_part(F.col("canon"), "given").isNotNull())
+                 .select(F.lit("given").alias("kind"), name_part(F.col("canon"), "given").alias("canon"),
+                         name_part(F.col("canon"), "family").alias("last")))
+
+    def given_clashes(own: DataFrame) -> DataFrame:
+        drawn = own.withColumn("drawn", F.concat(F.substr("canon", F.lit(1), F.lit(2)), drawn_part(key, "given", F.col("canon"), F.col("attempt"))))
+        taken = (drawn.groupBy("last", "drawn").agg(F.count(F.lit(1)).alias("n"), F.min("canon").alias("first")).where(F.col("n") > 1))
+        return (drawn.join(taken, ["last", "drawn"]).where(F.col("canon") != F.col("first"))
+                .select("kind", "canon", "attempt").distinct())
+
+    return settled(whole, clashes).unionByName(settled(beside, given_clashes))
+
+
+def settled(entities: DataFrame, clashes: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(kind, canon, attempt) of the entities that had to draw again until ``clashes`` finds none."""
     spark = entities.sparkSession
     moved = None
     for _ in range(64):
         own = entities.withColumn("attempt", F.lit(0)) if moved is None else entities.join(
             moved, ["kind", "canon"], "left").withColumn("attempt", F.coalesce("attempt", F.lit(0)))
-        drawn = own.withColumn("drawn", surrogate(key, F.col("kind"), F.col("canon"), F.col("attempt")))
-        # a surrogate taken by two entities, or one that some entity of the corpus really is
-        real = entities.select("kind", F.col("canon").alias("drawn"), F.lit(1).alias("real"), F.lit(None).cast("string").alias("canon"))
-        taken = (drawn.select("kind", "drawn", F.lit(0).alias("real"), "canon").unionByName(real)
-                 .groupBy("kind", "drawn").agg(F.max("real").alias("real"), F.count("canon").alias("n"), F.min("canon").alias("first"))
-                 .where((F.col("n") > 1) | (F.col("real") == 1) & (F.col("n") > 0)))
-        losers = cut(drawn.join(taken, ["kind", "drawn"]).where((F.col("real") == 1) | (F.col("canon") != F.col("first")))
-                     .select("kind", "canon", (F.col("attempt") + 1).alias("attempt")))
+        losers = cut(clashes(own).withColumn("attempt", F.col("attempt") + 1))
         if losers.isEmpty():
             return moved if moved is not None else spark.createDataFrame([], "kind string, canon string, attempt int")
         rest = losers if moved is None else losers.unionByName(moved.join(losers, ["kind", "canon"], "left_anti"))
@@ -251,15 +304,18 @@ def rewrite(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_col: s
     if moved.isEmpty():
         held = held.withColumn(again, F.lit(None).cast("map<string,int>"))
     else:
-        # attempts belong to entities, so one map per id serves all rows of that id
-        hits = (spread.distinct().join(moved, ["kind", "canon"]).groupBy(F.col("id").alias(other := fresh("id")))
+        # attempts belong to entities and parts of names, so one map per id serves all rows of that id
+        drawing = spread.select("id", F.explode(parts_of(F.col("kind"), F.col("canon"))).alias("p")).select("id", "p.kind", "p.canon")
+        hits = (drawing.distinct().join(moved, ["kind", "canon"]).groupBy(F.col("id").alias(other := fresh("id")))
                 .agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "kind", "canon"), "attempt"))).alias(again)))
         held = held.join(hits, F.col(id_col).eqNullSafe(F.col(other)), "left").drop(other)
 
+    def attempt_of(kind: Column, canon: Column) -> Column:
+        return F.coalesce(F.element_at(F.col(again), F.concat_ws("|", kind, canon)), F.lit(0))
+
     def replaced(e: Column) -> Column:
-        attempt = F.coalesce(F.element_at(F.col(again), F.concat_ws("|", e["kind"], e["canon"])), F.lit(0))
-        return F.struct(e["kind"].alias("kind"), e["m"].alias("entity"),
-                        render(e["kind"], e["m"], surrogate(key, e["kind"], e["canon"], attempt)).alias("surrogate"))
+        drawn = surrogate(key, e["kind"], e["canon"], attempt_of(e["kind"], e["canon"]), surrogate_name(key, e["canon"], attempt_of))
+        return F.struct(e["kind"].alias("kind"), e["m"].alias("entity"), render(e["kind"], e["m"], drawn).alias("surrogate"))
 
     lines = F.split(text, "\n", -1)
     done = held.withColumn(ents, F.transform(ents, lambda x: F.struct(

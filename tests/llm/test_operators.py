@@ -363,3 +363,26 @@ def test_language_id_learns_every_language(spark, monkeypatch):
     split = model.parser()
     assert len(split.groups) > 3 and split.predict(ask) == one
     l._parser.cache_clear()
+
+
+def test_pii_names_stay_consistent_and_distinct(spark):
+    from strata.llm import pii as p
+    low = "abcdefghijklmnopqrst"
+    firsts = [f"J{a}{b}n" for a in low[:10] for b in low[:6]]
+    lasts = ["Smith", "Jones", "Miller"]
+    # a family name that would be drawn for another one is a real one too
+    drawn = spark.range(1).select(p.drawn_part(p.KEY, "family", F.lit("smith"), F.lit(0))).first()[0]
+    names = [f"Mr {f} {n}" for f in firsts for n in lasts] + [f"Mrs {f} Smith" for f in firsts[:30]]
+    names += [f"{t} {n}" for t in ("Mr", "Mrs") for n in lasts] + [f"Ms Anna {drawn}", "Господин Иван Smith"]
+    docs = spark.createDataFrame([(i, f"then {n}, who") for i, n in enumerate(names)], "doc_id long, text string")
+    out, _, ents = p.rewrite(docs)
+    new = {e.entity: e.surrogate for r in out.select(F.col(ents).alias("e")).collect() for e in r.e}
+    assert sorted(new) == sorted(names) and len(set(new.values())) == len(names)
+    family, given = {}, {}
+    for n, s in new.items():
+        assert len(n.split()) == len(s.split()) and n.split()[0] == s.split()[0]
+        family.setdefault(n.split()[-1], set()).add(s.split()[-1])
+        if len(n.split()) == 3:
+            given.setdefault(tuple(n.split()[:2]), set()).add(s.split()[1])
+    assert all(len(v) == 1 for v in [*family.values(), *given.values()])
+    assert len(set.union(*family.values())) == len(family) and not set.union(*family.values()) & set(family)
