@@ -386,3 +386,64 @@ def test_pii_names_stay_consistent_and_distinct(spark):
             given.setdefault(tuple(n.split()[:2]), set()).add(s.split()[1])
     assert all(len(v) == 1 for v in [*family.values(), *given.values()])
     assert len(set.union(*family.values())) == len(family) and not set.union(*family.values()) & set(family)
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    import corpus_pipeline as c
+    from strata.llm import packing as k
+    from tokenizers import Tokenizer
+    a, b = prose(40, 120), prose(41, 60)
+    mail = prose(42, 30) + " a.long.name@corp.com " + prose(43, 30)
+    near = "\n".join(prose(50 + i, 12) for i in range(12))
+    rows = [(1, a), (2, a), (3, None), (4, ""), (5, "two words"), (6, "again and again it says " * 30), (7, prose(44, 40) + "\n" + b),
+            (8, b), (9, mail), (9, mail), (None, prose(45, 50)), (12, near), (13, near.replace("\n", " ")), (13, prose(46, 3000))]
+    columns = "doc_id long, text string, lang string, source string, n_chars long, node string, row int, keep boolean"
+    docs = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t), "x", 1, None) for i, t in rows], columns)
+
+    def run(source, folder):
+        source.write.parquet(f"{tmp_path}/{folder}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/{folder}/labels.parquet")
+        at, out = spark.read.parquet(f"{tmp_path}/{folder}/documents.parquet"), {}
+        for name, stage in c.STAGES:
+            stage(spark, at, f"{tmp_path}/{folder}").write.parquet(f"{tmp_path}/{folder}/{name}")
+            at = out[name] = spark.read.parquet(f"{tmp_path}/{folder}/{name}")
+        return out
+
+    key = lambda r: tuple((x is None, x if x is not None else 0) for x in r)
+    out = run(docs, "some")
+    read = lambda name: sorted(((r.doc_id, r.text) for r in out[name].collect()), key=key)
+    left = []
+    for i, t in rows:
+        w = words(t)
+        grams = [tuple(w[j:j + 5]) for j in range(len(w) - 4)]
+        hit = {j for n, g in enumerate(grams) if grams.count(g) > 1 for j in range(n, n + 5)}
+        if len(w) >= 10 and 100 * len(hit) <= 20 * len(w):
+            left.append((i, t))
+    assert read("quality_rules") == sorted(left, key=key) and 0 < len(left) < len(rows)
+    shingles = lambda x: {tuple(w[j:j + 5]) for w in [words(x.lower())] for j in range(max(1, len(w) - 4))} if words(x) else set()
+    lines = [(i, t, n, x, shingles(x)) for i, t in sorted(set(left), key=lambda r: (r[0] is None, r[0] or 0, r[1])) for n, x in enumerate(t.split("\n"))]
+    gone = {x[:3] for m, x in enumerate(lines) if x[4] for y in lines[:m] if y[4] and (x[3] == y[3] or 100 * len(x[4] & y[4]) >= 75 * len(x[4] | y[4]))}
+    left = [(i, "\n".join(x for n, x in enumerate(t.split("\n")) if (i, t, n) not in gone)) for i, t in left]
+    assert gone and read("line_dedup") == sorted(left, key=key)
+    assert all(r.n_chars == len(r.text) for r in out["line_dedup"].collect())
+    kept = []
+    for i, t in sorted(left, key=key):          # groups here are cliques: the first of each stays
+        s = shingles(t)
+        if not s or not any(100 * len(s & o) >= 75 * len(s | o) for _, _, o in kept if o):
+            kept.append((i, t, s))
+    left = [r[:2] for r in kept]
+    assert read("minhash_near_dedup") == left and len(left) < len(read("line_dedup"))
+    got = read("pii")
+    strip = lambda t: re.sub(r"\S+@\S+", "@", t)
+    assert [(i, strip(t)) for i, t in got] == [(i, strip(t)) for i, t in left] and not any("corp.com" in t for _, t in got)
+    assert all(out[n].columns == docs.columns for n, _ in c.STAGES[:-1])
+    tok, want = Tokenizer.from_file(k.word_bpe()), []
+    for i, t in got:
+        ids = tok.encode(t, add_special_tokens=False).ids + [1]
+        want += [(i, n, s, len(ids[s:s + k.CAPACITY]), zlib.crc32(np.array(ids[s:s + k.CAPACITY], "<u4").tobytes()))
+                 for n, s in enumerate(range(0, len(ids), k.CAPACITY))]
+    pieces = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out["best_fit_packing"].collect()]
+    assert sorted(pieces, key=key) == sorted(want, key=key)
+    last = c.run(spark, f"{tmp_path}/some")
+    assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in last.collect()), key=key) == sorted(want, key=key)
+    assert all(o.count() == 0 for o in run(docs.limit(0), "none").values())
