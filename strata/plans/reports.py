@@ -49,7 +49,11 @@ def student_measures(pass_threshold: float = 40, digits: int | None = 2) -> dict
         Ratio("avg_clicks_per_active_student", "total_clicks", "active_students"),
         # Implicit default-sum measures of numeric columns.
         Measure("score_sum", "fact_assessment", lambda: M.total("score")),
+        Measure("date_submitted_sum", "fact_assessment", lambda: M.total("date_submitted")),
         Measure("event_count_sum", "fact_vle", lambda: M.total("event_count")),
+        Measure("date_registration_sum", "fact_registration", lambda: M.total("date_registration")),
+        Measure("date_unregistration_sum", "fact_registration",
+                lambda: M.total("date_unregistration")),
         Measure("module_length_sum", "dim_module",
                 lambda: M.total("module_presentation_length")),
     ]

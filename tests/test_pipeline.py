@@ -239,3 +239,12 @@ def test_partitioned_click_layout(spark, tmp_path):
                for p in (tmp_path / "lake" / "silver" / "studentVle").iterdir())
     plan = clicks.filter("code_presentation = '2014J'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(code_presentation" in plan
+
+
+def test_implicit_sums_of_dates(built):
+    _, _, gold = built
+    star = reports.student_star(gold, secure=False).unsecured()
+    for fact, column in (("fact_assessment", "date_submitted"), ("fact_registration", "date_registration"),
+                         ("fact_registration", "date_unregistration")):
+        want = [r[0] for r in gold[fact].select(column).collect() if r[0] is not None]
+        assert want and [r[0] for r in star.query([f"{column}_sum"], []).collect()] == [sum(want)]
