@@ -8,9 +8,8 @@
   version per run of unchanged attributes, with ``effective_from``,
   ``effective_to`` (next version's start, or an open-end date) and
   ``is_current`` set on the latest version only.  Previous / next versions
-  are found with the skew-safe ``sequence.neighbour`` (an equi-join on
-  (key, rank)), so one key with a huge history does not funnel into one
-  task.
+  are found with the skew-safe ``sequence.neighbour``: windows on one shuffle,
+  and an equi-join on (key, rank) for the keys with a huge history.
 * ``asof_join`` -- for each row, the latest row of another table with the
   same key at or before its time (e.g. the dimension version in effect on
   a fact's date).  Not a key join plus range filter, which pairs every row
@@ -32,6 +31,7 @@ from pyspark.sql import functions as F
 from strata.errors import CheckFailed
 from strata.operators.joins import outputs_equal
 from strata.operators.sequence import neighbour, running
+from strata.operators.skew import hot_keys
 
 OPEN_END = "9999-12-31"
 
@@ -74,9 +74,10 @@ def scd2(observations: DataFrame, key: Sequence[str], attrs: Sequence[str], at:
     key, attrs = list(key), list(attrs)
     order = [at, *tie]
     obs = observations.select(*key, *attrs, *tie, at)
+    hot = hot_keys(obs, key)            # found once: both neighbours then share one shuffle on the key
     # The marker tells "no previous row" from a previous row of NULLs.
     with_prev = neighbour(obs.withColumn("_here", F.lit(True)), order, key, [*attrs, "_here"],
-                          offset=-1, prefix="_prev_")
+                          offset=-1, prefix="_prev_", hot=hot)
     first = F.col("_prev__here").isNull()
     changed = F.lit(False)
     for a in attrs:
@@ -85,7 +86,7 @@ def scd2(observations: DataFrame, key: Sequence[str], attrs: Sequence[str], at:
     starts = (with_prev.filter(changed | first)
               .select(*key, *attrs, *tie, F.col(at).alias("effective_from")))
     versions = neighbour(starts, ["effective_from", *tie], key, ["effective_from"],
-                         offset=1, prefix="_next_")
+                         offset=1, prefix="_next_", hot=hot)
     end = F.coalesce(F.col("_next_effective_from"), F.lit(open_end).cast(
         versions.schema["effective_from"].dataType))
     return versions.select(*key, *attrs, "effective_from", end.alias("effective_to"),

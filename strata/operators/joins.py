@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.skew import salted_lookup
+
 
 def lookup_key(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, sk: str,
                how: str = "left") -> DataFrame:
@@ -32,12 +34,13 @@ def preaggregate_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     """Sum ``right.measure`` to the grain of ``keys`` first, then left join.
 
     Aggregating before the join keeps one right row per key, so the join
-    cannot fan out the left side; missing keys get ``default``.
+    cannot fan out the left side; missing keys get ``default``.  Left rows of a
+    hot key are spread over several tasks (``skew.salted_lookup``).
     """
     keys = list(keys)
     s = F.sum(measure)
     agg = right.groupBy(*keys).agg((s.cast(kind) if kind else s).alias(out))
-    j = left.join(agg, keys, "left")
+    j = salted_lookup(left, agg, keys)
     return j.withColumn(out, F.coalesce(F.col(out), F.lit(default).cast(
         kind or agg.schema[out].dataType.simpleString())))
 

@@ -25,17 +25,22 @@ re-reads the checkpoint instead of re-sampling.
 The result is exactly ``row_number`` when ``order`` is a total order
 within each group (add a unique column to break ties).
 
-There is one path for every input size.  All steps are DataFrame operations
-planned by Catalyst; nothing is collected.
+All steps are DataFrame operations planned by Catalyst; no rows are collected.
+``running`` and ``neighbour`` use such ranges for hot groups only, which a sketch
+names at every input size; groups that fit a task are plain windows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from strata.operators.skew import hot_keys, key_hash
 from strata.session import ensure_checkpoint_dir
 
 _PID = "_seq_pid"
@@ -93,32 +98,89 @@ def null_safe_join(rows: DataFrame, seg: DataFrame, keys: Sequence[str], how: st
     return rows.join(renamed, cond, how).drop(*[f"_sk_{k}" for k in keys])
 
 
+def _split_hot(df: DataFrame, by: Sequence[str], hot: dict[int, int] | None) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows of groups that fit a task, and rows of hot groups; None for a side without rows.  Without groups all is hot."""
+    if not by:
+        return None, df
+    hot = hot_keys(df, by) if hot is None else hot
+    if not hot:
+        return df, None
+    crowded = key_hash(by).isin(list(hot))
+    return df.where(~crowded), df.where(crowded)
+
+
+def _with_bins(df: DataFrame, order, name: str) -> DataFrame | None:
+    """``name`` = number of an ascending range of the first order column, about as many ranges as shuffle partitions
+    with as many rows each; None where that column is not a number or a time.
+
+    The bounds are approximate percentiles: one pass, no shuffle, a number per partition on the driver.
+    """
+    if not isinstance(order, str):
+        return None
+    kind = df.schema[order].dataType
+    if isinstance(kind, T.NumericType):
+        v = F.col(order).cast("double")
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        v = F.col(order).cast("timestamp").cast("double")
+    else:
+        return None
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = df.agg(F.percentile_approx(F.when(~F.isnan(v), v), [(i + 1) / n for i in range(n)], 10 * n).alias("c")).first()["c"] or []
+    splits = [float("-inf"), *sorted({c for c in cuts if abs(c) != float("inf")} or {0.0}), float("inf")]
+    raw, bin_ = f"{name}_v", f"{name}_b"
+    put = Bucketizer(splits=splits, inputCol=raw, outputCol=bin_, handleInvalid="keep")
+    # NULLs sort first, NaNs (kept in a bin of their own) last.
+    return (put.transform(df.withColumn(raw, v))
+            .withColumn(name, F.when(F.col(raw).isNull(), -1).otherwise(F.col(bin_).cast("int"))).drop(raw, bin_))
+
+
 def running(df: DataFrame, order: Sequence, by: Sequence[str], value: Column, name: str,
-            how: str = "max", partitions: int | None = None) -> DataFrame:
+            how: str = "max", partitions: int | None = None, total: str | None = None,
+            hot: dict[int, int] | None = None) -> DataFrame:
     """``name`` = running ``max`` or ``sum`` of ``value`` up to and including
-    this row (in ``order``) within ``by``, skew-safe.
+    this row (in ``order``) within ``by``; ``total`` = the same over the group.
 
-    Range-partition, aggregate inside each (partition, group) segment, then
-    carry in the aggregate of all earlier segments of the group (a window
-    over the small segment table).
+    A group that fits a task is one window.  Hot groups (``skew.hot_keys``) are
+    cut into ranges of the first order column: the rows are shuffled once on
+    (range, group), a window runs inside each, and the fold of all earlier
+    ranges of the group, from a small table of a row per range, is carried in.
     """
     by = list(by)
     fold = {"max": F.max, "sum": F.sum}[how]
     order_cols = [_as_col(c) for c in order]
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = (_ranged(df.withColumn("_rm_v", value), by, order_cols, partitions)
-              .withColumn(_PID, F.spark_partition_id()))
-    seg_keys = [_PID, *by]
-    w = Window.partitionBy(*seg_keys).orderBy(*order_cols).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("_rm_local", fold("_rm_v").over(w)).checkpoint(eager=True)
-    seg = local.groupBy(*seg_keys).agg(fold("_rm_v").alias("_rm_seg"))
-    carry = Window.partitionBy(*by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    seg = seg.withColumn("_rm_in", fold("_rm_seg").over(carry)).select(*seg_keys, "_rm_in")
-    out = null_safe_join(local, seg, seg_keys)
+    rows = df.withColumn("_rm_v", value)
+    cold, crowded = _split_hot(rows, by, hot)
+    out = []
+    if cold is not None:
+        w = Window.partitionBy(*by)
+        done = cold.withColumn(name, fold("_rm_v").over(w.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        out.append((done.withColumn(total, fold("_rm_v").over(w)) if total else done).drop("_rm_v"))
+    if crowded is not None:
+        out.append(_running_ranges(crowded, order, order_cols, by, name, fold, how, partitions, total))
+    return reduce(DataFrame.unionByName, out)
+
+
+def _running_ranges(rows: DataFrame, order: Sequence, order_cols: Sequence[Column], by: list[str], name: str, fold, how: str,
+                    partitions: int | None, total: str | None) -> DataFrame:
+    # A struct is never NULL, whatever its fields are: plain equality joins NULL groups too and keeps the partitioning.
+    group = [F.struct(*by).alias("_rm_g")] if by else []
+    ranged = _with_bins(rows.select("*", *group), order[0], _PID)
+    keys = [_PID, "_rm_g"] if by else [_PID]
+    if ranged is not None:
+        ranged = ranged.repartition(partitions, *keys) if partitions else ranged.repartition(*keys)
+    else:
+        ensure_checkpoint_dir(rows.sparkSession)
+        ranged = _ranged(rows.select("*", *group), by, order_cols, partitions).withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
+    w = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumn("_rm_local", fold("_rm_v").over(w))
+    seg = ranged.groupBy(*keys).agg(fold("_rm_v").alias("_rm_seg"))
+    whole = Window.partitionBy(*keys[1:])       # a row per range
+    seg = seg.select(*keys, fold("_rm_seg").over(whole.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)).alias("_rm_in"),
+                     *([fold("_rm_seg").over(whole).alias(total)] if total else []))
+    out = local.join(seg, keys)
     both = (F.greatest("_rm_local", "_rm_in") if how == "max" else
             F.coalesce(F.col("_rm_local") + F.col("_rm_in"), "_rm_local", "_rm_in"))
-    return out.withColumn(name, both).drop(_PID, "_rm_local", "_rm_in", "_rm_v")
+    return out.withColumn(name, both).drop(_PID, "_rm_local", "_rm_in", "_rm_v", "_rm_g")
 
 
 def dense_key(df: DataFrame, order: Sequence[str], name: str = "sk",
@@ -137,16 +199,24 @@ def dense_key(df: DataFrame, order: Sequence[str], name: str = "sk",
 
 def neighbour(df: DataFrame, order: Sequence, by: Sequence[str] = (),
               cols: Sequence[str] = (), offset: int = 1, prefix: str = "next_",
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None, hot: dict[int, int] | None = None) -> DataFrame:
     """LEAD (offset > 0) or LAG (offset < 0) of ``cols`` within ``by``.
 
-    Numbers rows skew-safely, then joins each row to the row ``offset``
-    places away on (group, number) -- an equi-join, NULL-safe in the group, on
-    a key that is unique per row, so no group funnels into one task.
+    A group that fits a task is one window.  Rows of hot groups
+    (``skew.hot_keys``) are numbered skew-safely and joined to the row
+    ``offset`` places away on (group, number) -- an equi-join, NULL-safe in the
+    group, on a key that is unique per row.
     """
     by = list(by)
-    rn = "_nb_rn"
-    numbered = number_rows(df, order, by, rn, partitions)
-    other = numbered.select(*by, (F.col(rn) - F.lit(offset)).alias(rn),
-                            *[F.col(c).alias(f"{prefix}{c}") for c in cols])
-    return null_safe_join(numbered, other, [*by, rn], "left").drop(rn)
+    cold, crowded = _split_hot(df, by, hot)
+    out = []
+    if cold is not None:
+        w = Window.partitionBy(*by).orderBy(*[_as_col(c) for c in order])
+        out.append(cold.withColumns({f"{prefix}{c}": F.lead(c, offset).over(w) for c in cols}))
+    if crowded is not None:
+        rn = "_nb_rn"
+        numbered = number_rows(crowded, order, by, rn, partitions)
+        other = numbered.select(*by, (F.col(rn) - F.lit(offset)).alias(rn),
+                                *[F.col(c).alias(f"{prefix}{c}") for c in cols])
+        out.append(null_safe_join(numbered, other, [*by, rn], "left").drop(rn))
+    return reduce(DataFrame.unionByName, out)

@@ -22,9 +22,6 @@ from pyspark.sql import functions as F
 
 from strata.operators.sequence import null_safe_join, running
 
-_G = "_grp"
-
-
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -33,6 +30,30 @@ def _qname(q: float) -> str:
     return "q" + f"{q * 100:g}".replace(".", "_")
 
 
+def _ranked(df: DataFrame, value: str, by: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Distinct values ``_v`` of each group with their count ``_c``, the rows up to them ``_upto`` and the group's rows ``_n``.
+
+    NULL and NaN values are left out, as pandas leaves them out.
+    """
+    v = F.col(value).cast("double")
+    rows = df.select(*[F.col(b) for b in by], v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    counts = rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    return running(counts, ["_v"], by, F.col("_c"), "_upto", "sum", partitions, total="_n")
+
+
+def _quantile_columns(qs: Sequence[float], names: Sequence[str]) -> tuple[list[Column], list[Column]]:
+    """Aggregates over ``_ranked`` rows, and the quantiles made of them."""
+    aggs, cols = [], []
+    for i, (nm, q) in enumerate(zip(names, qs)):
+        pos = lambda n, q=q: F.lit(float(q)) * (F.col(n) - 1).cast("double")
+        for side, rank in (("lo", F.floor(pos("_n"))), ("hi", F.ceil(pos("_n")))):
+            aggs.append(F.min(F.when(F.col("_upto") >= rank + 1, F.col("_v"))).alias(f"_{side}{i}"))
+        frac = pos("n") - F.floor(pos("n"))
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        cols.append(F.when(frac == 0, lo).otherwise(lo + (hi - lo) * frac).alias(nm))
+    return aggs, cols
+
+
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str] = (),
                     names: Sequence[str] | None = None,
                     partitions: int | None = None) -> DataFrame:
@@ -43,25 +64,9 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence
     which value holds each rank, by a minimum over the group.
     """
     names = list(names) if names else [_qname(q) for q in qs]
-    by = list(by)
-    grp = by or [_G]
-    v = df.select(*[F.col(b) for b in by], F.col(value).cast("double").alias("_v"))
-    if not by:
-        v = v.withColumn(_G, F.lit(0))
-    counts = v.filter(F.col("_v").isNotNull()).groupBy(*grp, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = running(counts, ["_v"], grp, F.col("_c"), "_upto", "sum", partitions)
-    total = counts.groupBy(*grp).agg(F.sum("_c").alias("_n"))
-    held = null_safe_join(ranked, total, grp)
-    aggs, cols = [], []
-    for i, (nm, q) in enumerate(zip(names, qs)):
-        pos = F.lit(float(q)) * (F.col("_n") - 1).cast("double")
-        for side, rank in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            aggs.append(F.min(F.when(F.col("_upto") >= rank + 1, F.col("_v"))).alias(f"_{side}{i}"))
-        frac = pos - F.floor(pos)
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        cols.append(F.when(frac == 0, lo).otherwise(lo + (hi - lo) * frac).alias(nm))
-    out = held.groupBy(*grp).agg(F.max("_n").alias("_n"), *aggs)
-    return out.select(*by, F.col("_n").alias("n"), *cols)
+    aggs, cols = _quantile_columns(qs, names)
+    out = _ranked(df, value, list(by), partitions).groupBy(*by).agg(F.coalesce(F.max("_n"), F.lit(0)).alias("n"), *aggs)
+    return out.select(*by, "n", *cols)
 
 
 def approx_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str] = (),
@@ -81,12 +86,12 @@ def median_by(df: DataFrame, value: str, by: Sequence[str], name: str = "median"
 
 def summary(df: DataFrame, value: str, sum_kind: str | None = None,
             std_digits: int | None = None) -> DataFrame:
-    """count, mean, std (sample), min, 25/50/75 %, max of one column.
+    """count, mean, std (sample), min, 25/50/75 %, max of one column, NULL and NaN left out.
 
     ``sum_kind`` (e.g. ``decimal(18,2)``) sums in an exact type first so the
     mean does not depend on the order rows are added in.
     """
-    c = F.col(value)
+    c = F.when(~F.isnan(F.col(value).cast("double")), F.col(value))
     mean = (F.sum(c.cast(sum_kind)).cast("double") / F.count(c) if sum_kind else F.avg(c))
     std = F.stddev_samp(c.cast("double"))
     if std_digits is not None:
@@ -102,22 +107,22 @@ def summary(df: DataFrame, value: str, sum_kind: str | None = None,
 
 
 def box_stats(df: DataFrame, value: str, by: Sequence[str], whisker: float = 1.5) -> DataFrame:
-    """Per group: q1, median, q3, lower/upper whisker, outlier count, n."""
+    """Per group: n, q1, median, q3, lower/upper whisker, outlier count.
+
+    Quartiles and whiskers come from the same counted values: the input is read once.
+    """
     by = list(by)
-    q = exact_quantiles(df, value, [0.25, 0.5, 0.75], by, ["q1", "median", "q3"])
+    aggs, cols = _quantile_columns([0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    ranked = _ranked(df, value, by)
+    q = ranked.groupBy(*by).agg(F.coalesce(F.max("_n"), F.lit(0)).alias("n"), *aggs).select(*by, "n", *cols)
     iqr = F.col("q3") - F.col("q1")
-    fences = q.withColumns({"_lo": F.col("q1") - F.lit(whisker) * iqr,
-                            "_hi": F.col("q3") + F.lit(whisker) * iqr})
-    v = F.col(value).cast("double")
-    inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
-    rows = df.select(*by, value).filter(F.col(value).isNotNull())
-    w = (null_safe_join(rows, fences.select(*by, "_lo", "_hi"), by)
-         .groupBy(*by)
-         .agg(F.min(F.when(inside, v)).alias("lower_whisker"),
-              F.max(F.when(inside, v)).alias("upper_whisker"),
-              F.count_if(~inside).alias("outliers")))
-    return null_safe_join(q, w, by).select(*by, "n", "q1", "median", "q3",
-                                           "lower_whisker", "upper_whisker", "outliers")
+    fences = q.withColumns({"_lo": F.col("q1") - F.lit(whisker) * iqr, "_hi": F.col("q3") + F.lit(whisker) * iqr})
+    inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
+    held = null_safe_join(ranked.select(*by, "_v", "_c"), fences, by)
+    ends = [F.min(F.when(inside, F.col("_v"))).alias("lower_whisker"), F.max(F.when(inside, F.col("_v"))).alias("upper_whisker"),
+            F.sum(F.when(inside, 0).otherwise(F.col("_c"))).alias("outliers")]
+    keep = ["n", "q1", "median", "q3"]
+    return held.groupBy(*by, *keep).agg(*ends).select(*by, *keep, "lower_whisker", "upper_whisker", "outliers")
 
 
 # -- association -------------------------------------------------------------

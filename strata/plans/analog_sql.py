@@ -75,8 +75,15 @@ SQL = {
         (SELECT COUNT(*) FROM orders) AS source_rows,
         (COUNT(*) FILTER (WHERE c.c_custkey IS NULL) = 0
          AND COUNT(*) = (SELECT COUNT(*) FROM orders)) AS ok
-        FROM orders o LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) c
+        FROM orders o LEFT JOIN (SELECT CASE WHEN c_acctbal < 0 THEN -c_custkey ELSE c_custkey END AS c_custkey FROM customer) c
         ON o.o_custkey = c.c_custkey""",
+    "salted_rollup": """SELECT supp, COUNT(l_orderkey) AS lines, MIN(l_linenumber) AS first_line, MAX(l_partkey) AS last_part,
+        COUNT(DISTINCT l_partkey) AS parts, COUNT(DISTINCT l_shipdate) AS days, SUM(l_quantity) AS qty
+        FROM (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END AS supp FROM lineitem) GROUP BY supp""",
+    "salted_lookup": """WITH l AS (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END AS supp FROM lineitem)
+        SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.supp, p.lines, s.s_acctbal FROM l
+        LEFT JOIN (SELECT supp, COUNT(*) AS lines FROM l GROUP BY supp) p ON l.supp = p.supp
+        LEFT JOIN supplier s ON l.supp = s.s_suppkey""",
     "fanout_check": f"""WITH d AS {_PS_DIM},
         s AS (SELECT COUNT(*) AS n FROM lineitem),
         g AS (SELECT COUNT(*) AS n FROM lineitem l LEFT JOIN d
@@ -84,13 +91,10 @@ SQL = {
         b AS (SELECT COUNT(*) AS n FROM lineitem l LEFT JOIN d ON l.l_partkey = d.l_partkey)
         SELECT s.n AS source_rows, g.n AS composite_rows, b.n AS partial_key_rows,
         g.n = s.n AS composite_ok, b.n = s.n AS partial_key_ok FROM s, g, b""",
-    "anti_both_ways": """SELECT
-        (SELECT COUNT(*) FROM orders o WHERE NOT EXISTS (SELECT 1 FROM customer c
-          WHERE c.c_acctbal >= 0 AND c.c_custkey = o.o_custkey))
-          AS in_orders_not_in_customer,
-        (SELECT COUNT(*) FROM customer c WHERE c.c_acctbal >= 0 AND NOT EXISTS
-          (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey))
-          AS in_customer_not_in_orders""",
+    "anti_both_ways": """WITH c AS (SELECT CASE WHEN c_acctbal < 0 THEN -c_custkey ELSE c_custkey END AS k FROM customer)
+        SELECT
+        (SELECT COUNT(*) FROM orders o WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.k = o.o_custkey)) AS in_orders_not_in_customer,
+        (SELECT COUNT(*) FROM c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.k)) AS in_customer_not_in_orders""",
     "preagg_left_join": """WITH q AS (SELECT l_orderkey, l_linestatus, SUM(l_quantity) AS total_qty
         FROM lineitem GROUP BY l_orderkey, l_linestatus)
         SELECT o.o_orderkey, o.o_orderstatus, o.o_custkey,

@@ -177,9 +177,10 @@ def q_legacy_summary(spark, d):
             .select(*key3, F.col("c_mktsegment").alias("gender"), F.col("n_name").alias("region"),
                     F.col("o_orderstatus").alias("highest_education"),
                     F.col("o_orderpriority").alias("age_band"), imd.alias("imd_band")))
-    # Orders under 25,000 have no registration row: those students keep NULL dates.
-    reg = o.filter(F.col("o_totalprice") >= 25000).select(
-        *key3,
+    # The registration of an order under 25,000 is filed under another presentation: those students keep NULL dates.
+    filed = F.when(F.col("o_totalprice") >= 25000, F.col("o_orderkey")).otherwise(-F.col("o_orderkey"))
+    reg = o.select(
+        *key3[:2], filed.cast("string").alias("code_presentation"),
         F.datediff(F.to_date("o_orderdate"), F.lit(ORDER_ORIGIN)).cast("string")
         .alias("date_registration"),
         F.when(F.col("o_orderstatus") == "F", F.lit("5"))
@@ -338,6 +339,40 @@ def q_rls_masked_dim(spark, d):
     return mask_columns(dim, ["imd_band"], allowed=False)
 
 
+# Who has which role, and which governed columns a role may see.
+ROLE_ROWS = [("multi.admin@example.org", "regional_admin"), ("exec.admin@example.org", "executive"),
+             ("exec.admin@example.org", "regional_admin")]
+GRANT_ROWS = [("executive", "dim_student.imd_band"), ("executive", "fact_assessment.score"), ("regional_admin", "dim_student.age_band")]
+MASKS = {"dim_student.imd_band": "masked", "dim_student.age_band": "masked", "fact_assessment.score": None}
+
+
+def governed_star(spark, d):
+    from dataclasses import replace
+
+    from strata.plans.star import ColumnPolicy
+    from strata.sources.ingest import inline_table
+    policy = ColumnPolicy(MASKS, inline_table(spark, GRANT_ROWS, "role string, column string"),
+                          inline_table(spark, ROLE_ROWS, "user_email string, role string"))
+    return replace(star(spark, d), policy=policy)
+
+
+def q_rls_masked_slice(spark, d):
+    """By a column that the principal's role may not see: one masked member."""
+    return governed_star(spark, d).query(["total_students", "total_registrations", "withdrawal_count"], ["dim_student.imd_band"],
+                                         principal=MULTI_REGION_USER)
+
+
+def q_rls_granted_slice(spark, d):
+    """By columns that one of the principal's roles may see, with a measure of a governed column."""
+    return governed_star(spark, d).query(["total_assessments", "score_sum"], ["dim_student.imd_band", "dim_student.age_band"],
+                                         principal="exec.admin@example.org")
+
+
+def q_rls_masked_measure(spark, d):
+    """A measure of a masked column is NULL, the slice by a granted one is not masked."""
+    return governed_star(spark, d).query(["total_assessments", "score_sum"], ["dim_student.age_band"], principal=MULTI_REGION_USER)
+
+
 def q_engagement_correlation(spark, d):
     from strata.operators.stats import point_biserial
     eo = engagement_outcome(gold(spark, d))
@@ -436,6 +471,13 @@ QUERIES = {
     "v_score_count_by_score": _report("score_count_by_score"),
     "v_registrations_by_module": _report("registrations_by_module"),
     "rls_masked_dim": q_rls_masked_dim,
+    "rls_masked_slice": q_rls_masked_slice,
+    "rls_granted_slice": q_rls_granted_slice,
+    "rls_masked_measure": q_rls_masked_measure,
+    "pass_rate_by_score": _q(["pass_rate"], ["fact_assessment.score"]),
+    "pass_rate_by_type_and_score": _q(["pass_rate", "total_assessments"], ["dim_assessment.assessment_type", "fact_assessment.score"]),
+    "withdrawal_count_by_flag": _q(["withdrawal_count"], ["fact_registration.is_withdrawn"]),
+    "withdrawal_count_by_region_and_flag": _q(["withdrawal_count"], ["dim_student.region", "fact_registration.is_withdrawn"]),
     "engagement_correlation": q_engagement_correlation,
     "engagement_median_clicks": q_engagement_median_clicks,
     "engagement_box": q_engagement_box,
@@ -636,6 +678,23 @@ SQL = {
     "rls_masked_dim": f"""SELECT k.student_sk, s.region, CAST(NULL AS VARCHAR) AS imd_band
         FROM {_STUDENTS} s JOIN {_SK_STUDENT} k ON s.id_student = k.c_custkey
         WHERE s.region IN {_MULTI}""",
+    "rls_masked_slice": f"""WITH r AS (SELECT COUNT(*) AS n, {_WCOUNT} AS wc FROM {_REG_S} WHERE s.region IN {_MULTI})
+        SELECT 'masked' AS imd_band, COUNT(DISTINCT id_student) AS total_students, (SELECT n FROM r) AS total_registrations,
+        (SELECT wc FROM r) AS withdrawal_count FROM {_STUDENTS} WHERE region IN {_MULTI}""",
+    "rls_granted_slice": f"""SELECT s.imd_band, s.age_band, COUNT(*) AS total_assessments, CAST(SUM(l.score) AS BIGINT) AS score_sum
+        FROM {_LINES} l JOIN {_STUDENTS} s ON l.id_student = s.id_student WHERE s.region IN ('AMERICA', 'MIDDLE EAST') GROUP BY ALL""",
+    "rls_masked_measure": f"""SELECT s.age_band, COUNT(*) AS total_assessments, CAST(NULL AS BIGINT) AS score_sum
+        FROM {_LINES} l JOIN {_STUDENTS} s ON l.id_student = s.id_student WHERE s.region IN {_MULTI} GROUP BY ALL""",
+    "pass_rate_by_score": f"""WITH l AS {_LINES} SELECT score, CAST((SELECT COUNT(*) FROM l WHERE score >= 40) AS DOUBLE)
+        / CAST(COUNT(*) AS DOUBLE) AS pass_rate FROM l GROUP BY score""",
+    "pass_rate_by_type_and_score": f"""WITH x AS (SELECT p.assessment_type, l.score FROM {_LINES_P}),
+        t AS (SELECT assessment_type, COUNT(*) FILTER (WHERE score >= 40) AS passed FROM x GROUP BY assessment_type)
+        SELECT x.assessment_type, x.score, CAST(t.passed AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS pass_rate, COUNT(*) AS total_assessments
+        FROM x JOIN t ON x.assessment_type IS NOT DISTINCT FROM t.assessment_type GROUP BY x.assessment_type, x.score, t.passed""",
+    "withdrawal_count_by_flag": f"""WITH r AS {_REG} SELECT DISTINCT is_withdrawn, (SELECT {_WCOUNT} FROM r) AS withdrawal_count FROM r""",
+    "withdrawal_count_by_region_and_flag": f"""WITH x AS (SELECT s.region, r.is_withdrawn FROM {_REG_S})
+        SELECT DISTINCT x.region, x.is_withdrawn, t.wc AS withdrawal_count FROM x
+        JOIN (SELECT region, {_WCOUNT} AS wc FROM x r GROUP BY region) t ON x.region IS NOT DISTINCT FROM t.region WHERE t.wc IS NOT NULL""",
     "diag_registration_orphans": """WITH r AS (SELECT o_custkey AS s, o_orderpriority AS m,
           year(o_orderdate) AS p FROM orders),
         i AS (SELECT o.o_custkey AS s, o.o_orderpriority AS m, year(o.o_orderdate) AS p

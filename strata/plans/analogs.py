@@ -7,7 +7,8 @@ withdrawn), lineitem ~ assessment / click rows, part ~ assessment
 definition, events ~ raw click stream.  The source tables carry no NULLs
 or raw strings, so where NULL/blank handling is the point a column is
 rewritten deterministically from a key (e.g. every 13th event type
-blanked); such rewrites never remove rows.
+blanked, the key of an account in debit negated); such rewrites never remove
+rows.
 
 Computed columns are aliased identically on both sides.  Money-like
 doubles are summed as ``decimal(18,2)`` (exact, order-independent) and
@@ -30,6 +31,7 @@ from strata.operators.quality import (anti_counts, count_tables, duplicate_keys,
                                       split_by_rule, split_report, uniqueness)
 from strata.operators.rollup import conservation_report, rollup_events
 from strata.operators.sequence import neighbour
+from strata.operators.skew import salted_lookup, salted_rollup
 from strata.operators.stats import (box_stats, median_by, point_biserial,
                                     point_biserial_test, segment_rates, summary)
 from strata.session import scratch_path
@@ -191,10 +193,14 @@ def q_dim_unique_check(spark, d):
     return uniqueness(_brand_type_dim(spark, d), ["p_brand", "p_type"])
 
 
-def _customer_dim(spark, d, thinned=False):
-    c = table(spark, d, "customer")
-    if thinned:   # accounts in debit are missing from the dimension: orphan facts
-        c = c.filter(F.col("c_acctbal") >= 0)
+def _debit_elsewhere(spark, d):
+    """Customers whose key is negated where the account is in debit: no row is left out, some keys miss on both sides."""
+    return table(spark, d, "customer").withColumn(
+        "c_custkey", F.when(F.col("c_acctbal") < 0, -F.col("c_custkey")).otherwise(F.col("c_custkey")))
+
+
+def _customer_dim(spark, d, debit_elsewhere=False):
+    c = _debit_elsewhere(spark, d) if debit_elsewhere else table(spark, d, "customer")
     return build_dimension(c.select(F.col("c_custkey").alias("o_custkey")), ["o_custkey"], [],
                            "customer_sk")
 
@@ -216,14 +222,35 @@ def q_fact_composite_join(spark, d):
 
 def q_three_key_join(spark, d):
     e, r = _rolled_events(spark, d)
-    j = e.join(r, ["user_id", "event_type", "day"], "left")
+    j = salted_lookup(e, r, ["user_id", "event_type", "day"])
     return j.select("event_id", F.col("total_value").cast("double").alias("total_value"),
                     "event_count")
 
 
+def _crowded_lines(spark, d):
+    """Lines of which every third has the supplier 1: a hot key."""
+    hot = F.when(F.col("l_orderkey") % 3 == 0, F.lit(1).cast("bigint")).otherwise(F.col("l_suppkey"))
+    return table(spark, d, "lineitem").withColumn("supp", hot)
+
+
+def q_salted_rollup(spark, d):
+    r = salted_rollup(_crowded_lines(spark, d), ["supp"], {
+        "lines": ("count", "l_orderkey"), "first_line": ("min", "l_linenumber"), "last_part": ("max", "l_partkey"),
+        "parts": ("distinct", "l_partkey"), "days": ("distinct", "l_shipdate"), "qty": ("sum", "l_quantity")})
+    return r
+
+
+def q_salted_lookup(spark, d):
+    """Each line with its supplier's balance and number of lines: two lookups on a hot key."""
+    li = _crowded_lines(spark, d)
+    per = (li.groupBy("supp").agg(F.count(F.lit(1)).alias("lines"))
+           .join(table(spark, d, "supplier").select(F.col("s_suppkey").alias("supp"), "s_acctbal"), "supp", "left"))
+    return salted_lookup(li.select("l_orderkey", "l_linenumber", "l_partkey", "supp"), per, ["supp"])
+
+
 def q_orphan_keys(spark, d):
     o = table(spark, d, "orders")
-    f = lookup_key(o, _customer_dim(spark, d, thinned=True), "o_custkey", "customer_sk")
+    f = lookup_key(o, _customer_dim(spark, d, debit_elsewhere=True), "o_custkey", "customer_sk")
     return orphan_report(f, ["customer_sk"], expected_rows=o)
 
 
@@ -246,8 +273,7 @@ def q_fanout_check(spark, d):
 
 def q_anti_both_ways(spark, d):
     o = table(spark, d, "orders").select(F.col("o_custkey").alias("custkey"))
-    c = (table(spark, d, "customer").filter(F.col("c_acctbal") >= 0)
-         .select(F.col("c_custkey").alias("custkey")))
+    c = _debit_elsewhere(spark, d).select(F.col("c_custkey").alias("custkey"))
     return anti_counts(o, c, ["custkey"], "orders", "customer")
 
 
@@ -370,6 +396,8 @@ QUERIES = {
     "fact_single_key_join": q_fact_single_key_join,
     "fact_composite_join": q_fact_composite_join,
     "three_key_join": q_three_key_join,
+    "salted_rollup": q_salted_rollup,
+    "salted_lookup": q_salted_lookup,
     "orphan_keys": q_orphan_keys,
     "fanout_check": q_fanout_check,
     "anti_both_ways": q_anti_both_ways,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.casts import to_double, to_int
 from strata.functions.clean import impute_blank, presence_int
+from strata.operators.skew import hot_keys, salted_lookup
 
 KEY3 = ["id_student", "code_module", "code_presentation"]
 
@@ -27,9 +28,10 @@ def legacy_summary(info: DataFrame, reg: DataFrame, scores: DataFrame, clicks: D
         (F.round(avg, digits) if digits is not None else avg).alias("avg_score"))
     per_student_clicks = clicks.groupBy("id_student").agg(
         F.sum(to_int("sum_click")).cast("int").alias("total_clicks"))
+    per_student = per_student_score.join(per_student_clicks, "id_student", "full")
     base = info.join(reg.select(*KEY3, "date_registration", "date_unregistration"), KEY3, "left")
-    return (base.join(per_student_score, "id_student", "left")
-            .join(per_student_clicks, "id_student", "left")
+    # A student with very many rows is spread; the narrow table names the hot ones.
+    return (salted_lookup(base, per_student, ["id_student"], hot=hot_keys(info, ["id_student"]))
             .select("id_student", "gender", "region", "highest_education", "age_band",
                     impute_blank("imd_band").alias("imd_band"),
                     to_int("date_registration").alias("date_registration"),

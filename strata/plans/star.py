@@ -7,15 +7,16 @@ measure definitions and, optionally, a row-level-security rule.
 ``Star.query(measures, by, principal)`` evaluates like a report tile:
 
 1. security: the secured dimension is semi-joined with the caller's mapped
-   values and every related fact is semi-joined on the surrogate key;
+   values and every related fact is semi-joined on the surrogate key; columns
+   that no role of the caller may see are masked wherever they are read;
 2. per home table (a fact, or a dimension for distinct counts), join only
    the dimensions that carry ``by`` columns reachable from it, and
    aggregate -- facts are never joined to each other;
 3. drill-across: the per-table aggregates are full-outer-joined on the
    slice columns (NULL-safe), so each measure keeps its own filter
-   context; a measure whose table cannot reach some slice column is
-   evaluated at the coarser grain it can reach and repeated (an unrelated
-   dimension does not filter it);
+   context; a measure whose table cannot reach some slice column, or that
+   replaces the filter on it, is evaluated at the coarser grain that reaches it
+   and repeated (an unrelated dimension does not filter it);
 4. ratio measures are computed from the joined columns; rows where every
    requested measure is NULL are dropped; optional order and top-k.
 
@@ -37,11 +38,17 @@ from strata.operators.security import secure_dimension, secure_fact
 @dataclass(frozen=True)
 class Measure:
     """An aggregate over ``table``; ``needs`` names related-dimension columns
-    ("dim.col") the aggregate reads row by row (a RELATED lookup)."""
+    ("dim.col") the aggregate reads row by row (a RELATED lookup).
+
+    ``replaces`` names columns ("table.col") on which the measure sets a filter
+    of its own: a slice on such a column does not reach it.  It is aggregated
+    on the other slice columns and repeated along the replaced one.
+    """
     name: str
     table: str
     agg: Callable[[], Column]
     needs: tuple[str, ...] = ()
+    replaces: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -73,6 +80,26 @@ class Security:
     value_col: str = "region"
 
 
+@dataclass(frozen=True)
+class ColumnPolicy:
+    """Columns that only some roles may see.
+
+    ``masks`` lists the governed columns ("table.col") with what others see
+    instead (None: NULL); ``grants`` has (role, column), ``members`` has
+    (user_email, role).  Without a grant a governed column is masked.
+    """
+    masks: dict[str, object]
+    grants: DataFrame
+    members: DataFrame
+
+    def visible(self, principal) -> Column:
+        """The governed columns that ``principal`` may see, as one array (a scalar subquery)."""
+        p = F.lit(principal) if isinstance(principal, str) else principal
+        roles = self.members.filter(F.lower("user_email") == F.lower(p)).select("role")
+        return (self.grants.filter(F.col("column").isin(list(self.masks))).join(roles, "role", "left_semi")
+                .agg(F.collect_set("column").alias("c")).scalar())
+
+
 @dataclass(frozen=True)
 class Star:
     dims: dict[str, DataFrame]
@@ -80,14 +107,34 @@ class Star:
     relationships: tuple[Relationship, ...]
     measures: dict[str, Measure | Ratio] = field(default_factory=dict)
     security: Security | None = None
+    policy: ColumnPolicy | None = None
 
     # -- security ------------------------------------------------------------
     def secured(self, principal) -> "Star":
         """The star as ``principal`` may see it; without one, as the session
         user may.  Seeing everything takes an explicit ``unsecured()``."""
+        principal = F.session_user() if principal is None else principal
+        return self._rows_for(principal)._columns_for(principal)
+
+    def _columns_for(self, principal) -> "Star":
+        """Governed columns masked unless one of the principal's roles may see them, in every table, so that
+        slices, needs and measures alike read the masked ones."""
+        if self.policy is None:
+            return self
+        keys = {f"{t}.{c}" for r in self.relationships for t, c in ((r.fact, r.fact_col), (r.dim, r.dim_col))}
+        if keys & set(self.policy.masks):
+            raise ValueError(f"keys cannot be masked: {sorted(keys & set(self.policy.masks))}")
+        seen = self.policy.visible(principal)
+        tables = {**self.dims, **self.facts}
+        for ref, mask in self.policy.masks.items():
+            t, c = self._owner(ref)
+            shown = F.when(F.array_contains(seen, F.lit(ref)), F.col(c))
+            tables[t] = tables[t].withColumn(c, shown.otherwise(F.lit(mask).cast(tables[t].schema[c].dataType)))
+        return replace(self, dims={t: tables[t] for t in self.dims}, facts={t: tables[t] for t in self.facts}, policy=None)
+
+    def _rows_for(self, principal) -> "Star":
         if self.security is None:
             return self
-        principal = F.session_user() if principal is None else principal
         s = self.security
         dim = secure_dimension(self.dims[s.dim], s.mapping, principal, s.attr,
                                s.user_col, s.value_col)
@@ -96,11 +143,11 @@ class Star:
         for r in self.relationships:
             if r.dim == s.dim:
                 facts[r.fact] = secure_fact(facts[r.fact], dim, r.dim_col, r.fact_col)
-        return replace(self, dims=dims, facts=facts)
+        return replace(self, dims=dims, facts=facts, security=None)
 
     def unsecured(self) -> "Star":
         """The whole star, for jobs that run on everyone's behalf."""
-        return replace(self, security=None)
+        return replace(self, security=None, policy=None)
 
     # -- helpers -------------------------------------------------------------
     def _owner(self, ref: str) -> tuple[str, str]:
@@ -165,7 +212,8 @@ class Star:
         groups: dict[tuple[str, tuple[str, ...]], list[Measure]] = {}
         for n in star._base_names(measures):
             m = star.measures[n]
-            groups.setdefault((m.table, tuple(star._reach(m.table, by))), []).append(m)
+            refs = tuple(r for r in star._reach(m.table, by) if r not in m.replaces)
+            groups.setdefault((m.table, refs), []).append(m)
         full, partial = [], []
         for (table, refs), ms in groups.items():
             needs = tuple(dict.fromkeys(n for m in ms for n in m.needs))
@@ -177,9 +225,11 @@ class Star:
             result = reduce(lambda a, b: _outer_on(a, b, keys), [a for _, a in full])
         else:
             dims = {star._owner(r)[0] for r in by}
-            if len(dims) > 1:
-                raise ValueError("slice columns from several unrelated dimensions")
-            dim = dims.pop() if dims else None
+            if len(dims) > 1:       # a table that all slice columns filter holds their members
+                dims = {t for t, _ in groups if len(star._reach(t, by)) == len(by)}
+                if not dims:
+                    raise ValueError("slice columns from several unrelated dimensions")
+            dim = min(dims) if dims else None
             result = (star._frame(dim, by).select(*keys).distinct() if dim
                       else star.facts[next(iter(star.facts))].sparkSession.range(1).select())
         for gk, agg in partial:
