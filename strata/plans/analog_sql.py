@@ -77,6 +77,10 @@ SQL = {
          AND COUNT(*) = (SELECT COUNT(*) FROM orders)) AS ok
         FROM orders o LEFT JOIN (SELECT CASE WHEN c_acctbal < 0 THEN -c_custkey ELSE c_custkey END AS c_custkey FROM customer) c
         ON o.o_custkey = c.c_custkey""",
+    "quarantine_roundtrip": """WITH s AS (SELECT CASE WHEN c_custkey % 10 <> 0 THEN c_acctbal END AS score FROM customer)
+        SELECT 'scores' AS table_name, COUNT(*) AS n, COUNT(score) AS scored, MIN(score) AS least, MAX(score) AS most
+          FROM s WHERE score IS NULL OR score BETWEEN 0 AND 9000
+        UNION ALL SELECT 'scores_quarantine', COUNT(*), COUNT(score), MIN(score), MAX(score) FROM s WHERE score < 0 OR score > 9000""",
     "salted_rollup": """SELECT supp, COUNT(l_orderkey) AS lines, MIN(l_linenumber) AS first_line, MAX(l_partkey) AS last_part,
         COUNT(DISTINCT l_partkey) AS parts, COUNT(DISTINCT l_shipdate) AS days, SUM(l_quantity) AS qty
         FROM (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END AS supp FROM lineitem) GROUP BY supp""",

@@ -30,6 +30,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.compare import compare_keyed
 from strata.operators.history import after_watermark, merge_upsert, scd2
 from strata.operators.joins import outputs_equal
 from strata.operators.maintain import compact, file_stats
@@ -38,7 +39,8 @@ from strata.plans.analogs import ORDER_ORIGIN, table
 from strata.plans.legacy import legacy_summary
 from strata.plans.reports import engagement_outcome, student_star
 from strata.session import ensure_checkpoint_dir, scratch_path
-from strata.sources.ingest import with_audit
+from strata.operators.quality import count_tables, require_all_rows
+from strata.sources.ingest import inline_table, with_audit
 from strata.sources.layout import Layout, write_many
 
 # Invented principals and the regions they may see.  Covers a
@@ -120,9 +122,14 @@ def raw_tables(spark, d) -> dict[str, DataFrame]:
 
 
 def build_gold(spark: SparkSession, d: str, layout: Layout) -> dict:
-    """Land the raw tables as Bronze (with the audit column), then run the
-    medallion pipeline -- Silver and Gold with all checks -- on them."""
-    write_many(layout, [(with_audit(df), "bronze", t) for t, df in raw_tables(spark, d).items()])
+    """Land the raw tables as Bronze (with the audit column) and reconcile them with
+    what can be read back, then run the medallion pipeline -- Silver and Gold
+    with all checks -- on them."""
+    landed = write_many(layout, [(with_audit(df), "bronze", t) for t, df in raw_tables(spark, d).items()])
+    sent = inline_table(spark, [(t, w["rows"]) for t, w in landed.items()], "table_name string, source_rows bigint")
+    back = count_tables({t: layout.read(spark, "bronze", t) for t in landed}, count_col="target_rows")
+    require_all_rows(sent.join(back, "table_name", "left").withColumn("match", F.col("source_rows").eqNullSafe(F.col("target_rows"))),
+                     "match", "bronze reconciliation")
     return medallion.run_pipeline(spark, layout, SECURITY_ROWS)
 
 
@@ -210,6 +217,54 @@ def q_outputs_equal(spark, d):
     return outputs_equal(via_star, direct)
 
 
+def q_outputs_differ(spark, d):
+    """As ``outputs_equal`` with one region under another name: a row on each side only."""
+    by = star(spark, d).unsecured().query(["withdrawal_count"], ["dim_student.region"])
+    other = by.withColumn("region", F.when(F.col("region") == "ASIA", F.lit("EURASIA")).otherwise(F.col("region")))
+    return outputs_equal(by, other)
+
+
+def q_legacy_vs_medallion(spark, d):
+    """Per student: the legacy one-table transform against the Gold facts, old row by new.
+
+    The legacy join repeats a registration that a student has twice under one
+    key, so ``registrations`` differs; every 50th student is filed under another
+    id in the new output, which shows as one missing and one extra row.
+    """
+    raw = raw_tables(spark, d)
+    old = (legacy_summary(raw["studentInfo"], raw["studentRegistration"], raw["studentAssessment"], raw["studentVle"], digits=None)
+           .groupBy("id_student").agg(F.count(F.lit(1)).alias("registrations"), F.max("is_withdrawn").alias("is_withdrawn"),
+                                      F.max("avg_score").alias("avg_score"), F.max("total_clicks").cast("bigint").alias("total_clicks")))
+    g = gold(spark, d)
+    reg = g["fact_registration"].groupBy("student_sk").agg(F.count(F.lit(1)).alias("registrations"), F.max(F.col("is_withdrawn").cast("int")).alias("is_withdrawn"))
+    score = g["fact_assessment"].groupBy("student_sk").agg(F.avg(F.col("score").cast("double")).alias("avg_score"))
+    clicks = g["fact_vle"].groupBy("student_sk").agg(F.sum("total_clicks").alias("total_clicks"))
+    filed = F.when(F.col("id_student").cast("int") % 50 == 0, F.concat(F.lit("-"), F.col("id_student"))).otherwise(F.col("id_student"))
+    new = (g["dim_student"].select("student_sk", filed.alias("id_student")).join(reg, "student_sk").join(score, "student_sk", "left")
+           .join(clicks, "student_sk", "left").drop("student_sk"))
+    return compare_keyed(old, new.select(*old.columns), ["id_student"])
+
+
+def q_gold_facts(spark, d):
+    """Every row of the published facts with both of its keys."""
+    g = gold(spark, d)
+    long = lambda c: F.col(c).cast("bigint")
+    parts = [("fact_assessment", "assessment_sk", "score", "date_submitted"), ("fact_vle", "module_sk", "total_clicks", "event_count"),
+             ("fact_registration", "module_sk", "is_withdrawn", "date_registration")]
+    frames = [g[t].select(F.lit(t).alias("fact"), "student_sk", F.col(sk).alias("other_sk"), long(a).alias("first_value"), long(b).alias("second_value"))
+              for t, sk, a, b in parts]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
+def q_gold_dims(spark, d):
+    """Modules and assessments with their keys."""
+    g = gold(spark, d)
+    m = g["dim_module"].select(F.lit("module").alias("dim"), F.col("module_sk").alias("sk"), "code_module", "code_presentation",
+                               F.col("module_presentation_length").cast("double").alias("value"))
+    a = g["dim_assessment"].select(F.lit("assessment"), "assessment_sk", F.col("code_module"), F.col("id_assessment"), F.col("weight"))
+    return m.union(a)
+
+
 # -- history ------------------------------------------------------------------
 
 def q_scd2(spark, d):
@@ -400,7 +455,10 @@ def q_diag_distinct_students(spark, d):
 def q_diag_registration_orphans(spark, d):
     """Registrations without student rows and the reverse (three-part key)."""
     from strata.plans.diagnostics import diagnostics
-    return diagnostics(raw_tables(spark, d))["registration_orphans"]
+    raw = raw_tables(spark, d)
+    # Registrations of every 7th day are filed under another id: keys miss on both sides.
+    filed = F.when(F.col("date_registration").cast("int") % 7 == 0, F.concat(F.lit("-"), "id_student")).otherwise(F.col("id_student"))
+    return diagnostics({**raw, "studentRegistration": raw["studentRegistration"].withColumn("id_student", filed)})["registration_orphans"]
 
 
 def q_diag_imd_profile(spark, d):
@@ -454,6 +512,10 @@ QUERIES = {
     "engagement_outcome": q_engagement_outcome,
     "legacy_summary": q_legacy_summary,
     "outputs_equal": q_outputs_equal,
+    "outputs_differ": q_outputs_differ,
+    "legacy_vs_medallion": q_legacy_vs_medallion,
+    "gold_facts": q_gold_facts,
+    "gold_dims": q_gold_dims,
     "scd2": q_scd2,
     "scd2_null_runs": q_scd2_null_runs,
     "merge_upsert": q_merge_upsert,
@@ -621,6 +683,32 @@ SQL = {
         SELECT only_left, only_right, only_left = 0 AND only_right = 0 AS equal FROM (
         SELECT (SELECT COUNT(*) FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b2)) AS only_left,
         (SELECT COUNT(*) FROM (SELECT * FROM b2 EXCEPT ALL SELECT * FROM a)) AS only_right)""",
+    "outputs_differ": "SELECT CAST(1 AS BIGINT) AS only_left, CAST(1 AS BIGINT) AS only_right, FALSE AS equal FROM region WHERE r_name = 'ASIA'",
+    "legacy_vs_medallion": f"""WITH k AS (SELECT id_student, code_module, code_presentation, COUNT(*) AS n FROM {_REG} GROUP BY ALL),
+        s AS (SELECT id_student, CAST(SUM(n * n) AS BIGINT) AS was, CAST(SUM(n) AS BIGINT) AS now FROM k GROUP BY id_student)
+        SELECT CAST(id_student AS VARCHAR) AS id_student, 'changed' AS kind, 'registrations' AS column,
+          CAST(was AS VARCHAR) AS old_value, CAST(now AS VARCHAR) AS new_value FROM s WHERE was <> now AND id_student % 50 <> 0
+        UNION ALL SELECT CAST(id_student AS VARCHAR), 'missing', NULL, NULL, NULL FROM s WHERE id_student % 50 = 0
+        UNION ALL SELECT '-' || id_student, 'extra', NULL, NULL, NULL FROM s WHERE id_student % 50 = 0""",
+    "gold_facts": f"""WITH m AS {_SK_MODULE}, k AS {_SK_STUDENT},
+        a AS (SELECT p_partkey, row_number() OVER (ORDER BY CAST(p_partkey AS VARCHAR)) - 1 AS assessment_sk FROM part),
+        l AS (SELECT o.o_custkey, o.o_orderpriority, CAST(year(o.o_orderdate) AS VARCHAR) AS p, l.*,
+          CAST(date_diff('day', DATE '1995-01-01', CAST(l.l_shipdate AS DATE)) AS BIGINT) AS day
+          FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey),
+        c AS (SELECT o_custkey, o_orderpriority, p, l_suppkey, day, CAST(SUM(CAST(l_quantity AS INTEGER)) AS BIGINT) AS clicks, COUNT(*) AS n
+          FROM l GROUP BY ALL)
+        SELECT 'fact_assessment' AS fact, k.student_sk, a.assessment_sk AS other_sk,
+          CASE WHEN l.l_linenumber <> 7 THEN CAST(l.l_quantity * 2 AS BIGINT) END AS first_value, l.day AS second_value
+          FROM l LEFT JOIN k ON l.o_custkey = k.c_custkey LEFT JOIN a ON l.l_partkey = a.p_partkey
+        UNION ALL SELECT 'fact_vle', k.student_sk, m.module_sk, c.clicks, c.n
+          FROM c LEFT JOIN k ON c.o_custkey = k.c_custkey LEFT JOIN m ON c.o_orderpriority = m.code_module AND c.p = m.code_presentation
+        UNION ALL SELECT 'fact_registration', k.student_sk, m.module_sk, CASE WHEN r.is_withdrawn THEN 1 ELSE 0 END,
+          CAST(date_diff('day', DATE '1995-01-01', CAST(o.o_orderdate AS DATE)) AS BIGINT)
+          FROM {_REG} r JOIN orders o ON r.o_orderkey = o.o_orderkey LEFT JOIN k ON r.id_student = k.c_custkey
+          LEFT JOIN m ON r.code_module = m.code_module AND r.code_presentation = m.code_presentation""",
+    "gold_dims": f"""SELECT 'module' AS dim, module_sk AS sk, code_module, code_presentation, CAST(365 AS DOUBLE) AS value FROM {_SK_MODULE}
+        UNION ALL SELECT 'assessment', row_number() OVER (ORDER BY CAST(p_partkey AS VARCHAR)) - 1, p_brand, CAST(p_partkey AS VARCHAR),
+        CAST(p_size AS DOUBLE) FROM part""",
     "scd2": """WITH o AS (SELECT o_custkey, o_orderpriority, o_orderkey,
           CAST(o_orderdate AS DATE) AS d FROM orders),
         c AS (SELECT *, LAG(o_orderpriority) OVER w AS prev, ROW_NUMBER() OVER w AS rn FROM o
@@ -695,8 +783,8 @@ SQL = {
     "withdrawal_count_by_region_and_flag": f"""WITH x AS (SELECT s.region, r.is_withdrawn FROM {_REG_S})
         SELECT DISTINCT x.region, x.is_withdrawn, t.wc AS withdrawal_count FROM x
         JOIN (SELECT region, {_WCOUNT} AS wc FROM x r GROUP BY region) t ON x.region IS NOT DISTINCT FROM t.region WHERE t.wc IS NOT NULL""",
-    "diag_registration_orphans": """WITH r AS (SELECT o_custkey AS s, o_orderpriority AS m,
-          year(o_orderdate) AS p FROM orders),
+    "diag_registration_orphans": """WITH r AS (SELECT CASE WHEN date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) % 7 = 0
+          THEN -o_custkey ELSE o_custkey END AS s, o_orderpriority AS m, year(o_orderdate) AS p FROM orders),
         i AS (SELECT o.o_custkey AS s, o.o_orderpriority AS m, year(o.o_orderdate) AS p
           FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey)
         SELECT (SELECT COUNT(*) FROM r WHERE NOT EXISTS (SELECT 1 FROM i

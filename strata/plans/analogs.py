@@ -35,8 +35,8 @@ from strata.operators.skew import salted_lookup, salted_rollup
 from strata.operators.stats import (box_stats, median_by, point_biserial,
                                     point_biserial_test, segment_rates, summary)
 from strata.session import scratch_path
-from strata.sources.ingest import with_audit
-from strata.sources.layout import Layout
+from strata.sources.ingest import copy_tables
+from strata.sources.layout import Layout, write_many
 
 TPCH = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 EVENT_ORIGIN = "2024-01-01"     # day offsets of events count from here
@@ -61,13 +61,23 @@ def q_table_counts(spark, d):
 
 
 def q_bronze_reconcile(spark, d):
-    layout = Layout(root=scratch_path(spark, "bronze_copy"))
-    pairs = {}
-    for t in ("customer", "orders", "lineitem"):
-        src = table(spark, d, t)
-        layout.write(with_audit(src), "bronze", t)
-        pairs[t] = (src, layout.read(spark, "bronze", t))
-    return reconcile(pairs)
+    """Three tables copied with the audit column, source rows against written rows."""
+    parent, _, folder = d.rstrip("/").rpartition("/")
+    names = ["customer", "orders", "lineitem"]
+    report = copy_tables(spark, Layout(root=parent), Layout(root=scratch_path(spark, "bronze_copy")),
+                         [f"{t}.parquet" for t in names], folder, "bronze")
+    return report.select(F.regexp_replace("table_name", r"\.parquet$", "").alias("table_name"), "source_rows", "target_rows", "match")
+
+
+def q_quarantine_roundtrip(spark, d):
+    """Both sides of the split written and read back: rows and range of the scores."""
+    valid, invalid = split_by_rule(_scored_customers(spark, d), score_in_range("score", 0, 9000))
+    lake = Layout(root=scratch_path(spark, "quarantine"))
+    write_many(lake, [(valid, "silver", "scores"), (invalid, "silver", "scores_quarantine")])
+    frames = [lake.read(spark, "silver", t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n"), F.count("score").alias("scored"),
+                                                F.min("score").alias("least"), F.max("score").alias("most"))
+              for t in ("scores", "scores_quarantine")]
+    return frames[0].unionByName(frames[1])
 
 
 # -- casts, cleaning, flags ---------------------------------------------------
@@ -388,6 +398,7 @@ QUERIES = {
     "quarantine_valid": q_quarantine_valid,
     "quarantine_invalid": q_quarantine_invalid,
     "quarantine_reconcile": q_quarantine_reconcile,
+    "quarantine_roundtrip": q_quarantine_roundtrip,
     "click_rollup": q_click_rollup,
     "click_rollup_reconcile": q_click_rollup_reconcile,
     "dedup_first": q_dedup_first,

@@ -4,9 +4,11 @@ raw CSV --land--> raw tables --copy + audit--> Bronze --type/clean/flag/
 quarantine/roll-up--> Silver --dedup/keys/star joins--> Gold
 
 Each stage returns DataFrames (lazy plans); ``run_pipeline`` writes them
-through a ``Layout`` with observed counts and stops at the first failed
-check with ``CheckFailed`` carrying the numbers.  Every write is a full
-reload, so running the pipeline twice gives the same tables.
+as new versions with observed counts and stops at the first failed check with
+``CheckFailed`` carrying the numbers.  Only after the last check do Silver and
+Gold become visible, together; until then readers see the versions before.
+Every write is a full reload, so running the pipeline twice gives the same
+tables.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from strata.plans.schemas import (CLICK_KEYS, IMD_BAND_CANONICAL, MODULE_KEY,
                                   RAW_COLUMNS, SILVER_CASTS, STUDENT_ATTRS)
 from strata.sources.ingest import inline_table, read_raw_csv, with_audit
 from strata.sources.layout import Layout, write_many
+from strata.sources.publish import Publication
 
 SECURITY_MAP_SCHEMA = "user_email string, region string"
 
@@ -43,13 +46,19 @@ def silver_registration(df: DataFrame) -> DataFrame:
     return cast_columns(df, SILVER_CASTS["studentRegistration"])
 
 
-def silver_clicks(df: DataFrame) -> DataFrame:
+def silver_clicks(df: DataFrame, seen: Observation | None = None) -> DataFrame:
+    """Clicks rolled up; ``seen`` observes rows and clicks of the typed input in the job that uses the result."""
     typed = cast_columns(df, SILVER_CASTS["studentVle"])
+    if seen is not None:
+        typed = typed.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(F.col("sum_click").cast("bigint")).alias("clicks"))
     return rollup_events(typed, CLICK_KEYS, "sum_click", "total_clicks", "event_count")
 
 
-def silver_assessment_split(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def silver_assessment_split(df: DataFrame, seen: Observation | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Valid rows, quarantined rows and the report; ``seen`` observes the rows of the typed input."""
     typed = cast_columns(df, SILVER_CASTS["studentAssessment"])
+    if seen is not None:
+        typed = typed.observe(seen, F.count(F.lit(1)).alias("rows"))
     rule = score_in_range("score", 0, 100)
     valid, invalid = split_by_rule(typed, rule)
     return valid, invalid, split_report(typed, rule)
@@ -160,60 +169,45 @@ def run_pipeline(spark: SparkSession, layout: Layout, security_rows=(),
         report["bronze"] = require_all_rows(rec, "match", "bronze reconciliation")
 
     bronze = {t: layout.read(spark, "bronze", t) for t in RAW_COLUMNS}
+    new = Publication(spark, layout)
     sv = silver(bronze)
-    written = write_many(layout, [(sv[t], "silver", t) for t in
-                                  ("studentInfo", "studentRegistration", "assessments",
-                                   "courses", "vle")])
+    written = write_many(new, [(sv[t], "silver", t) for t in
+                               ("studentInfo", "studentRegistration", "assessments", "courses", "vle")])
 
     # Click roll-up: source rows and clicks are observed on the typed input
     # inside the same job that writes the roll-up -- no second scan.
-    obs_in = Observation("clicks_in")
-    typed = cast_columns(bronze["studentVle"], SILVER_CASTS["studentVle"]).observe(
-        obs_in, F.count(F.lit(1)).alias("rows"),
-        F.sum(F.col("sum_click").cast("bigint")).alias("clicks"))
-    rolled = rollup_events(typed, CLICK_KEYS, "sum_click", "total_clicks", "event_count")
-    written["studentVle"] = layout.write(
-        rolled, "silver", "studentVle", partition_by=partition_clicks_by,
+    clicks_in = Observation("clicks_in")
+    totals = written["studentVle"] = new.write(
+        silver_clicks(bronze["studentVle"], clicks_in), "silver", "studentVle", partition_by=partition_clicks_by,
         metrics={"events": F.sum("event_count"), "clicks": F.sum("total_clicks")})
-    src = obs_in.get
-    totals = written["studentVle"]
-    sv_read = {t: layout.read(spark, "silver", t) for t in written}
+    src = clicks_in.get
     if totals["events"] != src["rows"] or totals["clicks"] != src["clicks"]:
         raise CheckFailed("click roll-up lost rows", {
             "source_rows": src["rows"], "events": totals["events"],
             "source_clicks": src["clicks"], "rolled_clicks": totals["clicks"]})
 
     # Quarantine split: the source count is observed by the valid-rows write.
-    obs_sa = Observation("scores_in")
-    typed_sa = cast_columns(bronze["studentAssessment"], SILVER_CASTS["studentAssessment"]) \
-        .observe(obs_sa, F.count(F.lit(1)).alias("rows"))
-    valid, invalid = split_by_rule(typed_sa, score_in_range("score", 0, 100))
-    written["studentAssessment"] = layout.write(valid, "silver", "studentAssessment")
-    sa_rows = obs_sa.get["rows"]
-    written["studentAssessment_quarantine"] = layout.write(
-        invalid.drop(), "silver", "studentAssessment_quarantine")
-    split_total = written["studentAssessment"]["rows"] + \
-        written["studentAssessment_quarantine"]["rows"]
-    if split_total != sa_rows:
+    scores_in = Observation("scores_in")
+    valid, _, _ = silver_assessment_split(bronze["studentAssessment"], scores_in)
+    written["studentAssessment"] = new.write(valid, "silver", "studentAssessment")
+    written["studentAssessment_quarantine"] = new.write(sv["studentAssessment_quarantine"], "silver", "studentAssessment_quarantine")
+    split_total = written["studentAssessment"]["rows"] + written["studentAssessment_quarantine"]["rows"]
+    if split_total != scores_in.get["rows"]:
         raise CheckFailed("quarantine split lost rows", {
-            "source_rows": sa_rows, "valid+invalid": split_total})
-    for t in ("studentAssessment", "studentAssessment_quarantine"):
-        sv_read[t] = layout.read(spark, "silver", t)
+            "source_rows": scores_in.get["rows"], "valid+invalid": split_total})
+    sv_read = {t: new.read("silver", t) for t in written}
     report["silver"] = {t: w["rows"] for t, w in written.items()}
     report["silver"]["click_events_out"] = totals["events"]
     report["silver"]["click_rows_in"] = src["rows"]
 
     g = gold(sv_read, security_rows, spark)
-    gw = write_many(layout, [(g[t], "gold", t) for t in
-                             ("dim_student", "dim_module", "dim_assessment",
-                              "security_region_map")])
-    dim = layout.read(spark, "gold", "dim_student")
-    ds_rows, ds_keys = dim.agg(F.count(F.lit(1)), F.count_distinct("id_student")).collect()[0]
+    gw = write_many(new, [(g[t], "gold", t) for t in
+                          ("dim_student", "dim_module", "dim_assessment", "security_region_map")])
+    gd = {t: new.read("gold", t) for t in ("dim_student", "dim_module", "dim_assessment")}
+    ds_rows, ds_keys = gd["dim_student"].agg(F.count(F.lit(1)), F.count_distinct("id_student")).collect()[0]
     if ds_rows != ds_keys:
         raise CheckFailed("dim_student has duplicate students",
                           {"rows": ds_rows, "distinct": ds_keys})
-    gd = {t: layout.read(spark, "gold", t) for t in ("dim_student", "dim_module",
-                                                     "dim_assessment")}
     facts = {
         "fact_assessment": (fact_assessment(sv_read["studentAssessment"], gd["dim_student"],
                                             gd["dim_assessment"]),
@@ -227,8 +221,8 @@ def run_pipeline(spark: SparkSession, layout: Layout, security_rows=(),
                               written["studentRegistration"]["rows"]),
     }
     # Rows and NULL keys come from each write's own observation.
-    fw = write_many(layout, [(df, "gold", t, {"null_cols": sks})
-                             for t, (df, sks, _) in facts.items()])
+    fw = write_many(new, [(df, "gold", t, {"null_cols": sks})
+                          for t, (df, sks, _) in facts.items()])
     for t, (_, _, expected) in facts.items():
         w = fw[t]
         gw[t] = w
@@ -237,6 +231,8 @@ def run_pipeline(spark: SparkSession, layout: Layout, security_rows=(),
             raise CheckFailed(f"{t}: orphan keys or fan-out",
                               {"rows": w["rows"], "expected": expected, **w})
     report["gold"] = {t: w["rows"] for t, w in gw.items()}
+    # All checks hold: Silver and Gold become visible together.
+    report["manifest"] = new.publish()
     return report
 
 

@@ -5,6 +5,9 @@ is a folder ``<root>/<layer>/<table>`` in ``fmt`` (parquet by default; any
 installed format such as delta works); without it, tables go through the
 session catalog as ``<layer>.<table>``.
 
+Tables that are to appear together, after checks, go through
+``sources.publish``; reads follow its manifest.
+
 Writes are full reloads (overwrite) unless stated; every write attaches an
 ``Observation`` so the row count and NULL counts of the written data come
 back from the write job itself, with no second scan.
@@ -12,6 +15,7 @@ back from the write job itself, with no second scan.
 
 from __future__ import annotations
 
+import json
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -46,10 +50,16 @@ class Layout:
             raise ValueError("catalog layout has no paths")
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
+    def load(self, spark: SparkSession, folder: str) -> DataFrame:
+        """A folder named relative to the root."""
+        return spark.read.format(self.fmt).load(f"{self.root.rstrip('/')}/{folder}")
+
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
+        """The published version (``sources.publish``) of a table, else the table written in place."""
         if self.root is None:
             return spark.table(self.name(layer, table))
-        return spark.read.format(self.fmt).load(self.path(layer, table))
+        folder = read_manifest(spark, self)[1].get(self.name(layer, table))
+        return self.load(spark, folder or f"{layer}/{table}")
 
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite",
               null_cols: tuple[str, ...] = (), partition_by: tuple[str, ...] = (),
@@ -57,8 +67,12 @@ class Layout:
         """Write ``df`` and return observed counts of what was written.
 
         Spark refuses to overwrite a table the same plan reads, so a stage
-        never writes its own input; layers are separate tables.
+        never writes its own input; layers are separate tables.  A published
+        table is replaced by publishing, not in place.
         """
+        if self.root is not None and self.name(layer, table) in read_manifest(df.sparkSession, self)[1]:
+            raise ValueError(f"{self.name(layer, table)} is published: write it through a Publication")
+
         def _writer(d: DataFrame):
             w = d.write.format(self.fmt).mode(mode)
             if partition_by:
@@ -71,15 +85,44 @@ class Layout:
         return write_observed(df, _writer, null_cols, metrics)
 
 
-def write_many(layout: Layout, items: list[tuple], parallel: int = 4) -> dict[str, dict]:
+def manifest_files(spark: SparkSession, layout: Layout) -> list[tuple[int, dict[str, str]]]:
+    """(number, {table: folder}) of every complete manifest, the newest first."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(layout.root.rstrip("/"), "manifest")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    out = []
+    for f in fs.listStatus(folder):
+        name = f.getPath().getName()
+        if not name.endswith(".json"):
+            continue
+        stream = fs.open(f.getPath())
+        try:
+            body = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        if body.endswith("}\n"):            # else it is being written
+            out.append((int(name.removesuffix(".json")), json.loads(body)))
+    return sorted(out, reverse=True)
+
+
+def read_manifest(spark: SparkSession, layout: Layout) -> tuple[int, dict[str, str]]:
+    """Number and tables of the newest manifest; (0, {}) where nothing was published."""
+    found = manifest_files(spark, layout)
+    return found[0] if found else (0, {})
+
+
+def write_many(layout, items: list[tuple], parallel: int = 4) -> dict[str, dict]:
     """Write independent tables concurrently; {table: observed counts}.
 
     ``items`` holds (df, layer, table[, kwargs]) tuples.  Each write is its
     own Spark job; submitting them from a few threads lets the scheduler run
     them side by side, so small tables do not leave most task slots idle.
-    Results are the same as writing one after the other.
+    Results are the same as writing one after the other.  ``layout`` is a
+    ``Layout`` or a ``Publication``.
     """
-    if layout.root is None:
+    if getattr(layout, "layout", layout).root is None:
         spark = items[0][0].sparkSession if items else None
         for layer in {it[1] for it in items}:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")

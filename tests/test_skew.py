@@ -81,3 +81,128 @@ def test_number_rows_null_group_distributed(spark):
     got = {r.v: (r.g, r.rn) for r in
            number_rows(df, ["v"], ["g"], "rn", partitions=2).collect()}
     assert got == {1: (None, 1), 2: (None, 2), 3: ("a", 1)}
+
+
+def tasks_of(df):
+    """Rows of each task of a join's output."""
+    return [r["n"] for r in df.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()]
+
+
+@pytest.fixture()
+def plain_shuffles(spark):
+    """No merging of partitions and no broadcasts: what a task gets is what the join's keys give it."""
+    held = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def crowded(spark, n=24_000):
+    return spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 997 + 1).alias("k"),
+                                 (F.col("id") % 5).alias("m"), F.col("id").alias("v"))
+
+
+def balanced(df, rows):
+    sizes = tasks_of(df)
+    assert sum(sizes) == rows and max(sizes) <= 2 * rows / 8
+
+
+def test_hot_keys_are_found(spark):
+    from strata.operators.skew import hot_keys
+    df = crowded(spark)
+    hot = hot_keys(df, ["k"], partitions=8)
+    assert list(hot) == [spark.range(1).select(F.xxhash64(F.lit(0).cast("bigint")).alias("h")).first()["h"]]
+    assert hot_keys(df.limit(0), ["k"]) == {} and hot_keys(spark.range(1000).withColumnRenamed("id", "k"), ["k"], 8) == {}
+    assert hot_keys(df.withColumn("k", F.when(F.col("k") != 0, F.col("k"))), ["k"], 8)       # a NULL key can be hot
+
+
+def test_preaggregate_join_spreads_a_hot_key(plain_shuffles):
+    from strata.operators.joins import preaggregate_join
+    df = crowded(plain_shuffles)
+    out = preaggregate_join(df, df.withColumnRenamed("v", "w"), ["k"], "w", "total")
+    balanced(out, 24_000)
+    plain = df.join(df.groupBy("k").agg(F.sum("v").alias("total")), "k", "left").select(*out.columns)
+    assert out.exceptAll(plain).isEmpty() and plain.exceptAll(out).isEmpty()
+
+
+def test_three_key_join_and_engagement_spread_a_hot_key(plain_shuffles):
+    from strata.operators.skew import salted_lookup
+    from strata.plans.reports import engagement_outcome
+    df = crowded(plain_shuffles).withColumn("d", F.lit("x")).withColumn("m", F.lit(1))
+    per = df.groupBy("k", "m", "d").agg(F.count(F.lit(1)).alias("n"))
+    balanced(salted_lookup(df, per, ["k", "m", "d"]), 24_000)
+    reg = df.select(F.col("k").alias("student_sk"), F.col("m").alias("module_sk"), F.lit(True).alias("is_withdrawn"))
+    clicks = df.select(F.col("k").alias("student_sk"), F.col("m").alias("module_sk"), F.col("v").alias("total_clicks"))
+    out = engagement_outcome({"fact_registration": reg, "fact_vle": clicks})
+    balanced(out, 24_000)
+
+
+def test_legacy_summary_spreads_a_hot_student(plain_shuffles):
+    from strata.plans.legacy import KEY3, legacy_summary
+    info = crowded(plain_shuffles).select(F.col("k").cast("string").alias("id_student"), F.lit("m").alias("code_module"), F.col("v").cast("string").alias("code_presentation"),
+                                          *[F.lit("a").alias(c) for c in ("gender", "region", "highest_education", "age_band", "imd_band")])
+    reg = info.select(*KEY3, F.lit("5").alias("date_registration"), F.lit("").alias("date_unregistration"))
+    scores = info.select("id_student", F.lit("50").alias("score"))
+    clicks = info.select("id_student", F.lit("2").alias("sum_click"))
+    out = legacy_summary(info, reg, scores, clicks)
+    balanced(out, 24_000)
+    assert out.filter("id_student = '0'").select("total_clicks").distinct().collect()[0][0] == 16_000
+
+
+def test_salted_rollup_equals_plain_aggregates(spark):
+    from strata.operators.skew import salted_rollup
+    df = crowded(spark, 6000).withColumn("k", F.when(F.col("k") != 5, F.col("k")))           # with a NULL key
+    spec = {"n": ("count", "v"), "s": ("sum", "v"), "a": ("min", "v"), "z": ("max", "v"), "d": ("distinct", "m"), "e": ("distinct", "v")}
+    got = salted_rollup(df, ["k"], spec)
+    want = df.groupBy("k").agg(F.count("v").alias("n"), F.sum("v").alias("s"), F.min("v").alias("a"), F.max("v").alias("z"),
+                               F.count_distinct("m").alias("d"), F.count_distinct("v").alias("e"))
+    assert got.columns == want.columns and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert salted_rollup(df.limit(0), ["k"], spec).count() == 0
+
+
+def test_left_lookup_spreads_null_keys(plain_shuffles):
+    from strata.operators.skew import salted_lookup
+    df = crowded(plain_shuffles).withColumn("k", F.when(F.col("k") != 0, F.col("k")))
+    per = df.groupBy("k").agg(F.max("v").alias("top"))
+    out = salted_lookup(df, per, ["k"])
+    balanced(out, 24_000)
+    assert out.filter("k IS NULL AND top IS NOT NULL").isEmpty()
+
+
+@pytest.mark.parametrize("how", ["sum", "max"])
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_running_equals_a_window(spark, how, by):
+    from strata.operators.sequence import running
+    df = crowded(spark, 3000).withColumn("o", F.when(F.col("v") % 7 == 0, None).when(F.col("v") % 11 == 0, float("nan")).otherwise(F.col("v") % 50 / 2))
+    fold = F.sum if how == "sum" else F.max
+    w = Window.partitionBy(*by)
+    want = df.withColumns({"r": fold("v").over(w.orderBy("o", "v").rowsBetween(Window.unboundedPreceding, 0)), "t": fold("v").over(w)})
+    got = running(df, ["o", "v"], by, F.col("v"), "r", how, total="t")
+    assert got.select(*want.columns).exceptAll(want).isEmpty() and got.count() == 3000
+    text = df.withColumn("o", F.col("o").cast("string"))                                      # not a number: ranges by sampled bounds
+    want = text.withColumns({"r": fold("v").over(w.orderBy("o", "v").rowsBetween(Window.unboundedPreceding, 0)), "t": fold("v").over(w)})
+    got = running(text, ["o", "v"], by, F.col("v"), "r", how, total="t")
+    assert got.select(*want.columns).exceptAll(want).isEmpty() and got.count() == 3000
+
+
+def test_running_shuffles_its_rows_once(plain_shuffles):
+    from strata.operators.sequence import running
+    df = crowded(plain_shuffles, 3000)
+    for by in ([], ["m"]):
+        plan = running(df, ["v"], by, F.col("v"), "r", "sum")._jdf.queryExecution().executedPlan().toString()
+        rows = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "_rm_v" not in x and "ReusedExchange" not in x]
+        # the rows once; the other exchanges carry a row per range
+        assert plan.count("REPARTITION_BY_COL") == 2 and plan.count("BroadcastNestedLoopJoin") == 0, rows
+
+
+def test_quantiles_leave_out_nan(spark):
+    from strata.operators.stats import box_stats, summary
+    df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("a", None), ("a", 3.0), ("b", None)], "g string, v double")
+    assert {r.g: r.q50 for r in exact_quantiles(df, "v", [0.5], ["g"]).collect()} == {"a": 2.0}
+    s = summary(df, "v").first()
+    assert (s["count"], s["mean"], s["p50"], s["max"]) == (2, 2.0, 2.0, 3.0)
+    assert [tuple(r) for r in box_stats(df, "v", ["g"]).collect()] == [("a", 2, 1.5, 2.0, 2.5, 1.0, 3.0, 0)]
+    assert summary(df.limit(0), "v").first()["count"] == 0
