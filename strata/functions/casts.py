@@ -30,7 +30,9 @@ def to_int(c, kind: str = "int") -> Column:
     decimal text ('7.5') is common in raw sources.
     """
     # The bridge rounds at its last digit: longer fractions are cut first.
-    text = F.regexp_replace(_col(c).cast("string"), r"^(\s*[+-]?\d*\.\d{6})\d+", "$1")
+    raw = _col(c).cast("string")
+    long_fraction = (F.instr(raw, ".") > 0) & (F.length(raw) - F.instr(raw, ".") > 6)
+    text = F.when(long_fraction, F.regexp_replace(raw, r"^(\s*[+-]?\d*\.\d{6})\d+", "$1")).otherwise(raw)
     return text.try_cast(_DECIMAL_BRIDGE).try_cast(kind)
 
 

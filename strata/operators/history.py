@@ -10,6 +10,8 @@
   ``is_current`` set on the latest version only.  Previous / next versions
   are found with the skew-safe ``sequence.neighbour``: windows on one shuffle,
   and an equi-join on (key, rank) for the keys with a huge history.
+* ``scd2_apply`` -- a batch applied to stored history: only its keys are
+  rebuilt.
 * ``asof_join`` -- for each row, the latest row of another table with the
   same key at or before its time (e.g. the dimension version in effect on
   a fact's date).  Not a key join plus range filter, which pairs every row
@@ -93,6 +95,29 @@ def scd2(observations: DataFrame, key: Sequence[str], attrs: Sequence[str], at:
                            F.col("_next_effective_from").isNull().alias("is_current"))
 
 
+def scd2_apply(history: DataFrame, log: DataFrame, batch: DataFrame, key: Sequence[str], attrs: Sequence[str], at: str,
+               tie: Sequence[str] = (), open_end: str = OPEN_END) -> DataFrame:
+    """``history`` (of ``scd2`` over ``log``) after a batch of observations, late ones included.
+
+    Only the keys in the batch are rebuilt, from their logged observations and
+    the batch; the versions of all other keys are taken as they are.  So a late
+    observation splits a version, equal neighbours merge, and the result is that
+    of a rebuild from all observations, in whatever order batches come; a batch
+    that is applied again changes nothing.  The caller appends the batch to the
+    log.  A NULL key is a key.
+    """
+    key = list(key)
+    cols = [*key, *attrs, *tie, at]
+    touched = batch.select(F.struct(*key).alias("_touched")).distinct()     # a struct is never NULL
+
+    def of(df: DataFrame, how: str) -> DataFrame:
+        return df.withColumn("_touched", F.struct(*key)).join(touched, "_touched", how).drop("_touched")
+
+    seen = of(log.select(*cols), "left_semi").unionByName(batch.select(*cols)).distinct()
+    rebuilt = scd2(seen, key, attrs, at, tie, open_end)
+    return of(history.select(*rebuilt.columns), "left_anti").unionByName(rebuilt)
+
+
 def asof_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_at: str,
               right_at: str, right_cols: Sequence[str], tie: Sequence[str] = (),
               prefix: str = "", partitions: int | None = None) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.compare import compare_keyed
-from strata.operators.history import after_watermark, merge_upsert, scd2
+from strata.operators.history import after_watermark, merge_upsert, scd2, scd2_apply
 from strata.operators.joins import outputs_equal
 from strata.operators.maintain import compact, file_stats
 from strata.plans import medallion
@@ -275,6 +275,65 @@ def q_scd2(spark, d):
                           "effective_to": F.col("effective_to").cast("string")})
 
 
+def q_scd2_apply(spark, d):
+    """The history of ``scd2`` from three batches that come out of order, the second one twice."""
+    o = table(spark, d, "orders").select("o_custkey", "o_orderpriority", "o_orderkey", F.to_date("o_orderdate").alias("d"))
+    args = (["o_custkey"], ["o_orderpriority"], "d", ["o_orderkey"])
+    batches = [o.filter(F.pmod(F.col("o_orderkey"), F.lit(3)) == i) for i in (2, 0, 1)]
+    log, history = batches[0], scd2(batches[0], *args)
+    for b in (batches[1], batches[1], batches[2]):
+        path = scratch_path(spark, "history")           # each batch's history is a written table
+        scd2_apply(history, log, b, *args).write.parquet(path)
+        log, history = log.unionByName(b), spark.read.parquet(path)
+    return history.withColumns({"effective_from": F.col("effective_from").cast("string"),
+                                "effective_to": F.col("effective_to").cast("string")})
+
+
+def q_rollup_incremental(spark, d):
+    """Events rolled up from three batches, one of them sent twice; stored by event type."""
+    from strata.plans.analogs import MONEY, event_day
+    from strata.sources.partitioned import merge_rollup
+    e = table(spark, d, "events").withColumn("day", event_day())
+    lake = Layout(root=scratch_path(spark, "incremental"))
+    for i in (1, 0, 1, 2):
+        merge_rollup(spark, lake, "silver", "clicks", e.filter(F.pmod(F.col("event_id"), F.lit(3)) == i), f"batch-{i}",
+                     ["user_id", "event_type", "day"], "value", "event_type", "total_value", "event_count", MONEY)
+    return lake.read(spark, "silver", "clicks").withColumn("total_value", F.col("total_value").cast("double"))
+
+
+def q_csv_rejects(spark, d):
+    """customer as CSV lines of which some are cut, lengthened or left with an open quote: what was landed, and why the rest was not."""
+    from strata.sources.ingest import land_csv
+    c = table(spark, d, "customer")
+    quoted = F.concat(F.lit('"'), F.col("c_name"), F.lit(', esq."'))
+    line = F.concat_ws(",", F.col("c_custkey").cast("string"), quoted, F.col("c_nationkey").cast("string"), F.col("c_acctbal").cast("string"), "c_mktsegment")
+    k = F.col("c_custkey") % 20
+    line = (F.when(k == 1, F.regexp_replace(line, ",[^,]*$", "")).when(k == 2, F.concat(line, F.lit(",more")))
+            .when(k == 3, F.concat(line, F.lit(',"open'))).when(k == 4, F.regexp_replace(line, '"$|esq."', 'esq.')).otherwise(line))
+    folder = scratch_path(spark, "customer_lines")
+    spark.createDataFrame([(",".join(c.columns),)], "value string").coalesce(1).write.text(folder)
+    c.select(line.alias("value")).write.mode("append").text(folder)
+    lake = Layout(root=scratch_path(spark, "landing"))
+    counts = land_csv(spark, folder, c.columns, lake, "raw", "customer")
+    good = lake.read(spark, "raw", "customer").groupBy().agg(F.lit("landed").alias("outcome"), F.count(F.lit(1)).alias("n"),
+                                                             F.sum(F.col("c_custkey").cast("bigint")).alias("keys"))
+    bad = lake.read(spark, "raw", "customer_rejects").groupBy(F.col("reason").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.substring_index("record", ",", 1).cast("bigint")).alias("keys"))
+    return good.unionByName(bad).withColumn("read", F.lit(counts["read"]).cast("bigint"))
+
+
+def q_profile_all(spark, d):
+    """All columns of the orders profiled in two loads, merged without reading again: the exact part."""
+    from strata.operators.profile import merge_profiles, profile_columns, profile_report
+    o = table(spark, d, "orders").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 10 == 0, F.lit(" ")).when(
+        F.col("o_orderkey") % 10 != 1, F.col("o_orderstatus"))).drop("o_orderdate")
+    path = scratch_path(spark, "profiles")
+    for load in (F.col("o_orderkey") % 4 == 0, F.col("o_orderkey") % 4 != 0):
+        profile_columns(o.filter(load)).write.mode("append").parquet(path)
+    report = profile_report(merge_profiles(spark.read.parquet(path)))
+    return report.select("column", "rows", "nulls", "blanks", "least", "most", "first_text", "last_text")
+
+
 def q_scd2_null_runs(spark, d):
     """As ``scd2`` with an attribute that is NULL on many rows in a row."""
     o = table(spark, d, "orders").select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("d"),
@@ -518,6 +577,10 @@ QUERIES = {
     "gold_dims": q_gold_dims,
     "scd2": q_scd2,
     "scd2_null_runs": q_scd2_null_runs,
+    "scd2_apply": q_scd2_apply,
+    "rollup_incremental": q_rollup_incremental,
+    "csv_rejects": q_csv_rejects,
+    "profile_all": q_profile_all,
     "merge_upsert": q_merge_upsert,
     "incremental": q_incremental,
     "asof_last_purchase": q_asof_last_purchase,
@@ -803,6 +866,19 @@ SQL = {
         COUNT(DISTINCT o_custkey) AS unique_students FROM orders
         UNION ALL SELECT 'studentInfo', COUNT(DISTINCT o_custkey) FROM orders""",
 }
+SQL["scd2_apply"] = SQL["scd2"]
+SQL["rollup_incremental"] = """SELECT user_id, event_type, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) AS day,
+    CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value, COUNT(*) AS event_count FROM events GROUP BY ALL"""
+SQL["csv_rejects"] = """SELECT CASE c_custkey % 20 WHEN 1 THEN 'short row' WHEN 2 THEN 'long row' WHEN 3 THEN 'unclosed quote'
+    WHEN 4 THEN 'unclosed quote' ELSE 'landed' END AS outcome, COUNT(*) AS n, CAST(SUM(c_custkey) AS BIGINT) AS keys,
+    (SELECT COUNT(*) FROM customer) AS read FROM customer GROUP BY 1"""
+_PROFILED = """(SELECT * REPLACE (CASE WHEN o_orderkey % 10 = 0 THEN ' ' WHEN o_orderkey % 10 <> 1 THEN o_orderstatus END AS o_orderstatus) FROM orders)"""
+SQL["profile_all"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS column, COUNT(*) AS rows, COUNT(*) - COUNT({c}) AS nulls, "
+    + (f"COUNT(*) FILTER (WHERE trim({c}) = '') AS blanks, CAST(NULL AS DOUBLE) AS least, CAST(NULL AS DOUBLE) AS most, MIN({c}) AS first_text, MAX({c}) AS last_text"
+       if c in ("o_orderstatus", "o_orderpriority") else
+       f"0 AS blanks, CAST(MIN({c}) AS DOUBLE) AS least, CAST(MAX({c}) AS DOUBLE) AS most, CAST(NULL AS VARCHAR) AS first_text, CAST(NULL AS VARCHAR) AS last_text")
+    + f" FROM {_PROFILED}" for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"))
 _EO = "(" + SQL["engagement_outcome"] + ") eo"
 SQL["engagement_correlation"] = f"""SELECT round(corr(CASE WHEN is_withdrawn THEN 1.0 ELSE 0.0 END,
     CAST(total_clicks AS DOUBLE)), 6) AS r, COUNT(*) AS n FROM {_EO}"""

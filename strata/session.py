@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +65,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the Python workers this package, once per application.
+
+    Workers import the functions that tasks run from ``strata``; a driver that
+    found the package on its own path only would leave them without it.  Where
+    the package came as an archive (``--py-files``) they have it already.
+    """
+    sc = spark.sparkContext
+    home = os.path.dirname(os.path.abspath(__file__))
+    if sc.applicationId in _SHIPPED or not os.path.isdir(home):
+        return
+    _SHIPPED.add(sc.applicationId)
+    archive = os.path.join(tempfile.mkdtemp(prefix="strata-ship-"), "strata.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(home):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.join("strata", os.path.relpath(path, home)))
+    sc.addPyFile(archive)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.errors import CheckFailed
 from strata.sources.layout import Layout
 
 AUDIT_COL = "_ingested_at"
@@ -42,6 +43,49 @@ def read_raw_csv(spark: SparkSession, path: str, columns: Iterable[str]) -> Data
     return reader.csv(path)
 
 
+#: Why a line is not landed.
+REASONS = ("unclosed quote", "short row", "long row")
+
+
+def scan_csv(spark: SparkSession, path: str, columns: Iterable[str]) -> DataFrame:
+    """Lines of CSV files under ``path`` that are neither blank nor the header: ``file``, ``record`` (the line), ``reason``
+    (one of ``REASONS``; NULL for a good line) and the columns, NULL in a rejected line.
+
+    A line is judged from its text before it is parsed: the number of quotes
+    that are not escaped, then the number of separators outside quotes.
+    """
+    columns = list(columns)
+    sep, quote = CSV_OPTIONS["sep"], CSV_OPTIONS["quote"]
+    lines = (spark.read.option("recursiveFileLookup", "true").text(path)
+             .select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "\r$", "").alias("record")))
+    count = lambda text, what: F.length(text) - F.length(F.replace(text, F.lit(what), F.lit("")))
+    plain = F.regexp_replace("record", r"\\.", "")                       # without escaped characters
+    outside = F.regexp_replace(plain, f"{quote}[^{quote}]*{quote}", "")     # without quoted text
+    fields = count(outside, sep) + 1
+    reason = (F.when(count(plain, quote) % 2 == 1, REASONS[0]).when(fields < len(columns), REASONS[1])
+              .when(fields > len(columns), REASONS[2]))
+    read = (lines.where((F.trim("record") != "") & (F.col("record") != sep.join(columns))).withColumn("reason", reason))
+    options = {k: CSV_OPTIONS[k] for k in ("sep", "quote", "escape")}
+    parsed = F.from_csv(F.when(F.col("reason").isNull(), F.col("record")), ", ".join(f"`{c}` string" for c in columns), options)
+    return read.withColumn("_p", parsed).select("file", "record", "reason", *[F.col(f"_p.`{c}`").alias(c) for c in columns])
+
+
+def land_csv(spark: SparkSession, path: str, columns: Iterable[str], layout: Layout, layer: str, table: str) -> dict:
+    """Lands good lines (with the audit column) in ``table`` and the others in ``table_rejects`` with file and reason;
+    raises ``CheckFailed`` unless read = landed + rejected.  Returns the three counts."""
+    columns = list(columns)
+    seen = Observation(f"csv_{table}")
+    scanned = scan_csv(spark, path, columns)
+    good = scanned.observe(seen, F.count(F.lit(1)).alias("read")).where(F.col("reason").isNull())
+    landed = layout.write(with_audit(good.select(*columns)), layer, table)["rows"]
+    bad = scanned.where(F.col("reason").isNotNull()).select("file", "reason", "record")
+    rejected = layout.write(with_audit(bad), layer, f"{table}_rejects")["rows"]
+    counts = {"read": seen.get["read"], "landed": landed, "rejected": rejected}
+    if counts["read"] != landed + rejected:
+        raise CheckFailed(f"{table}: lines were lost", counts)
+    return counts
+
+
 def with_audit(df: DataFrame, col: str = AUDIT_COL) -> DataFrame:
     """Add the load time; one value for the whole query."""
     return df.withColumn(col, F.current_timestamp())

@@ -19,6 +19,7 @@ import json
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -50,9 +51,16 @@ class Layout:
             raise ValueError("catalog layout has no paths")
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
-    def load(self, spark: SparkSession, folder: str) -> DataFrame:
-        """A folder named relative to the root."""
-        return spark.read.format(self.fmt).load(f"{self.root.rstrip('/')}/{folder}")
+    def load(self, spark: SparkSession, entry: str | dict) -> DataFrame:
+        """A folder named relative to the root, or partitions of several versions (``sources.partitioned``)."""
+        root = self.root.rstrip("/")
+        if isinstance(entry, str):
+            return spark.read.format(self.fmt).load(f"{root}/{entry}")
+        versions: dict[str, list[str]] = {}
+        for part, version in sorted(entry["parts"].items()):
+            versions.setdefault(version, []).append(f"{root}/{version}/{part}")
+        frames = [spark.read.schema(entry["schema"]).format(self.fmt).option("basePath", f"{root}/{v}").load(paths) for v, paths in versions.items()]
+        return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], entry["schema"])
 
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
         """The published version (``sources.publish``) of a table, else the table written in place."""
@@ -85,8 +93,8 @@ class Layout:
         return write_observed(df, _writer, null_cols, metrics)
 
 
-def manifest_files(spark: SparkSession, layout: Layout) -> list[tuple[int, dict[str, str]]]:
-    """(number, {table: folder}) of every complete manifest, the newest first."""
+def manifest_files(spark: SparkSession, layout: Layout) -> list[tuple[int, dict[str, str | dict]]]:
+    """(number, {table: folder, or versions of its partitions}) of every complete manifest, the newest first."""
     jvm = spark._jvm
     folder = jvm.org.apache.hadoop.fs.Path(layout.root.rstrip("/"), "manifest")
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -107,7 +115,7 @@ def manifest_files(spark: SparkSession, layout: Layout) -> list[tuple[int, dict[
     return sorted(out, reverse=True)
 
 
-def read_manifest(spark: SparkSession, layout: Layout) -> tuple[int, dict[str, str]]:
+def read_manifest(spark: SparkSession, layout: Layout) -> tuple[int, dict[str, str | dict]]:
     """Number and tables of the newest manifest; (0, {}) where nothing was published."""
     found = manifest_files(spark, layout)
     return found[0] if found else (0, {})

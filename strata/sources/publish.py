@@ -33,7 +33,7 @@ class Publication:
         self.spark, self.layout = spark, layout
         self.run = uuid.uuid4().hex[:12]
         self.number, self.tables = read_manifest(spark, layout) if layout.root else (0, {})
-        self.staged: dict[str, str] = {}
+        self.staged: dict[str, str | dict] = {}
 
     def write(self, df: DataFrame, layer: str, table: str, null_cols: tuple[str, ...] = (), partition_by: tuple[str, ...] = (),
               metrics: dict | None = None) -> dict:
@@ -78,6 +78,10 @@ def _folder(spark: SparkSession, layout: Layout):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
+def _folders(entry: str | dict) -> list[str]:
+    return [entry] if isinstance(entry, str) else [f"{version}/{part}" for part, version in entry["parts"].items()]
+
+
 def vacuum(spark: SparkSession, layout: Layout, keep: int = 2) -> list[str]:
     """Removes the folders that none of the last ``keep`` manifests names, and the manifests before them.
 
@@ -85,8 +89,8 @@ def vacuum(spark: SparkSession, layout: Layout, keep: int = 2) -> list[str]:
     """
     fs, folder = _folder(spark, layout)
     files = manifest_files(spark, layout)
-    used = {f for _, tables in files[:keep] for f in tables.values()}
-    old = sorted({f for _, tables in files[keep:] for f in tables.values()} - used)
+    used = {f for _, tables in files[:keep] for e in tables.values() for f in _folders(e)}
+    old = sorted({f for _, tables in files[keep:] for e in tables.values() for f in _folders(e)} - used)
     path = spark._jvm.org.apache.hadoop.fs.Path
     for f in old:
         fs.delete(path(f"{layout.root.rstrip('/')}/{f}"), True)
