@@ -390,6 +390,22 @@ def q_compaction(spark, d):
     return compact(spark, src, scratch_path(spark, "lineitem_compact"))
 
 
+def q_compaction_by_file(spark, d):
+    """Lines stored by return flag in many small files; compacted, then read back per flag."""
+    from strata.operators.maintain import compact_small
+    from strata.sources.publish import Publication
+    lake = Layout(root=scratch_path(spark, "fragments"))
+    lines = table(spark, d, "lineitem")
+    first = Publication(spark, lake)
+    first.write(lines.repartition(8), "silver", "lines", partition_by=("l_returnflag",))
+    first.publish()
+    report = compact_small(spark, lake, "silver", "lines")
+    again = compact_small(spark, lake, "silver", "lines")
+    return (lake.read(spark, "silver", "lines").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("qty"))
+            .withColumns({"fewer_files": F.lit(report["files_after"] < report["files_before"]), "folders": F.lit(len(report["folders"])).cast("bigint"),
+                          "rows_moved": F.lit(report["rows"]).cast("bigint"), "nothing_left": F.lit(not again["folders"])}))
+
+
 # -- ingest paths: CSV landing, streaming increments, cast-loss probe ----------
 
 def q_csv_roundtrip(spark, d):
@@ -586,6 +602,7 @@ QUERIES = {
     "asof_last_purchase": q_asof_last_purchase,
     "file_stats": q_file_stats,
     "compaction": q_compaction,
+    "compaction_by_file": q_compaction_by_file,
     "csv_roundtrip": q_csv_roundtrip,
     "stream_ingest": q_stream_ingest,
     "cast_loss": q_cast_loss,
@@ -867,6 +884,9 @@ SQL = {
         UNION ALL SELECT 'studentInfo', COUNT(DISTINCT o_custkey) FROM orders""",
 }
 SQL["scd2_apply"] = SQL["scd2"]
+SQL["compaction_by_file"] = """SELECT l_returnflag, COUNT(*) AS n, SUM(l_quantity) AS qty, TRUE AS fewer_files,
+    (SELECT COUNT(DISTINCT l_returnflag) FROM lineitem) AS folders, (SELECT COUNT(*) FROM lineitem) AS rows_moved, TRUE AS nothing_left
+    FROM lineitem GROUP BY l_returnflag"""
 SQL["rollup_incremental"] = """SELECT user_id, event_type, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) AS day,
     CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value, COUNT(*) AS event_count FROM events GROUP BY ALL"""
 SQL["csv_rejects"] = """SELECT CASE c_custkey % 20 WHEN 1 THEN 'short row' WHEN 2 THEN 'long row' WHEN 3 THEN 'unclosed quote'

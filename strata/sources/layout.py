@@ -57,8 +57,8 @@ class Layout:
         if isinstance(entry, str):
             return spark.read.format(self.fmt).load(f"{root}/{entry}")
         versions: dict[str, list[str]] = {}
-        for part, version in sorted(entry["parts"].items()):
-            versions.setdefault(version, []).append(f"{root}/{version}/{part}")
+        for version, folder, names in entry_folders(entry):
+            versions.setdefault(version, []).extend([f"{root}/{folder}/{f}" for f in names] if names is not None else [f"{root}/{folder}"])
         frames = [spark.read.schema(entry["schema"]).format(self.fmt).option("basePath", f"{root}/{v}").load(paths) for v, paths in versions.items()]
         return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], entry["schema"])
 
@@ -93,6 +93,22 @@ class Layout:
         return write_observed(df, _writer, null_cols, metrics)
 
 
+def entry_folders(entry: str | dict) -> list[tuple[str, str, list[str] | None]]:
+    """(version, folder, file names) of what a table consists of; no names: all files of the folder.
+
+    A partition (``""`` for a table without) may be spread over several
+    versions; ``files`` limits a folder to some of its files.
+    """
+    if isinstance(entry, str):
+        return [(entry, entry, None)]
+    out = []
+    for part, held in sorted(entry["parts"].items()):
+        for version in [held] if isinstance(held, str) else held:
+            folder = f"{version}/{part}" if part else version
+            out.append((version, folder, entry.get("files", {}).get(folder)))
+    return out
+
+
 def manifest_files(spark: SparkSession, layout: Layout) -> list[tuple[int, dict[str, str | dict]]]:
     """(number, {table: folder, or versions of its partitions}) of every complete manifest, the newest first."""
     jvm = spark._jvm

@@ -62,7 +62,7 @@ def merge_rollup(spark: SparkSession, layout: Layout, layer: str, table: str, ba
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     parts = sorted(f.getPath().getName() for f in fs.listStatus(path) if f.getPath().getName().startswith(f"{part}="))
-    out.staged[name] = {"parts": {**entry["parts"], **dict.fromkeys(parts, version)}, "batches": [*entry["batches"], batch_id],
+    out.staged[name] = {**entry, "parts": {**entry["parts"], **dict.fromkeys(parts, version)}, "batches": [*entry["batches"], batch_id],
                         "schema": _schema(delta, part)}
     out.publish()
     return {"applied": True, "events": seen.get["events"], "partitions": parts}

@@ -20,7 +20,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.errors import CheckFailed
-from strata.sources.layout import Layout, manifest_files, read_manifest, write_observed
+from strata.sources.layout import Layout, entry_folders, manifest_files, read_manifest, write_observed
 
 
 class Publication:
@@ -78,19 +78,16 @@ def _folder(spark: SparkSession, layout: Layout):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
-def _folders(entry: str | dict) -> list[str]:
-    return [entry] if isinstance(entry, str) else [f"{version}/{part}" for part, version in entry["parts"].items()]
-
-
 def vacuum(spark: SparkSession, layout: Layout, keep: int = 2) -> list[str]:
     """Removes the folders that none of the last ``keep`` manifests names, and the manifests before them.
 
-    Folders of a job that has not published yet are in no manifest and stay.
+    Folders of a job that has not published yet are in no manifest and stay, as
+    do replaced small files of a folder whose other files are in use.
     """
     fs, folder = _folder(spark, layout)
     files = manifest_files(spark, layout)
-    used = {f for _, tables in files[:keep] for e in tables.values() for f in _folders(e)}
-    old = sorted({f for _, tables in files[keep:] for e in tables.values() for f in _folders(e)} - used)
+    used = {f for _, tables in files[:keep] for e in tables.values() for _, f, _ in entry_folders(e)}
+    old = sorted({f for _, tables in files[keep:] for e in tables.values() for _, f, _ in entry_folders(e)} - used)
     path = spark._jvm.org.apache.hadoop.fs.Path
     for f in old:
         fs.delete(path(f"{layout.root.rstrip('/')}/{f}"), True)
