@@ -133,14 +133,18 @@ def build_gold(spark: SparkSession, d: str, layout: Layout) -> dict:
     return medallion.run_pipeline(spark, layout, SECURITY_ROWS)
 
 
-def gold(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+def _gold_root(spark: SparkSession, d: str) -> str:
     key = (os.path.abspath(d), ensure_checkpoint_dir(spark))
     root = _GOLD_ROOTS.get(key)
     if root is None:
         root = scratch_path(spark, "analog_gold")
         build_gold(spark, d, Layout(root=root))
         _GOLD_ROOTS[key] = root
-    layout = Layout(root=root)
+    return root
+
+
+def gold(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    layout = Layout(root=_gold_root(spark, d))
     return {t: layout.read(spark, "gold", t) for t in GOLD_TABLES}
 
 
@@ -469,6 +473,21 @@ def q_rls_masked_dim(spark, d):
     return mask_columns(dim, ["imd_band"], allowed=False)
 
 
+def colocated_star(spark, d):
+    """The star over Gold stored in buckets on the student's key, once per session and data folder."""
+    root = os.path.basename(_gold_root(spark, d)).replace("-", "_")
+    if not spark.catalog.databaseExists(root):
+        tables = medallion.store_colocated(spark, gold(spark, d), root)
+    else:
+        tables = {t: Layout().read(spark, root, t) for t in GOLD_TABLES}
+    return student_star(tables, digits=None)
+
+
+def q_rls_fact_colocated(spark, d):
+    """As ``rls_fact``; facts and dimension meet without a shuffle."""
+    return colocated_star(spark, d).query(["withdrawal_rate", "total_students"], ["dim_student.imd_band"], principal=MULTI_REGION_USER)
+
+
 # Who has which role, and which governed columns a role may see.
 ROLE_ROWS = [("multi.admin@example.org", "regional_admin"), ("exec.admin@example.org", "executive"),
              ("exec.admin@example.org", "regional_admin")]
@@ -582,6 +601,7 @@ QUERIES = {
     "rls_dim": q_rls_dim,
     "rls_fact": _q(["withdrawal_rate", "total_students"], ["dim_student.imd_band"],
                    principal=MULTI_REGION_USER),
+    "rls_fact_colocated": q_rls_fact_colocated,
     "rls_default_user": q_rls_default_user,
     "rls_unmapped": _q(["withdrawal_rate"], ["dim_student.region"], principal=UNMAPPED_USER),
     "engagement_outcome": q_engagement_outcome,
@@ -883,6 +903,7 @@ SQL = {
         COUNT(DISTINCT o_custkey) AS unique_students FROM orders
         UNION ALL SELECT 'studentInfo', COUNT(DISTINCT o_custkey) FROM orders""",
 }
+SQL["rls_fact_colocated"] = SQL["rls_fact"]
 SQL["scd2_apply"] = SQL["scd2"]
 SQL["compaction_by_file"] = """SELECT l_returnflag, COUNT(*) AS n, SUM(l_quantity) AS qty, TRUE AS fewer_files,
     (SELECT COUNT(DISTINCT l_returnflag) FROM lineitem) AS folders, (SELECT COUNT(*) FROM lineitem) AS rows_moved, TRUE AS nothing_left

@@ -71,9 +71,12 @@ class Layout:
 
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite",
               null_cols: tuple[str, ...] = (), partition_by: tuple[str, ...] = (),
-              metrics: dict | None = None) -> dict:
+              metrics: dict | None = None, buckets: tuple[int, str] | None = None) -> dict:
         """Write ``df`` and return observed counts of what was written.
 
+        ``buckets`` = (number, column) stores a catalog table hashed and sorted
+        on the column: tables with the same number join on it without a shuffle.
+
         Spark refuses to overwrite a table the same plan reads, so a stage
         never writes its own input; layers are separate tables.  A published
         table is replaced by publishing, not in place.
@@ -85,6 +88,10 @@ class Layout:
             w = d.write.format(self.fmt).mode(mode)
             if partition_by:
                 w = w.partitionBy(*partition_by)
+            if buckets:
+                if self.root is not None:
+                    raise ValueError("buckets need a catalog table")
+                w = w.bucketBy(*buckets).sortBy(buckets[1])
             if self.root is None:
                 d.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
                 w.saveAsTable(self.name(layer, table))
