@@ -10,8 +10,8 @@
   bounded bytes, so a hot list is many rows.
 * Search: the centroid graph is searched in memory; a query visits the lists
   within the fitted ratio of its nearest centroid.  Each (query chunk, block)
-  pair is one matrix product that keeps the best candidates; a limited window
-  merges them.
+  pair is one matrix product; a task keeps each query's best candidates over
+  its blocks, and a limited window merges the tasks.
 
 Nearness is the largest inner product in double precision.  The lists use
 Euclidean distance after appending ``sqrt(max_norm^2 - norm^2)`` (0 for a
@@ -46,6 +46,7 @@ REPLICAS, BOUNDARY = 8, 0.25
 TARGET_RECALL = 0.97
 BLOCK_BYTES = 2 << 20
 DEGREE = 24
+ROWS = 2_048                # vectors that search the graph together
 
 
 def bisect(x: np.ndarray, parts: int, rng: np.random.Generator) -> list[np.ndarray]:
@@ -73,10 +74,11 @@ def fit_centroids(x: np.ndarray, lists: int, seed: int = 7) -> np.ndarray:
     rng = np.random.default_rng(seed)
     lists = max(1, min(lists, len(x) // 2 or 1))
     c = np.stack([x[g].mean(0) for g in bisect(x, lists, rng)])
-    scale = squared(x, c).min(1).mean() / max(len(x) / lists, 1)
+    parts = np.array_split(x, 1 + len(x) // ROWS)
+    scale = np.concatenate([squared(p, c).min(1) for p in parts]).mean() / max(len(x) / lists, 1)
     load = np.zeros(lists)
     for _ in range(5):
-        own = np.concatenate([(squared(p, c) + 0.2 * scale * load).argmin(1) for p in np.array_split(x, 1 + len(x) // 4096)])
+        own = np.concatenate([(squared(p, c) + 0.2 * scale * load).argmin(1) for p in parts])
         load = np.bincount(own, minlength=lists).astype(float)
         total = np.zeros_like(c)
         np.add.at(total, own, x)
@@ -91,16 +93,19 @@ class Graph:
         self.c = centroids
         n = len(centroids)
         d = squared(centroids, centroids)
-        links: list[set[int]] = [set() for _ in range(n)]
+        ahead: list[set[int]] = []
+        back: list[list[int]] = [[] for _ in range(n)]
         for i in range(n):
             chosen: list[int] = []
             for j in np.argsort(d[i], kind="stable")[1:4 * DEGREE]:
                 if len(chosen) < DEGREE // 2 and all(d[i, j] <= d[k, j] for k in chosen[:6]):
                     chosen.append(int(j))
             chosen += [int(j) for j in np.argsort(d[i], kind="stable")[1:1 + DEGREE // 4]]
-            for j in {*chosen, (i + 1) % n} - {i}:      # the ring keeps the graph connected
-                links[i].add(j)
-                links[j].add(i)
+            ahead.append({*chosen, (i + 1) % n} - {i})      # the ring keeps the graph connected
+            for j in ahead[i]:
+                back[j].append(i)
+        # links back, the nearest first, as far as DEGREE allows
+        links = [x | set(sorted(set(y) - x, key=lambda j, i=i: d[i, j])[:max(0, DEGREE - len(x))]) for i, (x, y) in enumerate(zip(ahead, back))]
         width = max([1, *(len(x) for x in links)])
         self.links = np.array([sorted(x) + [i] * (width - len(x)) for i, x in enumerate(links)])
         self.entry = int(d.sum(1).argmin())
@@ -179,7 +184,10 @@ class Index:
         return ratio, int(min(m, 1.25 * (far <= ratio).sum(1).max() + 4))
 
     def assign(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lists of each lifted vector, -1 where there are fewer."""
+        """Lists of each lifted vector, -1 where there are fewer; ``ROWS`` vectors at a time."""
+        if len(x) > ROWS:
+            parts = [self.assign(x[at:at + ROWS]) for at in range(0, len(x), ROWS)]
+            return tuple(np.concatenate(p) for p in zip(*parts))
         ids, dist = self.graph.nearest(x, min(len(self.graph.c), 2 * REPLICAS))
         ids, dist = ids[:, :REPLICAS], dist[:, :REPLICAS]
         near = dist <= dist[:, :1] * (1 + BOUNDARY) ** 2 + 1e-12
@@ -229,8 +237,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
                   .select(F.col("ids")[0].alias("cid"), "ids", "vec"))
     norm2 = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
     facts = classes.agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.max(norm2)).alias("norm")).first()
-    sample = matrix(pa.array([r[0] for r in classes.orderBy(F.xxhash64("cid")).limit(MAX_SAMPLE).select("vec").collect()],
-                             pa.list_(pa.float64())), dim)
+    sample = matrix(classes.orderBy(F.xxhash64("cid")).limit(MAX_SAMPLE).select("vec").toArrow().column(0).combine_chunks(), dim)
     index = spark.sparkContext.broadcast(Index(sample, facts["n"], facts["norm"], k))   # MAX_LISTS centroids at most
     # queries: every asking row, by the class of its vector
     asks = rows.where(is_query(F.col("vec_id"))).join(classes.select("cid", "vec"), "vec").select("vec_id", "cid")
@@ -241,8 +248,8 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
         def run(batches):
             ix = index.value
             for b in batches:
-                for at in range(0, b.num_rows, 2048):
-                    part = b.slice(at, 2048)
+                for at in range(0, b.num_rows, ROWS):
+                    part = b.slice(at, ROWS)
                     x = matrix(part.column(1), dim)
                     lists = ix.assign(ix.lift(x))[0] if sizes is None else ix.probe(x, sizes, REPLICAS * (k + 1))
                     row, col = np.nonzero(lists >= 0)
@@ -270,18 +277,30 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
     wanted = chunks(cut(asked.mapInArrow(to_lists(sizes), kind)), "q")
 
     def score(batches):
+        # the best k + 1 classes of each query over all blocks of the task, replicas counted once
+        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for b in batches:
             for i in range(b.num_rows):
                 q_ids, q, b_ids, x = (np.asarray(b.column(j)[i].values) for j in range(4))
                 s = q.reshape(len(q_ids), dim) @ x.reshape(len(b_ids), dim).T
                 keep = min(k + 1, len(b_ids))
-                if keep < len(b_ids):           # all that tie with the last one stay
-                    least = -np.partition(-s, keep - 1, axis=1)[:, keep - 1]
-                    row, col = np.nonzero(s >= least[:, None])
-                else:
-                    row, col = np.nonzero(np.ones(s.shape, bool))
-                yield pa.RecordBatch.from_arrays([pa.array(q_ids[row]), pa.array(b_ids[col]), pa.array(s[row, col])],
-                                                 ["qid", "cid", "score"])
+                least = -np.partition(-s, keep - 1, axis=1)[:, keep - 1]        # ties with the last one stay
+                for j, qid in enumerate(q_ids.tolist()):
+                    known = best.get(qid)
+                    full = known is not None and len(known[0]) > k
+                    at = np.flatnonzero(s[j] >= (max(least[j], known[0][-1]) if full else least[j]))
+                    if not len(at):
+                        continue
+                    found_s, found_c = (s[j, at], b_ids[at]) if known is None else (np.append(known[0], s[j, at]), np.append(known[1], b_ids[at]))
+                    order = np.lexsort((found_c, -found_s))
+                    _, once = np.unique(found_c[order], return_index=True)
+                    order = order[np.sort(once)][:k + 1]
+                    best[qid] = found_s[order], found_c[order]
+        qids = list(best)
+        for at in range(0, len(qids), 1024):
+            part = qids[at:at + 1024]
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part, [len(best[i][0]) for i in part])), pa.array(np.concatenate([best[i][1] for i in part])),
+                                              pa.array(np.concatenate([best[i][0] for i in part]))], ["qid", "cid", "score"])
 
     found = (wanted.join(lists, "list").select("q_ids", "q_vecs", "b_ids", "b_vecs")
              .mapInArrow(score, "qid long, cid long, score double"))
