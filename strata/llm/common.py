@@ -11,19 +11,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from strata.session import ensure_checkpoint_dir
+from strata.session import ensure_checkpoint_dir, ship
 
 #: The white space that separates words in every operator here.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows and bytes that go to a Python worker together: texts are long, and a worker holds a batch several times over.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
+def prepare(spark: SparkSession) -> None:
+    """Workers get the package, and batches of bounded size unless the session sets their size itself."""
+    ship(spark)
+    set_already = spark.conf.getAll
+    for k, v in BATCHES.items():
+        if k not in set_already:
+            spark.conf.set(k, v)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage,
     so that later reads survive lost executors and see the same rows."""
+    prepare(df.sparkSession)
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -52,6 +67,7 @@ def append(df: DataFrame, inputs: Sequence[str], fields: Sequence[tuple[str, T.D
     (one per input, a batch of rows) to a list of arrays or lists.  Other
     columns pass through untouched whatever their names are.
     """
+    prepare(df.sparkSession)
     schema = T.StructType(df.schema.fields + [T.StructField(n, t) for n, t in fields])
     places = [df.columns.index(c) for c in inputs]
     kinds = [to_arrow_type(t) for _, t in fields]
