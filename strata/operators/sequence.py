@@ -109,7 +109,12 @@ def _split_hot(df: DataFrame, by: Sequence[str], hot: dict[int, int] | None) ->
     return df.where(~crowded), df.where(crowded)
 
 
-def _with_bins(df: DataFrame, order, name: str) -> DataFrame | None:
+def range_sketch(v: Column, n: int) -> Column:
+    """Aggregate: bounds of about ``n`` ranges with as many rows each."""
+    return F.percentile_approx(F.when(~F.isnan(v), v), [(i + 1) / n for i in range(n)], 10 * n)
+
+
+def _with_bins(df: DataFrame, order, name: str, cuts: Sequence[float] | None = None) -> DataFrame | None:
     """``name`` = number of an ascending range of the first order column, about as many ranges as shuffle partitions
     with as many rows each; None where that column is not a number or a time.
 
@@ -124,8 +129,8 @@ def _with_bins(df: DataFrame, order, name: str) -> DataFrame | None:
         v = F.col(order).cast("timestamp").cast("double")
     else:
         return None
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = df.agg(F.percentile_approx(F.when(~F.isnan(v), v), [(i + 1) / n for i in range(n)], 10 * n).alias("c")).first()["c"] or []
+    if cuts is None:
+        cuts = df.agg(range_sketch(v, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))).alias("c")).first()["c"] or []
     splits = [float("-inf"), *sorted({c for c in cuts if abs(c) != float("inf")} or {0.0}), float("inf")]
     raw, bin_ = f"{name}_v", f"{name}_b"
     put = Bucketizer(splits=splits, inputCol=raw, outputCol=bin_, handleInvalid="keep")
@@ -136,7 +141,7 @@ def _with_bins(df: DataFrame, order, name: str) -> DataFrame | None:
 
 def running(df: DataFrame, order: Sequence, by: Sequence[str], value: Column, name: str,
             how: str = "max", partitions: int | None = None, total: str | None = None,
-            hot: dict[int, int] | None = None) -> DataFrame:
+            hot: dict[int, int] | None = None, cuts: Sequence[float] | None = None) -> DataFrame:
     """``name`` = running ``max`` or ``sum`` of ``value`` up to and including
     this row (in ``order``) within ``by``; ``total`` = the same over the group.
 
@@ -144,6 +149,7 @@ def running(df: DataFrame, order: Sequence, by: Sequence[str], value: Column, na
     cut into ranges of the first order column: the rows are shuffled once on
     (range, group), a window runs inside each, and the fold of all earlier
     ranges of the group, from a small table of a row per range, is carried in.
+    ``hot`` groups and the ranges' bounds ``cuts`` may be known already.
     """
     by = list(by)
     fold = {"max": F.max, "sum": F.sum}[how]
@@ -156,15 +162,15 @@ def running(df: DataFrame, order: Sequence, by: Sequence[str], value: Column, na
         done = cold.withColumn(name, fold("_rm_v").over(w.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         out.append((done.withColumn(total, fold("_rm_v").over(w)) if total else done).drop("_rm_v"))
     if crowded is not None:
-        out.append(_running_ranges(crowded, order, order_cols, by, name, fold, how, partitions, total))
+        out.append(_running_ranges(crowded, order, order_cols, by, name, fold, how, partitions, total, cuts))
     return reduce(DataFrame.unionByName, out)
 
 
 def _running_ranges(rows: DataFrame, order: Sequence, order_cols: Sequence[Column], by: list[str], name: str, fold, how: str,
-                    partitions: int | None, total: str | None) -> DataFrame:
+                    partitions: int | None, total: str | None, cuts: Sequence[float] | None) -> DataFrame:
     # A struct is never NULL, whatever its fields are: plain equality joins NULL groups too and keeps the partitioning.
     group = [F.struct(*by).alias("_rm_g")] if by else []
-    ranged = _with_bins(rows.select("*", *group), order[0], _PID)
+    ranged = _with_bins(rows.select("*", *group), order[0], _PID, cuts)
     keys = [_PID, "_rm_g"] if by else [_PID]
     if ranged is not None:
         ranged = ranged.repartition(partitions, *keys) if partitions else ranged.repartition(*keys)

@@ -49,12 +49,20 @@ def hot_keys(df: DataFrame, keys: Sequence[str], partitions: int | None = None)
     The driver receives at most ``MOST`` numbers.  A NULL key counts like any
     other: its rows meet in one task too, although an equi-join matches none.
     """
-    partitions = partitions or _partitions(df)
-    got = df.select(key_hash(keys).alias("k")).agg(F.expr(f"approx_top_k(k, {MOST}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")).first()
-    if not got["n"]:
+    return hot_of(df.agg(*hot_sketch(keys)).first(), partitions or _partitions(df))
+
+
+def hot_sketch(keys: Sequence[str]) -> list[Column]:
+    """Aggregates that ``hot_of`` reads, for a pass that aggregates something else as well."""
+    return [F.call_function("approx_top_k", key_hash(keys), F.lit(MOST), F.lit(TRACKED)).alias("_top"), F.count(F.lit(1)).alias("_rows")]
+
+
+def hot_of(found, partitions: int) -> dict[int, int]:
+    """{key hash: parts} from a row with the aggregates of ``hot_sketch``."""
+    if not found["_rows"]:
         return {}
-    even = got["n"] / partitions
-    return {r["item"]: math.ceil(2 * r["count"] / even) for r in got["top"] or [] if r["count"] > even / 2}
+    even = found["_rows"] / partitions
+    return {r["item"]: math.ceil(2 * r["count"] / even) for r in found["_top"] or [] if r["count"] > even / 2}
 
 
 def _lookup(hot: dict[int, int], keys: Sequence[str]) -> Column:

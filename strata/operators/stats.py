@@ -20,7 +20,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators.sequence import null_safe_join, running
+from strata.operators.sequence import null_safe_join, range_sketch, running
+from strata.operators.skew import hot_of, hot_sketch
 
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -38,7 +39,11 @@ def _ranked(df: DataFrame, value: str, by: Sequence[str], partitions: int | None
     v = F.col(value).cast("double")
     rows = df.select(*[F.col(b) for b in by], v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     counts = rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    return running(counts, ["_v"], by, F.col("_c"), "_upto", "sum", partitions, total="_n")
+    # One pass without a shuffle names the hot groups and the ranges of the values.
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = rows.agg(range_sketch(F.col("_v"), n).alias("_cuts"), *(hot_sketch(by) if by else [])).first()
+    return running(counts, ["_v"], by, F.col("_c"), "_upto", "sum", partitions, total="_n",
+                   hot=hot_of(found, n) if by else None, cuts=found["_cuts"] or [])
 
 
 def _quantile_columns(qs: Sequence[float], names: Sequence[str]) -> tuple[list[Column], list[Column]]:
