@@ -2,7 +2,8 @@
 
 Each stage reads what the one before wrote as Parquet in the shared folder,
 works on all of it, and its decisions take effect in what it returns.  An
-empty table, null columns and repeated rows pass as the operators define.
+empty table, null columns and repeated rows pass as the operators define.  A
+stage's table is removed once the next one is written.
 """
 
 from __future__ import annotations
@@ -24,9 +25,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:          # what the stage read is in what it wrote
+            folder = spark._jvm.org.apache.hadoop.fs.Path(before)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        before = path
     return docs
