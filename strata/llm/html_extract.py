@@ -3,13 +3,19 @@
 A page is read once into blocks of text, each with the path of block elements
 from the root to it.  Per distinct path the text length, punctuation and link
 text are summed over its blocks; the ratios per block are smoothed along the
-page, fused into one score, and paths from a threshold on are content.  What
-lies beside a content path in the same article (headings, lists, short
-paragraphs) belongs to it; menus, headers, footers, sidebars, notices,
-adverts, forms, comments and scripts never do, by element or by class name.
-A name counts as a whole class, id or role, or with words that only say where
-or what (``site-footer``); one on an element that holds most of the page's
-prose is overruled.
+page, fused into one score, and paths from a threshold on are content.  On a
+page with articles the one with the most prose by score is the text: an article
+inside it or beside it (a card, a comment) is not.  What lies beside a content
+path in it (headings, lists, short paragraphs) belongs to it, except blocks that
+are mostly links on a path below the threshold; menus, headers, footers,
+sidebars, notices, adverts, forms, comments and scripts never do, by element or
+by class name.  A name counts as a whole class, id or role, or with words that
+only say where or what (``site-footer``); on an element that holds others, also
+beside unknown words (``tags-and-share``), unless they tell a state of the page
+(``has-sidebar``).  One on an element that holds most of the page's prose is
+overruled.
+
+Work is linear in the page, however deep its elements nest.
 
 Defined results: null or empty html gives an empty text; html without any tag
 is one block.  A line break element is white space.  Formulas are text.
@@ -24,6 +30,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -64,7 +71,13 @@ BESIDE = {"site", "page", "main", "global", "top", "bottom", "left", "right", "p
 #: Names of prose that is not the page's; on such an element the prose counts only below the page's main heading.
 STRICT = WORDS - {"sidebar", "menu", "nav", "navbar", "navigation", "banner", "masthead", "related", "widget", "toolbar",
                   "search", "share", "sharing", "social", "pagination", "pager", "complementary", "breadcrumb", "breadcrumbs"}
-COMMENTS = {"comment", "comments", "reply", "replies", "disqus"}
+COMMENTS = {"comment", "comments", "reply", "replies", "disqus", "discussion", "responses", "commenter", "commentary"}
+#: Words before a noise word that tell a state, not what an element holds.
+STATES = {"has", "with", "no", "without", "is", "not", "show", "hide", "hides", "under", "next", "overflow"}
+#: Elements that hold other blocks: there a noise word beside unknown words counts too.
+HOLDERS = {"div", "section", "ul", "ol", "dl", "table", "details", "figure", "header", "blockquote"}
+#: In the article, blocks with less than this share of text outside links go where their path is below the threshold.
+LINKED = 0.3
 #: A named element is content from this share of its own and the shown prose on.
 OVERRULE = 2 / 3
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -88,13 +101,13 @@ def is_hidden(own: dict[str, str]) -> bool:
     return any((k.strip(), v.replace("!important", "").strip()) in (("display", "none"), ("visibility", "hidden")) for k, _, v in style)
 
 
-def noise_words(names: list[str]) -> set[str]:
-    """Words of WORDS that are a class, id or role, or stand in one beside words of BESIDE only."""
+def noise_words(names: list[str], holder: bool = False) -> set[str]:
+    """Words of noise in names: alone, beside words of BESIDE only, or, on an element that holds others, beside any but STATES."""
     out: set[str] = set()
     for name in names:
         split = {w for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if w}
-        if split <= WORDS | BESIDE:
-            out |= split & WORDS
+        if split <= WORDS | COMMENTS | BESIDE or holder and not split & STATES:
+            out |= split & (WORDS | COMMENTS)
     return out
 
 
@@ -114,38 +127,44 @@ def ends(page: str) -> dict[int, int]:
     return out
 
 
-def blocks_of(page: str) -> tuple[list[tuple[int, int, str, int, bool]], dict[int, tuple[int, str]]]:
-    """Blocks (path, article, text, link characters, noise) in page order, and each path's parent and key."""
-    blocks, parents, marked = read_blocks(page)
-    overruled: set[int] = set()
+def blocks_of(page: str) -> tuple[list[tuple[int, int, str, int, bool]], dict[int, tuple[int, str]], list[int]]:
+    """Blocks (path, article, text, link characters, noise) in page order, each path's parent and key, and the article around each article."""
+    blocks, parents, named, around = read_blocks(page)
     prose = [max(len(b[2]) - b[3], 0) for b in blocks]
-    shown = sum(n for n, b in zip(prose, blocks) if not b[4] and not b[5])
-    below: dict[int, list[int]] = {}
-    for i, b in enumerate(blocks):
-        for k in () if b[4] else b[5]:
-            below.setdefault(k, []).append(i)
-    for k in sorted(below):                                 # outer elements come first
-        words, heading = marked[k]
-        # prose below it that no element of comments takes
-        own = sum(prose[i] for i in below[k] if not any(marked[j][0] & COMMENTS for j in blocks[i][5] if j > k))
-        if own and own >= OVERRULE * (own + shown) and (heading or not words & STRICT):
-            overruled.add(k)
-            shown += sum(prose[i] for i in below[k] if overruled.issuperset(blocks[i][5]))
-    return [(*b[:4], b[4] or not overruled.issuperset(b[5])) for b in blocks], parents
-
-
-def read_blocks(page: str) -> tuple[list[tuple], dict[int, tuple[int, str]], list[tuple[set[str], bool]]]:
-    """Blocks (path, article, text, link characters, noise by element, named elements around), the paths, and the
-    named elements (words, whether they hold a main heading)."""
+    shown = sum(n for n, b in zip(prose, blocks) if not b[4] and b[5] < 0)
+    direct = [0] * len(named)               # prose with no named element between
+    for n, b in zip(prose, blocks):
+        if not b[4] and b[5] >= 0:
+            direct[b[5]] += n
+    own, heading = direct[:], [h for _, _, h in named]
+    for k in range(len(named) - 1, -1, -1):     # inner elements first; comments count for nothing around them
+        up = named[k][1]
+        if up >= 0:
+            own[up] += 0 if named[k][0] & COMMENTS else own[k]
+            heading[up] = heading[up] or heading[k]
+    content = [False] * len(named)
+    for k, (words, up, _) in enumerate(named):  # outer elements first
+        overruled = own[k] and own[k] >= OVERRULE * (own[k] + shown) and (heading[k] or not words & STRICT)
+        content[k] = bool(overruled) and (up < 0 or content[up])
+        shown += direct[k] if content[k] else 0
+    return [(*b[:4], b[4] or b[5] >= 0 and not content[b[5]]) for b in blocks], parents, around
+
+
+def read_blocks(page: str) -> tuple[list[tuple], dict[int, tuple[int, str]], list[tuple[set[str], int, bool]], list[int]]:
+    """Blocks (path, article, text, link characters, noise by element, innermost named element or -1), the paths, the
+    named elements (words, the named element around, whether a main heading is directly in it) and the article around each article."""
     paths: dict[tuple[int, str], int] = {}
     parents: dict[int, tuple[int, str]] = {0: (-1, "")}
-    # open block elements: name, path, article (0: none), noise by element or hidden, named elements, hidden
-    stack: list[tuple[str, int, int, bool, tuple[int, ...], bool]] = [("", 0, 0, False, (), False)]
+    # open block elements: name, path, article (0: none), noise by element or hidden, innermost named element, hidden
+    stack: list[tuple[str, int, int, bool, int, bool]] = [("", 0, 0, False, -1, False)]
+    open_names: Counter[str] = Counter()
     out: list[tuple] = []
-    marked: list[tuple[set[str], bool]] = []
+    named: list[tuple[set[str], int, bool]] = []
+    around = [0]
     closed: dict[int, int] | None = None
     held: list[str] = []
-    link = links = articles = 0
+    link = links = 0
+    last = page.rfind(">")                 # no tag ends behind it
 
     def flush() -> None:
         nonlocal links
@@ -163,6 +182,11 @@ def read_blocks(page: str) -> tuple[list[tuple], dict[int, tuple[int, str]], lis
         if link:
             links += len(part.strip())
 
+    def shut(i: int) -> None:
+        for e in stack[i:]:
+            open_names[e[0]] -= 1
+        del stack[i:]
+
     at, end = 0, len(page)
     while at < end:
         less = page.find("<", at)
@@ -171,7 +195,7 @@ def read_blocks(page: str) -> tuple[list[tuple], dict[int, tuple[int, str]], lis
             break
         if less > at:
             text(page[at:less])
-        m = TAG.match(page, less)
+        m = TAG.match(page, less) if less < last or page.startswith("<!--", less) else None
         if not m:
             text("<")
             at = less + 1
@@ -184,13 +208,9 @@ def read_blocks(page: str) -> tuple[list[tuple], dict[int, tuple[int, str]], lis
             if name == "a":
                 link = max(0, link - 1)
             elif name in BLOCK:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == name:
-                        flush()
-                        del stack[i:]
-                        break
-                else:
-                    flush()
+                flush()
+                if open_names[name]:
+                    shut(innermost(stack, name))
             continue
         if name in RAW:
             if not m[3].endswith("/"):
@@ -215,37 +235,36 @@ def read_blocks(page: str) -> tuple[list[tuple], dict[int, tuple[int, str]], lis
         link = 0 if link and name in ("p", "div", "section", "article") else link
         if name in VOID:
             continue
-        for i in range(len(stack) - 1, 0, -1):          # implied ends
+        implied = open_names["p"] or any(open_names[x] for x in CLOSES.get(name, ()))
+        for i in range(len(stack) - 1, 0, -1) if implied else ():       # implied ends
             here = stack[i][0]
             if here == "p" or here in CLOSES.get(name, ()):
-                del stack[i:]
+                shut(i)
                 if here != "p":
                     break
             elif here in LISTS or name not in CLOSES and here not in ("head",):
                 break
         if name == "body" or name in ("article", "main") and stack[-1][0] == "head":
             while len(stack) > 1 and stack[-1][0] == "head":
-                stack.pop()
+                shut(len(stack) - 1)
         _, up, article, by_element, by_name, unseen = stack[-1]
         own = attributes(m[3]) if m[3].strip() else {}
         names = [w for a in ("class", "id", "role") for w in own.get(a, "").split()]
         marks = {w for n in names for w in re.split(r"[^a-z]+", n.lower())}
-        noise = noise_words(names)
+        noise = noise_words(names, name in HOLDERS)
         if name in ("html", "body"):
             noise = set()
         elif is_hidden(own):
             unseen = True
         if name in ("article", "main"):
-            by_name, noise = (), noise if noise & COMMENTS else set()
-            if not article:
-                articles += 1
-                article = articles
+            by_name, noise = -1, noise if noise & COMMENTS else set()
+            around.append(article)
+            article = len(around) - 1
         if noise:
-            by_name = (*by_name, len(marked))
-            marked.append((noise, False))
-        if name == "h1":
-            for k in by_name:
-                marked[k] = (marked[k][0], True)
+            named.append((noise, by_name, False))
+            by_name = len(named) - 1
+        if name == "h1" and by_name >= 0:
+            named[by_name] = (*named[by_name][:2], True)
         if name in NOISE or name == "header" and not article:
             by_element = True
         key = name + "." + min(marks - {""}, default="")
@@ -254,8 +273,17 @@ def read_blocks(page: str) -> tuple[list[tuple], dict[int, tuple[int, str]], lis
             path = paths[up, key] = len(parents)
             parents[path] = (up, key)
         stack.append((name, path, article, by_element, by_name, unseen))
+        open_names[name] += 1
     flush()
-    return out, parents, marked
+    return out, parents, named, around
+
+
+def innermost(stack: list[tuple], name: str) -> int:
+    """Place of the innermost open element of that name; each element passed on the way is closed with it."""
+    i = len(stack) - 1
+    while stack[i][0] != name:
+        i -= 1
+    return i
 
 
 def smooth(values: np.ndarray) -> np.ndarray:
@@ -267,7 +295,7 @@ def smooth(values: np.ndarray) -> np.ndarray:
 
 
 def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
-    blocks, parents = blocks_of(page or "")
+    blocks, parents, around = blocks_of(page or "")
     shown = [b for b in blocks if not b[4]]
     if not shown:
         return ""
@@ -289,21 +317,28 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     best = int(np.bincount(own, prose * score[own]).argmax())
     chosen[best] = True
     ids = list(number)
-    # the article of the best path bounds the content; else the parent element of the best path
+    # the article with the most prose by score bounds the content; without articles, the parent element of the best path
     article_of = {b[0]: b[1] for b in shown}
-    article = article_of[ids[best]]
-    if article:
-        keep = [b for b in shown if b[1]]
-        held = {b[1] for b in shown if chosen[number[b[0]]] and b[1]}
-        return "\n".join(b[2] for b in keep if b[1] in held)
+    weight = np.zeros(len(around))
+    np.add.at(weight, [b[1] for b in shown], prose * score[own])
+    if article_of[ids[best]]:
+        article = 1 + int(weight[1:].argmax())
+        outer, up = set(), around[article]
+        while up:
+            outer.add(up)
+            up = around[up]
+        heading = {p for p in ids if re.match(r"h[1-6]\.", parents[p][1])}
+        linked = {p for i, p in enumerate(ids) if not chosen[i] and unlinked[i] < LINKED} - heading
+        # a main heading may stand outside its article, in the element that holds both
+        return "\n".join(b[2] for b in shown if b[1] == article and b[0] not in linked or b[1] in outer and parents[b[0]][1].startswith("h1."))
     parent = parents[ids[best]][0]
+    inside = {parent}
+    for path in range(parent + 1, len(parents)):        # a path's parent has a smaller number
+        if parents[path][0] in inside:
+            inside.add(path)
 
     def beside(path: int) -> bool:
-        while path > 0:
-            path = parents[path][0]
-            if path == parent:
-                return True
-        return False
+        return path != parent and path in inside
 
     ok = [bool(chosen[i]) and article_of[p] == 0 or (beside(p) and unlinked[i] > 0.5) for i, p in enumerate(ids)]
     return "\n".join(b[2] for b in shown if ok[number[b[0]]])
