@@ -10,10 +10,11 @@ one, by (doc_id, line number), is equal or that similar to it.
 
 * Equal lines are one class; a map task sends each class once.
 * Postings travel as packed arrays, a few rows per task.
-* A token of many classes is dealt over several buckets by class.  Its classes
-  are compared with the earliest one; only those that do not match it are
-  compared with the others, chunk by chunk, and a task reports at most the
-  earliest match per class and chunk.
+* A line goes if any earlier one matches, so a token's classes are compared
+  with its earliest one first; only classes still open then meet the others: all
+  earlier ones of a small token, and those of a large one chunk by chunk, where
+  a task reports at most one match per class and chunk.  A token of many classes
+  is dealt over several buckets by class.
 * Full sets are read again for candidates only; a Bloom filter of fixed size
   thins that scan, an exact join decides.
 
@@ -39,10 +40,11 @@ from strata.llm.minhash import _STEP, SHINGLE, mixed
 #: Similar: MATCH[0] * intersection >= MATCH[1] * union.
 MATCH = (100, 75)
 CELL_BITS = 20              # cells of the rarity sketch
-SMALL = 1024                # classes of a token that are paired at once
+SMALL = 16                  # classes of a token that are paired at once
 SPREAD = 4096               # counts of a token's cell per bucket it is dealt to
 CHUNK = 256
 BLOOM_BITS = 26
+WINDOW = 1 << 18            # bytes hashed together
 LAST = np.iinfo(np.int64).max
 
 
@@ -64,7 +66,26 @@ def powers(n: int) -> list[np.ndarray]:
 
 
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and start of every word, from differences of one running sum over the bytes."""
+    """Hash and start of every word, from differences of one running sum over the bytes; ``WINDOW`` bytes at a time, cut between words."""
+    if len(data) > WINDOW:
+        parts, at = [], 0
+        while at < len(data):
+            space = np.flatnonzero(_SPACE[data[at:at + WINDOW]])
+            end = at + WINDOW
+            if end < len(data):         # after the last space of the window, or after the word that fills it
+                if len(space):
+                    end = at + int(space[-1]) + 1
+                else:
+                    while end < len(data) and not _SPACE[data[end]]:
+                        end += 1
+            own, start = _word_hashes(data[at:end])
+            parts.append((own, start + at))
+            at = end
+        return tuple(np.concatenate(x) for x in zip(*parts))
+    return _word_hashes(data)
+
+
+def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     space = _SPACE[data]
     edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]])))
     start, end = edge[::2], edge[1::2]
@@ -127,7 +148,7 @@ def class_id(line: bytes) -> int:
     return xxhash.xxh3_64_intdigest(line)
 
 
-def batches_of_docs(batches, rows: int = 512):
+def batches_of_docs(batches, rows: int = 128):
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
@@ -178,20 +199,20 @@ POSTING = np.dtype([("token", "<u8"), ("cid", "<u8"), ("doc", "<i8"), ("line", "
 
 
 def packed(p: np.ndarray) -> bytes:
-    """Postings column by column, compressed: the places and sizes are mostly small numbers."""
+    """Records column by column, compressed: places and sizes are mostly small numbers."""
     p = p[np.argsort(p["doc"], kind="stable")]
-    planes = [np.ascontiguousarray(p[k]).view(np.uint8).reshape(len(p), -1).T.tobytes() for k in POSTING.names]
+    planes = [np.ascontiguousarray(p[k]).view(np.uint8).reshape(len(p), -1).T.tobytes() for k in p.dtype.names]
     return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 
-def unpacked(data: bytes) -> np.ndarray:
+def unpacked(data: bytes, kind: np.dtype = POSTING) -> np.ndarray:
     flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    n, at = len(flat) // POSTING.itemsize, 0
-    p = np.empty(n, POSTING)
-    for k in POSTING.names:
-        kind = POSTING[k]
-        p[k] = np.ascontiguousarray(flat[at:at + n * kind.itemsize].reshape(kind.itemsize, n).T).view(kind).ravel()
-        at += n * kind.itemsize
+    n, at = len(flat) // kind.itemsize, 0
+    p = np.empty(n, kind)
+    for k in kind.names:
+        own = kind[k]
+        p[k] = np.ascontiguousarray(flat[at:at + n * own.itemsize].reshape(own.itemsize, n).T).view(own).ravel()
+        at += n * own.itemsize
     return p
 
 
@@ -199,7 +220,7 @@ def postings(docs: DataFrame, shared, buckets: int) -> DataFrame:
     """(bucket, data): packed postings of the prefix tokens of each task's distinct lines."""
 
     def run(batches):
-        rarity, spread = shared.value
+        rarity, spread, _ = shared.value
         first, lines, where = {}, [], []
         out: dict[int, list[np.ndarray]] = {}
         held = 0
@@ -238,7 +259,7 @@ def postings(docs: DataFrame, shared, buckets: int) -> DataFrame:
                             if len(lines) == 1 << LINE_BITS or i & 4095 == 4095:
                                 held += len(lines)
                                 flush()
-            if held > 200_000:          # bounded memory: send what has gathered
+            if held > 50_000:           # bounded memory: send what has gathered
                 yield packed_rows(out)
                 out, held = {}, 0
         if lines:
@@ -263,47 +284,51 @@ def bound_holds(a, b) -> np.ndarray:
             & ((MATCH[0] + MATCH[1]) * differ <= (MATCH[0] - MATCH[1]) * (sa + sb)))
 
 
+def paired(p: np.ndarray, spread: np.ndarray, small: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a bucket's postings: rows (later, earlier) of small tokens that pass the bounds, each pair once, whether the
+    earlier is a token's earliest, and the postings of large tokens."""
+    p = p[np.lexsort((p["line"], p["doc"], p["cid"], p["token"]))]
+    new = np.ones(len(p), bool)
+    new[1:] = (p["token"][1:] != p["token"][:-1]) | (p["cid"][1:] != p["cid"][:-1])
+    p = p[new]                                              # the earliest posting of each class
+    p = p[np.lexsort((p["cid"], p["line"], p["doc"], p["token"]))]
+    start = np.flatnonzero(np.concatenate([[True], p["token"][1:] != p["token"][:-1]]))
+    m = np.diff(np.concatenate([start, [len(p)]]))
+    large = np.repeat((m > small) | (spread[cell_of(p["token"][start])] > 1), m)
+    begin = np.repeat(start, m)
+    at, rest = np.flatnonzero(~large), (begin + np.repeat(m, m) - np.arange(len(p)) - 1)[~large]     # rows, and how many of their token follow
+    key, later, earlier = (np.zeros(0, t) for t in (np.uint64, np.int64, np.int64))
+    for d in range(1, small):
+        at, rest = at[rest >= d], rest[rest >= d]
+        if not len(at):
+            break
+        i = at[bound_holds(p[at], p[at + d])]
+        # a pair met again stays once, first as one with the token's earliest
+        key = np.concatenate([key, mixed(p["cid"][i + d]) + p["cid"][i]])
+        later, earlier = np.concatenate([later, i + d]), np.concatenate([earlier, i])
+        order = np.lexsort((earlier != begin[earlier], key))
+        once = order[np.concatenate([[True], key[order][1:] != key[order][:-1]])] if len(order) else order
+        key, later, earlier = key[once], later[once], earlier[once]
+    return p[later], p[earlier], earlier == begin[earlier], p[large]
+
+
 def candidates(posted: DataFrame, shared) -> DataFrame:
     """Rows of two kinds: a pair (later, earlier) of a small token, or (token, later) of a large one; all with the later's place."""
 
     def run(key, group):
-        _, spread = shared.value
-        p = np.concatenate([unpacked(c.as_py()) for c in group.column("data")])
-        p = p[np.lexsort((p["line"], p["doc"], p["cid"], p["token"]))]
-        new = np.ones(len(p), bool)
-        new[1:] = (p["token"][1:] != p["token"][:-1]) | (p["cid"][1:] != p["cid"][:-1])
-        p = p[new]                                              # the earliest posting of each class
-        p = p[np.lexsort((p["cid"], p["line"], p["doc"], p["token"]))]
-        start = np.flatnonzero(np.concatenate([[True], p["token"][1:] != p["token"][:-1]]))
-        m = np.diff(np.concatenate([start, [len(p)]]))
-        dealt = spread[cell_of(p["token"][start])] > 1
-        large = np.repeat((m > SMALL) | dealt, m)
-        crowd = p[large]
-        later, earlier = [], []
-        at, rest = np.flatnonzero(~large), np.repeat(m, m)[~large]      # rows, and how many of their token follow
-        rest = rest - 1 - (at - np.repeat(start, m)[~large])
-        for d in range(1, SMALL):
-            go = rest >= d
-            at, rest = at[go], rest[go]
-            if not len(at):
-                break
-            i = at[bound_holds(p[at], p[at + d])]
-            later.append(p[i + d])
-            earlier.append(p[i])
-        a = np.concatenate(later) if later else p[:0]
-        b = np.concatenate(earlier) if earlier else p[:0]
-        if len(a):
-            _, once = np.unique(mixed(a["cid"]) + b["cid"], return_index=True)
-            a, b = a[once], b[once]
+        _, spread, small = shared.value
+        a, b, lead, crowd = paired(np.concatenate([unpacked(c.as_py()) for c in group.column("data")]), spread, small)
         col = lambda x: pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64))
         return pa.table(
             [pa.concat_arrays([pa.nulls(len(a), pa.int64()), col(np.ascontiguousarray(crowd["token"]))]),
              col(np.concatenate([a["cid"], crowd["cid"]])),
              pa.concat_arrays([col(np.ascontiguousarray(b["cid"])), pa.nulls(len(crowd), pa.int64())]),
+             pa.concat_arrays([pa.array(lead), pa.nulls(len(crowd), pa.bool_())]),
              *(col(np.concatenate([a[k], crowd[k]])) for k in ("doc", "line", "size", "sign"))],
-            ["token", "later", "earlier", "doc", "line", "size", "sign"])
+            ["token", "later", "earlier", "lead", "doc", "line", "size", "sign"])
 
-    return posted.groupBy("bucket").applyInArrow(run, "token long, later long, earlier long, doc long, line long, size long, sign long")
+    return posted.groupBy("bucket").applyInArrow(
+        run, "token long, later long, earlier long, lead boolean, doc long, line long, size long, sign long")
 
 
 def bloom_places(cid: np.ndarray) -> list[np.ndarray]:
@@ -316,12 +341,13 @@ def bloom(ids: DataFrame) -> np.ndarray:
     bits, piece = 1 << BLOOM_BITS, 1 << 16
 
     def fill(batches):
-        own = np.zeros(bits, bool)
+        own = np.zeros(bits // 8, np.uint8)
         for b in batches:
             for at in bloom_places(np.asarray(b.column(0)).view(np.uint64)):
-                own[at] = True
-        rows = [i for i in range(bits // piece) if own[i * piece:(i + 1) * piece].any()]
-        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array([np.packbits(own[i * piece:(i + 1) * piece]).tobytes() for i in rows], pa.binary())],
+                np.bitwise_or.at(own, at >> np.uint64(3), np.uint8(128) >> (at & np.uint64(7)).astype(np.uint8))
+        step = piece // 8
+        rows = [i for i in range(bits // piece) if own[i * step:(i + 1) * step].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array([own[i * step:(i + 1) * step].tobytes() for i in rows], pa.binary())],
                                          ["part", "bits"])
 
     def join(key, group):
@@ -336,6 +362,20 @@ def bloom(ids: DataFrame) -> np.ndarray:
     return whole
 
 
+def may_hold(ids: DataFrame, spark: SparkSession):
+    """A function on a column of digests: false where the digest is surely not among ``ids``."""
+    filter_ = spark.sparkContext.broadcast(bloom(ids))      # of fixed size
+
+    @F.arrow_udf(T.BooleanType())
+    def held(digest: pa.Array) -> pa.Array:
+        bits, ok = filter_.value, np.ones(len(digest), bool)
+        for at in bloom_places(np.asarray(digest).view(np.uint64)):
+            ok &= (bits[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1
+        return pa.array(ok)
+
+    return held
+
+
 def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(cid, hashes) of the classes wanted, read again from the texts."""
     spark = docs.sparkSession
@@ -421,23 +461,30 @@ def similar_to_earlier(docs: DataFrame) -> DataFrame:
     rarity = np.minimum(np.log2(np.maximum(counts, 1)), (1 << RARITY_BITS) - 1).astype(np.uint8)
     typical = max(int(np.median(counts)), 1)
     spread = np.maximum(1, (counts - 4 * typical) // SPREAD).astype(np.uint64)
-    shared = spark.sparkContext.broadcast((rarity, spread))
+    shared = spark.sparkContext.broadcast((rarity, spread, SMALL))
     found = cut(candidates(postings(docs, shared, 8 * partitions(spark)), shared))
     release(spark)
+    small = cut(found.where(F.col("token").isNull()).groupBy("later", "earlier").agg(F.max("lead").alias("lead")))
     crowd = cut(found.where(F.col("token").isNotNull()).groupBy("token", "later")
                 .agg(F.min(F.struct("doc", "line", "size", "sign")).alias("o")).select("token", "later", "o.*"))
-    lead = cut(crowd.groupBy("token").agg(F.min(F.struct("doc", "line", "later", "size", "sign")).alias("f"))
-               .select("token", F.col("f")["later"].alias("earlier"), F.col("f")["size"].alias("n"), F.col("f")["sign"].alias("s")))
-    star = cut(crowd.join(lead, "token").where(F.col("later") != F.col("earlier")))
+    first = cut(crowd.groupBy("token").agg(F.min(F.struct("doc", "line", "later", "size", "sign")).alias("f"))
+                .select("token", F.col("f")["later"].alias("earlier"), F.col("f")["size"].alias("n"), F.col("f")["sign"].alias("s")))
+    star = cut(crowd.join(first, "token").where(F.col("later") != F.col("earlier")))
     differ = F.bit_count(F.col("sign").bitwiseXOR(F.col("s")))
     near = star.where((MATCH[0] + MATCH[1]) * differ <= (MATCH[0] - MATCH[1]) * (F.col("size") + F.col("n")))
-    pairs = cut(found.where(F.col("token").isNull()).select("later", "earlier").union(near.select("later", "earlier")).distinct())
-    ids = (pairs.select(F.col("later").alias("cid")).union(pairs.select("earlier")).union(crowd.select("later"))).distinct()
-    sets = cut(sets_of(docs, cut(ids)))
-    gone = cut(verified(pairs, sets).distinct())
+    ids = small.select(F.col("later").alias("cid")).union(small.select("earlier")).union(crowd.select("later"))
+    sets = cut(sets_of(docs, cut(ids.distinct())))
+    release(spark)
+    # step 1: with the earliest class of each token
+    lead = small.where("lead").select("later", "earlier").union(near.select("later", "earlier")).distinct()
+    gone = cut(verified(lead, sets).distinct())
+    # step 2: only what is still open, with the others
+    rest = cut(small.where(~F.col("lead")).join(gone, "later", "left_anti").select("later", "earlier"))
+    if not rest.isEmpty():
+        gone = cut(gone.union(verified(rest, sets)).distinct())
     open_ = cut(star.join(gone, "later", "left_anti"))
     if not open_.isEmpty():
-        gone = gone.union(among(crowd, open_, sets)).distinct()
+        gone = gone.union(among(crowd.join(open_.select("token").distinct(), "token", "left_semi"), open_, sets)).distinct()
     return gone.select(F.col("later").alias("cid"))
 
 
@@ -471,7 +518,7 @@ def removals(keyed: DataFrame, gone: DataFrame) -> DataFrame:
                                               pa.array(text, pa.int64()), pa.array(line, pa.int64())], NAMES)
         f = np.array([(c, v[3], v[0], v[1], v[2]) for c, v in best.items()], FIRST)
         bucket = (mixed(f["cid"].copy()) % np.uint64(buckets)).astype(np.int64)
-        parts = [(int(i), f[bucket == i].tobytes()) for i in np.unique(bucket)]
+        parts = [(int(i), packed(f[bucket == i])) for i in np.unique(bucket)]
         nothing = pa.nulls(len(parts), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()), pa.array([p for _, p in parts], pa.binary()),
                                           nothing, nothing, nothing], NAMES)
@@ -485,7 +532,7 @@ def removals(keyed: DataFrame, gone: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array((mixed(c) % np.uint64(buckets)).astype(np.int32)), b.column(0)], ["bucket", "cid"])
 
     def decide(key, sent_rows, gone_rows):
-        blobs = [np.frombuffer(c.as_buffer(), FIRST) for c in sent_rows.column("data")]
+        blobs = [unpacked(c.as_py(), FIRST) for c in sent_rows.column("data")]
         f = np.concatenate(blobs) if blobs else np.zeros(0, FIRST)
         f = f[np.lexsort((f["text"], f["line"], f["doc"], f["check"], f["cid"]))]
         again = np.zeros(len(f), bool)
@@ -510,30 +557,29 @@ def dedup_lines(docs: DataFrame) -> tuple[DataFrame, str, str]:
     source = docs.select("doc_id", "text")
     gone = cut(similar_to_earlier(source))
     release(docs.sparkSession)
-    lines = (removals(source.withColumn("t", F.xxhash64("text")), gone).groupBy(F.col("doc").alias(doc), F.col("text").alias(text))
-             .agg(F.collect_set("line").alias(cut_lines)))
-    held = (docs.withColumn(t, F.xxhash64("text"))
-            .join(lines, (F.coalesce(F.col("doc_id"), F.lit(int(LAST))) == F.col(doc)) & (F.col(t) == F.col(text)), "left")
-            .drop(doc, text))
-    part = fresh("part")
+    lines = cut(removals(source.withColumn("t", F.xxhash64("text")), gone).groupBy(F.col("doc").alias(doc), F.col("text").alias(text))
+                .agg(F.collect_set("line").alias(cut_lines)))
+    release(docs.sparkSession)
+    key = [F.coalesce(F.col("doc_id"), F.lit(int(LAST))), F.xxhash64("text")]
+    loses = may_hold(lines.select(F.xxhash64(doc, text)), docs.sparkSession)
+    flagged = docs.withColumn(t, loses(F.xxhash64(*key)))
+    # only texts that may lose a line are shuffled, the join decides
+    touched = flagged.where(t).join(lines, (key[0] == F.col(doc)) & (key[1] == F.col(text)), "left").drop(doc, text, t)
+    whole = flagged.where(~F.col(t)).withColumns({cut_lines: F.lit(None).cast(lines.schema[cut_lines].dataType), out: F.col("text")}).drop(t)
 
     def make():
         def work(texts: pa.Array, removed: pa.Array) -> list:
             done = []
             for x, r in zip(texts, removed):
-                r = r.as_py()
-                if not r:
-                    done.append(None)
+                if not r.is_valid:
+                    done.append(x.as_py())
                     continue
-                skip = set(r)
+                skip = set(r.as_py())
                 done.append("\n".join(s for i, s in enumerate(x.as_py().split("\n")) if i not in skip))
             return [done]
         return work
 
-    # only texts that lose a line go through Python
-    held = held.withColumn(part, F.when(F.col(cut_lines).isNotNull(), F.col("text")))
-    held = append(held, [part, cut_lines], [(out, T.StringType())], make)
-    return held.withColumn(out, F.when(F.col(cut_lines).isNotNull(), F.col(out)).otherwise(F.col("text"))).drop(part, t), out, cut_lines
+    return append(touched, ["text", cut_lines], [(out, T.StringType())], make).unionByName(whole), out, cut_lines
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
