@@ -13,8 +13,9 @@ token union holds it.
   two members: shared prefix tokens, plus what the longer rest can hold.  With
   the sizes that excludes most pairs of groups before a full set is read.
 * A column of more than ``SMALL`` groups pairs each with one centre only.
-  Groups with members outside the centre's component are then paired with all
-  groups of the column, by the same bound, so no link is lost.
+  Groups with members outside the component that most have around the centre
+  are then paired with all others around it, by the same bound, so no link is
+  lost; such pairs are opened in chunks of groups.
 * A qualifying pair of groups is opened query by query: the overlap of a member
   with the other group's union bounds it again, and what passes is compared
   member by member on full sets.  Links inside what is already connected are not
@@ -53,10 +54,11 @@ CELL_BITS, GROUP_BITS = 22, 20      # cells of the rarity sketch and of the grou
 RARITY_BITS = 7
 HASH_BITS = 64 - RARITY_BITS
 GROUP = 32                          # classes of a group that are opened together
+CHUNK = 128                         # classes around a centre that are compared with as many in one step
 SMALL = 8                           # groups of a column that are paired at once
 SPREAD = 4096                       # counts of a token's cell per bucket it is dealt to
 BLOCK_BYTES = 6                     # bytes of a group's name: two groups of one name are one group
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 PARTS = 16
 _FLIP, _MULT = np.uint64(0x7F4A7C15D1B54A33), np.uint64(0xD6E8FEB86659FD93)
 
@@ -106,8 +108,8 @@ def key_of(s: np.ndarray) -> int:
 
 def group_names(key: np.ndarray, node: np.ndarray, crowding: np.ndarray) -> np.ndarray:
     """A class's group: its key, and in a crowded one also a share of the classes."""
-    share = node % crowding[key >> np.uint64(64 - GROUP_BITS)]
-    return (mixed(key + share * _STEP[1]) >> np.uint64(64 - 8 * BLOCK_BYTES))
+    share = share_of(node, crowding[key >> np.uint64(64 - GROUP_BITS)])
+    return mixed(key + share * _STEP[1]) >> np.uint64(64 - 8 * BLOCK_BYTES)
 
 
 def head(node: bytes) -> int:
@@ -162,9 +164,13 @@ def sketches(parts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def spread_of(counts: np.ndarray, each: int) -> np.ndarray:
-    """Shares into which a cell's rows are dealt: one, unless it holds far more than a usual one."""
+    """Bits of the share into which a cell's rows are dealt: none, unless it holds far more than a usual one."""
     typical = int(np.median(counts)) if len(counts) else 0
-    return np.maximum(1, (counts.astype(np.int64) - 4 * max(typical, 1)) // each).astype(np.uint64)
+    return np.ceil(np.log2(np.maximum(1, (counts.astype(np.int64) - 4 * max(typical, 1)) / each))).astype(np.uint8)
+
+
+def share_of(x: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    return x & ((np.uint64(1) << bits.astype(np.uint64)) - np.uint64(1))
 
 
 def cell_of(token: np.ndarray) -> np.ndarray:
@@ -210,7 +216,7 @@ def matrix_rows(docs: DataFrame, shared, buckets: int) -> DataFrame:
 
         def flush():
             t, g, _ = distinct_pairs(np.concatenate(tokens), np.concatenate(groups))
-            bucket = (mixed(t + (g % spread[cell_of(t)]) * _STEP[2]) % np.uint64(buckets)).astype(np.int64)
+            bucket = (mixed(t + share_of(g, spread[cell_of(t)]) * _STEP[2]) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
             full = np.flatnonzero(np.diff(ends))
@@ -248,7 +254,7 @@ def meetings(rows: DataFrame, shared) -> DataFrame:
         t, g, _ = distinct_pairs(t, g)
         start = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
         m = np.diff(np.append(start, len(t)))
-        large = np.repeat((m > small) | (spread[cell_of(t[start])] > 1), m)
+        large = np.repeat((m > small) | (spread[cell_of(t[start])] > 0), m)
         at, rest = np.flatnonzero(~large), (np.repeat(start + m, m) - np.arange(len(t)) - 1)[~large]
         a, b = [g[:0]], [g[:0]]
         for d in range(1, small):
@@ -276,8 +282,8 @@ def grouped(classes: DataFrame, shared) -> DataFrame:
     return append(classes, ["node", "key"], [("group", T.LongType())], make)
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, groups: DataFrame, shared) -> DataFrame:
-    """(group, part, nodes, sets) of the groups (group, parts); ``wanted`` has the text digests ``th`` of their classes."""
+def sets_of(docs: DataFrame, wanted: DataFrame, places: DataFrame, shared) -> DataFrame:
+    """(place, part, nodes, sets) of the groups in (group, place, parts); ``wanted`` has the text digests ``th`` of their classes."""
     spark = docs.sparkSession
     filter_ = spark.sparkContext.broadcast(bloom(wanted))       # of fixed size
 
@@ -303,31 +309,39 @@ def sets_of(docs: DataFrame, wanted: DataFrame, groups: DataFrame, shared) -> Da
                                                  ["group", "node", "hashes"])
 
     rows = docs.select("text").mapInArrow(run, "group long, node binary, hashes binary")
-    return (rows.join(groups, "group").dropDuplicates(["group", "node"])
-            .groupBy("group", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"))
+    return (rows.join(places, "group").dropDuplicates(["group", "node"])
+            .groupBy("place", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"))
             .agg(F.collect_list(F.struct("node", "hashes")).alias("m"))
-            .select("group", "part", F.col("m")["node"].alias("nodes"), F.col("m")["hashes"].alias("sets")))
+            .select("place", "part", F.col("m")["node"].alias("nodes"), F.col("m")["hashes"].alias("sets")))
 
 
-def opened(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): links between members of the paired groups, as many as connect what is connected."""
+def opened(pairs: DataFrame, sets: DataFrame, inner_known: bool = False) -> DataFrame:
+    """(a, b): links between members of the paired places, as many as connect what is connected.
+
+    ``inner_known``: each place is also paired with itself, so that two places
+    need only the links between what is connected inside them.
+    """
     def side(tag: str) -> DataFrame:
-        return sets.select(F.col("group").alias(tag), *(F.col(c).alias(f"{tag}_{c}") for c in ("part", "nodes", "sets")))
+        return sets.select(F.col("place").alias(tag), *(F.col(c).alias(f"{tag}_{c}") for c in ("part", "nodes", "sets")))
 
     both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").where((F.col("a") != F.col("b")) | (F.col("a_part") <= F.col("b_part")))
 
     def run(batches):
         for batch in batches:
-            for r in batch.select(["a_nodes", "a_sets", "b_nodes", "b_sets"]).to_pylist():
-                a, b = open_group(r["a_nodes"], r["a_sets"], r["b_nodes"], r["b_sets"])
+            for i in range(batch.num_rows):
+                a, b = open_group(*(batch.column(c)[i].as_py() for c in range(5)))
                 if a:
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    return both.select("a_nodes", "a_sets", "b_nodes", "b_sets").mapInArrow(run, "a binary, b binary")
+    other = (F.col("a") != F.col("b")) | (F.col("a_part") != F.col("b_part"))
+    return (both.select("a_nodes", "a_sets", "b_nodes", "b_sets", (other & F.lit(inner_known)).alias("inside"))
+            .mapInArrow(run, "a binary, b binary"))
 
 
-def open_group(queries: list[bytes], q_sets: list[bytes], nodes: list[bytes], sets: list[bytes]) -> tuple[list[bytes], list[bytes]]:
-    """Links between queries and members of a group, leaving out those that are connected already."""
+def open_group(queries: list[bytes], q_sets: list[bytes], nodes: list[bytes], sets: list[bytes], inside: bool = False) -> tuple[list[bytes], list[bytes]]:
+    """Links between queries and members of a group, leaving out those that are connected already, with ``inside`` also
+    by links among the queries or among the members."""
+    known = [x for side in ((queries, q_sets), (nodes, sets)) for x in zip(*open_group(*side, *side))] if inside else []
     ys = [np.frombuffer(y, np.uint64) for y in sets]
     union, place = np.unique(np.concatenate(ys), return_inverse=True)
     size = np.array([len(y) for y in ys])
@@ -339,6 +353,8 @@ def open_group(queries: list[bytes], q_sets: list[bytes], nodes: list[bytes], se
             parent[d] = d = parent[parent[d]]
         return d
 
+    for x, y in known:
+        parent[root(y)] = root(x)
     a, b = [], []
     for q, raw in zip(queries, q_sets):
         x = np.frombuffer(raw, np.uint64)
@@ -357,17 +373,21 @@ def open_group(queries: list[bytes], q_sets: list[bytes], nodes: list[bytes], se
     return a, b
 
 
+def fits(a: str, b: str, shared: Column | None) -> Column:
+    """Whether the sizes of groups a and b, and the overlap bound where ``shared`` counts their common columns, allow a link."""
+    c = lambda tag, name: F.col(f"{tag}_{name}")
+    out = (LINK[0] * c(b, "most") >= LINK[1] * c(a, "least")) & (LINK[0] * c(a, "most") >= LINK[1] * c(b, "least"))
+    if shared is not None:
+        out &= BOTH * (shared + F.greatest(c(a, "rest"), c(b, "rest"))) >= LINK[1] * (c(a, "least") + c(b, "least"))
+    return out
+
+
 def could_link(pairs: DataFrame, facts: DataFrame, shared: Column | None) -> DataFrame:
-    """The pairs (a, b) whose sizes, and overlap bound where ``shared`` counts their common columns, allow a link."""
+    """The pairs (a, b) that ``fits`` leaves."""
     def side(tag: str) -> DataFrame:
         return facts.select(F.col("group").alias(tag), *(F.col(c).alias(f"{tag}_{c}") for c in ("least", "most", "rest", "crowds")))
 
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    fits = (LINK[0] * F.col("b_most") >= LINK[1] * F.col("a_least")) & (LINK[0] * F.col("a_most") >= LINK[1] * F.col("b_least"))
-    if shared is not None:
-        overlap = shared + F.greatest("a_rest", "b_rest")
-        fits &= BOTH * overlap >= LINK[1] * (F.col("a_least") + F.col("b_least"))
-    return both.where(fits).select("a", "b").distinct()
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(fits("a", "b", shared)).select("a", "b").distinct()
 
 
 def links_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -399,43 +419,81 @@ def links_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     star = could_link(around.where(F.col("group") != F.col("centre")).select(F.least("centre", "group").alias("a"), F.greatest("centre", "group").alias("b")), facts, None)
     inner = facts.where("classes > 1").select(F.col("group").alias("a"), F.col("group").alias("b"))
     pairs = cut(small.union(star).distinct().union(inner))
-    sets = sets_for(docs, pairs, classes, facts, shared)
+    meet = pairs.select(F.col("a").alias("group")).union(pairs.select("b")).distinct()
+    places = facts.join(meet, "group", "left_semi").select("group", F.col("group").alias("place"), F.ceil(F.col("classes") / GROUP).alias("parts"))
+    sets = sets_for(docs, places, classes, shared)
     release(spark)
     own = classes.select("node", "first")
-    linked = cut(opened(pairs, sets))
+    linked = cut(opened(pairs, sets, True))
     labels = cut(components(own, linked))
     if not around.isEmpty():
         again = cut(outside(classes, labels, crowd, around, met, facts, pairs))
         if not again.isEmpty():
-            more = cut(opened(again, sets_for(docs, again, classes, facts, shared)))
+            chunks, places = in_chunks(again, around, facts)
+            more = cut(between(cut(opened(chunks, sets_for(docs, places, classes, shared))), labels))
             labels = cut(components(own, linked.union(more)))
     release(spark)
     return rows.select("doc_id", "n", "node"), labels.select("node", "root", "root_first")
 
 
-def sets_for(docs: DataFrame, pairs: DataFrame, classes: DataFrame, facts: DataFrame, shared) -> DataFrame:
-    """The full sets of the groups in ``pairs``."""
-    meet = pairs.select(F.col("a").alias("group")).union(pairs.select("b")).distinct()
-    parts = cut(facts.join(meet, "group", "left_semi").select("group", F.ceil(F.col("classes") / GROUP).alias("parts")))
-    return cut(sets_of(docs, classes.join(parts, "group", "left_semi").select("th"), parts, shared))
+def sets_for(docs: DataFrame, places: DataFrame, classes: DataFrame, shared) -> DataFrame:
+    """The full sets of the groups in ``places``."""
+    places = cut(places)
+    return cut(sets_of(docs, classes.join(places, "group", "left_semi").select("th"), places, shared))
+
+
+def between(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """The links (a, b) as links between components that are still apart, each once."""
+    def root(tag: str) -> DataFrame:
+        return labels.select(F.col("node").alias(tag), F.col("root").alias(f"r{tag}"))
+
+    ra, rb = F.coalesce("ra", "a"), F.coalesce("rb", "b")
+    return (links.join(root("a"), "a", "left").join(root("b"), "b", "left").where(ra != rb)
+            .select(F.least(ra, rb).alias("a"), F.greatest(ra, rb).alias("b")).distinct())
+
+
+def in_chunks(pairs: DataFrame, around: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of groups as pairs of chunks, and (group, place, parts): the groups around a centre in chunks of about ``CHUNK`` classes."""
+    classes = around.join(facts.select("group", "classes"), "group")
+    centres = classes.groupBy("centre").agg(F.sum("classes").alias("weight"))
+    main = (around.join(centres, "centre").groupBy("group").agg(F.max(F.struct("weight", "centre")).alias("c"))
+            .select("group", F.xxhash64(F.col("c")["centre"], F.pmod(F.xxhash64("group"), F.ceil(F.col("c")["weight"] / CHUNK))).alias("place"), F.lit(1).alias("parts")))
+    places = cut(main.join(pairs.select(F.col("a").alias("group")).union(pairs.select("b")).distinct(), "group", "left_semi"))
+    named = lambda tag: places.select(F.col("group").alias(tag), F.col("place").alias(f"p{tag}"))
+    both = pairs.join(named("a"), "a").join(named("b"), "b").select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct()
+    return cut(both), places
 
 
 def outside(classes: DataFrame, labels: DataFrame, crowd: DataFrame, around: DataFrame, met: DataFrame, facts: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs (a, b) of groups of one large column, one of them not wholly in the component of every centre it has, that were not opened yet."""
-    inside = cut(classes.join(crowd.select("group").distinct(), "group", "left_semi").select("node", "group").join(labels.select("node", "root"), "node", "left")
-                 .groupBy("group").agg(F.min(F.coalesce("root", "node")).alias("low"), F.max(F.coalesce("root", "node")).alias("high")))
-    home = inside.select(F.col("group").alias("centre"), F.col("low").alias("home"), F.col("high").alias("top"))
-    away = (F.col("low") != F.col("home")) | (F.col("high") != F.col("home")) | (F.col("top") != F.col("home"))
-    loose = cut(around.join(inside, "group").join(home, "centre").where(away).select("group").distinct())
-    one = F.when(F.col("low") == F.col("high"), F.col("low"))
-    seats = crowd.select("token", "group").join(inside.select("group", one.alias("root")), "group")
-    x = seats.join(loose, "group", "left_semi").select("token", F.col("group").alias("x"), F.col("root").alias("x_root"))
-    y = seats.select("token", F.col("group").alias("y"), F.col("root").alias("y_root"))
-    apart = F.coalesce(F.col("x_root") != F.col("y_root"), F.lit(True)) & (F.col("x") != F.col("y"))
-    # two loose groups meet from both sides: a column counts once
-    columns = (x.join(y, "token").where(apart).groupBy("x", "y").agg(F.count(F.lit(1)).alias("columns"))
-               .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.max("columns").alias("columns")))
-    return could_link(columns.join(met, ["a", "b"], "left"), facts, F.col("columns") + F.coalesce("n", F.lit(0))).join(done, ["a", "b"], "left_anti")
+    """Pairs (a, b) of groups of one large column that may still link two components and were not opened yet.
+
+    A centre's home is the component that most classes around it have.  Two
+    groups wholly at home are connected; a group that is not meets the others
+    around its centre, where the bound of the columns both have still holds.
+    """
+    columns = crowd.groupBy("group").agg(F.sort_array(F.collect_list("token")).alias("columns"))       # part of one group's prefixes
+    roots = cut(classes.join(columns.select("group"), "group", "left_semi").select("node", "group").join(labels.select("node", "root"), "node", "left")
+                .groupBy("group", F.coalesce("root", "node").alias("root")).agg(F.count(F.lit(1)).alias("n")))
+    home = (around.join(roots, "group").groupBy("centre", "root").agg(F.sum("n").alias("n"))
+            .groupBy("centre").agg(F.max(F.struct("n", "root")).alias("h")).select("centre", F.col("h")["root"].alias("home")))
+    inside = roots.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    loose = around.join(inside, "group").join(home, "centre").where((F.col("low") != F.col("home")) | (F.col("high") != F.col("home"))).select("group").distinct()
+    partners = met.select(F.col("a").alias("group"), "n").union(met.select("b", "n")).groupBy("group").agg(F.max("n").alias("small"))
+    seats = cut(columns.join(inside, "group").join(facts.select("group", "least", "most", "rest"), "group").join(partners, "group", "left")
+                .select("group", "columns", "least", "most", "rest", F.coalesce("small", F.lit(0)).alias("small"),
+                        F.when(F.col("low") == F.col("high"), F.col("low")).alias("root")))
+    near = around.join(seats, "group")
+
+    def side(rows: DataFrame, tag: str) -> DataFrame:
+        return rows.select("centre", *(F.col(c).alias(f"{tag}_{c}") for c in seats.columns))
+
+    x, y = side(near.join(cut(loose), "group", "left_semi"), "x"), side(near, "y")
+    both = F.size(F.array_intersect("x_columns", "y_columns"))
+    may = ((F.col("x_group") != F.col("y_group")) & F.coalesce(F.col("x_root") != F.col("y_root"), F.lit(True))
+           & fits("x", "y", both + F.least("x_small", "y_small")) & (both > 0))
+    pairs = (x.join(y, (x["centre"] == y["centre"]) & may)
+             .select(F.least("x_group", "y_group").alias("a"), F.greatest("x_group", "y_group").alias("b"), both.alias("columns")).distinct())
+    return could_link(pairs.join(met, ["a", "b"], "left"), facts, F.col("columns") + F.coalesce("n", F.lit(0))).join(done, ["a", "b"], "left_anti")
 
 
 def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,6 +66,7 @@ def corpus(seed, n=120):
 def test_equals_all_pairs(spark, monkeypatch, seed, small, group):
     monkeypatch.setattr(nj, "SMALL", small)
     monkeypatch.setattr(nj, "GROUP", group)
+    monkeypatch.setattr(nj, "CHUNK", 4 * group)
     monkeypatch.setattr(nj, "SPREAD", 1 if small < 8 else 4096)
     rows = corpus(seed)
     assert joined(spark, rows) == brute(rows)
