@@ -78,3 +78,27 @@ def test_colocated_tables_join_without_a_shuffle(plain_shuffles, gold, star):  #
     assert "SortMergeJoin [student_sk" in plan and "hashpartitioning(student_sk" not in plan
     want = star.query(["withdrawal_rate", "total_students"], ["dim_student.imd_band"], principal="a@x.org")
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_lines_meet_their_orders_once_and_in_few_numbers(spark, tmp_path):
+    from datetime import datetime
+    from strata.plans import analog_star
+    day = datetime(1995, 3, 1)
+    lines = [(1, 10, 100, 1, 3.0), (1, 11, 100, 7, 4.0), (2, None, 101, None, 5.5), (9, 12, None, 2, 1.0), (None, 13, 102, 7, None), (2, 14, 103, 3, None)]
+    tables = {"lineitem": spark.createDataFrame([(*x, day) for x in lines], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_shipdate timestamp_ntz"),
+              "orders": spark.createDataFrame([(1, 5, "F", "1-URGENT", day), (2, None, "O", None, day), (None, 7, "O", "x", day)],
+                                              "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp_ntz"),
+              "customer": spark.createDataFrame([], "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string"),
+              "nation": spark.createDataFrame([], "n_nationkey int, n_name string, n_regionkey int"), "region": spark.createDataFrame([], "r_regionkey int, r_name string"),
+              "part": spark.createDataFrame([], "p_partkey long, p_brand string, p_type string, p_size int"), "supplier": spark.createDataFrame([], "s_suppkey long")}
+    for t, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{t}.parquet")
+    analog_star.order_lines(spark, str(tmp_path)).write.parquet(f"{tmp_path}/lines")
+    raw = analog_star.raw_tables(spark, str(tmp_path), spark.read.parquet(f"{tmp_path}/lines"))
+    for t in ("studentAssessment", "studentVle"):
+        assert "Join" not in raw[t]._jdf.queryExecution().optimizedPlan().toString()
+    got = {tuple(r[c] for c in ("id_assessment", "id_student", "score", "is_banked")) for r in raw["studentAssessment"].collect()}
+    assert got == {("10", "5", "6", "0"), ("11", "5", "", "0"), (None, None, "11", "0"), ("12", None, "2", "0"), ("13", None, "", "0"), ("14", None, None, "0")}
+    got = {tuple(r[c] for c in ("code_module", "code_presentation", "id_student", "id_site", "sum_click")) for r in raw["studentVle"].collect()}
+    assert got == {("1-URGENT", "1995", "5", "100", "3"), ("1-URGENT", "1995", "5", "100", "4"), (None, "1995", None, "101", "5"), (None, None, None, None, "1"),
+                   (None, None, None, "102", None), (None, "1995", None, "103", None)}
