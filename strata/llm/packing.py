@@ -36,6 +36,12 @@ CAPACITY = 4096
 END = 1
 #: Words whose ids a worker remembers; beyond it, the memory starts anew.
 CACHE_WORDS = 700_000
+#: New words encoded together, and what stands between them: one token of a character that words hardly hold.
+JOINED = 100
+MARK = " \x01 "
+#: The tokenizer parts a letter from a stop and lowers letters itself: done before, fewer words differ.  Lowering first could
+#: change what a combining mark makes of a letter, or make a special token.
+STOP, KEEP_CASE = r"([A-Za-z])([.,;:!?])(\s|$)", r"\pM|<\|"
 
 
 class WordIds:
@@ -45,41 +51,73 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        if len(mark) != 1:
+            raise ValueError(f"{path}: the mark between words is not one token")
+        self.mark = mark[0]
+        names = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(names.values()) + 1, bool)
+        self.closes[[i for name, i in names.items() if name.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
-        self.start, self.size = [], []
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _learn(self, words: list[str]) -> None:
+        """Ids of new words, ``JOINED`` of them encoded as one text.
+
+        A word of letters is one run of the tokenizer's own splitting, and never none; so
+        where a text has as many ends of runs as words, they part them.  Between other words
+        stands a mark.
+        """
+        letters = [w for w in words if w.isalpha()]
+        others = [w for w in words if not w.isalpha()]
+        for same, plain in ((letters, True), (others, False)):
+            for at in range(0, len(same), 20_000):
+                self._learn_part(same[at:at + 20_000], plain)
+
+    def _learn_part(self, words: list[str], plain: bool) -> None:
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for at in range(0, len(words), 20_000):
-            part = words[at:at + 20_000]
-            for w, e in zip(part, encode(part, add_special_tokens=False)):
-                ids = e.ids
-                n = len(ids)
-                while self.used + n > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-                self.ids[self.used:self.used + n] = ids
-                self.known[w] = len(self.start)
-                self.start.append(self.used)
-                self.size.append(n)
-                self.used += n
+        between = " " if plain else MARK
+        parts, sizes = [], []
+        groups = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
+        for own, e in zip(groups, encode([between.join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            last = np.flatnonzero(self.closes[ids] if plain else ids == self.mark)
+            if plain and len(last) == len(own):
+                parts.append(ids)
+                sizes.append(np.diff(last, prepend=-1))
+            elif not plain and len(last) == len(own) - 1:
+                parts.append(np.delete(ids, last))
+                sizes.append(np.diff(np.concatenate([[-1], last, [len(ids)]])) - 1)
+            else:                           # a letter that becomes two, or a word that holds the mark's character
+                each = [x.ids for x in encode(own, add_special_tokens=False)]
+                parts.append(np.array([i for x in each for i in x], np.uint32))
+                sizes.append(np.array([len(x) for x in each], np.int64))
+        flat, size = np.concatenate(parts), np.concatenate(sizes)
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used:self.used + len(flat)] = flat
+        self.known.update(zip(words, range(len(self.size), len(self.size) + len(words))))
+        self.start = np.concatenate([self.start, self.used + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.used += len(flat)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and where each text's ids end."""
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        texts = pc.replace_substring_regex(pc.fill_null(texts, ""), STOP, r"\1 \2\3")
+        texts = pc.if_else(pc.match_substring_regex(texts, KEEP_CASE), texts, pc.ascii_lower(texts))
+        lists = pc.ascii_split_whitespace(texts)
         words = lists.flatten().dictionary_encode()
         vocabulary = words.dictionary.to_pylist()
         if len(self.known) + len(vocabulary) > CACHE_WORDS:
             self._forget()
         self._learn([w for w in vocabulary if w not in self.known])
-        known = self.known
-        number = np.fromiter((known[w] for w in vocabulary), np.int64, len(vocabulary))
+        number = np.fromiter(map(self.known.__getitem__, vocabulary), np.int64, len(vocabulary))
         word = number[words.indices.to_numpy()] if len(vocabulary) else np.zeros(0, np.int64)
-        size = np.array(self.size, np.int64)[word]
-        start = np.array(self.start, np.int64)[word]
+        size, start = self.size[word], self.start[word]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
         flat = self.ids[np.repeat(start - ends + size, size) + np.arange(total)]

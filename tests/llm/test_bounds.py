@@ -84,3 +84,30 @@ def test_words_hashed_in_windows(monkeypatch):
         monkeypatch.setattr(d, "WINDOW", w)
         for a, b in zip(whole, d.word_hashes(data)):
             assert np.array_equal(a, b)
+
+
+def test_new_words_are_encoded_together_and_exactly():
+    import pyarrow as pa
+    from strata.llm import packing as p
+    words = p.WordIds(p.word_bpe())
+    plain, sent = words.tokenizer, []
+
+    class Counting:
+        def encode_batch(self, texts, **kw):
+            sent.extend(texts)
+            return plain.encode_batch(texts, **kw)
+
+        encode_batch_fast = encode_batch
+
+    words.tokenizer = Counting()
+    r = random.Random(5)
+    common = ["w%d" % i for i in range(1500)] + ["".join(r.choice("abcdefgé") for _ in range(9)) + r.choice(["", "."]) for _ in range(1500)]
+    flat, ends = words.encode(pa.array([" ".join(common), None]))
+    assert len(sent) <= 5 + len(common) // p.JOINED and flat.tolist() == plain.encode(" ".join(common), add_special_tokens=False).ids and ends[0] == ends[1]
+    odd = ["", "́x", "a\x01b", "\x01", "\x01\x01", "<|endoftext|>", "x<|endoftext|>y", "ΟΔΟΣ", "it's", "'s", "…", "\xa0", "日本語", "\x00", "​", "|", "İ", "İİ.", "ǅa,", "ẖ", "H\u0331", "ŉ", "Ω", "ﬁ!", ".", "a..", "½", "\u0130?", "H\u0331", "\u0130.", "<|ENDOFTEXT|>", "it's.", "A.", "\u212a.", "ÉTÉ,", "\x0bB.\x0b"]
+    texts = [" ".join(r.choice(odd + common[:50] + common[-50:]) for _ in range(r.randrange(200))) for _ in range(100)]
+    flat, ends = words.encode(pa.array(texts))
+    for x, a, b in zip(texts, [0, *ends], ends):
+        assert flat[a:b].tolist() == plain.encode(x, add_special_tokens=False).ids
+    for x in odd:               # and each alone, where no other word keeps its case
+        assert words.encode(pa.array([x + " Abc. DEF"]))[0].tolist() == plain.encode(x + " Abc. DEF", add_special_tokens=False).ids
