@@ -25,6 +25,8 @@ Texts are read whole.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -148,6 +150,13 @@ def sketches(docs: DataFrame) -> DataFrame:
     return append(docs.select("doc_id", text_key().alias("tk"), "text"), ["text"], fields, make).drop("text")
 
 
+def among(ids: DataFrame, doc: str, key: str) -> Callable[..., Column]:
+    """A condition on (id, text key): false where ``ids`` surely has no such row, so that few texts are shuffled; a join decides."""
+    from strata.llm.line_dedup import may_hold      # that module builds on this one
+    held = may_hold(ids.select(F.xxhash64(doc, key)), ids.sparkSession)
+    return lambda d, k: held(F.xxhash64(d, k))
+
+
 def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose estimated similarity reaches LEAST."""
     sig = classes.select("node", "sig")
@@ -165,7 +174,8 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def sets_of(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, hashes): full sets, read again from the texts of the classes' first documents."""
-    ids = classes.join(nodes.distinct(), "node").select(F.col("first").alias("__id"), F.col("tk").alias("__tk"), "node")
+    ids = cut(classes.join(nodes.distinct(), "node").select(F.col("first").alias("__id"), F.col("tk").alias("__tk"), "node"))
+    wanted = among(ids, "__id", "__tk")
 
     def make():
         words = WordHashes()
@@ -175,7 +185,7 @@ def sets_of(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
         return work
 
     # an id, or none, may stand for several texts: only the class's own text counts
-    rows = (docs.select("doc_id", "text", text_key().alias("tk"))
+    rows = (docs.select("doc_id", "text", text_key().alias("tk")).where(wanted("doc_id", "tk"))
             .join(ids, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("tk") == F.col("__tk"))))
     return (append(rows.select("text", "node"), ["text"], [("hashes", T.BinaryType())], make)
             .select("node", "hashes").dropDuplicates(["node"]))
@@ -294,7 +304,7 @@ def with_components(rows: DataFrame, labels: DataFrame) -> DataFrame:
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of near-duplicates one row stays, of the smallest id (none comes last), by text."""
     rows, labels = near_duplicates(docs)
-    row, word = fresh("row"), fresh("text")
+    row, word, met = fresh("row"), fresh("text"), fresh("met")
     classes = cut(rows.where(F.col("node").isNotNull()).groupBy("node").agg(smallest().alias("f"))
                   .join(labels, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "f"))
     stays = classes.groupBy("root").agg(F.min("f").alias("stay"))
@@ -303,12 +313,15 @@ def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     texts = (rows.join(stay, "node").groupBy(F.col("doc_id").alias(row), F.col("tk").alias(word), keep.alias("keep"))
              .agg(F.count(F.lit(1)).alias("n")))
     odd = cut(texts.where(~F.col("keep") | (F.col("n") > 1)))
+    # text_key of a null text is null: such a row is in no group
+    flagged = docs.withColumn(met, among(odd, row, word)("doc_id", text_key()))
+    touched = flagged.where(met).drop(met)
     same = [F.col("doc_id").eqNullSafe(F.col(row)), text_key() == F.col(word)]
-    out = docs.join(odd.select(row, word), same, "left_anti")
+    out = flagged.where(~F.col(met)).drop(met).unionByName(touched.join(odd.select(row, word), same, "left_anti"))
     again = odd.where("keep").select(row, word)
     if again.isEmpty():
         return out
-    one = docs.join(again, same).dropDuplicates([row, word]).drop(row, word)
+    one = touched.join(again, same).dropDuplicates([row, word]).drop(row, word)
     return out.unionByName(one)
 
 

@@ -111,3 +111,20 @@ def test_new_words_are_encoded_together_and_exactly():
         assert flat[a:b].tolist() == plain.encode(x, add_special_tokens=False).ids
     for x in odd:               # and each alone, where no other word keeps its case
         assert words.encode(pa.array([x + " Abc. DEF"]))[0].tolist() == plain.encode(x + " Abc. DEF", add_special_tokens=False).ids
+
+
+def test_few_texts_are_shuffled_for_sets(spark):
+    from strata.llm import minhash as m
+    docs = spark.range(3000).select(F.when(F.col("id") % 7 != 0, F.col("id")).alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(5, None), (None, None)], "doc_id long, text string"))
+    keyed = docs.select("doc_id", m.text_key().alias("tk"))
+    ids = keyed.where("doc_id % 100 = 3 or (doc_id is null and tk is not null)").select(F.col("doc_id").alias("i"), F.col("tk").alias("k"))
+    met = keyed.where(m.among(ids, "i", "k")("doc_id", "tk"))
+    assert ids.exceptAll(met).isEmpty() and ids.count() <= met.count() <= ids.count() + 5
+    none = ids.limit(0)
+    assert keyed.where(m.among(none, "i", "k")("doc_id", "tk")).isEmpty()
+    # the joins get the thinned rows only
+    nodes = spark.createDataFrame([(bytes([1]),)], "node binary")
+    classes = keyed.where("doc_id = 3").select(F.lit(bytes([1])).alias("node"), F.col("doc_id").alias("first"), "tk")
+    plan = m.sets_of(nodes, docs, classes)
+    assert plan.count() == 1 and "held" in plan._jdf.queryExecution().optimizedPlan().toString()
