@@ -16,7 +16,8 @@ one, by (doc_id, line number), is equal or that similar to it.
   a task reports at most one match per class and chunk.  A token of many classes
   is dealt over several buckets by class.
 * Full sets are read again for candidates only; a Bloom filter of fixed size
-  thins that scan, an exact join decides.
+  thins that scan, an exact join decides.  Each comes with a sign of 512 bits:
+  pairs whose signs differ in too many bits fall away before sets are shuffled.
 
 Defined results: lines without a word stay.  A null text stays null.  Rows
 that repeat id and text are one document and get the same result; a null id
@@ -26,6 +27,8 @@ be empty.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -34,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import append, cut, fresh, partitions, release, table
+from strata.llm.common import append, cut, fresh, give_back, lean, partitions, release, table
 from strata.llm.minhash import _STEP, SHINGLE, mixed
 
 #: Similar: MATCH[0] * intersection >= MATCH[1] * union.
@@ -44,7 +47,7 @@ SMALL = 16                  # classes of a token that are paired at once
 SPREAD = 4096               # counts of a token's cell per bucket it is dealt to
 CHUNK = 256
 BLOOM_BITS = 26
-WINDOW = 1 << 18            # bytes hashed together
+WINDOW = 1 << 16            # bytes hashed together: what they need stays in a core's cache
 LAST = np.iinfo(np.int64).max
 
 
@@ -86,11 +89,15 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    space = _SPACE[data]
-    edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]])))
+    space = np.ones(len(data) + 2, bool)
+    np.take(_SPACE, data, out=space[1:-1], mode="clip")
+    edge = np.flatnonzero(space[1:] != space[:-1])
     start, end = edge[::2], edge[1::2]
     power, inverse = powers(len(data) + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTER[data] * power[:len(data)], dtype=np.uint64)])
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.take(_LETTER, data, out=total[1:], mode="clip")
+    total[1:] *= power[:len(data)]
+    np.cumsum(total[1:], out=total[1:])
     return mixed((total[end] - total[start]) * inverse[start]), start
 
 
@@ -154,6 +161,10 @@ def batches_of_docs(batches, rows: int = 128):
             yield b.slice(at, rows)
 
 
+def worded(line: bytes) -> bool:
+    return bool(line) and not line.isspace()
+
+
 def raws(column) -> list[bytes]:
     """UTF-8 bytes of a text column; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
@@ -165,18 +176,23 @@ def sketch(docs: DataFrame) -> np.ndarray:
     step = cells // ranges
 
     def count(batches):
-        seen, total = set(), np.zeros(cells, np.int64)
+        seen, total, held = set(), np.zeros(cells, np.int64), []
         for b in batches_of_docs(batches):
             lines = []
             for t in raws(b.column(0)):
                 for x in t.split(b"\n"):
                     if (c := class_id(x)) not in seen:
                         seen.add(c)
-                        if x.split():
+                        if worded(x):
                             lines.append(x)
             if lines:
                 h, _ = tokens_of(lines)
-                total += np.bincount((h >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=cells)
+                held.append((h >> np.uint64(64 - CELL_BITS)).astype(np.int32))
+                if sum(map(len, held)) >= cells:        # counting costs a pass over all cells
+                    total += np.bincount(np.concatenate(held), minlength=cells)
+                    held = []
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=cells)
         yield pa.RecordBatch.from_arrays([pa.array(range(ranges), pa.int32()),
                                           pa.array([total[i * step:(i + 1) * step].astype("<u4").tobytes() for i in range(ranges)], pa.binary())],
                                          ["part", "counts"])
@@ -187,7 +203,7 @@ def sketch(docs: DataFrame) -> np.ndarray:
             total += np.frombuffer(c.as_buffer(), "<u4")
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
-    parts = docs.select("text").mapInArrow(count, "part int, counts binary")
+    parts = docs.select("text").mapInArrow(lean(count), "part int, counts binary")
     got = parts.groupBy("part").applyInArrow(add, "part int, counts binary").collect()   # 16 rows, 8 MB in all
     total = np.zeros(cells, np.int64)
     for r in got:
@@ -253,7 +269,7 @@ def postings(docs: DataFrame, shared, buckets: int) -> DataFrame:
                     if first.get(c, (LAST, LAST)) > (doc, i):
                         # a class met again earlier (rows are in no order) is posted again; the bucket keeps the earliest
                         first[c] = (doc, i)
-                        if x.split():
+                        if worded(x):
                             lines.append(x)
                             where.append((c, doc, i))
                             if len(lines) == 1 << LINE_BITS or i & 4095 == 4095:
@@ -271,7 +287,7 @@ def postings(docs: DataFrame, shared, buckets: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(list(out), pa.int32()), pa.array([packed(np.concatenate(v)) for v in out.values()], pa.binary())],
                                           ["bucket", "data"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "bucket int, data binary")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "bucket int, data binary")
 
 
 def bound_holds(a, b) -> np.ndarray:
@@ -287,6 +303,13 @@ def bound_holds(a, b) -> np.ndarray:
 def paired(p: np.ndarray, spread: np.ndarray, small: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a bucket's postings: rows (later, earlier) of small tokens that pass the bounds, each pair once, whether the
     earlier is a token's earliest, and the postings of large tokens."""
+    # most tokens are met once: only the others are put in order
+    order = np.argsort(p["token"])
+    token = p["token"][order]
+    same = token[1:] == token[:-1]
+    p = p[order[np.concatenate([[False], same]) | np.concatenate([same, [False]]) | (spread[cell_of(token)] > 1)]]
+    if not len(p):
+        return p, p, np.zeros(0, bool), p
     p = p[np.lexsort((p["line"], p["doc"], p["cid"], p["token"]))]
     new = np.ones(len(p), bool)
     new[1:] = (p["token"][1:] != p["token"][:-1]) | (p["cid"][1:] != p["cid"][:-1])
@@ -318,6 +341,7 @@ def candidates(posted: DataFrame, shared) -> DataFrame:
     def run(key, group):
         _, spread, small = shared.value
         a, b, lead, crowd = paired(np.concatenate([unpacked(c.as_py()) for c in group.column("data")]), spread, small)
+        give_back()
         col = lambda x: pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64))
         return pa.table(
             [pa.concat_arrays([pa.nulls(len(a), pa.int64()), col(np.ascontiguousarray(crowd["token"]))]),
@@ -357,7 +381,7 @@ def bloom(ids: DataFrame) -> np.ndarray:
         return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([out.tobytes()], pa.binary())})
 
     whole = np.zeros(bits // 8, np.uint8)
-    for r in ids.mapInArrow(fill, "part int, bits binary").groupBy("part").applyInArrow(join, "part int, bits binary").collect():
+    for r in ids.mapInArrow(lean(fill), "part int, bits binary").groupBy("part").applyInArrow(join, "part int, bits binary").collect():
         whole[r["part"] * piece // 8:(r["part"] + 1) * piece // 8] = np.frombuffer(r["bits"], np.uint8)
     return whole
 
@@ -376,8 +400,18 @@ def may_hold(ids: DataFrame, spark: SparkSession):
     return held
 
 
+#: Words of a class's sign, which has a bit per token, added mod 2.
+SIGN = [f"s{k}" for k in range(8)]
+
+
+def signs_of(h: np.ndarray, start: np.ndarray) -> list[np.ndarray]:
+    """The words of the signs of sets that begin at ``start``; two sets differ in at least as many tokens as their signs in bits."""
+    bit, lane = np.uint64(1) << (h & np.uint64(63)), (h >> np.uint64(6)) & np.uint64(len(SIGN) - 1)
+    return [np.bitwise_xor.reduceat(np.where(lane == k, bit, np.uint64(0)), start).view(np.int64) for k in range(len(SIGN))]
+
+
 def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(cid, hashes) of the classes wanted, read again from the texts."""
+    """(cid, n, sign, hashes) of the classes wanted and a few others, read again from the texts; once per task that meets the class."""
     spark = docs.sparkSession
     filter_ = spark.sparkContext.broadcast(bloom(ids))      # of fixed size
 
@@ -389,20 +423,41 @@ def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
             ok = np.ones(len(cid), bool)
             for at in bloom_places(cid):
                 ok &= (bits[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1
-            pick = [i for i in np.flatnonzero(ok) if cid[i] not in seen and not seen.add(cid[i]) and lines[i].split()]
+            pick = [i for i in np.flatnonzero(ok) if cid[i] not in seen and not seen.add(cid[i]) and worded(lines[i])]
             if not pick:
                 continue
             h, line = tokens_of([lines[i] for i in pick])
+            order = np.lexsort((h, line))
+            h, line = h[order], line[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
+            h, line = h[new], line[new]
             ends = np.searchsorted(line, np.arange(len(pick) + 1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cid[pick].view(np.int64)), pa.array([np.unique(h[ends[k]:ends[k + 1]]).tobytes() for k in range(len(pick))], pa.binary())],
-                ["cid", "hashes"])
+                [pa.array(cid[pick].view(np.int64)), pa.array(np.diff(ends)), *map(pa.array, signs_of(h, ends[:-1])),
+                 pa.array([h[ends[k]:ends[k + 1]].tobytes() for k in range(len(pick))], pa.binary())], ["cid", "n", *SIGN, "hashes"])
 
-    rows = docs.select("text").mapInArrow(run, "cid long, hashes binary")
-    return rows.join(ids.select(F.col("cid")), "cid", "left_semi").groupBy("cid").agg(F.min("hashes").alias("hashes"))
+    return docs.select("text").mapInArrow(lean(run), f"cid long, n long, {', '.join(f'{k} long' for k in SIGN)}, hashes binary")
+
+
+def passing(pairs: DataFrame, signs: DataFrame) -> DataFrame:
+    """The pairs whose sizes and signs do not rule out that they are similar."""
+    side = lambda name, tag: signs.select(F.col("cid").alias(name), *(F.col(k).alias(tag + k) for k in ("n", *SIGN)))
+    differ = sum((F.bit_count(F.col("x" + k).bitwiseXOR(F.col("y" + k))) for k in SIGN), F.lit(0))
+    least, most = F.least("xn", "yn"), F.greatest("xn", "yn")
+    return (pairs.join(side("later", "x"), "later").join(side("earlier", "y"), "earlier")
+            .where((MATCH[0] * least >= MATCH[1] * most) & ((MATCH[0] + MATCH[1]) * differ <= (MATCH[0] - MATCH[1]) * (F.col("xn") + F.col("yn"))))
+            .select("later", "earlier"))
+
+
+def only(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """(cid, hashes) of ``ids`` and a few others, each once; few sets are shuffled."""
+    wanted = may_hold(ids, ids.sparkSession)
+    return sets.where(wanted("cid")).select("cid", "hashes").dropDuplicates(["cid"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    sets = only(sets, pairs.select(F.explode(F.array("later", "earlier")).alias("cid")).distinct())
     both = (pairs.join(sets.select(F.col("cid").alias("later"), F.col("hashes").alias("x")), "later")
             .join(sets.select(F.col("cid").alias("earlier"), F.col("hashes").alias("y")), "earlier").select("later", "x", "y"))
 
@@ -415,28 +470,69 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(MATCH[0] * i >= MATCH[1] * (len(x) + len(y) - i))
             yield b.filter(pa.array(keep, pa.bool_())).select(["later"])
 
-    return both.mapInArrow(run, "later long")
+    return both.mapInArrow(lean(run), "later long")
 
 
-def among(crowd: DataFrame, open_: DataFrame, sets: DataFrame) -> DataFrame:
-    """Classes of ``open_`` that match an earlier class with the same large token, compared chunk by chunk."""
+def chunked(crowd: DataFrame, open_: DataFrame, known: DataFrame) -> DataFrame:
+    """(token, x, y): chunks of the open classes of each token beside chunks of all its classes, with what is known of them."""
     want = open_.select("token").distinct()
     sizes = cut(crowd.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks")).join(want, "token"))
-    part = cut(crowd.join(sizes, "token").withColumn("salt", F.pmod(F.xxhash64("later"), F.col("chunks"))))
+    part = cut(crowd.select("token", "later", "doc", "line").join(sizes, "token")
+               .withColumn("salt", F.pmod(F.xxhash64("later"), F.col("chunks"))))
+    known = known.withColumnRenamed("cid", "later")
+    more = [c for c in known.columns if c != "later"]
 
     def chunks(rows: DataFrame, tag: str) -> DataFrame:
-        return cut(rows.join(sets.withColumnRenamed("cid", "later"), "later").groupBy("token", "salt")
-                   .agg(F.collect_list(F.struct("later", "doc", "line", "hashes")).alias(tag)).select("token", tag))
+        return cut(rows.join(known, "later").groupBy("token", "salt")
+                   .agg(F.collect_list(F.struct("later", "doc", "line", *more)).alias(tag)).select("token", tag))
 
     xs = chunks(part.join(open_.select("token", "later").distinct(), ["token", "later"], "left_semi"), "x")
-    both = xs.join(chunks(part, "y"), "token").drop("token")
+    return xs.join(chunks(part, "y"), "token")
+
+
+def place(e) -> tuple:
+    return e["doc"], e["line"], e["later"]
+
+
+def near(crowd: DataFrame, open_: DataFrame, signs: DataFrame) -> DataFrame:
+    """(token, later, open): open classes with an earlier one of the token that sizes and signs do not rule out, and those earlier ones."""
+
+    def columns(lists: pa.ListArray) -> tuple[np.ndarray, ...]:
+        """Ends of the lists, then of all their members: class, document, line, size and sign."""
+        v = lists.flatten()
+        own = {k: np.asarray(v.field(v.type.get_field_index(k))) for k in ("later", "doc", "line", "n", *SIGN)}
+        sign = np.stack([own[k].view(np.uint64) for k in SIGN], axis=1)
+        return np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths()))]), own["later"], own["doc"], own["line"], own["n"], sign
+
+    def run(batches):
+        for b in batches:
+            (xe, *xs), (ye, *ys) = columns(b.column(1)), columns(b.column(2))
+            for i, token in enumerate(b.column(0).to_pylist()):
+                later, doc, line, n, sign = (c[xe[i]:xe[i + 1], None] for c in xs)
+                later_, doc_, line_, n_, sign_ = (c[None, ye[i]:ye[i + 1]] for c in ys)
+                before = (doc_ < doc) | (doc_ == doc) & ((line_ < line) | (line_ == line) & (later_ < later))
+                differ = np.bitwise_count(sign ^ sign_).sum(axis=2, dtype=np.int64)
+                ok = (before & (MATCH[0] * np.minimum(n, n_) >= MATCH[1] * np.maximum(n, n_))
+                      & ((MATCH[0] + MATCH[1]) * differ <= (MATCH[0] - MATCH[1]) * (n + n_)))
+                own, other = later[ok.any(axis=1), 0], later_[0, ok.any(axis=0)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(own) + len(other), token)), pa.array(np.concatenate([own, other])),
+                     pa.array(np.arange(len(own) + len(other)) < len(own))], ["token", "later", "open"])
+
+    return (chunked(crowd, open_, signs).mapInArrow(lean(run), "token long, later long, open boolean")
+            .groupBy("token", "later").agg(F.max("open").alias("open")))
+
+
+def among(crowd: DataFrame, open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """Classes of ``open_`` that match an earlier class with the same large token, compared chunk by chunk."""
+    both = chunked(crowd, open_, cut(only(sets, crowd.select(F.col("later").alias("cid")).distinct()))).drop("token")
 
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
-                ys = sorted(r["y"], key=lambda e: (e["doc"], e["line"], e["later"]))
+                ys = sorted(r["y"], key=place)
                 sets_ = [np.frombuffer(y["hashes"], np.uint64) for y in ys]
-                universe, place = np.unique(np.concatenate(sets_), return_inverse=True)
+                universe, at_ = np.unique(np.concatenate(sets_), return_inverse=True)
                 size = np.array([len(s) for s in sets_])
                 starts = np.concatenate([[0], np.cumsum(size)[:-1]])
                 out = []
@@ -445,13 +541,13 @@ def among(crowd: DataFrame, open_: DataFrame, sets: DataFrame) -> DataFrame:
                     at = np.minimum(np.searchsorted(universe, x), len(universe) - 1)
                     mark = np.zeros(len(universe), np.int64)
                     mark[at[universe[at] == x]] = 1
-                    inter = np.add.reduceat(mark[place], starts)
+                    inter = np.add.reduceat(mark[at_], starts)
                     ok = np.flatnonzero(MATCH[0] * inter >= MATCH[1] * (len(x) + size - inter))
-                    if any((ys[i]["doc"], ys[i]["line"], ys[i]["later"]) < (e["doc"], e["line"], e["later"]) for i in ok[:1]):
+                    if any(place(ys[i]) < place(e) for i in ok[:1]):
                         out.append(e["later"])
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["later"])
 
-    return both.mapInArrow(run, "later long")
+    return both.mapInArrow(lean(run), "later long")
 
 
 def similar_to_earlier(docs: DataFrame) -> DataFrame:
@@ -462,6 +558,7 @@ def similar_to_earlier(docs: DataFrame) -> DataFrame:
     typical = max(int(np.median(counts)), 1)
     spread = np.maximum(1, (counts - 4 * typical) // SPREAD).astype(np.uint64)
     shared = spark.sparkContext.broadcast((rarity, spread, SMALL))
+    release(spark)
     found = cut(candidates(postings(docs, shared, 8 * partitions(spark)), shared))
     release(spark)
     small = cut(found.where(F.col("token").isNull()).groupBy("later", "earlier").agg(F.max("lead").alias("lead")))
@@ -471,20 +568,27 @@ def similar_to_earlier(docs: DataFrame) -> DataFrame:
                 .select("token", F.col("f")["later"].alias("earlier"), F.col("f")["size"].alias("n"), F.col("f")["sign"].alias("s")))
     star = cut(crowd.join(first, "token").where(F.col("later") != F.col("earlier")))
     differ = F.bit_count(F.col("sign").bitwiseXOR(F.col("s")))
-    near = star.where((MATCH[0] + MATCH[1]) * differ <= (MATCH[0] - MATCH[1]) * (F.col("size") + F.col("n")))
+    near_first = star.where((MATCH[0] + MATCH[1]) * differ <= (MATCH[0] - MATCH[1]) * (F.col("size") + F.col("n")))
     ids = small.select(F.col("later").alias("cid")).union(small.select("earlier")).union(crowd.select("later"))
     sets = cut(sets_of(docs, cut(ids.distinct())))
+    signs = cut(sets.drop("hashes").dropDuplicates(["cid"]))
+    del found, first
     release(spark)
     # step 1: with the earliest class of each token
-    lead = small.where("lead").select("later", "earlier").union(near.select("later", "earlier")).distinct()
+    lead = cut(passing(small.where("lead").select("later", "earlier").union(near_first.select("later", "earlier")).distinct(), signs))
     gone = cut(verified(lead, sets).distinct())
+    release(spark)
     # step 2: only what is still open, with the others
-    rest = cut(small.where(~F.col("lead")).join(gone, "later", "left_anti").select("later", "earlier"))
+    rest = cut(passing(small.where(~F.col("lead")).join(gone, "later", "left_anti").select("later", "earlier"), signs))
     if not rest.isEmpty():
         gone = cut(gone.union(verified(rest, sets)).distinct())
+        release(spark)
     open_ = cut(star.join(gone, "later", "left_anti"))
     if not open_.isEmpty():
-        gone = gone.union(among(crowd.join(open_.select("token").distinct(), "token", "left_semi"), open_, sets)).distinct()
+        left = cut(near(crowd.join(open_.select("token").distinct(), "token", "left_semi"), open_, signs))
+        release(spark)
+        if not left.isEmpty():
+            gone = gone.union(among(crowd.join(left, ["token", "later"], "left_semi"), left.where("open"), sets)).distinct()
     return gone.select(F.col("later").alias("cid"))
 
 
@@ -502,7 +606,7 @@ def removals(keyed: DataFrame, gone: DataFrame) -> DataFrame:
             for d, x, h in zip(b.column(0).to_pylist(), raws(b.column(1)), b.column(2).to_pylist()):
                 d = LAST if d is None else d
                 for i, s in enumerate(x.split(b"\n")):
-                    if not s.split():
+                    if not worded(s):
                         continue
                     c = class_id(s)
                     old, new = best.get(c), (d, i, h, xxhash.xxh3_64_intdigest(s, 1))
@@ -524,7 +628,7 @@ def removals(keyed: DataFrame, gone: DataFrame) -> DataFrame:
                                           nothing, nothing, nothing], NAMES)
 
     NAMES = ["bucket", "data", "doc", "text", "line"]
-    sent = cut(keyed.mapInArrow(firsts, "bucket int, data binary, doc long, text long, line long"))
+    sent = cut(keyed.mapInArrow(lean(firsts), "bucket int, data binary, doc long, text long, line long"))
 
     def to_bucket(batches):
         for b in batches:
@@ -545,7 +649,7 @@ def removals(keyed: DataFrame, gone: DataFrame) -> DataFrame:
         return pa.table({"doc": pa.array(out["doc"].copy()), "text": pa.array(out["text"].copy()), "line": pa.array(out["line"].copy())})
 
     decided = (sent.where(F.col("bucket").isNotNull()).select("bucket", "data").groupBy("bucket")
-               .cogroup(gone.mapInArrow(to_bucket, "bucket int, cid long").groupBy("bucket"))
+               .cogroup(gone.mapInArrow(lean(to_bucket), "bucket int, cid long").groupBy("bucket"))
                .applyInArrow(decide, "doc long, text long, line long"))
     return sent.where(F.col("bucket").isNull()).select("doc", "text", "line").union(decided)
 

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import append, cut, fresh, release, table
+from strata.llm.common import append, cut, fresh, lean, release, table
 from strata.llm.components import components
 
 SHINGLE = 5
@@ -169,7 +169,7 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
                 a, b = (np.frombuffer(b"".join(x.column(i).to_pylist()), np.uint8).reshape(x.num_rows, -1) for i in (2, 3))
                 yield x.filter(pa.array(estimate(a, b) >= LEAST)).select(["a", "b"])
 
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(lean(run), "a binary, b binary")
 
 
 def sets_of(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -205,7 +205,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(LINK[0] * inter >= LINK[1] * (len(a) + len(b) - inter))
             yield x.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(lean(run), "a binary, b binary")
 
 
 def across(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -243,7 +243,7 @@ def across(members: DataFrame, sets: DataFrame) -> DataFrame:
                             b.append(r["y_node"][i])
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(lean(run), "a binary, b binary")
 
 
 def ordered(a: Column, b: Column) -> list[Column]:

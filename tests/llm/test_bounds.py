@@ -128,3 +128,41 @@ def test_few_texts_are_shuffled_for_sets(spark):
     classes = keyed.where("doc_id = 3").select(F.lit(bytes([1])).alias("node"), F.col("doc_id").alias("first"), "tk")
     plan = m.sets_of(nodes, docs, classes)
     assert plan.count() == 1 and "held" in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_that_share_a_shingle_by_chance_are_not_compared_on_full_sets(spark, monkeypatch):
+    from strata.llm import line_dedup as d
+    r, sent = random.Random(3), []
+    plain = d.verified
+
+    def counting(pairs, sets):
+        sent.extend(map(tuple, pairs.select("later", "earlier").collect()))
+        return plain(pairs, sets)
+
+    monkeypatch.setattr(d, "verified", counting)
+    part = [" ".join(f"w{r.randrange(10 ** 9)}" for _ in range(100)) for _ in range(40)]
+    rows = [(i, part[i] + " " + part[(i + 1) % 40]) for i in range(40)]      # half of each line is in the next one
+    rows += [(50, rows[0][1] + " more"), (51, rows[3][1])]
+    out, _, removed = d.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {x.doc_id for x in out.where(F.size(removed) > 0).collect()} == {50, 51}
+    cid = lambda row: int(np.uint64(d.class_id(row[1].encode())).view(np.int64))
+    assert sent == [(cid(rows[40]), cid(rows[0]))]
+
+
+def test_signs_never_rule_out_a_match():
+    from strata.llm import line_dedup as d
+    r = np.random.default_rng(5)
+    for _ in range(200):
+        a = np.unique(r.integers(0, 2 ** 64, int(r.integers(1, 400)), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[r.random(len(a)) < 0.9], r.integers(0, 2 ** 64, int(r.integers(0, 40)), dtype=np.uint64)]))
+        if len(b):
+            bits = sum(int(np.bitwise_count((x ^ y).view(np.uint64))[0]) for x, y in zip(d.signs_of(a, np.array([0])), d.signs_of(b, np.array([0]))))
+            assert bits <= len(np.setxor1d(a, b))
+
+
+def test_a_task_gives_memory_back_at_its_end(monkeypatch):
+    from strata.llm import common
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    got = common.lean(lambda batches: (2 * b for b in batches))(iter([1, 2]))
+    assert next(got) == 2 and not calls and list(got) == [4] and len(calls) == 1
