@@ -410,20 +410,58 @@ def signs_of(h: np.ndarray, start: np.ndarray) -> list[np.ndarray]:
     return [np.bitwise_xor.reduceat(np.where(lane == k, bit, np.uint64(0)), start).view(np.int64) for k in range(len(SIGN))]
 
 
-def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(cid, n, sign, hashes) of the classes wanted and a few others, read again from the texts; once per task that meets the class."""
-    spark = docs.sparkSession
+FIRST = np.dtype([("cid", "<u8"), ("check", "<u8"), ("doc", "<i8"), ("line", "<i8"), ("text", "<i8")])
+#: Columns of what one scan of the texts yields: sets of classes; packed first places of lines by bucket; lines that repeat one of their task.
+SET = ["cid", "n", *SIGN, "hashes"]
+LINES = ["bucket", "data", "doc", "text", "line"]
+
+
+def first_buckets(spark: SparkSession) -> int:
+    return 4 * partitions(spark)
+
+
+def scanned(keyed: DataFrame, ids: DataFrame) -> DataFrame:
+    """Texts read again: SET of the classes wanted and a few others, once per task that meets the class, and LINES of all
+    lines; ``keyed`` has doc_id, text and the text's hash."""
+    spark = keyed.sparkSession
+    buckets = first_buckets(spark)
     filter_ = spark.sparkContext.broadcast(bloom(ids))      # of fixed size
+    kinds = {"cid": pa.int64(), "n": pa.int64(), **{k: pa.int64() for k in SIGN}, "hashes": pa.binary(),
+             "bucket": pa.int32(), "data": pa.binary(), "doc": pa.int64(), "text": pa.int64(), "line": pa.int64()}
+
+    def rows(count: int, /, **cols) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(cols[k], t) if k in cols else pa.nulls(count, t) for k, t in kinds.items()], list(kinds))
 
     def run(batches):
         seen, bits = set(), filter_.value
+        best: dict[int, tuple] = {}
         for b in batches_of_docs(batches):
-            lines = [x for t in raws(b.column(0)) for x in t.split(b"\n")]
-            cid = np.fromiter(map(class_id, lines), np.uint64, len(lines))
+            doc, text, line = [], [], []
+            lines, cids = [], []
+            for d, x, h in zip(b.column(0).to_pylist(), raws(b.column(1)), b.column(2).to_pylist()):
+                d = LAST if d is None else d
+                for i, s in enumerate(x.split(b"\n")):
+                    if not worded(s):
+                        continue
+                    c = class_id(s)
+                    lines.append(s)
+                    cids.append(c)
+                    old, new = best.get(c), (d, i, h, xxhash.xxh3_64_intdigest(s, 1))
+                    if old is None:
+                        best[c] = new
+                        continue
+                    if new[:3] == old[:3]:
+                        continue            # the same document again
+                    if new < old:
+                        best[c], new = new, old
+                    doc.append(new[0]), line.append(new[1]), text.append(new[2])
+            if doc:
+                yield rows(len(doc), doc=doc, text=text, line=line)
+            cid = np.array(cids, np.uint64)
             ok = np.ones(len(cid), bool)
             for at in bloom_places(cid):
                 ok &= (bits[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1
-            pick = [i for i in np.flatnonzero(ok) if cid[i] not in seen and not seen.add(cid[i]) and worded(lines[i])]
+            pick = [i for i in np.flatnonzero(ok) if cids[i] not in seen and not seen.add(cids[i])]
             if not pick:
                 continue
             h, line = tokens_of([lines[i] for i in pick])
@@ -433,11 +471,15 @@ def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
             new[1:] = (h[1:] != h[:-1]) | (line[1:] != line[:-1])
             h, line = h[new], line[new]
             ends = np.searchsorted(line, np.arange(len(pick) + 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cid[pick].view(np.int64)), pa.array(np.diff(ends)), *map(pa.array, signs_of(h, ends[:-1])),
-                 pa.array([h[ends[k]:ends[k + 1]].tobytes() for k in range(len(pick))], pa.binary())], ["cid", "n", *SIGN, "hashes"])
+            yield rows(len(pick), cid=cid[pick].view(np.int64), n=np.diff(ends), **dict(zip(SIGN, signs_of(h, ends[:-1]))),
+                       hashes=[h[ends[k]:ends[k + 1]].tobytes() for k in range(len(pick))])
+        f = np.array([(c, v[3], v[0], v[1], v[2]) for c, v in best.items()], FIRST)
+        bucket = (mixed(f["cid"].copy()) % np.uint64(buckets)).astype(np.int64)
+        parts = [(int(i), packed(f[bucket == i])) for i in np.unique(bucket)]
+        yield rows(len(parts), bucket=[i for i, _ in parts], data=[p for _, p in parts])
 
-    return docs.select("text").mapInArrow(lean(run), f"cid long, n long, {', '.join(f'{k} long' for k in SIGN)}, hashes binary")
+    names = {pa.int64(): "long", pa.int32(): "int", pa.binary(): "binary"}
+    return keyed.mapInArrow(lean(run), ", ".join(f"{k} {names[t]}" for k, t in kinds.items()))
 
 
 def passing(pairs: DataFrame, signs: DataFrame) -> DataFrame:
@@ -550,8 +592,8 @@ def among(crowd: DataFrame, open_: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(lean(run), "later long")
 
 
-def similar_to_earlier(docs: DataFrame) -> DataFrame:
-    """(cid): the classes of lines that are similar to a class that occurs earlier."""
+def similar_to_earlier(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cid): the classes of lines that are similar to a class that occurs earlier; and the LINES of all texts."""
     spark = docs.sparkSession
     counts = sketch(docs)
     rarity = np.minimum(np.log2(np.maximum(counts, 1)), (1 << RARITY_BITS) - 1).astype(np.uint8)
@@ -570,7 +612,8 @@ def similar_to_earlier(docs: DataFrame) -> DataFrame:
     differ = F.bit_count(F.col("sign").bitwiseXOR(F.col("s")))
     near_first = star.where((MATCH[0] + MATCH[1]) * differ <= (MATCH[0] - MATCH[1]) * (F.col("size") + F.col("n")))
     ids = small.select(F.col("later").alias("cid")).union(small.select("earlier")).union(crowd.select("later"))
-    sets = cut(sets_of(docs, cut(ids.distinct())))
+    scan = cut(scanned(docs.withColumn("t", F.xxhash64("text")), cut(ids.distinct())))
+    sets, sent = scan.where(F.col("cid").isNotNull()).select(SET), scan.where(F.col("cid").isNull()).select(LINES)
     signs = cut(sets.drop("hashes").dropDuplicates(["cid"]))
     del found, first
     release(spark)
@@ -589,46 +632,12 @@ def similar_to_earlier(docs: DataFrame) -> DataFrame:
         release(spark)
         if not left.isEmpty():
             gone = gone.union(among(crowd.join(left, ["token", "later"], "left_semi"), left.where("open"), sets)).distinct()
-    return gone.select(F.col("later").alias("cid"))
+    return gone.select(F.col("later").alias("cid")), sent
 
 
-FIRST = np.dtype([("cid", "<u8"), ("check", "<u8"), ("doc", "<i8"), ("line", "<i8"), ("text", "<i8")])
-
-
-def removals(keyed: DataFrame, gone: DataFrame) -> DataFrame:
-    """(doc, text, line): the lines that go; ``keyed`` has doc_id, text and the text's hash ``t``."""
-    buckets = 4 * partitions(keyed.sparkSession)
-
-    def firsts(batches):
-        best: dict[int, tuple] = {}
-        for b in batches_of_docs(batches):
-            doc, text, line = [], [], []
-            for d, x, h in zip(b.column(0).to_pylist(), raws(b.column(1)), b.column(2).to_pylist()):
-                d = LAST if d is None else d
-                for i, s in enumerate(x.split(b"\n")):
-                    if not worded(s):
-                        continue
-                    c = class_id(s)
-                    old, new = best.get(c), (d, i, h, xxhash.xxh3_64_intdigest(s, 1))
-                    if old is None:
-                        best[c] = new
-                        continue
-                    if new[:3] == old[:3]:
-                        continue            # the same document again
-                    if new < old:
-                        best[c], new = new, old
-                    doc.append(new[0]), line.append(new[1]), text.append(new[2])
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(doc), pa.int32()), pa.nulls(len(doc), pa.binary()), pa.array(doc, pa.int64()),
-                                              pa.array(text, pa.int64()), pa.array(line, pa.int64())], NAMES)
-        f = np.array([(c, v[3], v[0], v[1], v[2]) for c, v in best.items()], FIRST)
-        bucket = (mixed(f["cid"].copy()) % np.uint64(buckets)).astype(np.int64)
-        parts = [(int(i), packed(f[bucket == i])) for i in np.unique(bucket)]
-        nothing = pa.nulls(len(parts), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in parts], pa.int32()), pa.array([p for _, p in parts], pa.binary()),
-                                          nothing, nothing, nothing], NAMES)
-
-    NAMES = ["bucket", "data", "doc", "text", "line"]
-    sent = cut(keyed.mapInArrow(lean(firsts), "bucket int, data binary, doc long, text long, line long"))
+def removals(sent: DataFrame, gone: DataFrame) -> DataFrame:
+    """(doc, text, line): the lines that go, from the LINES of all texts."""
+    buckets = first_buckets(sent.sparkSession)
 
     def to_bucket(batches):
         for b in batches:
@@ -659,16 +668,17 @@ def dedup_lines(docs: DataFrame) -> tuple[DataFrame, str, str]:
     out, cut_lines, t = fresh("text"), fresh("removed"), fresh("hash")
     doc, text = fresh("doc"), fresh("t")
     source = docs.select("doc_id", "text")
-    gone = cut(similar_to_earlier(source))
+    gone, sent = similar_to_earlier(source)
+    gone = cut(gone)
     release(docs.sparkSession)
-    lines = cut(removals(source.withColumn("t", F.xxhash64("text")), gone).groupBy(F.col("doc").alias(doc), F.col("text").alias(text))
+    lines = cut(removals(sent, gone).groupBy(F.col("doc").alias(doc), F.col("text").alias(text))
                 .agg(F.collect_set("line").alias(cut_lines)))
     release(docs.sparkSession)
     key = [F.coalesce(F.col("doc_id"), F.lit(int(LAST))), F.xxhash64("text")]
     loses = may_hold(lines.select(F.xxhash64(doc, text)), docs.sparkSession)
     flagged = docs.withColumn(t, loses(F.xxhash64(*key)))
     # only texts that may lose a line are shuffled, the join decides
-    touched = flagged.where(t).join(lines, (key[0] == F.col(doc)) & (key[1] == F.col(text)), "left").drop(doc, text, t)
+    touched = flagged.where(t).join(lines.hint("shuffle_hash"), (key[0] == F.col(doc)) & (key[1] == F.col(text)), "left").drop(doc, text, t)
     whole = flagged.where(~F.col(t)).withColumns({cut_lines: F.lit(None).cast(lines.schema[cut_lines].dataType), out: F.col("text")}).drop(t)
 
     def make():
