@@ -2,30 +2,65 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut
+from strata.llm.common import cut, lean, release
+
+#: Nodes whose links a task holds at once.
+HELD = 100_000
+
+
+def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) that connect what a task's links connect, each node with one of its neighbourhood: paths within a task get short."""
+    parent: dict = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    def stars() -> pa.RecordBatch:
+        pairs = [(root(x), x) for x in parent if parent[x] != x]
+        return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], kind) for i in (0, 1)], ["a", "b"])
+
+    for batch in batches:
+        kind = batch.schema.field(0).type
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if (x := root(a)) != (y := root(b)):
+                parent[max(x, y)] = min(x, y)
+        if len(parent) > HELD:
+            yield stars()
+            parent.clear()
+    if parent:
+        yield stars()
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, first, root, root_first): the smallest (first, node) of each node's component, a null ``first`` last.
 
-    ``nodes`` has (node, first), ``edges`` (a, b) over nodes.  A round takes the
-    smallest label over the links, then jumps to the label's own label.  Rounds
-    end when nothing changes; the driver sees one count each.
+    ``nodes`` has (node, first), a node once, ``edges`` (a, b) over nodes.  Tasks
+    first replace their links by stars.  A round takes the smallest label over the
+    links, then jumps to the label's own label.  Rounds end when nothing changes;
+    the driver sees whether something did.
     """
-    both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    edges = edges.select("a", "b")
+    links = edges.mapInArrow(lean(forests), edges.schema)
+    both = cut(links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     own = F.struct(F.col("first").isNull().alias("none"), F.col("first"), F.col("node"))
     labels = cut(nodes.select("node", "first", own.alias("label")).join(both.select(F.col("a").alias("node")).distinct(), "node"))
     while True:
-        near = (both.join(labels.select(F.col("node").alias("b"), "label"), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near")))
-        lower = cut(labels.join(near, "node").select("node", "first", F.col("label").alias("old"), F.least("label", "near").alias("label")))
+        said = both.join(labels.select(F.col("node").alias("b"), "label"), "b").select(F.col("a").alias("node"), "label")
+        # a node's own row and what its neighbours say meet in one aggregation
+        lower = (labels.select("node", "label", "first", F.col("label").alias("old")).unionByName(said, allowMissingColumns=True)
+                 .groupBy("node").agg(F.max("first").alias("first"), F.max("old").alias("old"), F.min("label").alias("label")))
         up = lower.select(F.col("node").alias("up"), F.col("label").alias("above"))
         after = cut(lower.join(up, F.col("label")["node"] == F.col("up"))
                     .select("node", "first", "old", F.least("label", "above").alias("label")))
-        changed = after.where(F.col("old") != F.col("label")).limit(1).count()
         labels = after.select("node", "first", "label")
-        if not changed:
+        if after.where(F.col("old") != F.col("label")).isEmpty():
             return labels.select("node", "first", F.col("label")["node"].alias("root"), F.col("label")["first"].alias("root_first"))
+        release(nodes.sparkSession)     # what the driver keeps of a round's plans and shuffles goes

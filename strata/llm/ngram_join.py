@@ -410,6 +410,7 @@ def links_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     crowd = cut(crowd.join(sizes, "token"))
     facts = cut(classes.groupBy("group").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(rest).alias("rest"), F.count(F.lit(1)).alias("classes"))
                 .join(crowd.groupBy("group").agg(F.count(F.lit(1)).alias("crowds"), F.sum("size").alias("score")), "group", "left").fillna(0, ["crowds", "score"]))
+    release(spark)
     met = cut(found.where(F.col("token").isNull()).groupBy("a", "b").agg(F.sum("n").alias("n")))
     small = could_link(met, facts, F.col("n") + F.least("a_crowds", "b_crowds"))
     # large columns: one centre each, the group that meets most others
@@ -426,11 +427,13 @@ def links_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = classes.select("node", "first")
     linked = cut(opened(pairs, sets, True))
     labels = cut(components(own, linked))
+    release(spark)
     if not around.isEmpty():
         again = cut(outside(classes, labels, crowd, around, met, facts, pairs))
         if not again.isEmpty():
             chunks, places = in_chunks(again, around, facts)
             more = cut(between(cut(opened(chunks, sets_for(docs, places, classes, shared))), labels))
+            release(spark)
             labels = cut(components(own, linked.union(more)))
     release(spark)
     return rows.select("doc_id", "n", "node"), labels.select("node", "root", "root_first")
