@@ -8,14 +8,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, lean, release
+from strata.llm.common import cut, lean, partitions, release
 
 #: Nodes whose links a task holds at once.
 HELD = 100_000
 
 
 def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links (a, b) that connect what a task's links connect, each node with one of its neighbourhood: paths within a task get short."""
+    """Links that connect what a task's links (a, b) connect, in both directions, each node with one of its neighbourhood:
+    paths within a task get short."""
     parent: dict = {}
 
     def root(x):
@@ -24,7 +25,7 @@ def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return x
 
     def stars() -> pa.RecordBatch:
-        pairs = [(root(x), x) for x in parent if parent[x] != x]
+        pairs = [p for x in parent if (r := root(x)) != x for p in ((r, x), (x, r))]
         return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], kind) for i in (0, 1)], ["a", "b"])
 
     for batch in batches:
@@ -48,8 +49,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     the driver sees whether something did.
     """
     edges = edges.select("a", "b")
-    links = edges.mapInArrow(lean(forests), edges.schema)
-    both = cut(links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    both = cut(edges.coalesce(partitions(nodes.sparkSession)).mapInArrow(lean(forests), edges.schema).distinct())
     own = F.struct(F.col("first").isNull().alias("none"), F.col("first"), F.col("node"))
     labels = cut(nodes.select("node", "first", own.alias("label")).join(both.select(F.col("a").alias("node")).distinct(), "node"))
     while True:
@@ -64,3 +64,14 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         if after.where(F.col("old") != F.col("label")).isEmpty():
             return labels.select("node", "first", F.col("label")["node"].alias("root"), F.col("label")["first"].alias("root_first"))
         release(nodes.sparkSession)     # what the driver keeps of a round's plans and shuffles goes
+
+
+def joined_up(labels: DataFrame, nodes: DataFrame, more: DataFrame) -> DataFrame:
+    """(node, root, root_first) of ``labels`` from ``components(nodes, ...)`` when links ``more`` (a, b) between roots,
+    or nodes that have no label, are added."""
+    above = cut(components(nodes, more))
+    known = labels.select("node", "root", "root_first")
+    up = above.select(F.col("node").alias("root"), F.col("root").alias("to"), F.col("root_first").alias("to_first"))
+    return (known.join(up, "root", "left")
+            .select("node", F.coalesce("to", "root").alias("root"), F.when(F.col("to").isNull(), F.col("root_first")).otherwise(F.col("to_first")).alias("root_first"))
+            .union(above.join(known, "node", "left_anti").select("node", "root", "root_first")))

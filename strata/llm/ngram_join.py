@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.common import append, cut, partitions, release, table
-from strata.llm.components import components
+from strata.llm.components import components, joined_up
 from strata.llm.line_dedup import bloom, bloom_places, word_hashes
 from strata.llm.minhash import _STEP, SHINGLE, mixed, with_components
 
@@ -434,7 +434,7 @@ def links_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             chunks, places = in_chunks(again, around, facts)
             more = cut(between(cut(opened(chunks, sets_for(docs, places, classes, shared))), labels))
             release(spark)
-            labels = cut(components(own, linked.union(more)))
+            labels = cut(joined_up(labels, own, more))
     release(spark)
     return rows.select("doc_id", "n", "node"), labels.select("node", "root", "root_first")
 

@@ -166,3 +166,70 @@ def test_a_task_gives_memory_back_at_its_end(monkeypatch):
     monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
     got = common.lean(lambda batches: (2 * b for b in batches))(iter([1, 2]))
     assert next(got) == 2 and not calls and list(got) == [4] and len(calls) == 1
+
+
+def test_components_take_few_rounds(spark, monkeypatch):
+    """The driver pays for each round: a long path is shortened in the tasks first, and a round is materialised once."""
+    from strata.llm import components as c
+    done = []
+    monkeypatch.setattr(c, "cut", lambda df: done.append(df) or df.localCheckpoint())
+    names = [b"%03d" % i for i in range(400)]
+    r = random.Random(5)
+    links = list(zip(names, names[1:])) + [(b"x", b"y"), (b"y", b"x"), (b"z", b"z")]
+    r.shuffle(links)
+    first = [(n, 1000 - i) for i, n in enumerate(names)] + [(b"x", None), (b"y", 7), (b"z", 8), (b"w", 9)]
+    nodes = spark.createDataFrame(first, "node binary, first long")
+    edges = spark.createDataFrame(links, "a binary, b binary")
+    got = {bytes(x["node"]): (x["first"], bytes(x["root"]), x["root_first"]) for x in c.components(nodes, edges.repartition(1)).collect()
+           if bytes(x["node"]) not in (b"z", b"w")}
+    assert len(got) == 402
+    assert all(got[n] == (1000 - i, names[-1], 601) for i, n in enumerate(names))
+    assert got[b"x"] == (None, b"y", 7) and got[b"y"] == (7, b"y", 7)
+    assert len(done) <= 5, len(done)
+    some = [links[i] for i in range(0, len(links), 2)]
+    apart = c.components(nodes, spark.createDataFrame(some, "a binary, b binary"))
+    root = {bytes(x["node"]): bytes(x["root"]) for x in apart.collect()}
+    rest = [(root.get(a, a), root.get(b, b)) for a, b in links if root.get(a, a) != root.get(b, b)]
+    whole = {bytes(x["node"]): (bytes(x["root"]), x["root_first"]) for x in c.joined_up(apart, nodes, spark.createDataFrame(rest, "a binary, b binary")).collect()}
+    assert {n: whole[n] for n in got} == {n: v[1:] for n, v in got.items()} and len(whole) == len(got)
+    monkeypatch.setattr(c, "HELD", 3)           # tasks that hold few links at once
+    again = {bytes(x["node"]): bytes(x["root"]) for x in c.components(nodes, edges.repartition(3)).collect()}
+    assert {n: again[n] for n in got} == {n: v[1] for n, v in got.items()}
+
+
+def test_words_and_shingles_by_their_bytes():
+    from strata.llm import line_dedup as d
+    r = random.Random(8)
+    words = sorted({bytes(r.choices(b"ab\x00\xc3", k=r.choice([1, 2, 7, 8, 9, 15, 16, 17, 63, 64, 65, 72, 73, 200]))) for _ in range(3000)})
+    own, start = d.word_hashes(np.frombuffer(b"\t".join(words), np.uint8))
+    assert len(own) == len(set(own.tolist())) == len(words)
+    lines = [b" ".join(words[i % 40] for i in range(at, at + n)) + b" \r" * (at % 2) for at in range(40) for n in (1, 2, 4, 5, 6, 30)]
+    h, line = d.tokens_of(lines)
+    token = {}
+    for i, x in enumerate(lines):
+        w = x.split()
+        want = [tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4))]
+        have = h[line == i].tolist()
+        assert len(have) == len(want)
+        for a, b in zip(want, have):
+            assert token.setdefault(a, b) == b
+    assert len(set(token.values())) == len(token)
+
+
+def test_postings_without_a_partner_are_not_unpacked():
+    from strata.llm import line_dedup as d
+    r = np.random.default_rng(4)
+    p = np.zeros(3000, d.POSTING)
+    p["token"] = np.concatenate([np.arange(2000) + 10, r.integers(5000, 5300, 1000)])
+    for k in ("cid", "doc"):
+        p[k] = r.integers(0, 900, 3000)
+    p["line"], p["size"], p["pos"], p["sign"] = r.integers(0, 9, 3000), 60, r.integers(0, 16, 3000), r.integers(0, 2 ** 32, 3000)
+    spread = np.ones(1 << d.CELL_BITS, np.uint64)
+    blobs = [d.packed(p[i::3]) for i in range(3)]
+    few = d.met(blobs, spread)
+    assert len(few) <= 1000 and few["token"].min() >= 5000
+    pairs = lambda x: {tuple(t) for t in zip(*(v["cid"].tolist() for v in d.paired(x, spread, d.SMALL)[:2]))}
+    assert pairs(few) == pairs(p)
+    crowded = spread.copy()
+    crowded[d.cell_of(p["token"][:1]).astype(np.int64)] = 2         # dealt over several buckets: its partners may be elsewhere
+    assert len(d.met(blobs, crowded)) > len(few)
