@@ -51,35 +51,27 @@ WINDOW = 1 << 16            # bytes hashed together: what they need stays in a c
 LAST = np.iinfo(np.int64).max
 
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_LETTER = np.random.default_rng(20240302).integers(0, 2 ** 63, 256, dtype=np.uint64)
-_BASE = 0x9E3779B97F4A7C15
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+def spaces(data: np.ndarray) -> np.ndarray:
+    return (data == 32) | (data - np.uint8(9) < 5)
 
 
-def powers(n: int) -> list[np.ndarray]:
-    """The first n powers of the base and of its inverse, mod 2^64."""
-    if len(_powers[0]) < n:
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 2 ** 64))):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _powers[i] = np.multiply.accumulate(steps)
-    return _powers
+#: Masks of the first 0 to 8 bytes of a little-endian word; words of more bytes than _LONG are hashed one by one.
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_LONG = 64
 
 
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and start of every word, from differences of one running sum over the bytes; ``WINDOW`` bytes at a time, cut between words."""
+    """Hash and start of every word, eight bytes of all words at a time; ``WINDOW`` bytes of text together, cut between words."""
     if len(data) > WINDOW:
         parts, at = [], 0
         while at < len(data):
-            space = np.flatnonzero(_SPACE[data[at:at + WINDOW]])
             end = at + WINDOW
             if end < len(data):         # after the last space of the window, or after the word that fills it
+                space = np.flatnonzero(spaces(data[max(at, end - 512):end]))
                 if len(space):
-                    end = at + int(space[-1]) + 1
+                    end = max(at, end - 512) + int(space[-1]) + 1
                 else:
-                    while end < len(data) and not _SPACE[data[end]]:
+                    while end < len(data) and not spaces(data[end:end + 1])[0]:
                         end += 1
             own, start = _word_hashes(data[at:end])
             parts.append((own, start + at))
@@ -90,36 +82,48 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     space = np.ones(len(data) + 2, bool)
-    np.take(_SPACE, data, out=space[1:-1], mode="clip")
+    space[1:-1] = spaces(data)
     edge = np.flatnonzero(space[1:] != space[:-1])
     start, end = edge[::2], edge[1::2]
-    power, inverse = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.take(_LETTER, data, out=total[1:], mode="clip")
-    total[1:] *= power[:len(data)]
-    np.cumsum(total[1:], out=total[1:])
-    return mixed((total[end] - total[start]) * inverse[start]), start
+    n = end - start
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:len(data)] = data
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))      # the eight bytes from each place on
+    h = mixed((eight[start] & _FIRST_BYTES[np.minimum(n, 8)]) + n.astype(np.uint64) * _STEP[0])
+    more, at = np.flatnonzero(n > 8), 8
+    while len(more):
+        if at == _LONG:
+            h[more] = [xxhash.xxh3_64_intdigest(data[start[i]:end[i]]) for i in more]
+            break
+        rest = n[more] - at
+        h[more] = mixed(h[more] * _STEP[1] + (eight[start[more] + at] & _FIRST_BYTES[np.minimum(rest, 8)]))
+        more, at = more[rest > 8], at + 8
+    return h, start
 
 
 def tokens_of(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of lines that all have a word, and the line of each."""
     data = np.frombuffer(b"\n".join(lines).lower(), np.uint8)
     own, start = word_hashes(data)
-    n = np.bincount(np.searchsorted(np.flatnonzero(data == 10), start), minlength=len(lines))
-    size = np.minimum(n, SHINGLE)
-    each = n - size + 1
-    line = np.repeat(np.arange(len(lines)), each)
-    at = np.arange(len(line)) + np.repeat(np.cumsum(n) - n - (np.cumsum(each) - each), each)
-    width = size[line]
-    total = width.astype(np.uint64)
-    short = (width < SHINGLE).any()
+    size = np.fromiter(map(len, lines), np.int64, len(lines)) + 1
+    first = np.searchsorted(start, np.cumsum(size) - size)              # each line's first word
+    n = np.diff(np.append(first, len(own)))
+    total = np.full(len(own), SHINGLE, np.uint64)                       # of the shingle from each word on, within its line or not
     for i in range(SHINGLE):
-        if short:
+        total[:len(own) - i] += own[i:] * _STEP[i]
+    keep = np.ones(len(own), bool)
+    for k in range(1, SHINGLE):
+        at = first + n - k
+        keep[at[at > first]] = False
+    short = np.flatnonzero(n < SHINGLE)
+    if len(short):
+        at, width = first[short], n[short]
+        whole = width.astype(np.uint64)
+        for i in range(SHINGLE - 1):
             inside = i < width
-            total += np.where(inside, own[np.where(inside, at + i, 0)] * _STEP[i], np.uint64(0))
-        else:
-            total += own[at + i] * _STEP[i]
-    return mixed(total), line
+            whole += np.where(inside, own[np.where(inside, at + i, 0)] * _STEP[i], np.uint64(0))
+        total[at] = whole
+    return mixed(total[keep]), np.repeat(np.arange(len(lines)), np.maximum(n - SHINGLE, 0) + 1)
 
 
 #: Bits of a sort key: line of the batch, rarity, hash.
@@ -214,21 +218,38 @@ def sketch(docs: DataFrame) -> np.ndarray:
 POSTING = np.dtype([("token", "<u8"), ("cid", "<u8"), ("doc", "<i8"), ("line", "<u4"), ("size", "<u4"), ("pos", "<u4"), ("sign", "<u4")])
 
 
+#: Columns of hashes, which do not shrink.
+AS_THEY_ARE = {"cid", "sign", "check", "text"}
+
+
+def squeezed(columns: dict[str, np.ndarray]) -> bytes:
+    """Columns, all but hashes byte by byte, compressed: places and sizes are mostly small numbers."""
+    flat = (np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1) for c in columns.values())
+    return zstandard.ZstdCompressor(level=1).compress(b"".join((x if k in AS_THEY_ARE else x.T).tobytes() for k, x in zip(columns, flat)))
+
+
 def packed(p: np.ndarray) -> bytes:
-    """Records column by column, compressed: places and sizes are mostly small numbers."""
     p = p[np.argsort(p["doc"], kind="stable")]
-    planes = [np.ascontiguousarray(p[k]).view(np.uint8).reshape(len(p), -1).T.tobytes() for k in p.dtype.names]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+    return squeezed({k: p[k] for k in p.dtype.names})
+
+
+def column(flat: np.ndarray, kind: np.dtype, name: str) -> np.ndarray:
+    """A column of what ``squeezed`` made, from its bytes."""
+    n, own = len(flat) // kind.itemsize, kind[name]
+    at = n * sum(kind[k].itemsize for k in kind.names[:kind.names.index(name)])
+    flat = flat[at:at + n * own.itemsize]
+    return (flat if name in AS_THEY_ARE else np.ascontiguousarray(flat.reshape(own.itemsize, n).T)).view(own).ravel()
+
+
+def opened(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
 
 
 def unpacked(data: bytes, kind: np.dtype = POSTING) -> np.ndarray:
-    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    n, at = len(flat) // kind.itemsize, 0
-    p = np.empty(n, kind)
+    flat = opened(data)
+    p = np.empty(len(flat) // kind.itemsize, kind)
     for k in kind.names:
-        own = kind[k]
-        p[k] = np.ascontiguousarray(flat[at:at + n * own.itemsize].reshape(own.itemsize, n).T).view(own).ravel()
-        at += n * own.itemsize
+        p[k] = column(flat, kind, k)
     return p
 
 
@@ -237,55 +258,56 @@ def postings(docs: DataFrame, shared, buckets: int) -> DataFrame:
 
     def run(batches):
         rarity, spread, _ = shared.value
-        first, lines, where = {}, [], []
-        out: dict[int, list[np.ndarray]] = {}
+        first, lines, cids, docs_, numbers = {}, [], [], [], []
+        out: list[tuple] = []               # buckets and columns of postings
         held = 0
 
         def flush():
-            nonlocal lines, where
+            nonlocal lines, cids, docs_, numbers
             h, line = tokens_of(lines)
             key, line, pos, size = ordered_tokens(h, line, rarity, len(lines))
             # one bit per token, added mod 2: sets differ in at least as many tokens as their signs in bits
             sign = np.bitwise_xor.reduceat(np.uint32(1) << (key & np.uint64(31)).astype(np.uint32), np.cumsum(size) - size)
             inside = pos < prefix_length(size)[line]
             key, line, pos = key[inside], line[inside], pos[inside]
-            p = np.zeros(len(key), POSTING)
-            cid, doc, number = (np.array(x, t) for x, t in zip(zip(*where), ("<u8", "<i8", "<u4")))
-            p["token"], p["cid"], p["doc"], p["line"], p["size"], p["pos"] = key, cid[line], doc[line], number[line], size[line], pos
-            p["sign"] = sign[line]
-            salt = cid[line] % spread[cell_of(key)]
-            bucket = (mixed(key + salt * _STEP[1]) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for i in np.flatnonzero(np.diff(ends)):
-                out.setdefault(int(i), []).append(p[order[ends[i]:ends[i + 1]]])
-            lines, where = [], []
+            cid, doc, number = (np.array(x, t) for x, t in zip((cids, docs_, numbers), ("<u8", "<i8", "<u4")))
+            of = cid[line]
+            bucket = mixed(key + of % spread[cell_of(key)] * _STEP[1]) % np.uint64(buckets)
+            out.append((bucket.astype(np.uint16 if buckets <= 1 << 16 else np.uint32), key, of, doc[line], number[line],
+                        size[line].astype(np.uint32), pos.astype(np.uint32), sign[line]))
+            lines, cids, docs_, numbers = [], [], [], []
 
         for b in batches_of_docs(batches):
             for doc, t in zip(b.column(0).to_pylist(), raws(b.column(1))):
                 doc = LAST if doc is None else doc
                 for i, x in enumerate(t.split(b"\n")):
                     c = class_id(x)
-                    if first.get(c, (LAST, LAST)) > (doc, i):
+                    old, new = first.get(c), (doc, i)
+                    if old is None or new < old:
                         # a class met again earlier (rows are in no order) is posted again; the bucket keeps the earliest
-                        first[c] = (doc, i)
+                        first[c] = new
                         if worded(x):
                             lines.append(x)
-                            where.append((c, doc, i))
+                            cids.append(c), docs_.append(doc), numbers.append(i)
                             if len(lines) == 1 << LINE_BITS or i & 4095 == 4095:
                                 held += len(lines)
                                 flush()
             if held > 50_000:           # bounded memory: send what has gathered
                 yield packed_rows(out)
-                out, held = {}, 0
+                out, held = [], 0
         if lines:
             flush()
         if out:
             yield packed_rows(out)
 
     def packed_rows(out):
-        return pa.RecordBatch.from_arrays([pa.array(list(out), pa.int32()), pa.array([packed(np.concatenate(v)) for v in out.values()], pa.binary())],
-                                          ["bucket", "data"])
+        bucket, *columns = (np.concatenate(x) for x in zip(*out))
+        order = np.argsort(bucket, kind="stable")
+        ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        full = np.flatnonzero(np.diff(ends))
+        columns = {k: c[order] for k, c in zip(POSTING.names, columns)}
+        data = [squeezed({k: c[ends[i]:ends[i + 1]] for k, c in columns.items()}) for i in full]
+        return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(data, pa.binary())], ["bucket", "data"])
 
     return docs.select("doc_id", "text").mapInArrow(lean(run), "bucket int, data binary")
 
@@ -300,6 +322,21 @@ def bound_holds(a, b) -> np.ndarray:
             & ((MATCH[0] + MATCH[1]) * differ <= (MATCH[0] - MATCH[1]) * (sa + sb)))
 
 
+def met(data: list[bytes], spread: np.ndarray) -> np.ndarray:
+    """A bucket's packed postings without the tokens that occur once: those have no partner."""
+    flats = [opened(x) for x in data]
+    whole = lambda name: np.concatenate([column(f, POSTING, name) for f in flats])
+    token = whole("token")
+    order = np.argsort(token)
+    token = token[order]
+    same = token[1:] == token[:-1]
+    pick = order[np.concatenate([[False], same]) | np.concatenate([same, [False]]) | (spread[cell_of(token)] > 1)]
+    p = np.empty(len(pick), POSTING)
+    for k in POSTING.names:
+        p[k] = whole(k)[pick]
+    return p
+
+
 def paired(p: np.ndarray, spread: np.ndarray, small: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a bucket's postings: rows (later, earlier) of small tokens that pass the bounds, each pair once, whether the
     earlier is a token's earliest, and the postings of large tokens."""
@@ -340,7 +377,7 @@ def candidates(posted: DataFrame, shared) -> DataFrame:
 
     def run(key, group):
         _, spread, small = shared.value
-        a, b, lead, crowd = paired(np.concatenate([unpacked(c.as_py()) for c in group.column("data")]), spread, small)
+        a, b, lead, crowd = paired(met(group.column("data").to_pylist(), spread), spread, small)
         give_back()
         col = lambda x: pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64))
         return pa.table(
